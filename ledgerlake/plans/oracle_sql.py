@@ -65,3 +65,194 @@ ORACLE: dict[str, str] = {
     "gold_summary": GOLD,
     "gold_summary_sql": GOLD,
 }
+
+
+# -- level 1: batch metrics and alerts ----------------------------------------
+def metrics_from(source: str, keys: str = "event_date") -> str:
+    def rate(flag):
+        return rnd(f"SUM(CASE WHEN {flag} THEN 1 ELSE 0 END) / COUNT(*)", 4)
+    return f"""
+SELECT {keys}, COUNT(*) AS records,
+  {rate('dq_missing_required')} AS null_rate,
+  {rate('dq_amount_out_of_range')} AS bad_amount_rate,
+  {rate('dq_invalid_category')} AS invalid_cat_rate,
+  {rate('dq_passed')} AS pass_rate,
+  {rate('_is_fraud_label')} AS fraud_rate
+FROM ({source}) s GROUP BY {keys}"""
+
+
+METRICS = metrics_from(SILVER)
+
+ALERTS = f"""
+WITH m AS ({METRICS})
+SELECT event_date, 'L1_null_rate' AS rule, 'critical' AS severity, null_rate AS observed, 0.01::DOUBLE AS threshold FROM m WHERE null_rate > 0.01
+UNION ALL
+SELECT event_date, 'L2_bad_amount_rate', 'critical', bad_amount_rate, 0.01::DOUBLE FROM m WHERE bad_amount_rate > 0.01
+UNION ALL
+SELECT event_date, 'L3_invalid_cat_rate', 'critical', invalid_cat_rate, 0.001::DOUBLE FROM m WHERE invalid_cat_rate > 0.001
+UNION ALL
+SELECT event_date, 'L4_fraud_rate', 'warning', fraud_rate, 0.1::DOUBLE FROM m WHERE fraud_rate > 0.1 OR fraud_rate = 0.0"""
+
+
+# -- level 2: expectation suite ---------------------------------------------------
+def _rule_sql(r, source: str, key: str | None, run_id: str) -> str:
+    """One SELECT per rule, written directly from the rule's meaning."""
+    col = r.column
+    p = r.params
+    gsel = f"{key}, " if key else ""
+    gby = f" GROUP BY {key}" if key else ""
+    rid = run_id
+    head = (f"SELECT {gsel}{rid} AS run_id, '{r.rule_id}' AS rule_id, "
+            f"'{r.expectation}' AS expectation, '{col}' AS column_name")
+    passed = "COUNT(*) FILTER (WHERE dq_passed = true) AS passed_records"
+    if r.expectation == "mean_between":
+        mean = f"AVG(CAST({col} AS DOUBLE))"
+        return (f"{head}, COALESCE({mean} >= {p['min']} AND {mean} <= {p['max']}, false) AS success, "
+                f"COUNT(*) AS element_count, COUNT({col}) AS nonnull_count, "
+                f"CAST(NULL AS BIGINT) AS unexpected_count, CAST(NULL AS DOUBLE) AS unexpected_percent, "
+                f"{rnd(mean, 9)} AS observed_value, {passed} FROM ({source}) s{gby}")
+    if r.expectation == "unique":
+        kc = f"{key}, " if key else ""
+        # rows of duplicated keys, all members counted; NULL keys ignored
+        return (f"SELECT {gsel}{rid} AS run_id, '{r.rule_id}' AS rule_id, '{r.expectation}' AS expectation, "
+                f"'{col}' AS column_name, "
+                f"CASE WHEN nn = 0 THEN true ELSE CAST(nn - dup AS DOUBLE) / CAST(nn AS DOUBLE) >= {r.mostly} END AS success, "
+                f"n AS element_count, nn AS nonnull_count, dup AS unexpected_count, "
+                f"CASE WHEN nn > 0 THEN CAST(dup AS DOUBLE) * CAST(100 AS DOUBLE) / CAST(nn AS DOUBLE) END AS unexpected_percent, "
+                f"CAST(NULL AS DOUBLE) AS observed_value, passed_records FROM ("
+                f"SELECT {gsel}COUNT(*) AS n, COUNT({col}) AS nn, "
+                f"CAST(SUM(CASE WHEN {col} IS NOT NULL AND cnt > 1 THEN 1 ELSE 0 END) AS BIGINT) AS dup, "
+                f"COUNT(*) FILTER (WHERE dq_passed = true) AS passed_records FROM ("
+                f"SELECT *, COUNT(*) OVER (PARTITION BY {kc}{col}) AS cnt FROM ({source}) s0) s1{gby}) s2")
+    if r.expectation == "not_null":
+        bad, base = f"{col} IS NULL", "COUNT(*)"
+    elif r.expectation == "between":
+        bad, base = f"{col} IS NOT NULL AND ({col} < {p['min']} OR {col} > {p['max']})", f"COUNT({col})"
+    elif r.expectation == "in_set":
+        bad, base = f"{col} IS NOT NULL AND NOT ({col} IN ({_lst(p['values'])}))", f"COUNT({col})"
+    elif r.expectation == "regex":
+        bad, base = f"{col} IS NOT NULL AND NOT regexp_full_match({col}, '{p['pattern']}')", f"COUNT({col})"
+    else:
+        raise ValueError(r.expectation)
+    u = f"COUNT(*) FILTER (WHERE {bad})"
+    return (f"{head}, CASE WHEN {base} = 0 THEN true ELSE CAST({base} - {u} AS DOUBLE) / CAST({base} AS DOUBLE) >= {r.mostly} END AS success, "
+            f"COUNT(*) AS element_count, COUNT({col}) AS nonnull_count, {u} AS unexpected_count, "
+            f"CASE WHEN {base} > 0 THEN CAST({u} AS DOUBLE) * CAST(100 AS DOUBLE) / CAST({base} AS DOUBLE) END AS unexpected_percent, "
+            f"CAST(NULL AS DOUBLE) AS observed_value, {passed} FROM ({source}) s{gby}")
+
+
+def suite_sql(rules, source: str, key: str | None = None, run_id: str = "'run'") -> str:
+    return "\nUNION ALL\n".join(_rule_sql(r, source, key, run_id) for r in rules)
+
+
+def summary_from(results: str, batch_id: str = "run_id") -> str:
+    return f"""
+SELECT run_id,
+  CAST(COUNT(*) AS INTEGER) AS expectations_run,
+  CAST(COUNT(*) FILTER (WHERE success) AS INTEGER) AS expectations_passed,
+  CAST(COUNT(*) - COUNT(*) FILTER (WHERE success) AS INTEGER) AS expectations_failed,
+  {rnd('COUNT(*) FILTER (WHERE success) * 100.0 / COUNT(*) / 100.0', 4)} AS pass_rate,
+  bool_and(success) AS success,
+  MAX(element_count) AS total_records,
+  MAX(passed_records) AS passed_records,
+  CASE WHEN bool_and(success) THEN 'PASSED' ELSE 'FAILED' END AS status,
+  {batch_id} AS batch_id
+FROM ({results}) r GROUP BY run_id"""
+
+
+def _suite_keys():
+    from ledgerlake.operators.expectations import CONTRACT, SUITE
+    return SUITE, CONTRACT
+
+
+_SUITE, _CONTRACT = _suite_keys()
+SUITE_RESULTS = suite_sql(_SUITE, SILVER)
+SUITE_BY_DAY = suite_sql(_SUITE, SILVER, "event_date",
+                         "concat('run_', CAST(event_date AS VARCHAR))")
+CONTRACT_RESULTS = suite_sql(_CONTRACT, SILVER)
+SUITE_SUMMARY = summary_from(SUITE_RESULTS, "'full_table'")
+SUMMARY_BY_DAY = summary_from(SUITE_BY_DAY)
+
+GATES = f"""
+WITH s AS ({SUMMARY_BY_DAY})
+SELECT run_id, pass_rate, 'G1_run_failed' AS gate FROM s WHERE NOT success
+UNION ALL
+SELECT run_id, pass_rate, 'G2_pass_rate' AS gate FROM s WHERE pass_rate < 0.95"""
+
+RUN_LOG = f"""
+SELECT run_id, CAST(batch_id AS VARCHAR) AS batch_id, CAST(total_records AS BIGINT) AS total_records,
+  CAST(passed_records AS BIGINT) AS passed_records,
+  CAST(total_records - passed_records AS BIGINT) AS failed_records,
+  pass_rate, expectations_run, expectations_failed, status
+FROM ({SUMMARY_BY_DAY}) s"""
+
+NULL_RATE = f"""
+SELECT COUNT(*) AS records,
+  CAST(COUNT(*) FILTER (WHERE event_id IS NULL) + COUNT(*) FILTER (WHERE event_timestamp IS NULL)
+       + COUNT(*) FILTER (WHERE user_id IS NULL) AS BIGINT) AS null_cells,
+  CAST(COUNT(*) FILTER (WHERE event_id IS NULL) + COUNT(*) FILTER (WHERE event_timestamp IS NULL)
+       + COUNT(*) FILTER (WHERE user_id IS NULL) AS DOUBLE) / CAST(COUNT(*) * 3 AS DOUBLE) AS null_rate,
+  CAST(COUNT(*) FILTER (WHERE event_id IS NULL) + COUNT(*) FILTER (WHERE event_timestamp IS NULL)
+       + COUNT(*) FILTER (WHERE user_id IS NULL) AS DOUBLE) / CAST(COUNT(*) * 3 AS DOUBLE) < 0.01 AS within_contract
+FROM ({SILVER}) s"""
+
+
+# -- analytics A9-A13 ---------------------------------------------------------------
+def fraud_aggs(amounts: bool = True) -> str:
+    s = ("COUNT(*) AS total_transactions, "
+         "CAST(SUM(CAST(_is_fraud_label AS INT)) AS BIGINT) AS fraud_count, "
+         f"{rnd('AVG(CAST(_is_fraud_label AS DOUBLE))*100', 3)} AS fraud_rate_pct")
+    if amounts:
+        s += f", {rnd('AVG(amount)', 2)} AS avg_amount, {rnd('SUM(amount)', 2)} AS total_amount"
+    return s
+
+
+PASSED = f"SELECT * FROM ({SILVER}) s WHERE dq_passed = true"
+FRAUD_RATE = f"SELECT {fraud_aggs(False)} FROM ({PASSED}) p"
+FRAUD_RATE_DAILY = f"SELECT event_date, {fraud_aggs(False)} FROM ({PASSED}) p GROUP BY event_date"
+BY_CATEGORY = f"SELECT merchant_category, {fraud_aggs()} FROM ({PASSED}) p GROUP BY merchant_category"
+BY_HOUR = f"SELECT event_hour, {fraud_aggs()} FROM ({PASSED}) p GROUP BY event_hour"
+CNP_SPLIT = f"""SELECT card_presence, {fraud_aggs()} FROM (
+  SELECT *, CASE WHEN is_online THEN 'CNP' WHEN NOT is_online THEN 'CP' END AS card_presence
+  FROM ({PASSED}) p0) p GROUP BY card_presence"""
+DQ_TREND = metrics_from(SILVER)
+
+# -- access ---------------------------------------------------------------------
+ANALYST_SILVER = f"SELECT * EXCLUDE (ip_address) FROM ({SILVER}) s"
+MASKED_SILVER = (f"SELECT * REPLACE (regexp_replace(ip_address, "
+                 f"'^(\\d{{1,3}}\\.\\d{{1,3}}\\.\\d{{1,3}})\\.\\d{{1,3}}$', '\\1.0') AS ip_address) "
+                 f"FROM ({SILVER}) s")
+STRIPPED_SILVER = f"SELECT * EXCLUDE (_is_fraud_label) FROM ({SILVER}) s"
+
+# -- access paths and J1 --------------------------------------------------------------
+RECENT = (f"SELECT * FROM ({SILVER}) s ORDER BY event_timestamp DESC NULLS LAST, "
+          f"event_id DESC NULLS LAST LIMIT 100")
+FOR_USER = f"SELECT * FROM ({SILVER}) s WHERE user_id = 'USR_000007'"
+APPEND_ABSENT = f"""
+SELECT event_id, event_date, amount FROM ({SILVER}) n
+WHERE event_id IS NOT NULL AND NOT EXISTS (
+  SELECT 1 FROM ({SILVER}) e WHERE e.event_date < DATE '2024-01-16' AND e.event_id = n.event_id)"""
+
+ORACLE.update({
+    "batch_metrics": METRICS,
+    "batch_alerts": ALERTS,
+    "expectation_results": SUITE_RESULTS,
+    "expectation_results_daily": SUITE_BY_DAY,
+    "contract_results": CONTRACT_RESULTS,
+    "expectation_summary": SUITE_SUMMARY,
+    "quality_gates": GATES,
+    "run_log": RUN_LOG,
+    "required_null_rate": NULL_RATE,
+    "fraud_rate": FRAUD_RATE,
+    "fraud_rate_daily": FRAUD_RATE_DAILY,
+    "fraud_by_category": BY_CATEGORY,
+    "fraud_by_hour": BY_HOUR,
+    "cnp_split": CNP_SPLIT,
+    "dq_trend": DQ_TREND,
+    "analyst_silver": ANALYST_SILVER,
+    "masked_silver": MASKED_SILVER,
+    "stripped_silver": STRIPPED_SILVER,
+    "recent_transactions": RECENT,
+    "user_transactions": FOR_USER,
+    "append_absent": APPEND_ABSENT,
+})

@@ -46,3 +46,49 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "gold_summary": q_gold_summary,
     "gold_summary_sql": q_gold_summary_sql,
 }
+
+
+# -- level 1 / level 2 quality ---------------------------------------------------
+from pyspark.sql import functions as F  # noqa: E402
+
+from ledgerlake.operators import access as AC  # noqa: E402
+from ledgerlake.operators import analytics as AN  # noqa: E402
+from ledgerlake.operators import expectations as EX  # noqa: E402
+from ledgerlake.operators import metrics as ME  # noqa: E402
+from ledgerlake.operators import signals as SG  # noqa: E402
+from ledgerlake.schemas import REQUIRED_FIELDS  # noqa: E402
+
+
+def _daily_results(s):
+    return EX.run_expectations(s, by="event_date",
+                               run_id=F.concat(F.lit("run_"), F.col("event_date").cast("string")))
+
+
+QUERIES.update({
+    "batch_metrics": lambda spark, d: ME.batch_metrics(silver_df(spark, d), by="event_date"),
+    "batch_alerts": lambda spark, d: ME.alerts(ME.batch_metrics(silver_df(spark, d), by="event_date")),
+    "expectation_results": lambda spark, d: EX.run_expectations(silver_df(spark, d)),
+    "expectation_results_daily": lambda spark, d: _daily_results(silver_df(spark, d)),
+    "contract_results": lambda spark, d: EX.run_expectations(silver_df(spark, d), EX.CONTRACT),
+    "expectation_summary": lambda spark, d: EX.summarise(
+        EX.run_expectations(silver_df(spark, d)), batch_id="full_table"),
+    "quality_gates": lambda spark, d: EX.gates(EX.summarise(_daily_results(silver_df(spark, d)))),
+    "run_log": lambda spark, d: EX.run_log_rows(
+        EX.summarise(_daily_results(silver_df(spark, d)))).drop("run_timestamp"),
+    "required_null_rate": lambda spark, d: EX.null_rate(silver_df(spark, d), REQUIRED_FIELDS),
+    "fraud_rate": lambda spark, d: AN.fraud_rate(silver_df(spark, d)),
+    "fraud_rate_daily": lambda spark, d: AN.fraud_rate(silver_df(spark, d), by="event_date"),
+    "fraud_by_category": lambda spark, d: AN.by_category(silver_df(spark, d)),
+    "fraud_by_hour": lambda spark, d: AN.by_hour(silver_df(spark, d)),
+    "cnp_split": lambda spark, d: AN.cnp_split(silver_df(spark, d)),
+    "dq_trend": lambda spark, d: AN.dq_trend(silver_df(spark, d)),
+    "analyst_silver": lambda spark, d: AC.role_view(silver_df(spark, d), "silver", "data-analysts"),
+    "masked_silver": lambda spark, d: AC.mask_ip(silver_df(spark, d)),
+    "stripped_silver": lambda spark, d: AC.strip_label(silver_df(spark, d)),
+    "recent_transactions": lambda spark, d: SG.recent(silver_df(spark, d), 100),
+    "user_transactions": lambda spark, d: SG.for_user(silver_df(spark, d), "USR_000007"),
+    "append_absent": lambda spark, d: SG.append_absent(
+        silver_df(spark, d).select("event_id", "event_date", "amount"),
+        silver_df(spark, d).filter(F.col("event_date") < F.lit("2024-01-16").cast("date")),
+        "event_id"),
+})
