@@ -256,3 +256,38 @@ ORACLE.update({
     "user_transactions": FOR_USER,
     "append_absent": APPEND_ABSENT,
 })
+
+
+# -- wire codec and quarantine ------------------------------------------------------
+ENVELOPED_EVENTS = """(SELECT *, CAST(ts AS TIMESTAMP) AS kafka_timestamp,
+  CAST(event_id % 4 AS INTEGER) AS kafka_partition,
+  CAST(floor(event_id / 4) AS BIGINT) AS kafka_offset,
+  event_id % 997 AS _defect, event_id % 1009 = 0 AS _null_key FROM events) e"""
+WIRE_TX = transaction_select_sql(
+    ENVELOPED_EVENTS, "kafka_timestamp, kafka_partition, kafka_offset, _defect, _null_key")
+WIRE_SILVER = f"""SELECT * EXCLUDE (_defect, _null_key), {SILVER_FLAGS}, '1.1.0' AS _pipeline_version
+FROM ({WIRE_TX}) tx"""
+WIRE_ROUNDTRIP = f"SELECT * FROM ({WIRE_SILVER}) w WHERE event_id IS NOT NULL"
+DECODED_SILVER = f"""SELECT * FROM ({WIRE_SILVER}) w
+WHERE event_id IS NOT NULL AND NOT (CAST(substr(CAST(kafka_offset * 4 + kafka_partition AS VARCHAR), 1, 20) AS BIGINT) % 997 BETWEEN 1 AND 7)"""
+QUARANTINE = f"""
+SELECT kafka_partition, kafka_offset,
+  CASE WHEN _null_key OR _defect = 1 THEN 'null_value'
+       WHEN _defect = 2 THEN 'too_short'
+       WHEN _defect = 3 THEN 'bad_magic'
+       WHEN _defect = 4 THEN 'unknown_schema'
+       WHEN _defect IN (5, 6) THEN 'decode_error'
+       ELSE 'contract_violation' END AS reason,
+  CASE WHEN _defect = 7 AND NOT _null_key THEN 'event_timestamp:unparseable_timestamp' END AS violation_summary
+FROM {ENVELOPED_EVENTS}
+WHERE _null_key OR _defect BETWEEN 1 AND 7"""
+QUARANTINE_REPLAY = f"""
+SELECT kafka_partition, kafka_offset, event_id, amount FROM ({WIRE_TX}) t
+WHERE _defect = 4 AND NOT _null_key"""
+
+ORACLE.update({
+    "wire_roundtrip": WIRE_ROUNDTRIP,
+    "decoded_silver": DECODED_SILVER,
+    "quarantine": QUARANTINE,
+    "quarantine_replay": QUARANTINE_REPLAY,
+})

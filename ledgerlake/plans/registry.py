@@ -92,3 +92,45 @@ QUERIES.update({
         silver_df(spark, d).filter(F.col("event_date") < F.lit("2024-01-16").cast("date")),
         "event_id"),
 })
+
+
+# -- wire codec and quarantine ------------------------------------------------------
+from ledgerlake.functions import wire as W  # noqa: E402
+from ledgerlake.operators import quarantine as QU  # noqa: E402
+from ledgerlake.sources.kafka import UNKNOWN_SCHEMA_ID, envelope_from_events  # noqa: E402
+
+REGISTRY_V1 = {1: W.TRANSACTION_SCHEMA_JSON}
+# the fix for unknown_schema rows: the producer's schema registered under 999
+REGISTRY_FIXED = {1: W.TRANSACTION_SCHEMA_JSON, UNKNOWN_SCHEMA_ID: W.TRANSACTION_SCHEMA_JSON}
+
+
+def _decoded(spark, d, defects=True):
+    return W.decode(envelope_from_events(read_table(spark, d, "events"), defects), REGISTRY_V1)
+
+
+def q_wire_roundtrip(spark, d):
+    """events -> encode (W4) -> decode (W1-W3) -> silver: must equal silver."""
+    return to_silver(W.accepted(_decoded(spark, d, defects=False))).drop("_ingested_at")
+
+
+def q_decoded_silver(spark, d):
+    return to_silver(W.accepted(_decoded(spark, d))).drop("_ingested_at")
+
+
+def q_quarantine(spark, d):
+    return (QU.quarantined(_decoded(spark, d))
+            .select("kafka_partition", "kafka_offset", "reason", "violation_summary"))
+
+
+def q_quarantine_replay(spark, d):
+    q = QU.quarantined(_decoded(spark, d))
+    return (W.accepted(QU.replay(q, REGISTRY_FIXED))
+            .select("kafka_partition", "kafka_offset", "event_id", "amount"))
+
+
+QUERIES.update({
+    "wire_roundtrip": q_wire_roundtrip,
+    "decoded_silver": q_decoded_silver,
+    "quarantine": q_quarantine,
+    "quarantine_replay": q_quarantine_replay,
+})
