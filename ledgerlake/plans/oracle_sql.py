@@ -291,3 +291,58 @@ ORACLE.update({
     "quarantine": QUARANTINE,
     "quarantine_replay": QUARANTINE_REPLAY,
 })
+
+
+# -- change data capture (written from the fixture's definition, not the log) ----------
+S = 1_000_000_000
+_ST1 = "CASE o_orderstatus WHEN 'O' THEN 'P' WHEN 'P' THEN 'F' ELSE 'O' END"
+CDC_CHANGES = f"""
+SELECT o_orderkey, op, CAST(p AS BIGINT) * {S} + o_orderkey AS lsn,
+       CAST(floor((CAST(p AS BIGINT) * {S} + o_orderkey) / 10) AS BIGINT) AS tx_id, 'orders' AS "table"
+FROM (
+  SELECT o_orderkey, 0 AS p, 'r' AS op FROM orders
+  UNION ALL SELECT o_orderkey, 0, 'r' FROM orders WHERE o_orderkey % 7 = 0
+  UNION ALL SELECT o_orderkey, 1, 'u' FROM orders WHERE o_orderkey % 5 = 0
+  UNION ALL SELECT o_orderkey, 2, 'u' FROM orders WHERE o_orderkey % 10 = 0
+  UNION ALL SELECT o_orderkey, 3, 'd' FROM orders WHERE o_orderkey % 25 = 0
+  UNION ALL SELECT o_orderkey, 4, 'c' FROM orders WHERE o_orderkey % 50 = 0) ch"""
+CDC_BAD = "SELECT o_orderkey, 'bad_json' AS reason FROM orders WHERE o_orderkey % 997 = 3"
+CDC_STATE = f"""
+SELECT o_orderkey, o_custkey,
+  CASE WHEN o_orderkey % 50 = 0 THEN o_orderstatus WHEN o_orderkey % 5 = 0 THEN {_ST1} ELSE o_orderstatus END AS o_orderstatus,
+  CASE WHEN o_orderkey % 50 = 0 THEN o_totalprice WHEN o_orderkey % 10 = 0 THEN o_totalprice + 100.0 ELSE o_totalprice END AS o_totalprice,
+  CAST(o_orderdate AS DATE) AS o_orderdate, o_orderpriority
+FROM orders WHERE o_orderkey % 50 = 0 OR o_orderkey % 25 <> 0"""
+CDC_STATE_AT = f"""
+SELECT o_orderkey, o_custkey,
+  CASE WHEN o_orderkey % 5 = 0 THEN {_ST1} ELSE o_orderstatus END AS o_orderstatus,
+  o_totalprice, CAST(o_orderdate AS DATE) AS o_orderdate, o_orderpriority
+FROM orders"""
+CDC_APPLY = f"""
+SELECT s.*, CAST(CASE WHEN o_orderkey % 50 = 0 THEN 4 WHEN o_orderkey % 10 = 0 THEN 2
+                      WHEN o_orderkey % 5 = 0 THEN 1 ELSE 0 END AS BIGINT) * {S} + o_orderkey AS _lsn
+FROM ({CDC_STATE}) s"""
+CDC_AUDIT = f"""
+SELECT o_orderkey, CAST(1 AS BIGINT) * {S} + o_orderkey AS lsn, 'u' AS op,
+       CASE WHEN o_orderkey % 2 = 1 THEN 'o_orderstatus' END AS column_name
+FROM orders WHERE o_orderkey % 5 = 0
+UNION ALL
+SELECT o_orderkey, CAST(2 AS BIGINT) * {S} + o_orderkey, 'u',
+       CASE WHEN o_orderkey % 2 = 1 THEN 'o_totalprice' END
+FROM orders WHERE o_orderkey % 10 = 0
+UNION ALL
+SELECT o_orderkey, CAST(3 AS BIGINT) * {S} + o_orderkey, 'd', c.column_name
+FROM orders, (VALUES ('o_custkey'), ('o_orderstatus'), ('o_totalprice'), ('o_orderdate'), ('o_orderpriority')) c(column_name)
+WHERE o_orderkey % 25 = 0 AND o_orderkey % 2 = 1
+UNION ALL
+SELECT o_orderkey, CAST(3 AS BIGINT) * {S} + o_orderkey, 'd', CAST(NULL AS VARCHAR)
+FROM orders WHERE o_orderkey % 25 = 0 AND o_orderkey % 2 = 0"""
+
+ORACLE.update({
+    "cdc_changes": CDC_CHANGES,
+    "cdc_bad_messages": CDC_BAD,
+    "cdc_state": CDC_STATE,
+    "cdc_state_at_lsn": CDC_STATE_AT,
+    "cdc_apply": CDC_APPLY,
+    "cdc_audit": CDC_AUDIT,
+})

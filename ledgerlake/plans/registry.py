@@ -134,3 +134,33 @@ QUERIES.update({
     "quarantine": q_quarantine,
     "quarantine_replay": q_quarantine_replay,
 })
+
+
+# -- change data capture ---------------------------------------------------------------
+from ledgerlake.operators import cdc as CD  # noqa: E402
+from ledgerlake.sources.changes import (ORDER_KEY, ORDER_ROW, PHASE_STRIDE,  # noqa: E402
+                                        change_messages_from_orders)
+
+
+def _changes(spark, d):
+    msgs = change_messages_from_orders(read_table(spark, d, "orders"))
+    return CD.parse_changes(msgs, ORDER_ROW, ORDER_KEY)
+
+
+def _valid(spark, d):
+    return CD.valid_changes(_changes(spark, d))
+
+
+QUERIES.update({
+    "cdc_changes": lambda spark, d: _valid(spark, d).select("o_orderkey", "op", "lsn", "tx_id", "table"),
+    "cdc_bad_messages": lambda spark, d: _changes(spark, d).filter(F.col("_reason").isNotNull())
+                                          .select("o_orderkey", F.col("_reason").alias("reason")),
+    "cdc_state": lambda spark, d: CD.state_at(_valid(spark, d), ORDER_KEY),
+    "cdc_state_at_lsn": lambda spark, d: CD.state_at(_valid(spark, d), ORDER_KEY,
+                                                     lsn=2 * PHASE_STRIDE - 1),
+    "cdc_apply": lambda spark, d: CD.apply_changes(
+        CD.state_at(_valid(spark, d), ORDER_KEY, lsn=2 * PHASE_STRIDE - 1, keep_lsn=True),
+        CD.changes_since(_valid(spark, d), 2 * PHASE_STRIDE - 1), ORDER_KEY),
+    "cdc_audit": lambda spark, d: CD.audit(_valid(spark, d), ORDER_KEY)
+                                    .select("o_orderkey", "lsn", "op", "column_name"),
+})
