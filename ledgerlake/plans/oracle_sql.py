@@ -346,3 +346,21 @@ ORACLE.update({
     "cdc_apply": CDC_APPLY,
     "cdc_audit": CDC_AUDIT,
 })
+
+
+# -- velocity ----------------------------------------------------------------------------
+VELOCITY = f"""
+SELECT *,
+  CASE WHEN event_timestamp IS NOT NULL AND user_id IS NOT NULL THEN COUNT(*) OVER w END AS velocity_count,
+  CASE WHEN event_timestamp IS NOT NULL AND user_id IS NOT NULL THEN {rnd('SUM(amount) OVER w', 2)} END AS velocity_amount,
+  CASE WHEN event_timestamp IS NOT NULL AND user_id IS NOT NULL THEN COUNT(*) OVER w > 3 END AS velocity_alert
+FROM ({TX}) tx
+WINDOW w AS (PARTITION BY user_id ORDER BY event_timestamp
+             RANGE BETWEEN INTERVAL 10 MINUTES PRECEDING AND CURRENT ROW)"""
+VELOCITY_WINDOWS = f"""
+SELECT user_id, make_timestamp(ws) AS window_start, make_timestamp(ws + 600000000) AS window_end,
+  COUNT(*) AS velocity_count, {rnd('SUM(amount)', 2)} AS velocity_amount
+FROM (SELECT tx.*, (epoch_us(event_timestamp) // 60000000 - r.k) * 60000000 AS ws
+      FROM ({TX}) tx, range(0, 10) r(k)) x
+GROUP BY user_id, ws"""
+ORACLE.update({"velocity": VELOCITY, "velocity_windows": VELOCITY_WINDOWS})

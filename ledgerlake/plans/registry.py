@@ -164,3 +164,12 @@ QUERIES.update({
     "cdc_audit": lambda spark, d: CD.audit(_valid(spark, d), ORDER_KEY)
                                     .select("o_orderkey", "lsn", "op", "column_name"),
 })
+
+
+# -- velocity ----------------------------------------------------------------------------
+from ledgerlake.operators import velocity as VE  # noqa: E402
+
+QUERIES.update({
+    "velocity": lambda spark, d: VE.velocity(_tx(spark, d), minutes=10, threshold=3),
+    "velocity_windows": lambda spark, d: VE.velocity_windows(_tx(spark, d), "10 minutes", "1 minute"),
+})
