@@ -233,3 +233,29 @@ def run_log_rows(summary: DataFrame, run_timestamp: Column | None = None) -> Dat
         F.col("passed_records").cast("long").alias("passed_records"),
         (F.col("total_records") - F.col("passed_records")).cast("long").alias("failed_records"),
         "pass_rate", "expectations_run", "expectations_failed", "status")
+
+
+def write_summary_json(summary: DataFrame, path: str) -> None:
+    """K5: validation summaries as JSON, one folder per run date
+    (``run_date=YYYY-MM-DD``); a rerun of the same run_id overwrites it."""
+    (summary.withColumn("run_date", F.current_date())
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("run_date", "run_id").json(path))
+
+
+def append_run_log(spark, rows: DataFrame, path: str) -> DataFrame:
+    """K6 + J1: append run-log rows whose ``run_id`` is not yet in the log
+    (``ON CONFLICT (run_id) DO NOTHING``); returns the rows to append.
+
+    The existing log's files are listed when the plan is analysed, and an
+    append only adds committed files, so reading the key column of the same
+    folder inside the job is safe.
+    """
+    from ledgerlake.operators.signals import append_absent
+    try:
+        existing = spark.read.parquet(path).select("run_id")
+    except Exception:  # noqa: BLE001 -- first run: the log does not exist yet
+        existing = spark.createDataFrame([], "run_id string")
+    new = append_absent(rows, existing, "run_id")
+    new.write.mode("append").parquet(path)
+    return new

@@ -364,3 +364,5 @@ FROM (SELECT tx.*, (epoch_us(event_timestamp) // 60000000 - r.k) * 60000000 AS w
       FROM ({TX}) tx, range(0, 10) r(k)) x
 GROUP BY user_id, ws"""
 ORACLE.update({"velocity": VELOCITY, "velocity_windows": VELOCITY_WINDOWS})
+
+ORACLE["stream_silver"] = DECODED_SILVER

@@ -173,3 +173,45 @@ QUERIES.update({
     "velocity": lambda spark, d: VE.velocity(_tx(spark, d), minutes=10, threshold=3),
     "velocity_windows": lambda spark, d: VE.velocity_windows(_tx(spark, d), "10 minutes", "1 minute"),
 })
+
+
+# -- streaming: stream = batch -------------------------------------------------------------
+import uuid  # noqa: E402
+
+from ledgerlake.session import checkpoint_dir  # noqa: E402
+from ledgerlake.streaming import jobs as JB  # noqa: E402
+
+STREAM_FILES = 4
+
+
+def stream_paths(spark, tag: str) -> tuple[str, JB.Paths]:
+    """A fresh folder under the session's shared checkpoint dir."""
+    root = f"{checkpoint_dir(spark)}/{tag}-{uuid.uuid4().hex[:12]}"
+    return root, JB.Paths(bronze=f"{root}/bronze", silver=f"{root}/silver",
+                          quarantine=f"{root}/quarantine", alerts=f"{root}/alerts",
+                          checkpoint=f"{root}/_checkpoint", signals=f"{root}/signals")
+
+
+def land_envelopes(spark, d: str, landing: str, files: int = STREAM_FILES,
+                   defects: bool = True) -> None:
+    """Encoded events written as ``files`` Parquet files in time order."""
+    env = envelope_from_events(read_table(spark, d, "events"), defects)
+    (env.repartitionByRange(files, "kafka_timestamp", "kafka_partition", "kafka_offset")
+        .sortWithinPartitions("kafka_timestamp").write.mode("overwrite").parquet(landing))
+
+
+def q_stream_silver(spark, d):
+    root, paths = stream_paths(spark, "stream")
+    land_envelopes(spark, d, f"{root}/landing")
+    source = (spark.readStream.schema(ENVELOPE_SCHEMA)
+              .option("maxFilesPerTrigger", 1).parquet(f"{root}/landing"))
+    q = JB.start_stream(source, REGISTRY_V1, paths, trigger={"availableNow": True})
+    q.awaitTermination()
+    if q.exception():
+        raise RuntimeError(str(q.exception()))
+    return spark.read.parquet(paths.silver).drop("_ingested_at", "_batch_id")
+
+
+from ledgerlake.schemas import ENVELOPE_SCHEMA  # noqa: E402
+
+QUERIES.update({"stream_silver": q_stream_silver})
