@@ -83,20 +83,23 @@ def latest_per_key(changes: DataFrame, key: list[str]) -> DataFrame:
                     F.col("_m.op").alias("op"), F.col("_m.after").alias("after")))
 
 
-def _rows(latest: DataFrame, key: list[str], keep_lsn: bool) -> DataFrame:
-    live = latest.filter(F.col("op") != "d")
+def _rows(latest: DataFrame, key: list[str], keep_lsn: bool,
+          keep_tombstones: bool = False) -> DataFrame:
     row_cols = [F.col(f"after.{f}").alias(f) for f in
                 latest.schema["after"].dataType.fieldNames() if f not in key]
     extra = [F.col("lsn").alias("_lsn")] if keep_lsn else []
-    return live.select(*key, *row_cols, *extra)
+    if keep_tombstones:
+        return latest.select(*key, *row_cols, *extra, (F.col("op") == "d").alias("_deleted"))
+    return latest.filter(F.col("op") != "d").select(*key, *row_cols, *extra)
 
 
 def state_at(changes: DataFrame, key: list[str], lsn: int | Column | None = None,
-             keep_lsn: bool = False) -> DataFrame:
+             keep_lsn: bool = False, keep_tombstones: bool = False) -> DataFrame:
     """Table contents as of ``lsn`` (inclusive; ``None`` = latest):
-    latest change per key, deletes removed, the after image flattened."""
+    latest change per key, deletes removed (or kept as ``_deleted`` rows),
+    the after image flattened."""
     ch = changes if lsn is None else changes.filter(F.col("lsn") <= lsn)
-    return _rows(latest_per_key(ch, key), key, keep_lsn)
+    return _rows(latest_per_key(ch, key), key, keep_lsn, keep_tombstones)
 
 
 def changes_since(changes: DataFrame, lsn: int | Column) -> DataFrame:
@@ -105,26 +108,37 @@ def changes_since(changes: DataFrame, lsn: int | Column) -> DataFrame:
 
 
 def apply_changes(table: DataFrame, changes: DataFrame, key: list[str],
-                  table_lsn: str | None = "_lsn") -> DataFrame:
+                  table_lsn: str | None = "_lsn", applied_through: int | None = None,
+                  keep_tombstones: bool = False) -> DataFrame:
     """Merge a batch of changes into a keyed table.
 
     The table's rows enter as snapshot changes at their own ``_lsn`` (or at
-    -1 when the table has none); the union is reduced with the same
-    latest-per-key aggregate, so upserts and deletes resolve in one shuffle
-    on the key.  Re-applying the same changes is a no-op (idempotent), and a
-    change older than the row already in the table never wins.
+    -1 when the table has none); tombstone rows (``_deleted``) enter as
+    deletes.  The union is reduced with the same latest-per-key aggregate,
+    so upserts and deletes resolve in one shuffle on the key.  Re-applying
+    the same changes is a no-op, and a change older than what the table holds
+    for its key never wins.  A key that was deleted can only be protected
+    from a stale re-insert if the table keeps its tombstone
+    (``keep_tombstones``) or the caller passes ``applied_through``, the LSN
+    the table is known to be current to (changes at or below it are
+    ignored).
     """
     row_fields = [f for f in changes.schema["after"].dataType.fieldNames()]
     lsn_col = (F.col(table_lsn) if table_lsn and table_lsn in table.columns
                else F.lit(-1)).cast("long")
+    deleted = "_deleted" in table.columns
+    op = F.when(F.col("_deleted"), F.lit("d")).otherwise(F.lit("r")) if deleted else F.lit("r")
+    image = F.struct(*[F.col(f) for f in row_fields])
     as_changes = table.select(
-        *key, F.lit("r").alias("op"), F.lit(None).cast(changes.schema["before"].dataType).alias("before"),
-        F.struct(*[F.col(f) for f in row_fields]).alias("after"),
+        *key, op.alias("op"), F.lit(None).cast(changes.schema["before"].dataType).alias("before"),
+        (F.when(~F.col("_deleted"), image) if deleted else image).alias("after"),
         lsn_col.alias("lsn"), F.lit(None).cast("long").alias("tx_id"),
         F.lit(None).cast("string").alias("table"), F.lit(-1).cast("long").alias("seq"))
     ch = changes.select(*key, "op", "before", "after", "lsn", "tx_id", "table", "seq")
+    if applied_through is not None:
+        ch = ch.filter(F.col("lsn") > applied_through)
     return _rows(latest_per_key(as_changes.unionByName(ch), key), key,
-                 keep_lsn=table_lsn is not None)
+                 keep_lsn=table_lsn is not None, keep_tombstones=keep_tombstones)
 
 
 def audit(changes: DataFrame, key: list[str]) -> DataFrame:

@@ -196,8 +196,7 @@ def land_envelopes(spark, d: str, landing: str, files: int = STREAM_FILES,
                    defects: bool = True) -> None:
     """Encoded events written as ``files`` Parquet files in time order."""
     env = envelope_from_events(read_table(spark, d, "events"), defects)
-    (env.repartitionByRange(files, "kafka_timestamp", "kafka_partition", "kafka_offset")
-        .sortWithinPartitions("kafka_timestamp").write.mode("overwrite").parquet(landing))
+    JB.write_time_ordered(env, landing, "kafka_timestamp", files)
 
 
 def q_stream_silver(spark, d):
