@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlake.functions import avro
+from ledgerlake.session import spread
 from ledgerlake.schemas import HEADER_BYTES, REQUIRED_FIELDS, TRANSACTION_FIELDS
 
 # Fixed value: the writer schema of the transaction topic (version 1).
@@ -155,7 +156,7 @@ def decode(envelope: DataFrame, schemas: DataFrame | dict, raw: str = "raw_bytes
     reg = load_registry(schemas)
     bc = spark.sparkContext.broadcast(reg)
     passthrough = [c for c in envelope.columns if c not in WIRE_TYPES]
-    staged = envelope.select(*passthrough,
+    staged = spread(envelope).select(*passthrough,
                              header_reason(F.col(raw)).alias("_reason"),
                              header_schema_id(F.col(raw)).alias("_schema_id"))
     out_schema = T.StructType(
@@ -211,7 +212,7 @@ def encode(df: DataFrame, schema_id: int = 1, schema_json: str = TRANSACTION_SCH
             cols.append(F.col(n))
         else:
             cols.append(F.lit(None).alias(n))
-    staged = df.select(*[F.col(k).alias(f"_k_{k}") for k in keep], *cols)
+    staged = spread(df).select(*[F.col(k).alias(f"_k_{k}") for k in keep], *cols)
     out_schema = T.StructType(
         [T.StructField(k, staged.schema[f"_k_{k}"].dataType, True) for k in keep]
         + [T.StructField(value, T.BinaryType(), True)])

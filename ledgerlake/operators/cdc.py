@@ -52,22 +52,24 @@ def parse_changes(messages: DataFrame, row: T.StructType, key: list[str],
     key_schema = T.StructType([row[k] for k in key])
     mk = (F.from_json(F.col(message_key), key_schema, {"mode": "PERMISSIVE"})
           if message_key and message_key in messages.columns else None)
-    cols = []
-    for k in key:
-        parts = ([mk[k]] if mk is not None else []) + [F.col("_c.after")[k], F.col("_c.before")[k]]
-        cols.append(F.coalesce(*parts).alias(k))
-    reason = (F.when(F.col(value).isNull() | F.col("_c").isNull()
-                     | F.col("_c._corrupt").isNotNull() | F.col("_c.op").isNull(),
-                     F.lit("bad_json"))
-              .when(~F.col("_c.op").isin(*OPS), F.lit("bad_op")))
     seq_col = F.col(seq).cast("long") if seq and seq in messages.columns else F.lit(0).cast("long")
-    return (messages.select(F.col(value), parsed.alias("_c"), seq_col.alias("seq"),
-                            *([F.col(message_key)] if mk is not None else []))
-            .select(*cols, F.col("_c.op").alias("op"), F.col("_c.before").alias("before"),
-                    F.col("_c.after").alias("after"), F.col("_c.source.lsn").alias("lsn"),
-                    F.col("_c.source.txId").alias("tx_id"),
-                    F.col("_c.source.table").alias("table"), "seq",
-                    reason.alias("_reason")))
+    # Parse once: the parsed struct comes out of a one-element ``inline`` so
+    # later filters on its fields (validity, LSN ranges) stay above it and
+    # never re-run the JSON parser per predicate.
+    once = messages.select(F.inline(F.array(F.struct(
+        parsed.alias("_c"), seq_col.alias("seq"),
+        (mk if mk is not None else F.lit(None).cast(key_schema)).alias("_mk")))))
+    cols = [F.coalesce(F.col("_mk")[k], F.col("_c.after")[k], F.col("_c.before")[k]).alias(k)
+            for k in key]
+    op = F.col("_c.op")
+    reason = (F.when(F.col("_c").isNull() | F.col("_c._corrupt").isNotNull() | op.isNull(),
+                     F.lit("bad_json"))
+              .when(~op.isin(*OPS), F.lit("bad_op")))
+    return once.select(*cols, op.alias("op"), F.col("_c.before").alias("before"),
+                       F.col("_c.after").alias("after"), F.col("_c.source.lsn").alias("lsn"),
+                       F.col("_c.source.txId").alias("tx_id"),
+                       F.col("_c.source.table").alias("table"), "seq",
+                       reason.alias("_reason"))
 
 
 def valid_changes(changes: DataFrame) -> DataFrame:

@@ -65,3 +65,23 @@ def checkpoint_dir(spark: SparkSession, default_root: str | None = None) -> str:
     spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)
     return d
+
+
+def spread(df):
+    """Give a CPU-heavy per-row stage at least one task per core.
+
+    When a *batch* input arrives in fewer partitions than the cluster's
+    default parallelism (e.g. one small file with one row group), rows are
+    dealt round-robin over that many partitions.  At scale the scan already
+    has far more splits than cores and this is a no-op (no extra shuffle);
+    streaming inputs are left alone.
+    """
+    if df.isStreaming:
+        return df
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    if "Exchange" in plan or "AdaptiveSparkPlan" in plan:
+        return df          # already spread by a shuffle; .rdd would run it early
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df

@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerlake.session import spread
+
 ORDER_KEY = ["o_orderkey"]
 ORDER_ROW = T.StructType([
     T.StructField("o_orderkey", T.LongType(), True),
@@ -69,7 +71,7 @@ def change_messages_from_orders(orders: DataFrame) -> DataFrame:
         phase(4, "c", null_img, orig, k % C_MOD == 0),
         phase(9, "x", null_img, null_img, k % BAD_MOD == BAD_REM),
     )
-    ex = (orders.select("o_orderkey", F.explode(F.filter(phases, lambda x: x.isNotNull())).alias("e"))
+    ex = (spread(orders).select("o_orderkey", F.explode(F.filter(phases, lambda x: x.isNotNull())).alias("e"))
           .select("o_orderkey", "e.*"))
     lsn = F.col("p").cast("long") * PHASE_STRIDE + F.col("o_orderkey")
     value = F.to_json(F.struct(
