@@ -214,3 +214,21 @@ def q_stream_silver(spark, d):
 from ledgerlake.schemas import ENVELOPE_SCHEMA  # noqa: E402
 
 QUERIES.update({"stream_silver": q_stream_silver})
+
+
+# -- anomaly scoring (iterative: no SQL oracle, rows-only check) ----------------------
+from ledgerlake.operators import forest as FO  # noqa: E402
+
+
+def _scored(spark, d):
+    return FO.score_silver(silver_df(spark, d), n_trees=100, sample_size=256, seed=42)
+
+
+QUERIES.update({
+    "forest_nodes": lambda spark, d: FO.train_forest(silver_df(spark, d), 100, 256, 42),
+    "anomaly_scores": lambda spark, d: FO.fraud_signals(_scored(spark, d)).drop("processed_at"),
+    "anomalies": lambda spark, d: SG.anomalies(FO.fraud_signals(_scored(spark, d))).drop("processed_at"),
+    "signals_recent": lambda spark, d: SG.recent(FO.fraud_signals(_scored(spark, d)), 100).drop("processed_at"),
+    "signals_for_user": lambda spark, d: SG.for_user(FO.fraud_signals(_scored(spark, d)), "USR_000007")
+                                           .drop("processed_at"),
+})
