@@ -49,9 +49,12 @@ def read_kafka_stream(spark: SparkSession, bootstrap_servers: str, topic: str,
 
 
 # -- W5: NDJSON landing path ------------------------------------------------------
+LANDING_TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"   # keeps microseconds
+
+
 def write_landing_json(tx: DataFrame, path: str) -> None:
     """Raw landing copy as newline-delimited JSON (no decode)."""
-    tx.write.mode("append").json(path)
+    tx.write.mode("append").option("timestampFormat", LANDING_TS_FORMAT).json(path)
 
 
 def read_landing_json(spark: SparkSession, path: str) -> DataFrame:
@@ -62,7 +65,7 @@ def read_landing_json(spark: SparkSession, path: str) -> DataFrame:
     return (spark.read.schema(schema)
             .option("mode", "PERMISSIVE")
             .option("columnNameOfCorruptRecord", "_corrupt_record")
-            .option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]XXX")
+            .option("timestampFormat", LANDING_TS_FORMAT)
             .json(path))
 
 
