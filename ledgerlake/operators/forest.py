@@ -6,12 +6,12 @@ splits up to height ceil(log2(sample_size)); the score of x is
 s = 2 ** (-E[h(x)] / c(sample_size)), in (0, 1], higher = more isolated.
 
 Spark plan:
-* Training never moves the table: each row hashes (row key, tree) to decide
-  which trees' samples it joins.  A first hash keeps only rows that belong
-  to *some* tree (about 2 x sample_size x trees rows in total, whatever the
-  table size), then those rows are exploded per tree.  ``groupBy(tree_id)
-  .applyInPandas`` grows one tree per group; a group holds at most about
-  2 x sample_size rows by construction, so no group can be hot.
+* Training never moves the table: each row hashes once to a start tree and
+  is kept with a probability that gives every tree about 2 x sample_size
+  rows (small tables copy a row into a few consecutive trees), so only about
+  2 x sample_size x trees rows leave the scan, whatever the table size.
+  ``groupBy(tree_id).applyInPandas`` grows one tree per group; a group
+  holds about 2 x sample_size rows by construction, so no group can be hot.
 * Trees are rows (one per node).  The model is bounded by
   trees x (2 x sample_size) nodes; that bound is checked before it is
   broadcast for scoring.
@@ -132,24 +132,30 @@ def _grow(pdf: pd.DataFrame, sample_size: int, seed: int) -> pd.DataFrame:
 
 def train_forest(silver: DataFrame, n_trees: int = DEFAULT_TREES,
                  sample_size: int = DEFAULT_SAMPLE, seed: int = 42,
-                 passed_only: bool = True) -> DataFrame:
+                 passed_only: bool = True, n_rows: int | None = None) -> DataFrame:
     """M1: isolation forest as node rows.  Trains on ``dq_passed = true``."""
     df = silver.filter(F.col("dq_passed") == F.lit(True)) if passed_only else silver
     feats = df.select(*[e.alias(n) for n, e in feature_columns()],
                       F.coalesce(F.col("event_id"), F.lit("")).alias("_key"))
-    n = feats.count()
+    n = feats.count() if n_rows is None else n_rows
     if n == 0:
         raise ValueError("no training rows")
-    per_tree = min(1.0, 2.0 * sample_size / n)      # expected 2 x psi rows per tree
-    any_tree = min(1.0, n_trees * per_tree)
+    # Row r joins trees h(r), h(r)+1, ..., h(r)+K-1 (mod T), each copy kept
+    # with probability q; K = ceil(2 psi T / n) copies are needed only when
+    # the table is small.  P(r in tree t) = q K / T = 2 psi / n for every t,
+    # rows within a tree are distinct, and for large tables (K = 1) this is
+    # one hash per row with no explode at all.
+    target = 2.0 * sample_size * n_trees / n
+    k = max(1, min(n_trees, int(math.ceil(target))))
+    q = min(1.0, target / k)
     key = [F.col("_key"), *[F.col(f) for f in FEATURES]]
-    cand = feats.filter(_unit_hash(*key, F.lit(seed)) < any_tree)
-    cond = per_tree / any_tree
-    trees = F.filter(F.sequence(F.lit(0), F.lit(n_trees - 1)),
-                     lambda t: _unit_hash(*key, F.lit(seed), t) < cond)
-    sampled = (cand.select(*FEATURES, *key[:1], F.explode(trees).alias("tree_id"))
-               .withColumn("u", _unit_hash(*key, F.lit(seed + 1), F.col("tree_id")))
-               .withColumn("tree_id", F.col("tree_id").cast("int")))
+    start = F.pmod(F.xxhash64(*key, F.lit(seed)), F.lit(n_trees))
+    copies = F.explode(F.sequence(F.lit(0), F.lit(k - 1))) if k > 1 else F.lit(0)
+    sampled = (feats.select(*FEATURES, "_key", start.alias("_h"), copies.alias("_c"))
+               .filter(_unit_hash(*key, F.lit(seed), F.col("_c")) < q)
+               .select(*FEATURES, "_key",
+                       F.pmod(F.col("_h") + F.col("_c"), F.lit(n_trees)).cast("int").alias("tree_id"))
+               .withColumn("u", _unit_hash(*key, F.lit(seed + 1), F.col("tree_id"))))
     # Growing trees is CPU work on a tiny input (about 2 x psi rows per tree),
     # which AQE would coalesce into one task.  An explicit count keeps the
     # trees spread over the cores; groupBy(tree_id) reuses this partitioning.
@@ -159,50 +165,78 @@ def train_forest(silver: DataFrame, n_trees: int = DEFAULT_TREES,
 
 
 def load_model(nodes: DataFrame) -> dict:
-    """Node rows -> per-tree numpy arrays (collect bounded by MAX_MODEL_NODES)."""
+    """Node rows -> one stacked node table for all trees (collect bounded by
+    MAX_MODEL_NODES).  Tree t's node i is row ``offset[t] + i``."""
     pdf = nodes.limit(MAX_MODEL_NODES + 1).toPandas()
     if len(pdf) > MAX_MODEL_NODES:
         raise ValueError("forest exceeds the broadcast size bound")
+    if len(pdf) == 0:
+        raise ValueError("empty forest")
     pdf = pdf.sort_values(["tree_id", "node_id"])
-    trees = []
-    for _, g in pdf.groupby("tree_id"):
-        size = int(g["node_id"].max()) + 1
-        arr = {k: np.zeros(size, dtype=float if k == "threshold" else np.int64)
-               for k in ("feature", "threshold", "left", "right", "size", "depth")}
-        ids = g["node_id"].to_numpy()
-        for k in arr:
-            arr[k][ids] = g[k].to_numpy()
-        arr["root_size"] = int(g["root_size"].iloc[0])
-        trees.append(arr)
-    psi = max(t["root_size"] for t in trees)
-    return {"trees": trees, "c_psi": float(c_factor([psi])[0])}
+    sizes = pdf.groupby("tree_id")["node_id"].max().to_numpy() + 1
+    offsets = np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.int64)
+    tree_pos = {t: i for i, t in enumerate(sorted(pdf["tree_id"].unique()))}
+    base = offsets[pdf["tree_id"].map(tree_pos).to_numpy()]
+    total = int(sizes.sum())
+    idx = base + pdf["node_id"].to_numpy()
+    feature = np.full(total, -1, dtype=np.int64)
+    threshold = np.zeros(total)
+    left = np.zeros(total, dtype=np.int64)
+    right = np.zeros(total, dtype=np.int64)
+    size = np.zeros(total)
+    depth = np.zeros(total)
+    feature[idx] = pdf["feature"].to_numpy()
+    threshold[idx] = pdf["threshold"].to_numpy()
+    is_split = pdf["feature"].to_numpy() >= 0
+    left[idx] = np.where(is_split, base + pdf["left"].to_numpy(), 0)
+    right[idx] = np.where(is_split, base + pdf["right"].to_numpy(), 0)
+    size[idx] = pdf["size"].to_numpy()
+    depth[idx] = pdf["depth"].to_numpy()
+    roots = pdf[pdf["node_id"] == 0].sort_values("tree_id")["root_size"].to_numpy()
+    psi = float(roots.max())
+    return {"feature": feature, "threshold": threshold, "left": left, "right": right,
+            "value": depth + c_factor(size), "offsets": offsets,
+            "root_value": c_factor(roots), "c_psi": float(c_factor([psi])[0])}
+
+
+MAX_PAIRS = 2_000_000   # (row, tree) pairs walked at once: bounds task memory
 
 
 def _score_matrix(X: np.ndarray, model: dict):
-    """Scores and per-feature credits for a batch of feature rows."""
+    """Scores, per-feature credits and mean path length for a batch, in
+    chunks of at most MAX_PAIRS (row, tree) pairs."""
+    step = max(1, MAX_PAIRS // len(model["offsets"]))
+    if len(X) <= step:
+        return _score_chunk(X, model)
+    parts = [_score_chunk(X[i:i + step], model) for i in range(0, len(X), step)]
+    return tuple(np.concatenate([p[k] for p in parts]) for k in range(3))
+
+
+def _score_chunk(X: np.ndarray, model: dict):
+    """All (row, tree) pairs are walked down together, one level per step."""
     n, f = X.shape
-    depth_sum = np.zeros(n)
-    credit = np.zeros((n, f))
-    for t in model["trees"]:
-        node = np.zeros(n, dtype=np.int64)
-        value = np.full(n, float(c_factor([t["root_size"]])[0]))
-        while True:
-            feat = t["feature"][node]
-            active = feat >= 0
-            if not active.any():
-                break
-            rows = np.flatnonzero(active)
-            fa = feat[rows]
-            go_left = X[rows, fa] < t["threshold"][node[rows]]
-            nxt = np.where(go_left, t["left"][node[rows]], t["right"][node[rows]])
-            new_value = t["depth"][nxt] + c_factor(t["size"][nxt])
-            np.add.at(credit, (rows, fa), value[rows] - new_value)
-            value[rows] = new_value
-            node[rows] = nxt
-        depth_sum += value                       # h(x) = depth + c(leaf size)
-    mean_h = depth_sum / len(model["trees"])
+    t = len(model["offsets"])
+    row = np.repeat(np.arange(n), t)
+    node = np.tile(model["offsets"], n)
+    value = np.tile(model["root_value"], n)
+    credit = np.zeros(n * f)
+    feat_all, thr_all = model["feature"], model["threshold"]
+    left_all, right_all, val_all = model["left"], model["right"], model["value"]
+    active = np.flatnonzero(feat_all[node] >= 0)
+    while active.size:
+        nd = node[active]
+        fa = feat_all[nd]
+        go_left = X[row[active], fa] < thr_all[nd]
+        nxt = np.where(go_left, left_all[nd], right_all[nd])
+        new_value = val_all[nxt]
+        credit += np.bincount(row[active] * f + fa, weights=value[active] - new_value,
+                              minlength=n * f)
+        value[active] = new_value
+        node[active] = nxt
+        active = active[feat_all[nxt] >= 0]
+    mean_h = value.reshape(n, t).mean(axis=1) if n else np.zeros(0)
     score = np.power(2.0, -mean_h / model["c_psi"])
-    return score, credit / len(model["trees"]), mean_h
+    return score, credit.reshape(n, f) / t, mean_h
 
 
 def score_columns(df: DataFrame) -> DataFrame:
@@ -255,6 +289,9 @@ def score(tx: DataFrame, nodes: DataFrame | dict, threshold: float | None = None
     return scored
 
 
+THRESHOLD_SAMPLE = 1_000_000
+
+
 def fit_threshold(train_scores: DataFrame, contamination: float = DEFAULT_CONTAMINATION) -> float:
     """Score above which the top ``contamination`` share of training rows lie
     (``percentile_approx``, one number to the driver)."""
@@ -262,15 +299,27 @@ def fit_threshold(train_scores: DataFrame, contamination: float = DEFAULT_CONTAM
         F.percentile_approx("fraud_score", 1.0 - contamination, 10000)).first()[0])
 
 
+def threshold_rows(train: DataFrame, seed: int = 42, n_rows: int | None = None) -> DataFrame:
+    """The training rows the threshold is estimated on: all of them up to
+    THRESHOLD_SAMPLE rows, else a hash sample of about that many (a quantile
+    estimate needs no more; every row is still scored)."""
+    n = train.count() if n_rows is None else n_rows
+    if n <= THRESHOLD_SAMPLE:
+        return train
+    key = F.coalesce(F.col("event_id"), F.lit(""))
+    return train.filter(_unit_hash(key, F.lit(seed + 2)) < THRESHOLD_SAMPLE / n)
+
+
 def score_silver(silver: DataFrame, nodes: DataFrame | None = None,
                  contamination: float = DEFAULT_CONTAMINATION, **train_kw) -> DataFrame:
     """Train (unless ``nodes`` is given), fit the threshold on the training
     rows, and score every silver row."""
+    train = silver.filter(F.col("dq_passed") == F.lit(True))
+    n = train.count()
     if nodes is None:
-        nodes = train_forest(silver, **train_kw)
+        nodes = train_forest(silver, n_rows=n, **train_kw)
     model = load_model(nodes)            # one training job; bounded collect
-    train = silver.filter(F.col("dq_passed") == F.lit(True))
-    thr = fit_threshold(score(train, model), contamination)
+    thr = fit_threshold(score(threshold_rows(train, n_rows=n), model), contamination)
     version = "iforest-t{}-psi{}".format(
         train_kw.get("n_trees", DEFAULT_TREES), train_kw.get("sample_size", DEFAULT_SAMPLE))
     return score(silver, model, threshold=thr, model_version=version)
