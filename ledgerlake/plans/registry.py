@@ -196,7 +196,9 @@ def land_envelopes(spark, d: str, landing: str, files: int = STREAM_FILES,
                    defects: bool = True) -> None:
     """Encoded events written as ``files`` Parquet files in time order."""
     env = envelope_from_events(read_table(spark, d, "events"), defects)
-    JB.write_time_ordered(env, landing, "kafka_timestamp", files)
+    staged = f"{landing}_staged"
+    env.write.mode("overwrite").parquet(staged)          # encode once
+    JB.write_time_ordered(spark.read.parquet(staged), landing, "kafka_timestamp", files)
 
 
 def q_stream_silver(spark, d):
@@ -204,7 +206,8 @@ def q_stream_silver(spark, d):
     land_envelopes(spark, d, f"{root}/landing")
     source = (spark.readStream.schema(ENVELOPE_SCHEMA)
               .option("maxFilesPerTrigger", 1).parquet(f"{root}/landing"))
-    q = JB.start_stream(source, REGISTRY_V1, paths, trigger={"availableNow": True})
+    q = JB.start_stream(source, REGISTRY_V1, paths, trigger={"availableNow": True},
+                        decode_partitions=spark.sparkContext.defaultParallelism)
     q.awaitTermination()
     if q.exception():
         raise RuntimeError(str(q.exception()))

@@ -75,10 +75,19 @@ def process_batch(decoded: DataFrame, batch_id: int, paths: Paths,
 
 
 def decoded_stream(envelopes: DataFrame, schemas, dedupe_within: str | None = None,
-                   event_time: str = "kafka_timestamp") -> DataFrame:
+                   event_time: str = "kafka_timestamp",
+                   decode_partitions: int | None = None) -> DataFrame:
     """Decode a streaming envelope DataFrame; optionally drop redelivered
     ``event_id``s within ``dedupe_within`` of ``event_time`` (X5).  Rows
-    without a key are never merged (their dedupe key is their offset)."""
+    without a key are never merged (their dedupe key is their offset).
+
+    ``decode_partitions`` deals each micro-batch round-robin over that many
+    tasks before the Python decode, for sources with fewer partitions than
+    cores (a few topic partitions, one file per trigger).  For Kafka the
+    source option ``minPartitions`` does the same without a shuffle.
+    """
+    if decode_partitions:
+        envelopes = envelopes.repartition(int(decode_partitions))
     dec = wire.decode(envelopes, schemas)
     if dedupe_within:
         dedupe_key = F.coalesce(F.col("event_id"), F.concat_ws(
@@ -93,13 +102,15 @@ def decoded_stream(envelopes: DataFrame, schemas, dedupe_within: str | None = No
 
 def start_stream(envelopes: DataFrame, schemas, paths: Paths,
                  trigger: dict | None = None, dedupe_within: str | None = None,
-                 scorer=None, query_name: str | None = None) -> StreamingQuery:
+                 scorer=None, query_name: str | None = None,
+                 decode_partitions: int | None = None) -> StreamingQuery:
     """S1/S2 envelope stream -> all layers, one query, one checkpoint.
 
     ``trigger`` is passed to ``DataStreamWriter.trigger`` (X1), e.g.
     ``{"processingTime": "30 seconds"}`` or ``{"availableNow": True}``.
     """
-    dec = decoded_stream(envelopes, schemas, dedupe_within)
+    dec = decoded_stream(envelopes, schemas, dedupe_within,
+                         decode_partitions=decode_partitions)
     w = (dec.writeStream
          .foreachBatch(lambda df, bid: process_batch(df, bid, paths, scorer))
          .option("checkpointLocation", paths.checkpoint)
