@@ -30,7 +30,6 @@ from ledgerlake.schemas import HEADER_BYTES, REQUIRED_FIELDS, TRANSACTION_FIELDS
 TRANSACTION_AVRO_SCHEMA = {
     "type": "record",
     "name": "TransactionEvent",
-    "namespace": "com.fraud.pipeline",
     "fields": [
         {"name": "event_id", "type": "string"},
         {"name": "event_timestamp", "type": "string"},

@@ -109,38 +109,79 @@ def changes_since(changes: DataFrame, lsn: int | Column) -> DataFrame:
     return changes.filter(F.col("lsn") > lsn)
 
 
-def apply_changes(table: DataFrame, changes: DataFrame, key: list[str],
-                  table_lsn: str | None = "_lsn", applied_through: int | None = None,
-                  keep_tombstones: bool = False) -> DataFrame:
-    """Merge a batch of changes into a keyed table.
+# Change batches touching at most this many distinct keys merge by
+# broadcasting the key set (an 8-byte key is ~16 MB per million keys).
+BROADCAST_KEYS_MAX = 2_000_000
 
-    The table's rows enter as snapshot changes at their own ``_lsn`` (or at
-    -1 when the table has none); tombstone rows (``_deleted``) enter as
-    deletes.  The union is reduced with the same latest-per-key aggregate,
-    so upserts and deletes resolve in one shuffle on the key.  Re-applying
-    the same changes is a no-op, and a change older than what the table holds
-    for its key never wins.  A key that was deleted can only be protected
-    from a stale re-insert if the table keeps its tombstone
-    (``keep_tombstones``) or the caller passes ``applied_through``, the LSN
-    the table is known to be current to (changes at or below it are
-    ignored).
-    """
-    row_fields = [f for f in changes.schema["after"].dataType.fieldNames()]
+
+def _table_as_changes(table: DataFrame, key: list[str], row_fields: list[str],
+                      before_type, table_lsn: str | None) -> DataFrame:
     lsn_col = (F.col(table_lsn) if table_lsn and table_lsn in table.columns
                else F.lit(-1)).cast("long")
     deleted = "_deleted" in table.columns
     op = F.when(F.col("_deleted"), F.lit("d")).otherwise(F.lit("r")) if deleted else F.lit("r")
     image = F.struct(*[F.col(f) for f in row_fields])
-    as_changes = table.select(
-        *key, op.alias("op"), F.lit(None).cast(changes.schema["before"].dataType).alias("before"),
+    return table.select(
+        *key, op.alias("op"), F.lit(None).cast(before_type).alias("before"),
         (F.when(~F.col("_deleted"), image) if deleted else image).alias("after"),
         lsn_col.alias("lsn"), F.lit(None).cast("long").alias("tx_id"),
         F.lit(None).cast("string").alias("table"), F.lit(-1).cast("long").alias("seq"))
+
+
+def apply_changes(table: DataFrame, changes: DataFrame, key: list[str],
+                  table_lsn: str | None = "_lsn", applied_through: int | None = None,
+                  keep_tombstones: bool = False,
+                  broadcast_keys_max: int = BROADCAST_KEYS_MAX) -> DataFrame:
+    """Merge a batch of changes into a keyed table.
+
+    The table's rows enter as snapshot changes at their own ``_lsn`` (or at
+    -1 when the table has none); tombstone rows (``_deleted``) enter as
+    deletes.  Rows and changes are reduced with the latest-per-key
+    aggregate, so upserts and deletes resolve in one shuffle on the key.
+    Re-applying the same changes is a no-op, and a change older than what the
+    table holds for its key never wins.  A deleted key is protected from a
+    stale re-insert only if the table keeps its tombstone
+    (``keep_tombstones``) or the caller passes ``applied_through``, the LSN
+    the table is known to be current to.
+
+    Plan: the batch's distinct keys are counted first (one number).  Within
+    ``broadcast_keys_max`` the key set is broadcast and the table is split
+    by a broadcast anti join (rows that pass through, never shuffled) and a
+    broadcast semi join (rows to merge); only the touched rows and the
+    changes are shuffled.  Beyond the bound the whole table is merged in one
+    shuffle.
+    """
+    row_fields = list(changes.schema["after"].dataType.fieldNames())
+    before_type = changes.schema["before"].dataType
     ch = changes.select(*key, "op", "before", "after", "lsn", "tx_id", "table", "seq")
     if applied_through is not None:
         ch = ch.filter(F.col("lsn") > applied_through)
-    return _rows(latest_per_key(as_changes.unionByName(ch), key), key,
-                 keep_lsn=table_lsn is not None, keep_tombstones=keep_tombstones)
+    keep_lsn = table_lsn is not None
+
+    def merge(rows: DataFrame) -> DataFrame:
+        as_changes = _table_as_changes(rows, key, row_fields, before_type, table_lsn)
+        return _rows(latest_per_key(as_changes.unionByName(ch), key), key,
+                     keep_lsn=keep_lsn, keep_tombstones=keep_tombstones)
+
+    if broadcast_keys_max <= 0:
+        return merge(table)
+    touched = ch.select(*key).distinct().persist()   # counted, then broadcast
+    if touched.count() > broadcast_keys_max:
+        touched.unpersist()
+        return merge(table)
+    keys_b = F.broadcast(touched)
+    merged = merge(table.join(keys_b, on=key, how="left_semi"))
+    rest = table.join(keys_b, on=key, how="left_anti")
+    deleted = "_deleted" in rest.columns
+    if deleted and not keep_tombstones:
+        rest = rest.filter(~F.col("_deleted"))
+    cols = [F.col(k) for k in key] + [F.col(f) for f in row_fields if f not in key]
+    if keep_lsn:
+        cols.append((F.col(table_lsn) if table_lsn in rest.columns else F.lit(-1))
+                    .cast("long").alias("_lsn"))
+    if keep_tombstones:
+        cols.append((F.col("_deleted") if deleted else F.lit(False)).alias("_deleted"))
+    return rest.select(*cols).unionByName(merged)
 
 
 def audit(changes: DataFrame, key: list[str]) -> DataFrame:

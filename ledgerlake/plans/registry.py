@@ -138,6 +138,7 @@ QUERIES.update({
 
 # -- change data capture ---------------------------------------------------------------
 from ledgerlake.operators import cdc as CD  # noqa: E402
+from ledgerlake.session import checkpoint_dir  # noqa: E402
 from ledgerlake.sources.changes import (ORDER_KEY, ORDER_ROW, PHASE_STRIDE,  # noqa: E402
                                         change_messages_from_orders)
 
@@ -151,6 +152,17 @@ def _valid(spark, d):
     return CD.valid_changes(_changes(spark, d))
 
 
+def _cdc_apply(spark, d):
+    """A stored keyed table (state up to the end of phase 1) merged with the
+    later change batch.  Both inputs are materialised first with a reliable
+    checkpoint in the shared checkpoint folder, as stored tables would be."""
+    checkpoint_dir(spark)
+    valid = _valid(spark, d).checkpoint()          # the parsed change log, parsed once
+    table = CD.state_at(valid, ORDER_KEY, lsn=2 * PHASE_STRIDE - 1, keep_lsn=True).checkpoint()
+    batch = CD.changes_since(valid, 2 * PHASE_STRIDE - 1)
+    return CD.apply_changes(table, batch, ORDER_KEY)
+
+
 QUERIES.update({
     "cdc_changes": lambda spark, d: _valid(spark, d).select("o_orderkey", "op", "lsn", "tx_id", "table"),
     "cdc_bad_messages": lambda spark, d: _changes(spark, d).filter(F.col("_reason").isNotNull())
@@ -158,9 +170,7 @@ QUERIES.update({
     "cdc_state": lambda spark, d: CD.state_at(_valid(spark, d), ORDER_KEY),
     "cdc_state_at_lsn": lambda spark, d: CD.state_at(_valid(spark, d), ORDER_KEY,
                                                      lsn=2 * PHASE_STRIDE - 1),
-    "cdc_apply": lambda spark, d: CD.apply_changes(
-        CD.state_at(_valid(spark, d), ORDER_KEY, lsn=2 * PHASE_STRIDE - 1, keep_lsn=True),
-        CD.changes_since(_valid(spark, d), 2 * PHASE_STRIDE - 1), ORDER_KEY),
+    "cdc_apply": lambda spark, d: _cdc_apply(spark, d),
     "cdc_audit": lambda spark, d: CD.audit(_valid(spark, d), ORDER_KEY)
                                     .select("o_orderkey", "lsn", "op", "column_name"),
 })

@@ -58,6 +58,8 @@ def checkpoint_dir(spark: SparkSession, default_root: str | None = None) -> str:
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if d:
+        if not spark.sparkContext.getCheckpointDir():
+            spark.sparkContext.setCheckpointDir(d)   # DataFrame.checkpoint() uses it
         return d.rstrip("/")
     import tempfile
     root = default_root or tempfile.mkdtemp(prefix="ledgerlake-ckpt-")

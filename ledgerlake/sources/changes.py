@@ -76,7 +76,7 @@ def change_messages_from_orders(orders: DataFrame) -> DataFrame:
     lsn = F.col("p").cast("long") * PHASE_STRIDE + F.col("o_orderkey")
     value = F.to_json(F.struct(
         F.col("before"), F.col("after"), F.col("op"),
-        F.struct(F.lit("postgresql").alias("connector"), F.lit("orders").alias("table"),
+        F.struct(F.lit("source-db").alias("connector"), F.lit("orders").alias("table"),
                  (lsn / 10).cast("long").alias("txId"), lsn.alias("lsn")).alias("source"),
         (F.lit(1_700_000_000_000) + F.col("p")).alias("ts_ms")))
     value = F.when(F.col("op") == "x", F.lit('{"op": "u", "after": {"o_orderkey": ')).otherwise(value)

@@ -32,6 +32,17 @@ def test_apply_is_idempotent_and_equals_state(spark):
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
+def test_broadcast_and_shuffle_merges_agree(spark):
+    ch = _valid(spark)
+    snap = CD.state_at(ch, ORDER_KEY, lsn=PHASE_STRIDE - 1, keep_lsn=True, keep_tombstones=True)
+    later = CD.changes_since(ch, PHASE_STRIDE - 1)
+    a = CD.apply_changes(snap, later, ORDER_KEY, keep_tombstones=True)
+    b = CD.apply_changes(snap, later, ORDER_KEY, keep_tombstones=True, broadcast_keys_max=0)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    plan = a._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan or "BroadcastExchange" in plan
+
+
 def test_older_change_never_wins(spark):
     ch = _valid(spark)
     stale = ch.filter(F.col("lsn") < PHASE_STRIDE)       # snapshot rows only
