@@ -34,6 +34,24 @@ def change_schema(row: T.StructType) -> T.StructType:
     ])
 
 
+def _parsed_once(messages: DataFrame, row: T.StructType, value: str, extra: list) -> DataFrame:
+    """``_c`` = the parsed message, evaluated once: it comes out of a
+    one-element ``inline`` so later filters on its fields (validity, LSN
+    ranges) stay above it and never re-run the JSON parser per predicate."""
+    schema = T.StructType(change_schema(row).fields
+                          + [T.StructField("_corrupt", T.StringType(), True)])
+    parsed = F.from_json(F.col(value), schema,
+                         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
+    return messages.select(F.inline(F.array(F.struct(parsed.alias("_c"), *extra))))
+
+
+def _reason() -> Column:
+    op = F.col("_c.op")
+    return (F.when(F.col("_c").isNull() | F.col("_c._corrupt").isNotNull() | op.isNull(),
+                   F.lit("bad_json"))
+            .when(~op.isin(*OPS), F.lit("bad_op")))
+
+
 def parse_changes(messages: DataFrame, row: T.StructType, key: list[str],
                   value: str = "value", message_key: str | None = "key",
                   seq: str | None = "kafka_offset") -> DataFrame:
@@ -45,31 +63,40 @@ def parse_changes(messages: DataFrame, row: T.StructType, key: list[str],
     text or an unknown op gives ``_reason = 'bad_json'`` / ``'bad_op'``
     (route those to quarantine); nothing raises.
     """
-    schema = T.StructType(change_schema(row).fields
-                          + [T.StructField("_corrupt", T.StringType(), True)])
-    parsed = F.from_json(F.col(value), schema,
-                         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
     key_schema = T.StructType([row[k] for k in key])
     mk = (F.from_json(F.col(message_key), key_schema, {"mode": "PERMISSIVE"})
           if message_key and message_key in messages.columns else None)
     seq_col = F.col(seq).cast("long") if seq and seq in messages.columns else F.lit(0).cast("long")
-    # Parse once: the parsed struct comes out of a one-element ``inline`` so
-    # later filters on its fields (validity, LSN ranges) stay above it and
-    # never re-run the JSON parser per predicate.
-    once = messages.select(F.inline(F.array(F.struct(
-        parsed.alias("_c"), seq_col.alias("seq"),
-        (mk if mk is not None else F.lit(None).cast(key_schema)).alias("_mk")))))
+    once = _parsed_once(messages, row, value, [
+        seq_col.alias("seq"),
+        (mk if mk is not None else F.lit(None).cast(key_schema)).alias("_mk")])
     cols = [F.coalesce(F.col("_mk")[k], F.col("_c.after")[k], F.col("_c.before")[k]).alias(k)
             for k in key]
-    op = F.col("_c.op")
-    reason = (F.when(F.col("_c").isNull() | F.col("_c._corrupt").isNotNull() | op.isNull(),
-                     F.lit("bad_json"))
-              .when(~op.isin(*OPS), F.lit("bad_op")))
-    return once.select(*cols, op.alias("op"), F.col("_c.before").alias("before"),
+    return once.select(*cols, F.col("_c.op").alias("op"), F.col("_c.before").alias("before"),
                        F.col("_c.after").alias("after"), F.col("_c.source.lsn").alias("lsn"),
                        F.col("_c.source.txId").alias("tx_id"),
                        F.col("_c.source.table").alias("table"), "seq",
-                       reason.alias("_reason"))
+                       _reason().alias("_reason"))
+
+
+def quarantined_changes(messages: DataFrame, row: T.StructType,
+                        value: str = "value") -> DataFrame:
+    """Q1 for change messages: malformed JSON / unknown op in the quarantine
+    shape (original text kept as bytes, position, reason, detection time)."""
+    msgs = messages
+    for c in ("kafka_partition", "kafka_offset"):
+        if c not in msgs.columns:
+            msgs = msgs.withColumn(c, F.lit(None).cast("int" if c == "kafka_partition" else "long"))
+    once = _parsed_once(msgs, row, value, [F.col(value).alias("_raw"),
+                                           "kafka_partition", "kafka_offset"])
+    reason = _reason()
+    return (once.select(F.col("_raw").cast("binary").alias("raw_value"), "kafka_partition",
+                        "kafka_offset", reason.alias("reason"))
+            .filter(F.col("reason").isNotNull())
+            .withColumn("violations", F.lit(None).cast("array<struct<field:string,rule:string>>"))
+            .withColumn("violation_summary", F.lit(None).cast("string"))
+            .withColumn("detected_at", F.current_timestamp())
+            .withColumn("detected_date", F.to_date("detected_at")))
 
 
 def valid_changes(changes: DataFrame) -> DataFrame:

@@ -20,9 +20,9 @@ REQUIRED_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # partitionOverwriteMode=dynamic makes partitioned re-writes idempotent
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
+# Idempotent sinks pass ``partitionOverwriteMode=dynamic`` per write; it is
+# not set session-wide so other overwrites in the session keep their meaning.
 
 
 def build_session(master: str | None = None, app_name: str = "ledgerlake",

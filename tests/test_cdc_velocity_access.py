@@ -74,6 +74,9 @@ def test_delete_without_before_uses_message_key(spark):
     assert reasons[8] == "bad_op" and reasons[9] == "bad_json"
     state = CD.state_at(CD.valid_changes(parsed), ORDER_KEY)
     assert state.count() == 0
+    q = CD.quarantined_changes(msgs, row=ORDER_ROW).orderBy("kafka_offset").collect()
+    assert [(r.kafka_offset, r.reason) for r in q] == [(2, "bad_op"), (3, "bad_json")]
+    assert bytes(q[1].raw_value) == b"not json"
 
 
 def test_lsn_tie_breaks_on_arrival(spark):
