@@ -131,7 +131,10 @@ def test_velocity_partitions_by_user_and_bucket(spark):
     df = read_table(spark, SF001, "events").selectExpr(
         "CAST(user_id AS STRING) AS user_id", "CAST(ts AS TIMESTAMP) AS event_timestamp", "value AS amount")
     plan = VE.velocity(df)._jdf.queryExecution().executedPlan().toString()
-    assert "_e.bucket" in plan or "bucket" in plan
+    assert plan.count("Exchange hashpartitioning(_u") == 1      # one shuffle, by (user, bucket)
+    assert "hashpartitioning(_u#" in plan and ", _b#" in plan
+    frames = plan.split("specifiedwindowframe(")[1:]
+    assert frames and all(f.split(",")[1].strip().startswith("unboundedpreceding") for f in frames)
 
 
 def test_roles(spark):
