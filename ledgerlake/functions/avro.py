@@ -161,3 +161,88 @@ def encode_record(fields, record: dict) -> bytes:
         else:
             raise AvroError(f"value of {name} fits no branch of {branches}")
     return bytes(out)
+
+
+# -- compiled decoder: one closure per field, built once per schema --------------
+def _long_at(buf, pos):
+    b = buf[pos]
+    if b < 0x80:                                     # one-byte fast path
+        return (b >> 1) ^ -(b & 1), pos + 1
+    return _read_long(buf, pos)
+
+
+def _prim_reader(kind: str):
+    if kind == "null":
+        return lambda buf, pos: (None, pos)
+    if kind == "boolean":
+        def rd(buf, pos):
+            v = buf[pos]
+            if v > 1:
+                raise AvroError("bad boolean")
+            return v == 1, pos + 1
+        return rd
+    if kind in ("int", "long"):
+        return _long_at
+    if kind == "double":
+        unpack = _D.unpack_from
+
+        def rd(buf, pos):
+            if pos + 8 > len(buf):
+                raise AvroError("truncated double")
+            return unpack(buf, pos)[0], pos + 8
+        return rd
+    if kind == "float":
+        unpack = _F.unpack_from
+
+        def rd(buf, pos):
+            if pos + 4 > len(buf):
+                raise AvroError("truncated float")
+            return unpack(buf, pos)[0], pos + 4
+        return rd
+    as_text = kind == "string"
+
+    def rd(buf, pos):
+        size, pos = _long_at(buf, pos)
+        end = pos + size
+        if size < 0 or end > len(buf):
+            raise AvroError("truncated bytes")
+        raw = buf[pos:end]
+        if as_text:
+            try:
+                return str(raw, "utf-8"), end
+            except UnicodeDecodeError as e:
+                raise AvroError("bad utf-8") from e
+        return bytes(raw), end
+    return rd
+
+
+def _field_reader(branches):
+    if len(branches) == 1:
+        return _prim_reader(branches[0])
+    readers = [_prim_reader(b) for b in branches]
+    n = len(readers)
+
+    def rd(buf, pos):
+        idx, pos = _long_at(buf, pos)
+        if idx < 0 or idx >= n:
+            raise AvroError("bad union index")
+        return readers[idx](buf, pos)
+    return rd
+
+
+def compile_decoder(fields):
+    """Return ``decode(buf) -> list of values`` in field order.  Raises
+    AvroError (or IndexError/struct.error on truncation) for a bad body."""
+    readers = [_field_reader(b) for _, b, _ in fields]
+
+    def decode(buf):
+        pos = 0
+        out = []
+        append = out.append
+        for rd in readers:
+            v, pos = rd(buf, pos)
+            append(v)
+        if pos != len(buf):
+            raise AvroError("trailing bytes")
+        return out
+    return decode

@@ -93,46 +93,78 @@ def load_registry(schemas: DataFrame | dict) -> dict[int, str]:
     return reg
 
 
+_PY_TYPES = {T.StringType(): ("string",), T.DoubleType(): ("double", "float", "int", "long"),
+             T.BooleanType(): ("boolean",)}
+
+
+def _plan_schema(schema_json: str):
+    """Per writer schema, once: compiled reader, and for each contract column
+    the writer position (or None) plus whether values need checking (writer
+    type differs from the contract type) or an int -> float conversion."""
+    fields = avro.parse_schema(schema_json)
+    reader = avro.compile_decoder(fields)
+    pos = {name: i for i, (name, _, _) in enumerate(fields)}
+    mapping = []
+    for n, t in WIRE_TYPES.items():
+        i = pos.get(n)
+        if i is None:
+            mapping.append((n, None, False, False))
+            continue
+        kinds = {k for k in fields[i][1] if k != "null"}
+        exact = kinds <= set(_PY_TYPES[t][:1] if t != T.DoubleType() else ("double", "float"))
+        to_float = t == T.DoubleType() and bool(kinds & {"int", "long"})
+        mapping.append((n, i, not exact, to_float))
+    return reader, mapping
+
+
 def _decoder(registry_bc, raw_name: str, passthrough: list[str]):
     names = list(WIRE_TYPES)
 
     def run(batches):
-        cache: dict[int, object] = {}
+        plans: dict[int, object] = {}
         for batch in batches:
             raws = batch.column(raw_name).to_pylist()
             reasons = batch.column("_reason").to_pylist()
             sids = batch.column("_schema_id").to_pylist()
             cols = {n: [] for n in names}
+            appenders = [cols[n].append for n in names]
             errors, bad = [], []
             reg = registry_bc.value
             for raw, reason, sid in zip(raws, reasons, sids):
-                rec = None
+                vals = None
                 if reason is None:
-                    fields = cache.get(sid)
-                    if fields is None and sid in reg:
+                    plan = plans.get(sid)
+                    if plan is None:
                         try:
-                            fields = avro.parse_schema(reg[sid])
+                            plan = _plan_schema(reg[sid]) if sid in reg else False
                         except (avro.AvroError, ValueError, KeyError):
-                            fields = False
-                        cache[sid] = fields
-                    if not fields:
+                            plan = False
+                        plans[sid] = plan
+                    if not plan:
                         reason = "unknown_schema"
                     else:
                         try:
-                            rec = avro.decode_record(fields, raw[HEADER_BYTES:])
-                        except (avro.AvroError, ValueError, struct.error):
+                            vals = plan[0](memoryview(raw)[HEADER_BYTES:])
+                        except (avro.AvroError, ValueError, IndexError, struct.error):
                             reason = "decode_error"
                 errors.append(reason)
-                wrong = []
-                for n in names:
-                    v = None if rec is None else rec.get(n)
-                    if v is not None and not isinstance(v, _PY_OK[WIRE_TYPES[n]]):
-                        wrong.append(n)
-                        v = None
-                    elif isinstance(v, int) and not isinstance(v, bool) and WIRE_TYPES[n] == T.DoubleType():
-                        v = float(v)
-                    cols[n].append(v)
-                bad.append(wrong or None)
+                if vals is None:
+                    for app in appenders:
+                        app(None)
+                    bad.append(None)
+                    continue
+                wrong = None
+                for app, (n, i, check, to_float) in zip(appenders, plan[1]):
+                    v = None if i is None else vals[i]
+                    if v is not None and check:
+                        if not isinstance(v, _PY_OK[WIRE_TYPES[n]]) or isinstance(v, bool) and \
+                                WIRE_TYPES[n] != T.BooleanType():
+                            wrong = (wrong or []) + [n]
+                            v = None
+                        elif to_float:
+                            v = float(v)
+                    app(v)
+                bad.append(wrong)
             arrays = [batch.column(p) for p in passthrough]
             arrays += [pa.array(cols[n], type=_ARROW[WIRE_TYPES[n]]) for n in names]
             arrays += [pa.array(errors, type=pa.string()),

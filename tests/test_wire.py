@@ -16,6 +16,7 @@ from ledgerlake.sources.kafka import envelope_from_events
 from ledgerlake.sources.tables import read_table
 
 FIELDS = avro.parse_schema(wire.TRANSACTION_SCHEMA_JSON)
+COMPILED = avro.compile_decoder(FIELDS)
 
 opt_text = st.one_of(st.none(), st.text(max_size=40))
 
@@ -32,6 +33,8 @@ def test_codec_round_trip_property(event_id, ts, user, cat, amount, online, ip):
     for k, v in rec.items():
         assert back[k] == v
     assert back["terminal_id"] is None
+    fast = COMPILED(memoryview(body))
+    assert fast == [back[n] for n, _, _ in FIELDS]
 
 
 def test_codec_nan_and_infinity():
@@ -151,3 +154,22 @@ def test_retention(spark, scratch):
 def test_registry_size_bound():
     with pytest.raises(ValueError):
         wire.load_registry({i: "x" for i in range(wire.MAX_SCHEMAS + 1)})
+
+
+def test_writer_type_mismatch_and_widening(spark):
+    as_text = json.loads(wire.TRANSACTION_SCHEMA_JSON)
+    as_long = json.loads(wire.TRANSACTION_SCHEMA_JSON)
+    for f in as_text["fields"]:
+        if f["name"] == "amount":
+            f["type"] = ["null", "string"]
+    for f in as_long["fields"]:
+        if f["name"] == "amount":
+            f["type"] = ["null", "long"]
+    base = {"event_id": "e", "event_timestamp": "2024-01-01T00:00:00Z", "user_id": "u"}
+    msgs = [b"\x00" + struct.pack(">I", 4) + avro.encode_record(avro.parse_schema(as_text), {**base, "amount": "12.5"}),
+            b"\x00" + struct.pack(">I", 5) + avro.encode_record(avro.parse_schema(as_long), {**base, "amount": 12})]
+    reg = {4: json.dumps(as_text), 5: json.dumps(as_long)}
+    dec = wire.decode(_env(spark, msgs), reg).orderBy("kafka_offset").collect()
+    assert dec[0]._reason == "contract_violation"
+    assert [(v.field, v.rule) for v in dec[0]._violations] == [("amount", "bad_type")]
+    assert dec[1]._reason is None and dec[1].amount == 12.0
