@@ -69,3 +69,30 @@ def test_stream_scoring_x7(spark):
     sig = spark.read.parquet(paths.signals)
     assert sig.count() == spark.read.parquet(paths.silver).count()
     assert set(sig.columns) >= {"fraud_score", "is_anomaly", "top_feature_1", "model_version"}
+
+
+def test_schema_evolution_on_read(spark, scratch):
+    s = silver_df(spark, SF001).limit(20)
+    s.write.mode("append").parquet(scratch)
+    s.withColumn("risk_band", F.lit("low")).write.mode("append").parquet(scratch)
+    merged = JB.read_table_merged(spark, scratch)
+    assert "risk_band" in merged.columns and merged.count() == 40
+    assert merged.filter("risk_band IS NULL").count() == 20
+
+
+def test_await_any_termination_returns(spark):
+    root, paths = stream_paths(spark, "t-await")
+    land_envelopes(spark, SF001, f"{root}/landing", files=1)
+    src = spark.readStream.schema(ENVELOPE_SCHEMA).parquet(f"{root}/landing")
+    q = JB.start_stream(src, REGISTRY_V1, paths, trigger={"availableNow": True})
+    JB.await_all(spark)                   # returns once the only query ends
+    assert not q.isActive and q.exception() is None
+    spark.streams.resetTerminated()
+
+
+def test_spread_only_touches_single_split_batch_inputs(spark):
+    from ledgerlake.session import spread
+    ev = TB.read_table(spark, SF001, "events")
+    assert spread(ev).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    grouped = ev.groupBy("user_id").count()
+    assert spread(grouped) is grouped       # already shuffled: untouched
