@@ -19,7 +19,7 @@ from __future__ import annotations
 import logging
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -49,6 +49,24 @@ def _write_partitioned(df: DataFrame, path: str, batch_id: int, by: list[str]) -
        .partitionBy(*by, "_batch_id").parquet(path))
 
 
+METRIC_COLUMNS = ["records", *ME.RATE_COLUMNS]
+METRIC_SCHEMA = "records bigint, " + ", ".join(f"{c} double" for c in ME.RATE_COLUMNS)
+
+
+def _log_alerts(batch_id: int, m: dict) -> None:
+    """K7 log lines from the observed metrics (the rows are written too)."""
+    log.info("batch %s records=%s pass_rate=%s fraud_rate=%s null_rate=%s bad_amount_rate=%s",
+             batch_id, m["records"], m["pass_rate"], m["fraud_rate"], m["null_rate"],
+             m["bad_amount_rate"])
+    for rate, limit in (("null_rate", ME.MAX_NULL_RATE), ("bad_amount_rate", ME.MAX_BAD_AMOUNT_RATE),
+                        ("invalid_cat_rate", ME.MAX_INVALID_CAT_RATE)):
+        if m[rate] is not None and m[rate] > limit:
+            log.critical("ALERT batch %s: %s %s above %s", batch_id, rate, m[rate], limit)
+    f = m["fraud_rate"]
+    if f is not None and (f > ME.MAX_FRAUD_RATE or f == 0.0):
+        log.warning("WARNING batch %s: unusual fraud rate %s", batch_id, f)
+
+
 def process_batch(decoded: DataFrame, batch_id: int, paths: Paths,
                   scorer=None) -> None:
     """K2 + K7 + K9 body of one micro-batch (also callable in batch mode)."""
@@ -59,15 +77,20 @@ def process_batch(decoded: DataFrame, batch_id: int, paths: Paths,
         good = wire.accepted(decoded)
         _write_partitioned(good, paths.bronze, batch_id, [])
         silver = to_silver(good)
-        _write_partitioned(silver, paths.silver, batch_id, ["event_date"])
+        # L1-L5 metrics are observed while silver is written (no extra pass)
+        obs = Observation(f"batch_metrics_{batch_id}")
+        _write_partitioned(silver.observe(obs, *ME.metric_aggregates()),
+                           paths.silver, batch_id, ["event_date"])
         q = QU.quarantined(decoded)
         QU.write_quarantine(q, paths.quarantine, batch_id)
-        alert_rows = ME.alerts(ME.batch_metrics(silver), include_summary=True)
-        _write_partitioned(alert_rows, paths.alerts, batch_id, [])
-        for r in alert_rows.collect():               # at most 5 rows per batch
-            level = logging.WARNING if r["severity"] != "info" else logging.INFO
-            log.log(level, "batch %s %s observed=%s threshold=%s", batch_id,
-                    r["rule"], r["observed"], r["threshold"])
+        m = obs.get                                      # one row, as a dict
+        if m.get("records"):
+            spark = decoded.sparkSession
+            metrics = spark.createDataFrame([tuple(m[c] for c in METRIC_COLUMNS)],
+                                            METRIC_SCHEMA)
+            alert_rows = ME.alerts(metrics, include_summary=True)
+            _write_partitioned(alert_rows, paths.alerts, batch_id, [])
+            _log_alerts(batch_id, m)
         if scorer is not None and paths.signals:     # X7: scoring in the same batch
             _write_partitioned(scorer(silver), paths.signals, batch_id, [])
     finally:
@@ -121,7 +144,9 @@ def start_stream(envelopes: DataFrame, schemas, paths: Paths,
 
 
 def await_all(spark: SparkSession, timeout: int | None = None) -> None:
-    """Block until ANY query stops (a dead query is never unnoticed)."""
+    """Block until ANY query stops (a dead query is never unnoticed).
+    Spark returns at once if a query already ended since the last
+    ``spark.streams.resetTerminated()``."""
     spark.streams.awaitAnyTermination(timeout) if timeout else spark.streams.awaitAnyTermination()
 
 

@@ -84,6 +84,7 @@ def test_await_any_termination_returns(spark):
     root, paths = stream_paths(spark, "t-await")
     land_envelopes(spark, SF001, f"{root}/landing", files=1)
     src = spark.readStream.schema(ENVELOPE_SCHEMA).parquet(f"{root}/landing")
+    spark.streams.resetTerminated()       # forget queries of earlier tests
     q = JB.start_stream(src, REGISTRY_V1, paths, trigger={"availableNow": True})
     JB.await_all(spark)                   # returns once the only query ends
     assert not q.isActive and q.exception() is None
