@@ -9,6 +9,7 @@ Adjustments for engine differences (measured, see SURVEY section 5):
 
 from __future__ import annotations
 
+from ledgerlake.operators.expectations import CONTRACT, SUITE
 from ledgerlake.schemas import HIGH_RISK_COUNTRIES, VALID_CATEGORIES, VALID_CURRENCIES
 from ledgerlake.sources.tables import transaction_select_sql
 
@@ -160,12 +161,7 @@ SELECT run_id,
 FROM ({results}) r GROUP BY run_id"""
 
 
-def _suite_keys():
-    from ledgerlake.operators.expectations import CONTRACT, SUITE
-    return SUITE, CONTRACT
-
-
-_SUITE, _CONTRACT = _suite_keys()
+_SUITE, _CONTRACT = SUITE, CONTRACT
 SUITE_RESULTS = suite_sql(_SUITE, SILVER)
 SUITE_BY_DAY = suite_sql(_SUITE, SILVER, "event_date",
                          "concat('run_', CAST(event_date AS VARCHAR))")

@@ -1,113 +1,84 @@
 """Registered queries: (spark, sf_dir) -> DataFrame, one per operator.
 
-Each starts from the given tables (mostly ``events``) so its work grows with
-the data; nothing here collects to the driver.
+Each starts from the given tables (``events``, ``orders``) or from data Spark
+derives from them, and runs over the whole tables; nothing here collects
+table data to the driver.  The matching DuckDB SQL is in ``oracle_sql``.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
+from pyspark.sql import functions as F
+
+from ledgerlake.functions import wire as W
+from ledgerlake.operators import access as AC
+from ledgerlake.operators import analytics as AN
+from ledgerlake.operators import cdc as CD
+from ledgerlake.operators import expectations as EX
+from ledgerlake.operators import forest as FO
 from ledgerlake.operators import gold as G
+from ledgerlake.operators import metrics as ME
+from ledgerlake.operators import quarantine as QU
+from ledgerlake.operators import signals as SG
+from ledgerlake.operators import velocity as VE
 from ledgerlake.operators.silver import to_silver
+from ledgerlake.schemas import ENVELOPE_SCHEMA, REQUIRED_FIELDS
+from ledgerlake.session import checkpoint_dir
+from ledgerlake.sources.changes import (ORDER_KEY, ORDER_ROW, PHASE_STRIDE,
+                                        change_messages_from_orders)
+from ledgerlake.sources.kafka import UNKNOWN_SCHEMA_ID, envelope_from_events
 from ledgerlake.sources.tables import read_table, transactions_from_events
+from ledgerlake.streaming import jobs as JB
 
+Query = Callable[[SparkSession, str], DataFrame]
 
-def _tx(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return transactions_from_events(read_table(spark, sf_dir, "events"))
-
-
-def silver_df(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Silver without ``_ingested_at`` (the only non-deterministic column)."""
-    return to_silver(_tx(spark, sf_dir)).drop("_ingested_at")
-
-
-def q_transactions(spark, sf_dir):
-    return _tx(spark, sf_dir)
-
-
-def q_silver(spark, sf_dir):
-    return silver_df(spark, sf_dir)
-
-
-def q_gold_summary(spark, sf_dir):
-    return G.gold_summary(silver_df(spark, sf_dir))
-
+# Schema registries used by the wire queries (tiny by nature; size-checked
+# before broadcast).  The "fixed" one also knows the id the defective
+# messages were produced under, which is how their replay succeeds.
+REGISTRY_V1 = {1: W.TRANSACTION_SCHEMA_JSON}
+REGISTRY_FIXED = {1: W.TRANSACTION_SCHEMA_JSON, UNKNOWN_SCHEMA_ID: W.TRANSACTION_SCHEMA_JSON}
 
-def q_gold_summary_sql(spark, sf_dir):
-    return G.gold_summary_sql(spark, silver_df(spark, sf_dir))
+STREAM_FILES = 4
+USER = "USR_000007"
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "transactions": q_transactions,
-    "silver": q_silver,
-    "gold_summary": q_gold_summary,
-    "gold_summary_sql": q_gold_summary_sql,
-}
+# -- inputs ---------------------------------------------------------------------------
+def _tx(spark: SparkSession, d: str) -> DataFrame:
+    return transactions_from_events(read_table(spark, d, "events"))
 
 
-# -- level 1 / level 2 quality ---------------------------------------------------
-from pyspark.sql import functions as F  # noqa: E402
+def silver_df(spark: SparkSession, d: str) -> DataFrame:
+    """Silver without ``_ingested_at`` (the only non-deterministic column)."""
+    return to_silver(_tx(spark, d)).drop("_ingested_at")
 
-from ledgerlake.operators import access as AC  # noqa: E402
-from ledgerlake.operators import analytics as AN  # noqa: E402
-from ledgerlake.operators import expectations as EX  # noqa: E402
-from ledgerlake.operators import metrics as ME  # noqa: E402
-from ledgerlake.operators import signals as SG  # noqa: E402
-from ledgerlake.schemas import REQUIRED_FIELDS  # noqa: E402
 
+def _daily_results(silver: DataFrame) -> DataFrame:
+    run_id = F.concat(F.lit("run_"), F.col("event_date").cast("string"))
+    return EX.run_expectations(silver, by="event_date", run_id=run_id)
 
-def _daily_results(s):
-    return EX.run_expectations(s, by="event_date",
-                               run_id=F.concat(F.lit("run_"), F.col("event_date").cast("string")))
 
+def _decoded(spark: SparkSession, d: str, defects: bool = True) -> DataFrame:
+    return W.decode(envelope_from_events(read_table(spark, d, "events"), defects), REGISTRY_V1)
 
-QUERIES.update({
-    "batch_metrics": lambda spark, d: ME.batch_metrics(silver_df(spark, d), by="event_date"),
-    "batch_alerts": lambda spark, d: ME.alerts(ME.batch_metrics(silver_df(spark, d), by="event_date")),
-    "expectation_results": lambda spark, d: EX.run_expectations(silver_df(spark, d)),
-    "expectation_results_daily": lambda spark, d: _daily_results(silver_df(spark, d)),
-    "contract_results": lambda spark, d: EX.run_expectations(silver_df(spark, d), EX.CONTRACT),
-    "expectation_summary": lambda spark, d: EX.summarise(
-        EX.run_expectations(silver_df(spark, d)), batch_id="full_table"),
-    "quality_gates": lambda spark, d: EX.gates(EX.summarise(_daily_results(silver_df(spark, d)))),
-    "run_log": lambda spark, d: EX.run_log_rows(
-        EX.summarise(_daily_results(silver_df(spark, d)))).drop("run_timestamp"),
-    "required_null_rate": lambda spark, d: EX.null_rate(silver_df(spark, d), REQUIRED_FIELDS),
-    "fraud_rate": lambda spark, d: AN.fraud_rate(silver_df(spark, d)),
-    "fraud_rate_daily": lambda spark, d: AN.fraud_rate(silver_df(spark, d), by="event_date"),
-    "fraud_by_category": lambda spark, d: AN.by_category(silver_df(spark, d)),
-    "fraud_by_hour": lambda spark, d: AN.by_hour(silver_df(spark, d)),
-    "cnp_split": lambda spark, d: AN.cnp_split(silver_df(spark, d)),
-    "dq_trend": lambda spark, d: AN.dq_trend(silver_df(spark, d)),
-    "analyst_silver": lambda spark, d: AC.role_view(silver_df(spark, d), "silver", "data-analysts"),
-    "masked_silver": lambda spark, d: AC.mask_ip(silver_df(spark, d)),
-    "stripped_silver": lambda spark, d: AC.strip_label(silver_df(spark, d)),
-    "recent_transactions": lambda spark, d: SG.recent(silver_df(spark, d), 100),
-    "user_transactions": lambda spark, d: SG.for_user(silver_df(spark, d), "USR_000007"),
-    "append_absent": lambda spark, d: SG.append_absent(
-        silver_df(spark, d).select("event_id", "event_date", "amount"),
-        silver_df(spark, d).filter(F.col("event_date") < F.lit("2024-01-16").cast("date")),
-        "event_id"),
-})
 
+def _changes(spark: SparkSession, d: str) -> DataFrame:
+    msgs = change_messages_from_orders(read_table(spark, d, "orders"))
+    return CD.parse_changes(msgs, ORDER_ROW, ORDER_KEY)
 
-# -- wire codec and quarantine ------------------------------------------------------
-from ledgerlake.functions import wire as W  # noqa: E402
-from ledgerlake.operators import quarantine as QU  # noqa: E402
-from ledgerlake.sources.kafka import UNKNOWN_SCHEMA_ID, envelope_from_events  # noqa: E402
 
-REGISTRY_V1 = {1: W.TRANSACTION_SCHEMA_JSON}
-# the fix for unknown_schema rows: the producer's schema registered under 999
-REGISTRY_FIXED = {1: W.TRANSACTION_SCHEMA_JSON, UNKNOWN_SCHEMA_ID: W.TRANSACTION_SCHEMA_JSON}
+def _valid(spark: SparkSession, d: str) -> DataFrame:
+    return CD.valid_changes(_changes(spark, d))
 
 
-def _decoded(spark, d, defects=True):
-    return W.decode(envelope_from_events(read_table(spark, d, "events"), defects), REGISTRY_V1)
+def _scored(spark: SparkSession, d: str) -> DataFrame:
+    return FO.fraud_signals(FO.score_silver(silver_df(spark, d), n_trees=100,
+                                            sample_size=256, seed=42)).drop("processed_at")
 
 
+# -- wire and quarantine ------------------------------------------------------------
 def q_wire_roundtrip(spark, d):
     """events -> encode (W4) -> decode (W1-W3) -> silver: must equal silver."""
     return to_silver(W.accepted(_decoded(spark, d, defects=False))).drop("_ingested_at")
@@ -128,73 +99,21 @@ def q_quarantine_replay(spark, d):
             .select("kafka_partition", "kafka_offset", "event_id", "amount"))
 
 
-QUERIES.update({
-    "wire_roundtrip": q_wire_roundtrip,
-    "decoded_silver": q_decoded_silver,
-    "quarantine": q_quarantine,
-    "quarantine_replay": q_quarantine_replay,
-})
-
-
 # -- change data capture ---------------------------------------------------------------
-from ledgerlake.operators import cdc as CD  # noqa: E402
-from ledgerlake.session import checkpoint_dir  # noqa: E402
-from ledgerlake.sources.changes import (ORDER_KEY, ORDER_ROW, PHASE_STRIDE,  # noqa: E402
-                                        change_messages_from_orders)
-
-
-def _changes(spark, d):
-    msgs = change_messages_from_orders(read_table(spark, d, "orders"))
-    return CD.parse_changes(msgs, ORDER_ROW, ORDER_KEY)
-
-
-def _valid(spark, d):
-    return CD.valid_changes(_changes(spark, d))
-
-
-def _cdc_apply(spark, d):
+def q_cdc_apply(spark, d):
     """A stored keyed table (state up to the end of phase 1) merged with the
-    later change batch.  Both inputs are materialised first with a reliable
-    checkpoint in the shared checkpoint folder, as stored tables would be."""
+    later change batch.  The parsed change log and the table are materialised
+    with a reliable checkpoint in the shared checkpoint folder, as stored
+    tables would be."""
     checkpoint_dir(spark)
-    valid = _valid(spark, d).checkpoint()          # the parsed change log, parsed once
+    valid = _valid(spark, d).checkpoint()            # parsed once
     table = CD.state_at(valid, ORDER_KEY, lsn=2 * PHASE_STRIDE - 1, keep_lsn=True).checkpoint()
     batch = CD.changes_since(valid, 2 * PHASE_STRIDE - 1)
     return CD.apply_changes(table, batch, ORDER_KEY)
 
 
-QUERIES.update({
-    "cdc_changes": lambda spark, d: _valid(spark, d).select("o_orderkey", "op", "lsn", "tx_id", "table"),
-    "cdc_bad_messages": lambda spark, d: _changes(spark, d).filter(F.col("_reason").isNotNull())
-                                          .select("o_orderkey", F.col("_reason").alias("reason")),
-    "cdc_state": lambda spark, d: CD.state_at(_valid(spark, d), ORDER_KEY),
-    "cdc_state_at_lsn": lambda spark, d: CD.state_at(_valid(spark, d), ORDER_KEY,
-                                                     lsn=2 * PHASE_STRIDE - 1),
-    "cdc_apply": lambda spark, d: _cdc_apply(spark, d),
-    "cdc_audit": lambda spark, d: CD.audit(_valid(spark, d), ORDER_KEY)
-                                    .select("o_orderkey", "lsn", "op", "column_name"),
-})
-
-
-# -- velocity ----------------------------------------------------------------------------
-from ledgerlake.operators import velocity as VE  # noqa: E402
-
-QUERIES.update({
-    "velocity": lambda spark, d: VE.velocity(_tx(spark, d), minutes=10, threshold=3),
-    "velocity_windows": lambda spark, d: VE.velocity_windows(_tx(spark, d), "10 minutes", "1 minute"),
-})
-
-
 # -- streaming: stream = batch -------------------------------------------------------------
-import uuid  # noqa: E402
-
-from ledgerlake.session import checkpoint_dir  # noqa: E402
-from ledgerlake.streaming import jobs as JB  # noqa: E402
-
-STREAM_FILES = 4
-
-
-def stream_paths(spark, tag: str) -> tuple[str, JB.Paths]:
+def stream_paths(spark: SparkSession, tag: str) -> tuple[str, JB.Paths]:
     """A fresh folder under the session's shared checkpoint dir."""
     root = f"{checkpoint_dir(spark)}/{tag}-{uuid.uuid4().hex[:12]}"
     return root, JB.Paths(bronze=f"{root}/bronze", silver=f"{root}/silver",
@@ -202,9 +121,9 @@ def stream_paths(spark, tag: str) -> tuple[str, JB.Paths]:
                           checkpoint=f"{root}/_checkpoint", signals=f"{root}/signals")
 
 
-def land_envelopes(spark, d: str, landing: str, files: int = STREAM_FILES,
+def land_envelopes(spark: SparkSession, d: str, landing: str, files: int = STREAM_FILES,
                    defects: bool = True) -> None:
-    """Encoded events written as ``files`` Parquet files in time order."""
+    """Encoded events written as ``files`` Parquet files in event-time order."""
     env = envelope_from_events(read_table(spark, d, "events"), defects)
     staged = f"{landing}_staged"
     env.write.mode("overwrite").parquet(staged)          # encode once
@@ -224,24 +143,65 @@ def q_stream_silver(spark, d):
     return spark.read.parquet(paths.silver).drop("_ingested_at", "_batch_id")
 
 
-from ledgerlake.schemas import ENVELOPE_SCHEMA  # noqa: E402
-
-QUERIES.update({"stream_silver": q_stream_silver})
-
-
-# -- anomaly scoring (iterative: no SQL oracle, rows-only check) ----------------------
-from ledgerlake.operators import forest as FO  # noqa: E402
-
-
-def _scored(spark, d):
-    return FO.score_silver(silver_df(spark, d), n_trees=100, sample_size=256, seed=42)
-
-
-QUERIES.update({
+QUERIES: dict[str, Query] = {
+    # transactions, silver, gold
+    "transactions": lambda spark, d: _tx(spark, d),
+    "silver": lambda spark, d: silver_df(spark, d),
+    "gold_summary": lambda spark, d: G.gold_summary(silver_df(spark, d)),
+    "gold_summary_sql": lambda spark, d: G.gold_summary_sql(spark, silver_df(spark, d)),
+    # level 1 / level 2 quality
+    "batch_metrics": lambda spark, d: ME.batch_metrics(silver_df(spark, d), by="event_date"),
+    "batch_alerts": lambda spark, d: ME.alerts(ME.batch_metrics(silver_df(spark, d), by="event_date")),
+    "expectation_results": lambda spark, d: EX.run_expectations(silver_df(spark, d)),
+    "expectation_results_daily": lambda spark, d: _daily_results(silver_df(spark, d)),
+    "contract_results": lambda spark, d: EX.run_expectations(silver_df(spark, d), EX.CONTRACT),
+    "expectation_summary": lambda spark, d: EX.summarise(
+        EX.run_expectations(silver_df(spark, d)), batch_id="full_table"),
+    "quality_gates": lambda spark, d: EX.gates(EX.summarise(_daily_results(silver_df(spark, d)))),
+    "run_log": lambda spark, d: EX.run_log_rows(
+        EX.summarise(_daily_results(silver_df(spark, d)))).drop("run_timestamp"),
+    "required_null_rate": lambda spark, d: EX.null_rate(silver_df(spark, d), REQUIRED_FIELDS),
+    # analytics
+    "fraud_rate": lambda spark, d: AN.fraud_rate(silver_df(spark, d)),
+    "fraud_rate_daily": lambda spark, d: AN.fraud_rate(silver_df(spark, d), by="event_date"),
+    "fraud_by_category": lambda spark, d: AN.by_category(silver_df(spark, d)),
+    "fraud_by_hour": lambda spark, d: AN.by_hour(silver_df(spark, d)),
+    "cnp_split": lambda spark, d: AN.cnp_split(silver_df(spark, d)),
+    "dq_trend": lambda spark, d: AN.dq_trend(silver_df(spark, d)),
+    # access, access paths, insert-if-absent
+    "analyst_silver": lambda spark, d: AC.role_view(silver_df(spark, d), "silver", "data-analysts"),
+    "masked_silver": lambda spark, d: AC.mask_ip(silver_df(spark, d)),
+    "stripped_silver": lambda spark, d: AC.strip_label(silver_df(spark, d)),
+    "recent_transactions": lambda spark, d: SG.recent(silver_df(spark, d), 100),
+    "user_transactions": lambda spark, d: SG.for_user(silver_df(spark, d), USER),
+    "append_absent": lambda spark, d: SG.append_absent(
+        silver_df(spark, d).select("event_id", "event_date", "amount"),
+        silver_df(spark, d).filter(F.col("event_date") < F.lit("2024-01-16").cast("date")),
+        "event_id"),
+    # wire codec and quarantine
+    "wire_roundtrip": q_wire_roundtrip,
+    "decoded_silver": q_decoded_silver,
+    "quarantine": q_quarantine,
+    "quarantine_replay": q_quarantine_replay,
+    # change data capture
+    "cdc_changes": lambda spark, d: _valid(spark, d).select("o_orderkey", "op", "lsn", "tx_id", "table"),
+    "cdc_bad_messages": lambda spark, d: _changes(spark, d).filter(F.col("_reason").isNotNull())
+                                          .select("o_orderkey", F.col("_reason").alias("reason")),
+    "cdc_state": lambda spark, d: CD.state_at(_valid(spark, d), ORDER_KEY),
+    "cdc_state_at_lsn": lambda spark, d: CD.state_at(_valid(spark, d), ORDER_KEY,
+                                                     lsn=2 * PHASE_STRIDE - 1),
+    "cdc_apply": q_cdc_apply,
+    "cdc_audit": lambda spark, d: CD.audit(_valid(spark, d), ORDER_KEY)
+                                    .select("o_orderkey", "lsn", "op", "column_name"),
+    # velocity
+    "velocity": lambda spark, d: VE.velocity(_tx(spark, d), minutes=10, threshold=3),
+    "velocity_windows": lambda spark, d: VE.velocity_windows(_tx(spark, d), "10 minutes", "1 minute"),
+    # streaming
+    "stream_silver": q_stream_silver,
+    # anomaly scoring (an iterative algorithm: rows-only check, invariants in tests)
     "forest_nodes": lambda spark, d: FO.train_forest(silver_df(spark, d), 100, 256, 42),
-    "anomaly_scores": lambda spark, d: FO.fraud_signals(_scored(spark, d)).drop("processed_at"),
-    "anomalies": lambda spark, d: SG.anomalies(FO.fraud_signals(_scored(spark, d))).drop("processed_at"),
-    "signals_recent": lambda spark, d: SG.recent(FO.fraud_signals(_scored(spark, d)), 100).drop("processed_at"),
-    "signals_for_user": lambda spark, d: SG.for_user(FO.fraud_signals(_scored(spark, d)), "USR_000007")
-                                           .drop("processed_at"),
-})
+    "anomaly_scores": lambda spark, d: _scored(spark, d),
+    "anomalies": lambda spark, d: SG.anomalies(_scored(spark, d)),
+    "signals_recent": lambda spark, d: SG.recent(_scored(spark, d), 100),
+    "signals_for_user": lambda spark, d: SG.for_user(_scored(spark, d), USER),
+}
