@@ -11,7 +11,9 @@ Plan, built for a user that holds a third of the table:
   partitioned by (user, bucket): every frame [t - w, t] of an event in bucket
   b lies in buckets b-1 and b, so each partition holds the bucket's own
   events plus a narrow *context* copy (user, bucket, time, amount) of the
-  previous bucket's events, shifted forward by w.
+  previous bucket's events, shifted forward by w.  ``split`` = m narrows
+  this further to sub-buckets of w/m, with the sub-buckets wholly inside a
+  frame entering as pre-aggregated summary rows.
 * Frames.  Spark evaluates a sliding RANGE frame by re-aggregating the
   buffered frame for every row, O(n k) for k events per window.  Only
   growing frames are used instead (incremental, O(1) per row):
@@ -31,49 +33,74 @@ DEFAULT_THRESHOLD = 3
 
 def velocity(tx: DataFrame, minutes: int = DEFAULT_MINUTES,
              threshold: int = DEFAULT_THRESHOLD, user: str = "user_id",
-             ts: str = "event_timestamp", amount: str = "amount") -> DataFrame:
+             ts: str = "event_timestamp", amount: str = "amount",
+             split: int = 1) -> DataFrame:
     """Every input row plus ``velocity_count``, ``velocity_amount`` (2 dp)
-    and ``velocity_alert``.  Rows with a NULL time or user get NULLs."""
-    w_us = int(minutes) * 60 * 1_000_000
+    and ``velocity_alert``.  Rows with a NULL time or user get NULLs.
+
+    ``split`` = m cuts each w-bucket into m sub-buckets of width g = w/m.
+    The frame [t - w, t] of an event in sub-bucket j is: own rows of j up to
+    t, the rows of sub-bucket j-m at or after t - w (a shifted context copy),
+    and sub-buckets j-m+1 .. j-1 whole, which enter as m-1 pre-aggregated
+    summary rows (count, sum, non-null count) from a combinable aggregate.
+    A partition then holds 2g of one user's events instead of 2w; m = 1 is
+    the plain bucket plan (no summaries).
+    """
+    m = max(1, int(split))
+    g_us = int(minutes) * 60 * 1_000_000 // m
+    w_us = g_us * m
+    if w_us != int(minutes) * 60 * 1_000_000:
+        raise ValueError("split must divide the window into whole microseconds")
     cols = tx.columns
     t = F.unix_micros(F.col(ts))
-    own = tx.select(*cols, F.col(user).alias("_u"), t.alias("_axis"),
-                    F.floor(t / w_us).alias("_b"), F.lit(True).alias("_own"),
-                    F.col(amount).cast("double").alias("_amt"))
-    ctx = tx.select(F.col(user).alias("_u"), (t + w_us).alias("_axis"),
-                    (F.floor(t / w_us) + 1).alias("_b"), F.lit(False).alias("_own"),
-                    F.col(amount).cast("double").alias("_amt"))
+    j = F.floor(t / g_us)
+    own = tx.select(*cols, F.col(user).alias("_u"), t.alias("_axis"), j.alias("_b"),
+                    F.lit("own").alias("_kind"), F.col(amount).cast("double").alias("_amt"),
+                    F.lit(1).cast("long").alias("_cnt"),
+                    F.col(amount).isNotNull().cast("long").alias("_nn"))
+    ctx = tx.select(F.col(user).alias("_u"), (t + w_us).alias("_axis"), (j + m).alias("_b"),
+                    F.lit("ctx").alias("_kind"), F.col(amount).cast("double").alias("_amt"),
+                    F.lit(1).cast("long").alias("_cnt"),
+                    F.col(amount).isNotNull().cast("long").alias("_nn"))
     rows = own.unionByName(ctx, allowMissingColumns=True)
+    if m > 1:
+        # whole sub-buckets inside the frame, pre-aggregated per (user, sub-bucket)
+        per_bucket = (tx.where(t.isNotNull())
+                      .groupBy(F.col(user).alias("_u"), j.alias("_j"))
+                      .agg(F.count(F.lit(1)).alias("_cnt"),
+                           F.sum(F.col(amount).cast("double")).alias("_amt"),
+                           F.count(F.col(amount)).alias("_nn")))
+        summ = per_bucket.select(
+            "_u", F.explode(F.sequence(F.col("_j") + 1, F.col("_j") + (m - 1))).alias("_b"),
+            F.lit("sum").alias("_kind"), "_cnt", "_amt", "_nn")
+        rows = rows.unionByName(summ, allowMissingColumns=True)
 
     part = Window.partitionBy("_u", "_b")
     upto = part.orderBy("_axis").rangeBetween(Window.unboundedPreceding, 0)
     below = part.orderBy("_axis").rangeBetween(Window.unboundedPreceding, -1)
+    k = F.col("_kind")
+    is_own, is_ctx, is_sum = k == "own", k == "ctx", k == "sum"
+    nn_row = F.col("_nn")
 
-    def n(flag):
-        return F.when(flag, 1).otherwise(0)
-
-    def amt(flag):
-        return F.when(flag, F.col("_amt"))
+    def total(flag, v, frame):
+        return F.coalesce(F.sum(F.when(flag, v)).over(frame), F.lit(0))
 
-    def nn(flag):
-        return F.when(flag & F.col("_amt").isNotNull(), 1).otherwise(0)
+    def total_d(flag, v, frame):
+        return F.coalesce(F.sum(F.when(flag, v)).over(frame), F.lit(0.0))
 
-    is_own, is_ctx = F.col("_own"), ~F.col("_own")
-    z = F.lit(0.0)
-    count = (F.sum(n(is_own)).over(upto) + F.sum(n(is_ctx)).over(part)
-             - F.coalesce(F.sum(n(is_ctx)).over(below), F.lit(0)))
-    amt_n = (F.sum(nn(is_own)).over(upto) + F.sum(nn(is_ctx)).over(part)
-             - F.coalesce(F.sum(nn(is_ctx)).over(below), F.lit(0)))
-    amt_sum = (F.coalesce(F.sum(amt(is_own)).over(upto), z)
-               + F.coalesce(F.sum(amt(is_ctx)).over(part), z)
-               - F.coalesce(F.sum(amt(is_ctx)).over(below), z))
-    scored = rows.select(*cols, "_own", "_axis", "_u",
-                         count.alias("_n"), amt_n.alias("_nn"), amt_sum.alias("_s"))
+    count = (total(is_own, F.col("_cnt"), upto) + total(is_ctx, F.col("_cnt"), part)
+             - total(is_ctx, F.col("_cnt"), below) + total(is_sum, F.col("_cnt"), part))
+    amt_n = (total(is_own, nn_row, upto) + total(is_ctx, nn_row, part)
+             - total(is_ctx, nn_row, below) + total(is_sum, nn_row, part))
+    amt_sum = (total_d(is_own, F.col("_amt"), upto) + total_d(is_ctx, F.col("_amt"), part)
+               - total_d(is_ctx, F.col("_amt"), below) + total_d(is_sum, F.col("_amt"), part))
+    scored = rows.select(*cols, "_kind", "_axis", "_u",
+                         count.alias("_n"), amt_n.alias("_nn2"), amt_sum.alias("_s"))
     valid = F.col("_axis").isNotNull() & F.col("_u").isNotNull()
-    return (scored.filter(F.col("_own"))
+    return (scored.filter(F.col("_kind") == "own")
             .select(*cols,
                     F.when(valid, F.col("_n")).alias("velocity_count"),
-                    F.when(valid & (F.col("_nn") > 0), F.round(F.col("_s"), 2)).alias("velocity_amount"),
+                    F.when(valid & (F.col("_nn2") > 0), F.round(F.col("_s"), 2)).alias("velocity_amount"),
                     F.when(valid, F.col("_n") > threshold).alias("velocity_alert")))
 
 

@@ -359,6 +359,7 @@ SELECT user_id, make_timestamp(ws) AS window_start, make_timestamp(ws + 60000000
 FROM (SELECT tx.*, (epoch_us(event_timestamp) // 60000000 - r.k) * 60000000 AS ws
       FROM ({TX}) tx, range(0, 10) r(k)) x
 GROUP BY user_id, ws"""
-ORACLE.update({"velocity": VELOCITY, "velocity_windows": VELOCITY_WINDOWS})
+ORACLE.update({"velocity": VELOCITY, "velocity_split": VELOCITY,
+               "velocity_windows": VELOCITY_WINDOWS})
 
 ORACLE["stream_silver"] = DECODED_SILVER

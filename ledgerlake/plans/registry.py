@@ -195,6 +195,7 @@ QUERIES: dict[str, Query] = {
                                     .select("o_orderkey", "lsn", "op", "column_name"),
     # velocity
     "velocity": lambda spark, d: VE.velocity(_tx(spark, d), minutes=10, threshold=3),
+    "velocity_split": lambda spark, d: VE.velocity(_tx(spark, d), minutes=10, threshold=3, split=5),
     "velocity_windows": lambda spark, d: VE.velocity_windows(_tx(spark, d), "10 minutes", "1 minute"),
     # streaming
     "stream_silver": q_stream_silver,

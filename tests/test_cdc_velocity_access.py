@@ -118,13 +118,14 @@ def test_velocity_matches_brute_force(spark):
         amt = None if i % 17 == 0 else float(rnd.randint(1, 5000)) / 100
         rows.append((f"e{i}", user, ts, amt))
     df = spark.createDataFrame(rows, "event_id string, user_id string, event_timestamp timestamp, amount double")
-    got = {r.event_id: (r.velocity_count, r.velocity_amount)
-           for r in VE.velocity(df, minutes=10, threshold=3).collect()}
     want = _brute_velocity(rows, 10)
-    assert got.keys() == want.keys()
-    for k in want:
-        assert got[k][0] == want[k][0]
-        assert (got[k][1] is None and want[k][1] is None) or abs(got[k][1] - want[k][1]) < 1e-6
+    for split in (1, 4):
+        got = {r.event_id: (r.velocity_count, r.velocity_amount)
+               for r in VE.velocity(df, minutes=10, threshold=3, split=split).collect()}
+        assert got.keys() == want.keys()
+        for k in want:
+            assert got[k][0] == want[k][0], (split, k)
+            assert (got[k][1] is None and want[k][1] is None) or abs(got[k][1] - want[k][1]) < 1e-6
 
 
 def test_velocity_partitions_by_user_and_bucket(spark):
