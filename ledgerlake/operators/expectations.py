@@ -259,3 +259,24 @@ def append_run_log(spark, rows: DataFrame, path: str) -> DataFrame:
     new = append_absent(rows, existing, "run_id")
     new.write.mode("append").parquet(path)
     return new
+
+
+def append_run_log_jdbc(spark, rows: DataFrame, url: str, table: str,
+                        properties: dict) -> DataFrame:
+    """K6 into a relational table over JDBC (needs the database's JDBC driver
+    on the classpath; not exercised in this repository's tests because no
+    database may be started here).  Insert-if-absent on ``run_id`` is done in
+    Spark before the append: only the key column of the table is read."""
+    from ledgerlake.operators.signals import append_absent
+    existing = spark.read.jdbc(url, f"(SELECT run_id FROM {table}) existing_runs",
+                               properties=properties)
+    new = append_absent(rows, existing, "run_id")
+    new.write.jdbc(url, table, mode="append", properties=properties)
+    return new
+
+
+def passes_gate(summary: DataFrame, min_pass_rate: float = MIN_PASS_RATE) -> bool:
+    """G2 as a gate for downstream jobs (e.g. retraining): every run in the
+    summary has pass_rate >= ``min_pass_rate``.  One row reaches the driver."""
+    r = summary.agg(F.min("pass_rate").alias("p")).first()
+    return r is not None and r.p is not None and r.p >= min_pass_rate

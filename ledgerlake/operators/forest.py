@@ -311,9 +311,16 @@ def threshold_rows(train: DataFrame, seed: int = 42, n_rows: int | None = None)
 
 
 def score_silver(silver: DataFrame, nodes: DataFrame | None = None,
-                 contamination: float = DEFAULT_CONTAMINATION, **train_kw) -> DataFrame:
+                 contamination: float = DEFAULT_CONTAMINATION,
+                 quality_summary: DataFrame | None = None, **train_kw) -> DataFrame:
     """Train (unless ``nodes`` is given), fit the threshold on the training
-    rows, and score every silver row."""
+    rows, and score every silver row.  With ``quality_summary`` (the output of
+    ``expectations.summarise``) training is refused when the pass-rate gate
+    fails (G2: a failing suite blocks retraining)."""
+    if quality_summary is not None and nodes is None:
+        from ledgerlake.operators.expectations import passes_gate
+        if not passes_gate(quality_summary):
+            raise RuntimeError("quality gate failed: retraining blocked")
     train = silver.filter(F.col("dq_passed") == F.lit(True))
     n = train.count()
     if nodes is None:

@@ -65,3 +65,15 @@ def test_model_size_is_checked(spark, monkeypatch):
     import pytest
     with pytest.raises(ValueError):
         FO.load_model(nodes)
+
+
+def test_failing_quality_gate_blocks_retraining(spark):
+    import pytest
+    from ledgerlake.operators import expectations as EX
+    s = silver_df(spark, SF01)
+    summary = EX.summarise(EX.run_expectations(s))          # 0.6667 < 0.95
+    assert not EX.passes_gate(summary)
+    with pytest.raises(RuntimeError):
+        FO.score_silver(s, quality_summary=summary, n_trees=5, sample_size=32)
+    clean = s.filter("dq_passed = true")
+    assert EX.passes_gate(EX.summarise(EX.run_expectations(clean, EX.SUITE[:6])))
