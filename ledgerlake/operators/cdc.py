@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerlake.session import checkpoint_dir
+
 OPS = ("c", "u", "d", "r")
 
 
@@ -192,9 +194,11 @@ def apply_changes(table: DataFrame, changes: DataFrame, key: list[str],
 
     if broadcast_keys_max <= 0:
         return merge(table)
-    touched = ch.select(*key).distinct().persist()   # counted, then broadcast
+    # the batch's key set is used twice (counted, then broadcast): materialise
+    # it once with a reliable checkpoint in the shared checkpoint folder
+    checkpoint_dir(changes.sparkSession)
+    touched = ch.select(*key).distinct().checkpoint()
     if touched.count() > broadcast_keys_max:
-        touched.unpersist()
         return merge(table)
     keys_b = F.broadcast(touched)
     merged = merge(table.join(keys_b, on=key, how="left_semi"))
