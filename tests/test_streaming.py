@@ -132,3 +132,36 @@ def test_sink_dedupe_keeps_late_rows(spark):
     keyed = silver.filter("event_id IS NOT NULL")
     assert keyed.count() == keyed.select("event_id").distinct().count()
     assert spark.read.parquet(paths.bronze).count() > silver.count()   # bronze keeps all
+
+
+def test_crash_between_sinks_then_restart_is_exactly_once(spark, monkeypatch):
+    root, paths = stream_paths(spark, "t-crash")
+    land_envelopes(spark, SF001, f"{root}/landing", files=2)
+    real = JB.QU.write_quarantine
+    calls = {"n": 0}
+
+    def crash_on_second_batch(q, path, batch_id=None):
+        calls["n"] += 1
+        if calls["n"] == 2:                     # bronze + silver of batch 1 already written
+            raise RuntimeError("simulated crash")
+        return real(q, path, batch_id)
+
+    monkeypatch.setattr(JB.QU, "write_quarantine", crash_on_second_batch)
+    q = JB.start_stream(_source(spark, f"{root}/landing"), REGISTRY_V1, paths,
+                        trigger={"availableNow": True})
+    try:
+        q.awaitTermination()
+    except Exception:  # noqa: BLE001 -- the query is expected to fail
+        pass
+    assert q.exception() is not None
+    monkeypatch.setattr(JB.QU, "write_quarantine", real)
+    q2 = JB.start_stream(_source(spark, f"{root}/landing"), REGISTRY_V1, paths,
+                         trigger={"availableNow": True})
+    q2.awaitTermination()
+    assert q2.exception() is None
+    env = envelope_from_events(read_table(spark, SF001, "events"))
+    dec = wire.decode(env, REGISTRY_V1)
+    assert spark.read.parquet(paths.bronze).count() == wire.accepted(dec).count()
+    assert spark.read.parquet(paths.silver).count() == wire.accepted(dec).count()
+    from ledgerlake.operators import quarantine as QU
+    assert spark.read.parquet(paths.quarantine).count() == QU.quarantined(dec).count()
