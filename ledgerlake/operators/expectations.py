@@ -215,7 +215,7 @@ def null_rate(df: DataFrame, fields: list[str]) -> DataFrame:
     """Nulls over (rows x fields) on the required fields, one row."""
     nulls = sum((F.count_if(F.col(f).isNull()) for f in fields), F.lit(0))
     rows = F.count(F.lit(1))
-    rate = nulls.cast("double") / (rows * len(fields)).cast("double")
+    rate = F.try_divide(nulls.cast("double"), (rows * len(fields)).cast("double"))
     return df.agg(rows.alias("records"), nulls.cast("long").alias("null_cells"),
                   rate.alias("null_rate"),
                   (rate < 0.01).alias("within_contract"))

@@ -196,7 +196,9 @@ def load_model(nodes: DataFrame) -> dict:
     psi = float(roots.max())
     return {"feature": feature, "threshold": threshold, "left": left, "right": right,
             "value": depth + c_factor(size), "offsets": offsets,
-            "root_value": c_factor(roots), "c_psi": float(c_factor([psi])[0])}
+            "root_value": c_factor(roots),
+            # c(1) = 0: a one-row sample isolates nothing; keep the score finite
+            "c_psi": max(float(c_factor([psi])[0]), 1.0)}
 
 
 MAX_PAIRS = 2_000_000   # (row, tree) pairs walked at once: bounds task memory

@@ -105,3 +105,11 @@ def test_suite_is_two_aggregates(spark):
     res = EX.run_expectations(silver_df(spark, SF01))
     plan = res._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_empty_inputs_do_not_raise_under_ansi(spark):
+    empty = silver_df(spark, SF01).limit(0)
+    r = EX.null_rate(empty, ["event_id"]).first()
+    assert r.records == 0 and r.null_rate is None
+    assert EX.run_expectations(empty).count() == 0
+    assert ME.batch_metrics(empty).count() == 0
