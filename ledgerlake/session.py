@@ -44,6 +44,7 @@ def build_session(master: str | None = None, app_name: str = "ledgerlake",
     spark = builder.getOrCreate()
     for k, v in REQUIRED_CONF.items():
         spark.conf.set(k, v)
+    ship_package(spark)
     return spark
 
 
@@ -87,3 +88,45 @@ def spread(df):
     if df.rdd.getNumPartitions() < target:
         return df.repartition(target)
     return df
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``ledgerlake`` importable in Python workers (what ``--py-files``
+    does at submit time), once per SparkContext.
+
+    The package is zipped in memory, written through the Hadoop FileSystem API
+    into the session's shared checkpoint folder (local or remote), and added
+    with ``SparkContext.addPyFile``; Spark ships it to every executor.
+    """
+    import hashlib
+    import io
+    import zipfile
+
+    sc = spark.sparkContext
+    if getattr(sc, "_ledgerlake_shipped", False):
+        return
+    pkg_root = os.path.dirname(os.path.abspath(__file__))
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
+        for dirpath, _, files in sorted(os.walk(pkg_root)):
+            if "__pycache__" in dirpath:
+                continue
+            for f in sorted(files):
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    arc = os.path.join("ledgerlake", os.path.relpath(full, pkg_root))
+                    z.write(full, arc)
+    data = buf.getvalue()
+    digest = hashlib.sha1(data).hexdigest()[:12]
+    target = f"{checkpoint_dir(spark)}/_code/ledgerlake-{digest}.zip"
+    jvm = sc._jvm
+    path = jvm.org.apache.hadoop.fs.Path(target)
+    fs = path.getFileSystem(sc._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        out = fs.create(path, True)
+        try:
+            out.write(bytearray(data))
+        finally:
+            out.close()
+    sc.addPyFile(target)
+    sc._ledgerlake_shipped = True
