@@ -93,11 +93,22 @@ def drop_seen(good: DataFrame, silver_path: str, batch_id: int,
     return append_absent(keyed, seen, "event_id").unionByName(unkeyed)
 
 
+class QualityGateError(RuntimeError):
+    """A critical level-1 alert stopped the batch before silver was written."""
+
+
 def process_batch(decoded: DataFrame, batch_id: int, paths: Paths,
-                  scorer=None, dedupe_horizon_days: int | None = None) -> None:
+                  scorer=None, dedupe_horizon_days: int | None = None,
+                  gate_critical: bool = False) -> None:
     """K2 + K7 + K9 body of one micro-batch (also callable in batch mode).
     With ``dedupe_horizon_days`` silver is de-duplicated on ``event_id``
-    exactly (``drop_seen``); bronze keeps every decoded row."""
+    exactly (``drop_seen``); bronze keeps every decoded row.
+
+    Alerts are rows and never block by default (as upstream).  With
+    ``gate_critical`` the metrics are computed *before* the silver write and
+    a critical alert raises ``QualityGateError``: silver, quarantine and
+    alerts of that batch are not written and the batch is not committed, so
+    it is replayed once the cause is fixed (T7's optional gate)."""
     decoded = decoded.persist()
     try:
         if decoded.isEmpty():                       # A1: empty batch is skipped
@@ -107,6 +118,12 @@ def process_batch(decoded: DataFrame, batch_id: int, paths: Paths,
         if dedupe_horizon_days is not None:
             good = drop_seen(good, paths.silver, batch_id, dedupe_horizon_days)
         silver = to_silver(good)
+        if gate_critical:
+            critical = (ME.alerts(ME.batch_metrics(silver))
+                        .filter(F.col("severity") == "critical").collect())   # <= 3 rows
+            if critical:
+                raise QualityGateError(
+                    f"batch {batch_id}: " + ", ".join(f"{r.rule}={r.observed}" for r in critical))
         # L1-L5 metrics are observed while silver is written (no extra pass)
         obs = Observation(f"batch_metrics_{batch_id}")
         _write_partitioned(silver.observe(obs, *ME.metric_aggregates()),
@@ -161,7 +178,8 @@ def start_stream(envelopes: DataFrame, schemas, paths: Paths,
                  trigger: dict | None = None, dedupe_within: str | None = None,
                  scorer=None, query_name: str | None = None,
                  decode_partitions: int | None = None,
-                 dedupe_horizon_days: int | None = None) -> StreamingQuery:
+                 dedupe_horizon_days: int | None = None,
+                 gate_critical: bool = False) -> StreamingQuery:
     """S1/S2 envelope stream -> all layers, one query, one checkpoint.
 
     ``trigger`` is passed to ``DataStreamWriter.trigger`` (X1), e.g.
@@ -171,7 +189,7 @@ def start_stream(envelopes: DataFrame, schemas, paths: Paths,
                          decode_partitions=decode_partitions)
     w = (dec.writeStream
          .foreachBatch(lambda df, bid: process_batch(df, bid, paths, scorer,
-                                                     dedupe_horizon_days))
+                                                     dedupe_horizon_days, gate_critical))
          .option("checkpointLocation", paths.checkpoint)
          .trigger(**(trigger or DEFAULT_TRIGGER)))
     if query_name:

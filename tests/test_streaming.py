@@ -165,3 +165,19 @@ def test_crash_between_sinks_then_restart_is_exactly_once(spark, monkeypatch):
     assert spark.read.parquet(paths.silver).count() == wire.accepted(dec).count()
     from ledgerlake.operators import quarantine as QU
     assert spark.read.parquet(paths.quarantine).count() == QU.quarantined(dec).count()
+
+
+def test_optional_quality_gate_blocks_silver(spark):
+    import pytest
+    from conftest import SF01
+    root, paths = stream_paths(spark, "t-gate")
+    env = envelope_from_events(read_table(spark, SF01, "events"))
+    dec = wire.decode(env, REGISTRY_V1)
+    # the whole table as one batch alerts on invalid categories (L3)
+    with pytest.raises(JB.QualityGateError):
+        JB.process_batch(dec, 0, paths, gate_critical=True)
+    import os
+    assert not os.path.exists(paths.silver.replace("file:", ""))
+    JB.process_batch(dec, 0, paths)                    # default: alert rows only
+    alerts = spark.read.parquet(paths.alerts)
+    assert alerts.filter("rule = 'L3_invalid_cat_rate'").count() == 1
