@@ -104,3 +104,30 @@ def test_mean_amount_nan_fails_mean_rule(spark):
     r = run_expectations(df, [Rule("E12", "mean_between", "amount", {"min": 0.0, "max": 10.0})]).first()
     assert r.success is False
     assert math.isnan(r.observed_value)
+
+
+import pytest  # noqa: E402
+
+# FIXTURES.md section 2, expected results per scale factor.
+FIXTURE_TABLE = {
+    "/root/testdata/sf0.001": dict(t=994, f=5, n=1, miss=2, oor=2, inv=1, nncat=998, badcc=2,
+                                   fraud=0.022, hr=0.09, online=611, gold=287),
+    "/root/testdata/sf0.01": dict(t=9927, f=59, n=14, miss=22, oor=21, inv=16, nncat=9985, badcc=20,
+                                  fraud=0.0201, hr=0.0898, online=6004, gold=300),
+}
+
+
+@pytest.mark.parametrize("sf_dir", sorted(FIXTURE_TABLE))
+def test_fixture_table(spark, sf_dir):
+    s = silver_df(spark, sf_dir)
+    r = s.agg(F.count_if(F.col("dq_passed")).alias("t"), F.count_if(~F.col("dq_passed")).alias("f"),
+              F.count_if(F.col("dq_passed").isNull()).alias("n"),
+              F.count_if("dq_missing_required").alias("miss"),
+              F.count_if("dq_amount_out_of_range").alias("oor"),
+              F.count_if("dq_invalid_category").alias("inv"), F.count("merchant_category").alias("nncat"),
+              F.count_if(~F.col("country_code").rlike("^[A-Z]{2}$")).alias("badcc"),
+              F.round(F.avg(F.col("_is_fraud_label").cast("double")), 4).alias("fraud"),
+              F.round(F.avg(F.col("is_high_risk_country").cast("double")), 4).alias("hr"),
+              F.count_if("is_online").alias("online")).first().asDict()
+    r["gold"] = G.gold_summary(s).count()
+    assert r == FIXTURE_TABLE[sf_dir]
