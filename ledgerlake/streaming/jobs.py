@@ -68,28 +68,34 @@ def _log_alerts(batch_id: int, m: dict) -> None:
 
 
 def drop_seen(good: DataFrame, silver_path: str, batch_id: int,
-              horizon_days: int) -> DataFrame:
+              horizon_days: int = 0) -> DataFrame:
     """X5, exact: drop rows whose ``event_id`` an earlier batch already wrote
-    to silver within ``horizon_days`` of this batch's dates, and repeats
-    inside the batch.  Nothing is dropped for being late.  Only the
-    ``event_id`` column of the date partitions in range is read (partition
-    pruning); the batch's own ``_batch_id`` partition is excluded so a retried
-    batch is not deduplicated against its own earlier attempt.  Rows without
-    a key are kept (they carry ``dq_missing_required``)."""
+    to silver, and repeats inside the batch.  Nothing is dropped for being
+    late.  A redelivered event carries its original event time, so only the
+    silver partitions of the batch's own ``event_date`` values (each widened
+    by ``horizon_days`` earlier days) are probed: the distinct dates of the
+    batch (a handful of values) become an ``IN`` list that prunes partitions,
+    and only their ``event_id`` column is read.  The batch's own
+    ``_batch_id`` partition is excluded so a retried batch is not
+    de-duplicated against its own earlier attempt.  Rows without a key are
+    kept (they carry ``dq_missing_required``)."""
+    import datetime as dt
+
     from ledgerlake.operators.signals import append_absent
     spark = good.sparkSession
-    lo_hi = good.agg(F.min(F.to_date("event_timestamp")).alias("lo"),
-                     F.max(F.to_date("event_timestamp")).alias("hi")).first()
     keyed = good.filter(F.col("event_id").isNotNull())
     unkeyed = good.filter(F.col("event_id").isNull())
     try:
         seen = spark.read.parquet(silver_path)
     except Exception:  # noqa: BLE001 -- first batch: nothing written yet
         return keyed.dropDuplicates(["event_id"]).unionByName(unkeyed)
-    if lo_hi.lo is not None:
-        seen = seen.filter(F.col("event_date").between(
-            F.date_sub(F.lit(lo_hi.lo), horizon_days), F.lit(lo_hi.hi)))
-    seen = seen.filter(F.col("_batch_id") != F.lit(int(batch_id))).select("event_id")
+    dates = [r[0] for r in keyed.select(F.to_date("event_timestamp")).distinct().collect()]
+    wanted = sorted({d - dt.timedelta(days=k) for d in dates if d is not None
+                     for k in range(int(horizon_days) + 1)})
+    in_range = F.col("event_date").isin(*wanted) if wanted else F.lit(False)
+    if any(d is None for d in dates):
+        in_range = in_range | F.col("event_date").isNull()
+    seen = seen.filter(in_range & (F.col("_batch_id") != F.lit(int(batch_id)))).select("event_id")
     return append_absent(keyed, seen, "event_id").unionByName(unkeyed)
 
 

@@ -123,7 +123,7 @@ def test_sink_dedupe_keeps_late_rows(spark):
     src = (spark.readStream.schema(ENVELOPE_SCHEMA).option("recursiveFileLookup", "true")
            .option("maxFilesPerTrigger", 1).parquet(landing))
     q = JB.start_stream(src, REGISTRY_V1, paths, trigger={"availableNow": True},
-                        dedupe_horizon_days=30)
+                        dedupe_horizon_days=0)
     q.awaitTermination()
     assert q.exception() is None
     silver = spark.read.parquet(paths.silver)
