@@ -117,10 +117,13 @@ def process_batch(decoded: DataFrame, batch_id: int, paths: Paths,
     it is replayed once the cause is fixed (T7's optional gate)."""
     decoded = decoded.persist()
     try:
-        if decoded.isEmpty():                       # A1: empty batch is skipped
-            return
-        good = wire.accepted(decoded)
+        # A1: the batch size is observed during the bronze write (no separate
+        # emptiness job); an empty batch writes no rows and stops here.
+        seen = Observation(f"batch_rows_{batch_id}")
+        good = wire.accepted(decoded.observe(seen, F.count(F.lit(1)).alias("rows")))
         _write_partitioned(good, paths.bronze, batch_id, [])
+        if not seen.get.get("rows"):
+            return
         if dedupe_horizon_days is not None:
             good = drop_seen(good, paths.silver, batch_id, dedupe_horizon_days)
         silver = to_silver(good)
