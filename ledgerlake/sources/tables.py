@@ -6,10 +6,14 @@ pruning into the Parquet scan.
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerlake.schemas import TRANSACTION_COLUMNS
 
+log = logging.getLogger(__name__)
+
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders",
           "lineitem", "events", "documents", "embeddings", "pages",
           "benchmark", "labels", "conversations"]
@@ -60,6 +64,13 @@ def register_partitioned_table(spark: SparkSession, database: str, table: str,
     ident = f"`{database}`.`{table}`"
     if not spark.catalog.tableExists(f"{database}.{table}"):
         spark.catalog.createTable(f"{database}.{table}", path=path, source=fmt)
+    else:
+        # schema changes are logged, never applied (the table keeps its schema)
+        known = set(spark.table(ident).columns)
+        found = set(spark.read.format(fmt).option("mergeSchema", "true").load(path).columns)
+        if found - known:
+            log.warning("table %s: files carry new columns %s; schema left unchanged",
+                        ident, sorted(found - known))
     try:
         spark.sql(f"MSCK REPAIR TABLE {ident} ADD PARTITIONS")
     except Exception:  # non-partitioned tables have nothing to repair

@@ -97,3 +97,17 @@ def test_spread_only_touches_single_split_batch_inputs(spark):
     assert spread(ev).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     grouped = ev.groupBy("user_id").count()
     assert spread(grouped) is grouped       # already shuffled: untouched
+
+
+def test_catalog_sync_logs_schema_change_only(spark, scratch, caplog):
+    import logging
+    g = G.gold_summary(silver_df(spark, SF001))
+    G.write_gold(g.filter("event_date < DATE '2024-01-05'"), scratch)
+    t = TB.register_partitioned_table(spark, "ll_test2", "gold", scratch)
+    cols = t.columns
+    G.write_gold(g.filter("event_date >= DATE '2024-01-05'").withColumn("extra", F.lit(1)), scratch)
+    with caplog.at_level(logging.WARNING, logger="ledgerlake.sources.tables"):
+        t2 = TB.register_partitioned_table(spark, "ll_test2", "gold", scratch)
+    assert t2.columns == cols
+    assert any("new columns" in r.message for r in caplog.records)
+    spark.sql("DROP TABLE ll_test2.gold")
