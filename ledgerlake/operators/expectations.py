@@ -182,7 +182,7 @@ def run_expectations(df: DataFrame, rules: list[Rule] | None = None,
 def summarise(results: DataFrame, batch_id: str | Column | None = None) -> DataFrame:
     """A8 + G1: one summary row per run.
 
-    pass_rate = round(success percent / 100, 4); status PASSED iff every
+    pass_rate = round-half-even(success percent / 100, 4); status PASSED iff every
     rule succeeded.
     """
     bid = (F.lit(batch_id) if isinstance(batch_id, str)
@@ -193,7 +193,8 @@ def summarise(results: DataFrame, batch_id: str | Column | None = None) -> DataF
                 run.cast("int").alias("expectations_run"),
                 passed.cast("int").alias("expectations_passed"),
                 (run - passed).cast("int").alias("expectations_failed"),
-                F.round(passed * 100.0 / run / 100.0, 4).alias("pass_rate"),
+                # half-even, as the upstream summary rounds with Python's round()
+                F.bround(passed * 100.0 / run / 100.0, 4).alias("pass_rate"),
                 F.bool_and("success").alias("success"),
                 F.max("element_count").alias("total_records"),
                 F.max("passed_records").alias("passed_records"))

@@ -152,7 +152,7 @@ SELECT run_id,
   CAST(COUNT(*) AS INTEGER) AS expectations_run,
   CAST(COUNT(*) FILTER (WHERE success) AS INTEGER) AS expectations_passed,
   CAST(COUNT(*) - COUNT(*) FILTER (WHERE success) AS INTEGER) AS expectations_failed,
-  {rnd('COUNT(*) FILTER (WHERE success) * 100.0 / COUNT(*) / 100.0', 4)} AS pass_rate,
+  CAST(round_even(CAST(CAST((COUNT(*) FILTER (WHERE success) * 100.0 / COUNT(*) / 100.0) AS VARCHAR) AS DECIMAL(38,15)), 4) AS DOUBLE) AS pass_rate,
   bool_and(success) AS success,
   MAX(element_count) AS total_records,
   MAX(passed_records) AS passed_records,

@@ -113,3 +113,10 @@ def test_empty_inputs_do_not_raise_under_ansi(spark):
     assert r.records == 0 and r.null_rate is None
     assert EX.run_expectations(empty).count() == 0
     assert ME.batch_metrics(empty).count() == 0
+
+
+def test_pass_rate_rounds_half_even(spark):
+    rows = [("r", i == 0, 10, 5) for i in range(32)]          # 1 of 32 -> 0.03125
+    res = spark.createDataFrame(rows, "run_id string, success boolean, element_count long, "
+                                      "passed_records long")
+    assert EX.summarise(res).first().pass_rate == 0.0312
