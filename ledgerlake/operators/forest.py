@@ -252,7 +252,13 @@ def score(tx: DataFrame, nodes: DataFrame | dict, threshold: float | None = None
     ``processed_at`` (and ``path_deficit``/``credits`` with
     ``with_credits``)."""
     model = nodes if isinstance(nodes, dict) else load_model(nodes)
-    bc = tx.sparkSession.sparkContext.broadcast(model)
+    # one broadcast per loaded model, reused by every call (a stream scoring
+    # each micro-batch must not ship a new copy per batch)
+    bc = model.get("_broadcast")
+    if bc is None:
+        bc = tx.sparkSession.sparkContext.broadcast(
+            {k: v for k, v in model.items() if k != "_broadcast"})
+        model["_broadcast"] = bc
     staged = score_columns(spread(tx))
     fcols = [f"_f_{n}" for n in FEATURES]
     out_fields = [T.StructField("fraud_score", T.DoubleType(), True),

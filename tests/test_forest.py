@@ -77,3 +77,12 @@ def test_failing_quality_gate_blocks_retraining(spark):
         FO.score_silver(s, quality_summary=summary, n_trees=5, sample_size=32)
     clean = s.filter("dq_passed = true")
     assert EX.passes_gate(EX.summarise(EX.run_expectations(clean, EX.SUITE[:6])))
+
+
+def test_model_broadcast_is_reused(spark):
+    s, nodes = _model(spark, trees=3, psi=32)
+    m = FO.load_model(nodes)
+    FO.score(s.limit(10), m, threshold=0.5)
+    first = m["_broadcast"]
+    FO.score(s.limit(10), m, threshold=0.5)
+    assert m["_broadcast"] is first
