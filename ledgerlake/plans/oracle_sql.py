@@ -363,3 +363,4 @@ ORACLE.update({"velocity": VELOCITY, "velocity_split": VELOCITY,
                "velocity_windows": VELOCITY_WINDOWS})
 
 ORACLE["stream_silver"] = DECODED_SILVER
+ORACLE["stream_quarantine"] = QUARANTINE
