@@ -181,3 +181,17 @@ def test_optional_quality_gate_blocks_silver(spark):
     JB.process_batch(dec, 0, paths)                    # default: alert rows only
     alerts = spark.read.parquet(paths.alerts)
     assert alerts.filter("rule = 'L3_invalid_cat_rate'").count() == 1
+
+
+def test_write_time_ordered_slices_are_monotone(spark):
+    import glob
+    import os
+    root, _ = stream_paths(spark, "t-slices")
+    tx = _batch_silver(spark).select("event_id", "event_timestamp")
+    JB.write_time_ordered(tx, f"{root}/tx", "event_timestamp", 3)
+    files = sorted(glob.glob(f"{root.replace('file:', '')}/tx/*.parquet"), key=os.path.getmtime)
+    assert len(files) == 3
+    bounds = [spark.read.parquet(f).agg(F.min("event_timestamp"), F.max("event_timestamp"),
+                                        F.count(F.lit(1))).first() for f in files]
+    assert sum(b[2] for b in bounds) == tx.count()
+    assert all(bounds[i][1] <= bounds[i + 1][0] for i in range(2))
