@@ -62,8 +62,12 @@ def checkpoint_dir(spark: SparkSession, default_root: str | None = None) -> str:
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(d)   # DataFrame.checkpoint() uses it
         return d.rstrip("/")
+    import logging
     import tempfile
     root = default_root or tempfile.mkdtemp(prefix="ledgerlake-ckpt-")
+    logging.getLogger(__name__).warning(
+        "spark.checkpoint.dir is unset; using %s (local runs only: on a cluster "
+        "set it to a shared folder)", root)
     d = os.path.join(root, uuid.uuid4().hex[:8])
     spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)
