@@ -8,7 +8,6 @@ unset, so the same code runs in tests (local[*]) and on a cluster.
 from __future__ import annotations
 
 import os
-import uuid
 
 from pyspark.sql import SparkSession
 
@@ -48,30 +47,27 @@ def build_session(master: str | None = None, app_name: str = "ledgerlake",
     return spark
 
 
-def checkpoint_dir(spark: SparkSession, default_root: str | None = None) -> str:
+def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
-    Reads ``spark.checkpoint.dir`` from the session.  Only when it is unset
-    (tests, local runs) a folder is chosen under ``default_root`` (or a fresh
-    temporary folder) and registered on the session.
+    Reads ``spark.checkpoint.dir`` from the session, or the folder that was
+    given to ``SparkContext.setCheckpointDir``.  Where both are unset a local
+    session (tests, trials) gets a fresh temporary folder; any other master
+    raises, because its executors could not see such a folder.
     """
+    sc = spark.sparkContext
     d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir()
     if d:
-        if not spark.sparkContext.getCheckpointDir():
-            spark.sparkContext.setCheckpointDir(d)   # DataFrame.checkpoint() uses it
+        if not sc.getCheckpointDir():
+            sc.setCheckpointDir(d)               # DataFrame.checkpoint() uses it
         return d.rstrip("/")
-    import logging
+    if sc.getCheckpointDir():
+        return sc.getCheckpointDir().rstrip("/")
+    if not (sc.master == "local" or sc.master.startswith("local[")):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     import tempfile
-    root = default_root or tempfile.mkdtemp(prefix="ledgerlake-ckpt-")
-    logging.getLogger(__name__).warning(
-        "spark.checkpoint.dir is unset; using %s (local runs only: on a cluster "
-        "set it to a shared folder)", root)
-    d = os.path.join(root, uuid.uuid4().hex[:8])
-    spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
-    return d
+    sc.setCheckpointDir(tempfile.mkdtemp(prefix="ledgerlake-ckpt-"))
+    return sc.getCheckpointDir().rstrip("/")
 
 
 def spread(df):

@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -16,10 +15,6 @@ def spark():
     from ledgerlake.session import build_session
     s = build_session("local[*]", app_name="ledgerlake-tests", shuffle_partitions=8)
     s.sparkContext.setLogLevel("ERROR")
-    # tests own their checkpoint folder only when the session has none
-    if not s.conf.get("spark.checkpoint.dir", None):
-        d = tempfile.mkdtemp(prefix="ledgerlake-tests-")
-        s.conf.set("spark.checkpoint.dir", d)
     yield s
     s.stop()
 
