@@ -3,9 +3,10 @@ the same."""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlake.llm import chat_format, pii, url_filter
+from ledgerlake.llm import bpe, chat_format, pii, url_filter
 from ledgerlake.llm.common import read_table
 from ledgerlake.session import ship_package
 
@@ -23,14 +24,23 @@ def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.digest(rows.unionByName(probe))
 
 
+def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    return bpe.digest(read_table(spark, sf_dir, "documents"), bpe.ranks_bytes(RANKS))
+
+
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship_package(spark)
     return pii.digest(read_table(spark, sf_dir, "documents"))
 
 
+#: rank file of the registered BPE query
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+
 QUERIES = {
     "op1_url_filter": op1_url_filter,
     "op4_chat_formatting": op4_chat_formatting,
+    "op5_bpe": op5_bpe,
     "op7_pii": op7_pii,
 }
 
