@@ -6,7 +6,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlake.llm import bpe, chat_format, pii, url_filter
+from ledgerlake.llm import bpe, chat_format, decontaminate, pii, url_filter
 from ledgerlake.llm.common import read_table
 from ledgerlake.session import ship_package
 
@@ -33,6 +33,9 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship_package(spark)
     return pii.digest(read_table(spark, sf_dir, "documents"))
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
 
 #: rank file of the registered BPE query
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -42,6 +45,7 @@ QUERIES = {
     "op4_chat_formatting": op4_chat_formatting,
     "op5_bpe": op5_bpe,
     "op7_pii": op7_pii,
+    "op8_decontamination": op8_decontamination,
 }
 
 _RULE_ROWS = ", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in url_filter.RULES)
@@ -92,5 +96,20 @@ SELECT conv_id, count(*) AS n_turns,
        sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
        sum(chars)::BIGINT AS formatted_chars
 FROM p GROUP BY conv_id
+""",
+    # windows are counted from their first equal word: one that would leave the
+    # item holds no more than the last window inside it
+    "op8_decontamination": r"""
+WITH dw AS (SELECT * FROM (
+  SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS p
+  FROM (SELECT doc_id, regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+') AS w FROM documents)) WHERE word <> ''),
+iw AS (SELECT *, count(*) OVER (PARTITION BY item_id) AS n FROM (
+  SELECT item_id, unnest(w) AS word, generate_subscripts(w, 1) AS k
+  FROM (SELECT item_id, regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+') AS w FROM benchmark)) WHERE word <> ''),
+m AS (SELECT doc_id, item_id, p - k AS diagonal, k, least(n, 13) AS width FROM dw JOIN iw USING (word)),
+c AS (SELECT doc_id, item_id, width, count(*) OVER (PARTITION BY doc_id, item_id, diagonal ORDER BY k
+             RANGE BETWEEN CURRENT ROW AND 12 FOLLOWING) AS matched FROM m)
+SELECT doc_id, item_id, max(matched)::INTEGER AS matched FROM c WHERE matched >= width - (width * 2) // 13
+GROUP BY doc_id, item_id
 """,
 }
