@@ -6,7 +6,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlake.llm import bpe, chat_format, decontaminate, pii, url_filter
+from ledgerlake.llm import bpe, chat_format, decontaminate, pii, quality, url_filter
 from ledgerlake.llm.common import read_table
 from ledgerlake.session import ship_package
 
@@ -37,6 +37,11 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    return quality.digest(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 #: rank file of the registered BPE query
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -46,6 +51,7 @@ QUERIES = {
     "op5_bpe": op5_bpe,
     "op7_pii": op7_pii,
     "op8_decontamination": op8_decontamination,
+    "op10_quality": op10_quality,
 }
 
 _RULE_ROWS = ", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in url_filter.RULES)
