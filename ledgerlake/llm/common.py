@@ -161,27 +161,26 @@ def slices(batches: Iterator[pa.RecordBatch], text: str, most: int = 4 * BLOCK_B
 def components(links: DataFrame, rounds: int = 60) -> DataFrame:
     """(id, component): the smallest id reachable over ``links`` (a, b).
 
-    Alternating star contraction: every node points at its smallest
-    neighbour, then neighbours of a node meet under it, until no pair changes.
-    Each round is a pre-aggregated groupBy over at most one row per link, so
-    no neighbourhood is ever collected; rounds grow with the logarithm of the
-    longest path.  Nodes without links do not appear.
+    Alternating star contraction: edges move to ever smaller neighbours until
+    none changes.  A round has no more rows than links and collects no
+    neighbourhood; rounds grow with the logarithm of the longest path.  Nodes without links do not appear.
     """
+    checkpoint_dir(links.sparkSession)
     edges = links.select(F.greatest("a", "b").cast("long").alias("u"),
-                         F.least("a", "b").cast("long").alias("v")).where("u <> v").distinct()
-    edges = edges.checkpoint()
+                         F.least("a", "b").cast("long").alias("v")).where("u <> v").distinct().checkpoint()
     before = None
     for _ in range(rounds):
-        # large star: neighbours above u meet under u's smallest neighbour
-        both = edges.select("u", "v").union(edges.select(F.col("v"), F.col("u")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.where("u <> v").distinct()
-        # small star: neighbours below u meet under the smallest of them
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = (large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
-                 .union(low.select("u", F.col("m").alias("v")))).distinct().checkpoint()
-        # a fixpoint is a forest of stars: same rows as before
+        # large star: the upper end of an edge moves to the smallest neighbour of the lower.
+        # checkpoint: joins of plain tables can be split where a hub is skewed
+        both = edges.union(edges.select(F.col("v"), F.col("u")))
+        least = both.groupBy("u").agg(F.min("v").alias("m")).where("m < u").select(F.col("u").alias("v"), "m").checkpoint()
+        large = edges.join(least, "v", "left").select("u", F.coalesce("m", "v").alias("v")).distinct().checkpoint()
+        # small star: lower neighbours of a node move to the smallest of them
+        low = large.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("k")).where("k > 1").checkpoint()
+        small = (large.join(low, "u", "left")
+                 .select(F.explode(F.array(F.struct(F.col("u"), F.coalesce("m", "v").alias("v")),
+                                           F.struct(F.col("v").alias("u"), F.coalesce("m", "v").alias("v")))).alias("e"))
+                 .select("e.u", "e.v").where("u <> v").distinct().checkpoint())
         now = tuple(small.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         edges = small
         if now == before:

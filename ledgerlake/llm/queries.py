@@ -6,7 +6,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlake.llm import bpe, chat_format, decontaminate, pii, quality, url_filter
+from ledgerlake.llm import bpe, chat_format, decontaminate, ngram_join, pii, quality, url_filter
 from ledgerlake.llm.common import read_table
 from ledgerlake.session import ship_package
 
@@ -17,6 +17,11 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(pages, url_filter.RULES, listed)
 
 
+def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    return ngram_join.jaccard_classes(read_table(spark, sf_dir, "documents"))
+
+
 def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     probe = spark.range(1).selectExpr("inline(array({}))".format(", ".join(
@@ -47,6 +52,7 @@ RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 QUERIES = {
     "op1_url_filter": op1_url_filter,
+    "op2_ngram_jaccard": op2_ngram_jaccard,
     "op4_chat_formatting": op4_chat_formatting,
     "op5_bpe": op5_bpe,
     "op7_pii": op7_pii,
@@ -78,6 +84,20 @@ SELECT c.page_id, c.host, c.path, f.rule,
        coalesce(f.verdict, CASE WHEN l.url IS NOT NULL AND c.host <> '' THEN 'block' ELSE 'allow' END) AS verdict
 FROM canon c LEFT JOIN fits f ON f.host = c.host AND f.path = c.path AND f.k = 1
 LEFT JOIN listed l ON l.url = c.url
+""",
+    "op2_ngram_jaccard": r"""
+WITH RECURSIVE low AS (
+  SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+w AS (SELECT doc_id, regexp_extract_all(t, '[^ \t\n\x0B\f\r]+') AS ws FROM low),
+starts AS (SELECT doc_id, ws, unnest(generate_series(1, greatest(len(ws) - 4, 1))) AS i FROM w WHERE len(ws) > 0),
+s AS (SELECT DISTINCT doc_id, array_to_string(ws[i:i + 4], ' ') AS g FROM starts),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS (SELECT a, b FROM shared JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * k >= 75 * (x.n + y.n - k)),
+edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach(doc_id, other) AS (SELECT doc_id, doc_id FROM n UNION SELECT r.doc_id, e.b FROM reach r JOIN edges e ON e.a = r.other)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(r.c, d.doc_id) AS component_id
+FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT doc_id, min(other) AS c FROM reach GROUP BY 1) r USING (doc_id)
 """,
     "op4_chat_formatting": r"""
 WITH t AS (
