@@ -6,7 +6,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlake.llm import bpe, chat_format, decontaminate, ngram_join, pii, quality, url_filter
+from ledgerlake.llm import bpe, chat_format, decontaminate, embed_dedup, ngram_join, pii, quality, url_filter
 from ledgerlake.llm.common import read_table
 from ledgerlake.session import ship_package
 
@@ -34,6 +34,11 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest(read_table(spark, sf_dir, "documents"), bpe.ranks_bytes(RANKS))
 
 
+def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    return embed_dedup.near_duplicates(read_table(spark, sf_dir, "embeddings"))
+
+
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship_package(spark)
     return pii.digest(read_table(spark, sf_dir, "documents"))
@@ -55,6 +60,7 @@ QUERIES = {
     "op2_ngram_jaccard": op2_ngram_jaccard,
     "op4_chat_formatting": op4_chat_formatting,
     "op5_bpe": op5_bpe,
+    "op6_embedding_dedup": op6_embedding_dedup,
     "op7_pii": op7_pii,
     "op8_decontamination": op8_decontamination,
     "op10_quality": op10_quality,
@@ -122,6 +128,19 @@ SELECT conv_id, count(*) AS n_turns,
        sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
        sum(chars)::BIGINT AS formatted_chars
 FROM p GROUP BY conv_id
+""",
+    "op6_embedding_dedup": """
+WITH RECURSIVE usable AS (
+  SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE len(embedding) > 0 AND list_count(embedding) = len(embedding)
+    AND isfinite(list_sum(embedding)) AND list_inner_product(embedding::DOUBLE[], embedding::DOUBLE[]) > 0),
+unit AS (SELECT vec_id, v, sqrt(list_inner_product(v, v)) AS l FROM usable),
+links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM unit a JOIN unit b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+          WHERE list_inner_product(a.v, b.v) / (a.l * b.l) >= 0.9),
+reach(vec_id, other) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT r.vec_id, l.b FROM reach r JOIN links l ON l.a = r.other)
+SELECT e.vec_id, coalesce(k.n, 0) AS n_links, r.c AS component_id, e.vec_id = r.c AS kept
+FROM embeddings e JOIN (SELECT vec_id, min(other) AS c FROM reach GROUP BY 1) r USING (vec_id)
+LEFT JOIN (SELECT a, count(*) AS n FROM links GROUP BY 1) k ON k.a = e.vec_id
 """,
     # windows are counted from their first equal word: one that would leave the
     # item holds no more than the last window inside it
