@@ -5,8 +5,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgerlake.llm import bpe, chat_format, decontaminate, embed_dedup, ngram_join, pii, quality, url_filter
+from ledgerlake.llm import bpe, chat_format, decontaminate, embed_dedup, lm_score, ngram_join, pii, quality, url_filter
 from ledgerlake.llm.common import read_table
 from ledgerlake.session import ship_package
 
@@ -22,6 +23,12 @@ def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_classes(read_table(spark, sf_dir, "documents"))
 
 
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    scored = lm_score.score(read_table(spark, sf_dir, "documents"))
+    return scored.withColumn("score", F.round("score", 4))
+
+
 def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     probe = spark.range(1).selectExpr("inline(array({}))".format(", ".join(
@@ -58,6 +65,7 @@ RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 QUERIES = {
     "op1_url_filter": op1_url_filter,
     "op2_ngram_jaccard": op2_ngram_jaccard,
+    "op3_lm_scoring": op3_lm_scoring,
     "op4_chat_formatting": op4_chat_formatting,
     "op5_bpe": op5_bpe,
     "op6_embedding_dedup": op6_embedding_dedup,
@@ -104,6 +112,30 @@ edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
 reach(doc_id, other) AS (SELECT doc_id, doc_id FROM n UNION SELECT r.doc_id, e.b FROM reach r JOIN edges e ON e.a = r.other)
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(r.c, d.doc_id) AS component_id
 FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT doc_id, min(other) AS c FROM reach GROUP BY 1) r USING (doc_id)
+""",
+    "op3_lm_scoring": r"""
+WITH low AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^ \t\n\x0B\f\r]+') AS ws FROM documents),
+t AS (SELECT doc_id, unnest(ws) AS w, generate_subscripts(ws, 1) AS i FROM low),
+p AS (SELECT doc_id, i, w, lag(w) OVER (PARTITION BY doc_id ORDER BY i) AS v FROM t),
+n AS (SELECT count(*) AS n FROM t),
+cw AS (SELECT w, count(*) AS c FROM t GROUP BY w),
+cp AS (SELECT v, w, count(*) AS c FROM p WHERE v IS NOT NULL GROUP BY v, w),
+ow AS (SELECT doc_id, w, count(*) AS c FROM t GROUP BY doc_id, w),
+op AS (SELECT doc_id, v, w, count(*) AS c FROM p WHERE v IS NOT NULL GROUP BY doc_id, v, w),
+s AS (
+  SELECT p.doc_id, p.v, cp.c - op.c AS pairs, cv.c - ov.c AS befores,
+         CASE WHEN cw.c > ow.c THEN cw.c - ow.c ELSE 0.4::DOUBLE END
+           / greatest(n.n - count(*) OVER (PARTITION BY p.doc_id), 1) AS alone
+  FROM p CROSS JOIN n JOIN cw ON cw.w = p.w JOIN ow ON ow.doc_id = p.doc_id AND ow.w = p.w
+    LEFT JOIN cp ON cp.v = p.v AND cp.w = p.w LEFT JOIN op ON op.doc_id = p.doc_id AND op.v = p.v AND op.w = p.w
+    LEFT JOIN cw cv ON cv.w = p.v LEFT JOIN ow ov ON ov.doc_id = p.doc_id AND ov.w = p.v),
+g AS (
+  SELECT doc_id, sum(log10(CASE WHEN v IS NULL THEN alone WHEN pairs > 0 THEN pairs / befores::DOUBLE
+                                ELSE 0.4::DOUBLE * alone END)) AS score
+  FROM s GROUP BY doc_id)
+SELECT low.doc_id, len(ws) AS n_words, round(coalesce(g.score, 0.0), 4) AS score FROM low LEFT JOIN g USING (doc_id)
 """,
     "op4_chat_formatting": r"""
 WITH t AS (
