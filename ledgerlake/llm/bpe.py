@@ -330,3 +330,26 @@ def digest(df: DataFrame, ranks: bytes) -> DataFrame:
 
     return df.select("doc_id", "text").mapInArrow(
         run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+
+
+def checked(df: DataFrame, ranks: bytes) -> DataFrame:
+    """``df`` with ``ids``, ``n_tokens`` and ``round_trip``: whether the decoded
+    ids are the text's bytes (slice by slice, so that decoded texts never gather)."""
+    added = ("ids", "n_tokens", "round_trip")
+    kept = [c for c in df.columns if c not in added]
+    df = df.select(*[F.col(f"`{c}`") for c in kept])
+
+    def run(batches):
+        coder = Coder.of(ranks)
+        for b in slices(batches, "text"):
+            col = b.column(b.schema.get_field_index("text"))
+            ids, edge = coder.encode(col)
+            raw, offsets = string_bytes(col)
+            raw, offsets = raw.tobytes(), offsets - offsets[0]
+            same = [x == raw[a:z] for x, a, z in zip(coder.decode(ids, edge), offsets[:-1], offsets[1:])]
+            lists = pa.ListArray.from_arrays(pa.array(edge, pa.int32()), pa.array(ids, pa.int32()))
+            yield pa.RecordBatch.from_arrays([*b.columns, lists, pa.array(np.diff(edge), pa.int64()),
+                                              pa.array(same, pa.bool_())], names=[*kept, *added])
+
+    kinds = (T.ArrayType(T.IntegerType()), T.LongType(), T.BooleanType())
+    return df.mapInArrow(run, T.StructType([*df.schema.fields, *map(T.StructField, added, kinds)]))

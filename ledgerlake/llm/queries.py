@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import bpe, chat_format, decontaminate, embed_dedup, lm_score, ngram_join, pii, quality, url_filter
+from ledgerlake.llm import bpe, chat_format, decontaminate, embed_dedup, license_scan, lm_score, ngram_join, pii, quality, url_filter
 from ledgerlake.llm.common import read_table
 from ledgerlake.session import ship_package
 
@@ -54,6 +54,10 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(read_table(spark, sf_dir, "documents"))
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship_package(spark)
     return quality.digest(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
@@ -71,6 +75,7 @@ QUERIES = {
     "op6_embedding_dedup": op6_embedding_dedup,
     "op7_pii": op7_pii,
     "op8_decontamination": op8_decontamination,
+    "op9_license_scan": op9_license_scan,
     "op10_quality": op10_quality,
 }
 
@@ -188,5 +193,25 @@ c AS (SELECT doc_id, item_id, width, count(*) OVER (PARTITION BY doc_id, item_id
              RANGE BETWEEN CURRENT ROW AND 12 FOLLOWING) AS matched FROM m)
 SELECT doc_id, item_id, max(matched)::INTEGER AS matched FROM c WHERE matched >= width - (width * 2) // 13
 GROUP BY doc_id, item_id
+""",
+    # the sentences that the tables hold, and a rule for each
+    "op9_license_scan": r"""
+WITH cut AS (
+  SELECT doc_id, unnest(w) AS raw, generate_subscripts(w, 1) AS position
+  FROM (SELECT doc_id, regexp_split_to_array(text, '[.!?;][^\p{L}\p{N}\s]*\s+|\n+') AS w FROM documents)),
+known(sentence, sentence_id, license, rank) AS (VALUES
+  ('licensed under the apache license version 2 0', 'apache-line', 'Apache-2.0', 1),
+  ('released under the mit license', 'mit-line', 'MIT', 2),
+  ('this work is licensed under the gnu general public license version 3', 'gpl3-line', 'GPL-3.0', 3),
+  ('licensed under cc by nc 4 0', 'ccbync-line', 'CC-BY-NC-4.0', 4),
+  ('all rights reserved', 'reserved', NULL, 5)),
+hits AS (
+  SELECT doc_id, position, sentence_id, license, rank FROM cut
+  JOIN known ON sentence = trim(regexp_replace(lower(raw), '[^\p{L}\p{N}]+', ' ', 'g'))),
+found AS (SELECT doc_id, license, rank FROM hits GROUP BY ALL)
+SELECT doc_id, string_agg(sentence_id, ' ' ORDER BY position) AS sentences,
+       coalesce((SELECT string_agg(license, ',' ORDER BY rank) FROM found f WHERE f.doc_id = h.doc_id), '') AS licenses,
+       coalesce(string_agg(sentence_id, ' ' ORDER BY position) FILTER (license IS NULL), '') AS rest
+FROM hits h GROUP BY doc_id
 """,
 }
