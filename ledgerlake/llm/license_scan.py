@@ -70,7 +70,7 @@ RULES = [
     ("CC-BY-4.0", ("ccby-line",)),
     ("CC0-1.0", ("cc0-line",)),
 ]
-SPLIT = r"[.!?;][^\p{L}\p{N}\s]*\s+|\n+"
+SPLIT = r"[.;][^\p{L}\p{N}\s]*\s+|\n+"
 
 
 def normalised(sentence: Column) -> Column:

@@ -198,7 +198,7 @@ GROUP BY doc_id, item_id
     "op9_license_scan": r"""
 WITH cut AS (
   SELECT doc_id, unnest(w) AS raw, generate_subscripts(w, 1) AS position
-  FROM (SELECT doc_id, regexp_split_to_array(text, '[.!?;][^\p{L}\p{N}\s]*\s+|\n+') AS w FROM documents)),
+  FROM (SELECT doc_id, regexp_split_to_array(text, '[.;][^\p{L}\p{N}\s]*\s+|\n+') AS w FROM documents)),
 known(sentence, sentence_id, license, rank) AS (VALUES
   ('licensed under the apache license version 2 0', 'apache-line', 'Apache-2.0', 1),
   ('released under the mit license', 'mit-line', 'MIT', 2),
