@@ -15,7 +15,7 @@ from ledgerlake.operators.expectations import (append_run_log, gates, null_rate,
                                                run_expectations, run_log_rows, summarise,
                                                write_summary_json)
 from ledgerlake.operators.forest import fraud_signals, score, score_silver, train_forest
-from ledgerlake.operators.gold import gold_summary, gold_summary_sql, write_gold
+from ledgerlake.operators.gold import category_ranking_sql, gold_summary, gold_summary_sql, write_gold
 from ledgerlake.operators.metrics import alerts, batch_metrics
 from ledgerlake.operators.quarantine import expire, quarantined, replay, write_quarantine
 from ledgerlake.operators.signals import anomalies, append_absent, for_user, recent
@@ -30,7 +30,7 @@ __all__ = [
     "accepted", "alerts", "anomalies", "append_absent", "append_run_log", "apply_changes",
     "audit", "batch_metrics", "build_session", "by_category", "by_hour", "changes_since",
     "checkpoint_dir", "cnp_split", "decode", "dq_trend", "encode", "envelope", "expire",
-    "for_user", "fraud_rate", "fraud_signals", "gates", "gold_summary", "gold_summary_sql",
+    "category_ranking_sql", "for_user", "fraud_rate", "fraud_signals", "gates", "gold_summary", "gold_summary_sql",
     "load_table", "mask_ip", "null_rate", "parse_changes", "passes_gate", "quarantined",
     "quarantined_changes", "read_kafka_stream", "recent", "replay", "role_view",
     "run_expectations", "run_log_rows", "score", "score_silver", "start_stream", "state_at",

@@ -16,8 +16,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerlake.session import checkpoint_dir
-
 OPS = ("c", "u", "d", "r")
 
 
@@ -47,11 +45,19 @@ def _parsed_once(messages: DataFrame, row: T.StructType, value: str, extra: list
     return messages.select(F.inline(F.array(F.struct(parsed.alias("_c"), *extra))))
 
 
-def _reason() -> Column:
-    op = F.col("_c.op")
-    return (F.when(F.col("_c").isNull() | F.col("_c._corrupt").isNotNull() | op.isNull(),
-                   F.lit("bad_json"))
-            .when(~op.isin(*OPS), F.lit("bad_op")))
+def _reason(key: list[str], value: Column) -> Column:
+    """Why a message cannot be applied; the key columns are already resolved.
+    ``tombstone`` marks the NULL value that follows a delete: no fault."""
+    op, image = F.col("_c.op"), F.col("_c.after")
+    no_key = F.lit(False)
+    for k in key:
+        no_key = no_key | F.col(k).isNull()
+    return (F.when(value.isNull(), "tombstone")
+            .when(F.col("_c").isNull() | F.col("_c._corrupt").isNotNull() | op.isNull(), "bad_json")
+            .when(~op.isin(*OPS), "bad_op")
+            .when(no_key, "missing_key")
+            .when(F.col("_c.source.lsn").isNull(), "missing_lsn")
+            .when((op != "d") & image.isNull(), "missing_after"))
 
 
 def parse_changes(messages: DataFrame, row: T.StructType, key: list[str],
@@ -61,40 +67,44 @@ def parse_changes(messages: DataFrame, row: T.StructType, key: list[str],
     table, seq, _reason)``.
 
     The key comes from the message key when present (a delete may carry a
-    NULL or key-only ``before``), else from ``after``/``before``.  Malformed
-    text or an unknown op gives ``_reason = 'bad_json'`` / ``'bad_op'``
-    (route those to quarantine); nothing raises.
+    NULL or key-only ``before``), else from ``after``/``before``.  A message
+    that cannot be applied gets a ``_reason``: ``bad_json``, ``bad_op``,
+    ``missing_key``, ``missing_lsn`` or ``missing_after`` (route those to
+    quarantine), or ``tombstone`` (the NULL value after a delete, dropped);
+    nothing raises.
     """
+    keyed = _keyed(messages, row, key, value, message_key, [
+        (F.col(seq).cast("long") if seq and seq in messages.columns else F.lit(0).cast("long")).alias("seq")])
+    return keyed.select(*key, F.col("_c.op").alias("op"), F.col("_c.before").alias("before"),
+                        F.col("_c.after").alias("after"), F.col("_c.source.lsn").alias("lsn"),
+                        F.col("_c.source.txId").alias("tx_id"),
+                        F.col("_c.source.table").alias("table"), "seq",
+                        _reason(key, F.col("_value")).alias("_reason"))
+
+
+def _keyed(messages: DataFrame, row: T.StructType, key: list[str], value: str,
+           message_key: str | None, extra: list) -> DataFrame:
+    """The parsed message ``_c``, its text ``_value`` and the resolved key columns."""
     key_schema = T.StructType([row[k] for k in key])
     mk = (F.from_json(F.col(message_key), key_schema, {"mode": "PERMISSIVE"})
-          if message_key and message_key in messages.columns else None)
-    seq_col = F.col(seq).cast("long") if seq and seq in messages.columns else F.lit(0).cast("long")
-    once = _parsed_once(messages, row, value, [
-        seq_col.alias("seq"),
-        (mk if mk is not None else F.lit(None).cast(key_schema)).alias("_mk")])
-    cols = [F.coalesce(F.col("_mk")[k], F.col("_c.after")[k], F.col("_c.before")[k]).alias(k)
-            for k in key]
-    return once.select(*cols, F.col("_c.op").alias("op"), F.col("_c.before").alias("before"),
-                       F.col("_c.after").alias("after"), F.col("_c.source.lsn").alias("lsn"),
-                       F.col("_c.source.txId").alias("tx_id"),
-                       F.col("_c.source.table").alias("table"), "seq",
-                       _reason().alias("_reason"))
-
-
-def quarantined_changes(messages: DataFrame, row: T.StructType,
-                        value: str = "value") -> DataFrame:
-    """Q1 for change messages: malformed JSON / unknown op in the quarantine
+          if message_key and message_key in messages.columns else F.lit(None).cast(key_schema))
+    once = _parsed_once(messages, row, value, [mk.alias("_mk"), F.col(value).alias("_value"), *extra])
+    return once.select("*", *[F.coalesce(F.col("_mk")[k], F.col("_c.after")[k], F.col("_c.before")[k]).alias(k)
+                              for k in key])
+
+
+def quarantined_changes(messages: DataFrame, row: T.StructType, key: list[str],
+                        value: str = "value", message_key: str | None = "key") -> DataFrame:
+    """Q1 for change messages: those that cannot be applied in the quarantine
     shape (original text kept as bytes, position, reason, detection time)."""
     msgs = messages
     for c in ("kafka_partition", "kafka_offset"):
         if c not in msgs.columns:
             msgs = msgs.withColumn(c, F.lit(None).cast("int" if c == "kafka_partition" else "long"))
-    once = _parsed_once(msgs, row, value, [F.col(value).alias("_raw"),
-                                           "kafka_partition", "kafka_offset"])
-    reason = _reason()
-    return (once.select(F.col("_raw").cast("binary").alias("raw_value"), "kafka_partition",
-                        "kafka_offset", reason.alias("reason"))
-            .filter(F.col("reason").isNotNull())
+    keyed = _keyed(msgs, row, key, value, message_key, [F.col("kafka_partition"), F.col("kafka_offset")])
+    return (keyed.select(F.col("_value").cast("binary").alias("raw_value"), "kafka_partition",
+                         "kafka_offset", _reason(key, F.col("_value")).alias("reason"))
+            .filter(F.col("reason") != "tombstone")
             .withColumn("violations", F.lit(None).cast("array<struct<field:string,rule:string>>"))
             .withColumn("violation_summary", F.lit(None).cast("string"))
             .withColumn("detected_at", F.current_timestamp())
@@ -138,11 +148,6 @@ def changes_since(changes: DataFrame, lsn: int | Column) -> DataFrame:
     return changes.filter(F.col("lsn") > lsn)
 
 
-# Change batches touching at most this many distinct keys merge by
-# broadcasting the key set (an 8-byte key is ~16 MB per million keys).
-BROADCAST_KEYS_MAX = 2_000_000
-
-
 def _table_as_changes(table: DataFrame, key: list[str], row_fields: list[str],
                       before_type, table_lsn: str | None) -> DataFrame:
     lsn_col = (F.col(table_lsn) if table_lsn and table_lsn in table.columns
@@ -159,8 +164,7 @@ def _table_as_changes(table: DataFrame, key: list[str], row_fields: list[str],
 
 def apply_changes(table: DataFrame, changes: DataFrame, key: list[str],
                   table_lsn: str | None = "_lsn", applied_through: int | None = None,
-                  keep_tombstones: bool = False,
-                  broadcast_keys_max: int = BROADCAST_KEYS_MAX) -> DataFrame:
+                  keep_tombstones: bool = False) -> DataFrame:
     """Merge a batch of changes into a keyed table.
 
     The table's rows enter as snapshot changes at their own ``_lsn`` (or at
@@ -173,12 +177,12 @@ def apply_changes(table: DataFrame, changes: DataFrame, key: list[str],
     (``keep_tombstones``) or the caller passes ``applied_through``, the LSN
     the table is known to be current to.
 
-    Plan: the batch's distinct keys are counted first (one number).  Within
-    ``broadcast_keys_max`` the key set is broadcast and the table is split
-    by a broadcast anti join (rows that pass through, never shuffled) and a
-    broadcast semi join (rows to merge); only the touched rows and the
-    changes are shuffled.  Beyond the bound the whole table is merged in one
-    shuffle.
+    A primary key is not NULL: table rows and changes without one are left
+    out.  Rows of keys that the batch does not touch pass through as they are.
+
+    Plan: the table is split by the batch's keys with a semi and an anti join;
+    neither carries a hint, so the rows do not depend on how Spark runs them
+    (by size it broadcasts the keys, and the untouched rows are not shuffled).
     """
     row_fields = list(changes.schema["after"].dataType.fieldNames())
     before_type = changes.schema["before"].dataType
@@ -192,17 +196,11 @@ def apply_changes(table: DataFrame, changes: DataFrame, key: list[str],
         return _rows(latest_per_key(as_changes.unionByName(ch), key), key,
                      keep_lsn=keep_lsn, keep_tombstones=keep_tombstones)
 
-    if broadcast_keys_max <= 0:
-        return merge(table)
-    # the batch's key set is used twice (counted, then broadcast): materialise
-    # it once with a reliable checkpoint in the shared checkpoint folder
-    checkpoint_dir(changes.sparkSession)
-    touched = ch.select(*key).distinct().checkpoint()
-    if touched.count() > broadcast_keys_max:
-        return merge(table)
-    keys_b = F.broadcast(touched)
-    merged = merge(table.join(keys_b, on=key, how="left_semi"))
-    rest = table.join(keys_b, on=key, how="left_anti")
+    present = " AND ".join(f"`{k}` IS NOT NULL" for k in key)
+    ch, table = ch.filter(present), table.filter(present)
+    touched = ch.select(*key).distinct()
+    merged = merge(table.join(touched, on=key, how="left_semi"))
+    rest = table.join(touched, on=key, how="left_anti")
     deleted = "_deleted" in rest.columns
     if deleted and not keep_tombstones:
         rest = rest.filter(~F.col("_deleted"))

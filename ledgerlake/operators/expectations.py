@@ -145,15 +145,12 @@ def run_expectations(df: DataFrame, rules: list[Rule] | None = None,
     ``by`` evaluates the suite per group (e.g. per ``event_date``) in the same
     two jobs; ``run_id`` may be a literal or a column expression over ``by``.
     Each row also carries ``passed_records`` (rows with dq_passed = true in the
-    run) when the input has a ``dq_passed`` column, for the run log.
+    run) when the input has a ``dq_passed`` column, for the run log.  Without
+    ``by`` there is one run over everything, also over an empty table: its
+    rules are evaluated on no rows (a mean of nothing fails).
     """
     rules = list(SUITE if rules is None else rules)
     keys = [by] if isinstance(by, str) else list(by or [])
-    if not keys:  # one run over everything: a literal key joins the two jobs
-        df = df.withColumn("_run", F.lit(0))
-        keys, drop = ["_run"], ["_run"]
-    else:
-        drop = []
     aggs = _agg_columns(rules)
     if "dq_passed" in df.columns:
         aggs.append(F.count_if(F.col("dq_passed") == F.lit(True)).alias("passed_records"))
@@ -176,7 +173,7 @@ def run_expectations(df: DataFrame, rules: list[Rule] | None = None,
     out = main.select(*keys, rid.alias("run_id"),
                       F.inline(F.array(*[_result_struct(i, r) for i, r in enumerate(rules)])),
                       "passed_records")
-    return out.drop(*drop)
+    return out
 
 
 def summarise(results: DataFrame, batch_id: str | Column | None = None) -> DataFrame:
@@ -237,11 +234,12 @@ def run_log_rows(summary: DataFrame, run_timestamp: Column | None = None) -> Dat
 
 
 def write_summary_json(summary: DataFrame, path: str) -> None:
-    """K5: validation summaries as JSON, one folder per run date
-    (``run_date=YYYY-MM-DD``); a rerun of the same run_id overwrites it."""
-    (summary.withColumn("run_date", F.current_date())
+    """K5: validation summaries as JSON, one folder per run, with the run's
+    time; a rerun of the same run_id, on whichever day, overwrites it."""
+    (summary.withColumn("run_timestamp", F.current_timestamp())
+     .withColumn("run_date", F.current_date())
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("run_date", "run_id").json(path))
+     .partitionBy("run_id").json(path))
 
 
 def append_run_log(spark, rows: DataFrame, path: str) -> DataFrame:
@@ -253,10 +251,9 @@ def append_run_log(spark, rows: DataFrame, path: str) -> DataFrame:
     folder inside the job is safe.
     """
     from ledgerlake.operators.signals import append_absent
-    try:
-        existing = spark.read.parquet(path).select("run_id")
-    except Exception:  # noqa: BLE001 -- first run: the log does not exist yet
-        existing = spark.createDataFrame([], "run_id string")
+    from ledgerlake.sources.tables import path_exists
+    existing = (spark.read.parquet(path).select("run_id") if path_exists(spark, path)
+                else spark.createDataFrame([], "run_id string"))
     new = append_absent(rows, existing, "run_id")
     new.write.mode("append").parquet(path)
     return new

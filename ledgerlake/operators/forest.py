@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlake.schemas import VALID_CATEGORIES
-from ledgerlake.session import spread
+from ledgerlake.session import checkpoint_dir, spread
 
 EULER_GAMMA = 0.5772156649015329
 DEFAULT_TREES = 100
@@ -297,25 +297,10 @@ def score(tx: DataFrame, nodes: DataFrame | dict, threshold: float | None = None
     return scored
 
 
-THRESHOLD_SAMPLE = 1_000_000
-
-
-def fit_threshold(train_scores: DataFrame, contamination: float = DEFAULT_CONTAMINATION) -> float:
+def fit_threshold(train_scores: DataFrame, contamination: float = DEFAULT_CONTAMINATION) -> float | None:
     """Score above which the top ``contamination`` share of training rows lie
-    (``percentile_approx``, one number to the driver)."""
-    return float(train_scores.agg(
-        F.percentile_approx("fraud_score", 1.0 - contamination, 10000)).first()[0])
-
-
-def threshold_rows(train: DataFrame, seed: int = 42, n_rows: int | None = None) -> DataFrame:
-    """The training rows the threshold is estimated on: all of them up to
-    THRESHOLD_SAMPLE rows, else a hash sample of about that many (a quantile
-    estimate needs no more; every row is still scored)."""
-    n = train.count() if n_rows is None else n_rows
-    if n <= THRESHOLD_SAMPLE:
-        return train
-    key = F.coalesce(F.col("event_id"), F.lit(""))
-    return train.filter(_unit_hash(key, F.lit(seed + 2)) < THRESHOLD_SAMPLE / n)
+    (``percentile_approx``, one number to the driver); None without rows."""
+    return train_scores.agg(F.percentile_approx("fraud_score", 1.0 - contamination, 10000)).first()[0]
 
 
 def score_silver(silver: DataFrame, nodes: DataFrame | None = None,
@@ -334,10 +319,15 @@ def score_silver(silver: DataFrame, nodes: DataFrame | None = None,
     if nodes is None:
         nodes = train_forest(silver, n_rows=n, **train_kw)
     model = load_model(nodes)            # one training job; bounded collect
-    thr = fit_threshold(score(threshold_rows(train, n_rows=n), model), contamination)
     version = "iforest-t{}-psi{}".format(
         train_kw.get("n_trees", DEFAULT_TREES), train_kw.get("sample_size", DEFAULT_SAMPLE))
-    return score(silver, model, threshold=thr, model_version=version)
+    # every row is scored once and kept in the shared folder; the threshold is a
+    # quantile of all training scores, whatever their number
+    checkpoint_dir(silver.sparkSession)
+    scored = score(silver, model, model_version=version).checkpoint()
+    thr = fit_threshold(scored.filter(F.col("dq_passed") == F.lit(True)), contamination)
+    return (scored.withColumn("anomaly_threshold", F.lit(thr).cast("double"))
+            .withColumn("is_anomaly", F.col("fraud_score") >= F.col("anomaly_threshold")))
 
 
 def fraud_signals(scored: DataFrame) -> DataFrame:
@@ -347,3 +337,11 @@ def fraud_signals(scored: DataFrame) -> DataFrame:
         F.col("amount").try_cast("decimal(12,2)").alias("amount"), "currency", "country_code",
         "fraud_score", "is_anomaly", "anomaly_threshold", "top_feature_1", "top_feature_2",
         "top_feature_3", "model_version", "processed_at")
+
+
+def write_signals(scored: DataFrame, path: str) -> None:
+    """K8: the stored scored-records table that N4-N6 read, sorted within its
+    files by user so that a lookup of one user skips row groups."""
+    (fraud_signals(scored).withColumn("event_date", F.to_date("event_timestamp"))
+     .sortWithinPartitions("user_id", "event_timestamp")
+     .write.mode("overwrite").parquet(path))

@@ -32,7 +32,7 @@ def quarantined(decoded: DataFrame, raw: str = "raw_bytes",
     """Q1 + Q2: the rejected side of ``wire.decode`` in the quarantine shape."""
     ts = detected_at if detected_at is not None else F.current_timestamp()
     return (decoded.filter(F.col("_reason").isNotNull())
-            .select(F.col(raw).alias("raw_value"), "kafka_partition", "kafka_offset",
+            .select(F.col(raw).alias("raw_value"), "kafka_timestamp", "kafka_partition", "kafka_offset",
                     F.col("_reason").alias("reason"),
                     F.col("_violations").alias("violations"),
                     violation_summary(F.coalesce(F.col("_violations"),
@@ -43,14 +43,13 @@ def quarantined(decoded: DataFrame, raw: str = "raw_bytes",
 
 
 def write_quarantine(q: DataFrame, path: str, batch_id: int | None = None) -> None:
-    """Q3: append by ``detected_date``.  With ``batch_id`` the batch owns its
-    own sub-partition and a retried batch overwrites it (idempotent)."""
+    """Q3: append by ``detected_date``.  With ``batch_id`` the batch owns the
+    folder ``_batch_id=N``, which a retry overwrites whole: also one that runs
+    after midnight and detects on another date."""
     if batch_id is None:
         q.write.mode("append").partitionBy("detected_date").parquet(path)
-        return
-    (q.withColumn("_batch_id", F.lit(int(batch_id)))
-      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-      .partitionBy("detected_date", "_batch_id").parquet(path))
+    else:
+        q.write.mode("overwrite").partitionBy("detected_date").parquet(f"{path}/_batch_id={int(batch_id)}")
 
 
 def replay(quarantine: DataFrame, schemas: DataFrame | dict,
@@ -62,7 +61,8 @@ def replay(quarantine: DataFrame, schemas: DataFrame | dict,
     accepted are removed with a left-anti join on the key."""
     raw = F.col("raw_value")
     env = quarantine.select(
-        F.lit(None).cast("timestamp").alias("kafka_timestamp"),
+        (F.col("kafka_timestamp") if "kafka_timestamp" in quarantine.columns
+         else F.lit(None).cast("timestamp")).alias("kafka_timestamp"),
         "kafka_partition", "kafka_offset",
         (fix(raw) if fix else raw).alias("raw_bytes"))
     if already_accepted is not None:
@@ -81,8 +81,9 @@ def expire(quarantine: DataFrame, today: str | Column | None = None,
 
 def drop_expired_partitions(spark: SparkSession, path: str, today: str,
                             days: int = QUARANTINE_RETENTION_DAYS) -> list[str]:
-    """Q5 on storage: delete ``detected_date=`` folders older than the window.
-    Only folder names are listed (metadata); no data is read."""
+    """Q5 on storage: delete ``detected_date=`` folders older than the window,
+    also those inside ``_batch_id=`` folders.  Only folder names are listed
+    (metadata); no data is read."""
     import datetime as dt
     cutoff = dt.date.fromisoformat(today) - dt.timedelta(days=days)
     jvm = spark.sparkContext._jvm
@@ -91,14 +92,19 @@ def drop_expired_partitions(spark: SparkSession, path: str, today: str,
     dropped = []
     if not fs.exists(hpath):
         return dropped
-    for st in fs.listStatus(hpath):
+    folders = [st for st in fs.listStatus(hpath) if st.isDirectory()]
+    for st in list(folders):
+        if st.getPath().getName().startswith("_batch_id="):
+            folders += [x for x in fs.listStatus(st.getPath()) if x.isDirectory()]
+    for st in folders:
         name = st.getPath().getName()
-        if st.isDirectory() and name.startswith("detected_date="):
-            try:
-                d = dt.date.fromisoformat(name.split("=", 1)[1])
-            except ValueError:
-                continue
-            if d < cutoff:
-                fs.delete(st.getPath(), True)
-                dropped.append(name)
+        if not name.startswith("detected_date="):
+            continue
+        try:
+            d = dt.date.fromisoformat(name.split("=", 1)[1])
+        except ValueError:
+            continue
+        if d < cutoff:
+            fs.delete(st.getPath(), True)
+            dropped.append(name)
     return dropped

@@ -10,8 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.session import checkpoint_dir
-
 
 def recent(signals: DataFrame, n: int, ts: str = "event_timestamp",
            key: str = "event_id") -> DataFrame:
@@ -29,34 +27,25 @@ def for_user(signals: DataFrame, user_id: str, column: str = "user_id") -> DataF
     return signals.filter(F.col(column) == F.lit(user_id))
 
 
-# New batches with at most this many distinct keys probe the existing table
-# through a broadcast of their key set (about 16 MB per million 8-byte keys).
-BROADCAST_KEYS_MAX = 2_000_000
-
-
 def append_absent(new: DataFrame, existing: DataFrame, key: str | list[str],
-                  broadcast_keys_max: int = BROADCAST_KEYS_MAX) -> DataFrame:
+                  order: list[str] | None = None) -> DataFrame:
     """J1 (``ON CONFLICT (key) DO NOTHING``): rows of ``new`` whose key is not
-    in ``existing``, one per key (the first in the batch is as good as any
-    other, so the batch is de-duplicated with a combinable aggregate).  A
-    primary key cannot be NULL: such rows are rejected, not inserted.
-
-    Plan: the batch's distinct keys are counted (one number).  Within
-    ``broadcast_keys_max`` they are broadcast and semi-joined against
-    ``existing`` -- a scan of its key column, never shuffled -- and the batch
-    is anti-joined with only the keys found.  Beyond the bound a plain
-    left-anti join (sort-merge, or broadcast if AQE finds a side small).
+    in ``existing``, one per key: the first by ``order`` (source position),
+    ties by the row's own columns.  A primary key cannot be NULL: such rows are
+    rejected, not inserted.
+
+    The batch is reduced before the join by a combinable aggregate, so a key
+    that repeats costs one row per task; the anti join carries no hint, and
+    whichever way it runs the rows are the same.
     """
     keys = [key] if isinstance(key, str) else list(key)
+    rest = [c for c in new.columns if c not in keys]
+    first = [F.col(c).alias(f"_o{i}") for i, c in enumerate(order or [])]
+    row = F.struct(*first, *[F.col(c) for c in rest])
     valid = new.filter(" AND ".join(f"`{k}` IS NOT NULL" for k in keys))
-    existing_keys = existing.select(*keys)
-    # anti join first, then one row per key (same result as de-duplicating
-    # first; this order also keeps the optimizer from rewriting the anti
-    # join through the de-duplicating aggregate)
-    if broadcast_keys_max > 0:
-        checkpoint_dir(new.sparkSession)
-        new_keys = valid.select(*keys).distinct().checkpoint()   # small, used twice
-        if new_keys.count() <= broadcast_keys_max:
-            found = existing_keys.join(F.broadcast(new_keys), on=keys, how="left_semi")
-            return valid.join(found.distinct(), on=keys, how="left_anti").dropDuplicates(keys)
-    return valid.join(existing_keys.distinct(), on=keys, how="left_anti").dropDuplicates(keys)
+    if rest:
+        one = valid.groupBy(*keys).agg(F.min(row).alias("_row")).select(
+            *[F.col(k) if k in keys else F.col(f"_row.{k}").alias(k) for k in new.columns])
+    else:
+        one = valid.distinct()
+    return one.join(existing.select(*keys), on=keys, how="left_anti").select(*new.columns)

@@ -18,8 +18,12 @@ Plan, built for a user that holds a third of the table:
   buffered frame for every row, O(n k) for k events per window.  Only
   growing frames are used instead (incremental, O(1) per row):
       count(t) = own rows with time <= t
-               + (all context rows - context rows with shifted time < t)
-  and the same for amounts, so a dense user costs a sort, not k^2.
+               + context rows with shifted time >= t
+  (the second grows from the other end), and the same for amounts: a dense
+  user costs two sorts, not k^2.  Nothing is subtracted, so an amount outside
+  a frame (NaN, infinite, very large) never touches that frame's sum.
+* Rows with a NULL user or time belong to no window; they go around it and
+  never meet in a task.
 """
 
 from __future__ import annotations
@@ -52,6 +56,11 @@ def velocity(tx: DataFrame, minutes: int = DEFAULT_MINUTES,
     if w_us != int(minutes) * 60 * 1_000_000:
         raise ValueError("split must divide the window into whole microseconds")
     cols = tx.columns
+    timed = F.col(ts).isNotNull() & F.col(user).isNotNull()
+    untimed = tx.filter(~timed).select(*cols, F.lit(None).cast("long").alias("velocity_count"),
+                                       F.lit(None).cast("double").alias("velocity_amount"),
+                                       F.lit(None).cast("boolean").alias("velocity_alert"))
+    tx = tx.filter(timed)
     t = F.unix_micros(F.col(ts))
     j = F.floor(t / g_us)
     own = tx.select(*cols, F.col(user).alias("_u"), t.alias("_axis"), j.alias("_b"),
@@ -65,8 +74,7 @@ def velocity(tx: DataFrame, minutes: int = DEFAULT_MINUTES,
     rows = own.unionByName(ctx, allowMissingColumns=True)
     if m > 1:
         # whole sub-buckets inside the frame, pre-aggregated per (user, sub-bucket)
-        per_bucket = (tx.where(t.isNotNull())
-                      .groupBy(F.col(user).alias("_u"), j.alias("_j"))
+        per_bucket = (tx.groupBy(F.col(user).alias("_u"), j.alias("_j"))
                       .agg(F.count(F.lit(1)).alias("_cnt"),
                            F.sum(F.col(amount).cast("double")).alias("_amt"),
                            F.count(F.col(amount)).alias("_nn")))
@@ -77,7 +85,7 @@ def velocity(tx: DataFrame, minutes: int = DEFAULT_MINUTES,
 
     part = Window.partitionBy("_u", "_b")
     upto = part.orderBy("_axis").rangeBetween(Window.unboundedPreceding, 0)
-    below = part.orderBy("_axis").rangeBetween(Window.unboundedPreceding, -1)
+    since = part.orderBy(F.col("_axis").desc()).rangeBetween(Window.unboundedPreceding, 0)
     k = F.col("_kind")
     is_own, is_ctx, is_sum = k == "own", k == "ctx", k == "sum"
     nn_row = F.col("_nn")
@@ -88,20 +96,17 @@ def velocity(tx: DataFrame, minutes: int = DEFAULT_MINUTES,
     def total_d(flag, v, frame):
         return F.coalesce(F.sum(F.when(flag, v)).over(frame), F.lit(0.0))
 
-    count = (total(is_own, F.col("_cnt"), upto) + total(is_ctx, F.col("_cnt"), part)
-             - total(is_ctx, F.col("_cnt"), below) + total(is_sum, F.col("_cnt"), part))
-    amt_n = (total(is_own, nn_row, upto) + total(is_ctx, nn_row, part)
-             - total(is_ctx, nn_row, below) + total(is_sum, nn_row, part))
-    amt_sum = (total_d(is_own, F.col("_amt"), upto) + total_d(is_ctx, F.col("_amt"), part)
-               - total_d(is_ctx, F.col("_amt"), below) + total_d(is_sum, F.col("_amt"), part))
-    scored = rows.select(*cols, "_kind", "_axis", "_u",
-                         count.alias("_n"), amt_n.alias("_nn2"), amt_sum.alias("_s"))
-    valid = F.col("_axis").isNotNull() & F.col("_u").isNotNull()
+    def framed(agg, v):
+        return agg(is_own, v, upto) + agg(is_ctx, v, since) + agg(is_sum, v, part)
+
+    count, amt_n = framed(total, F.col("_cnt")), framed(total, nn_row)
+    scored = rows.select(*cols, "_kind", count.alias("_n"), amt_n.alias("_nn2"),
+                         framed(total_d, F.col("_amt")).alias("_s"))
     return (scored.filter(F.col("_kind") == "own")
-            .select(*cols,
-                    F.when(valid, F.col("_n")).alias("velocity_count"),
-                    F.when(valid & (F.col("_nn2") > 0), F.round(F.col("_s"), 2)).alias("velocity_amount"),
-                    F.when(valid, F.col("_n") > threshold).alias("velocity_alert")))
+            .select(*cols, F.col("_n").alias("velocity_count"),
+                    F.when(F.col("_nn2") > 0, F.round(F.col("_s"), 2)).alias("velocity_amount"),
+                    (F.col("_n") > threshold).alias("velocity_alert"))
+            .unionByName(untimed))
 
 
 def velocity_windows(tx: DataFrame, size: str = "10 minutes", slide: str = "1 minute",

@@ -44,27 +44,27 @@ SILVER = f"""SELECT *, {SILVER_FLAGS}, '1.1.0' AS _pipeline_version FROM ({TX})
 
 def gold_from(source: str) -> str:
     return f"""
-SELECT event_date, merchant_category,
-  COUNT(*) AS total_transactions,
-  CAST(SUM(CAST(_is_fraud_label AS INT)) AS BIGINT) AS fraud_count,
-  {rnd('AVG(CAST(_is_fraud_label AS DOUBLE))*100', 3)} AS fraud_rate_pct,
-  {rnd('AVG(amount)', 2)} AS avg_amount,
-  {rnd('MAX(amount)', 2)} AS max_amount,
-  {rnd('SUM(amount)', 2)} AS total_amount,
-  CAST(SUM(CAST(is_online AS INT)) AS BIGINT) AS online_count,
-  CAST(SUM(CAST(is_high_risk_country AS INT)) AS BIGINT) AS high_risk_country_count
-FROM ({source}) s
-WHERE dq_passed = true
-GROUP BY event_date, merchant_category"""
+SELECT event_date, merchant_category, count(*) AS total_transactions,
+  {rnd('max(amount)', 2)} AS max_amount, {rnd('avg(amount)', 2)} AS avg_amount, {rnd('sum(amount)', 2)} AS total_amount,
+  count(*) FILTER (is_online) AS online_count, count(*) FILTER (is_high_risk_country) AS high_risk_country_count,
+  count(*) FILTER (_is_fraud_label) AS fraud_count,
+  {rnd('100.0 * count(*) FILTER (_is_fraud_label)::DOUBLE / nullif(count(_is_fraud_label), 0)', 3)} AS fraud_rate_pct
+FROM ({source}) s WHERE dq_passed GROUP BY ALL"""
 
 
 GOLD = gold_from(SILVER)
+RANKING = f"""
+SELECT merchant_category, n AS transactions, {rnd('v', 2)} AS volume, {rnd('100 * v / (sum(v) OVER ())', 3)} AS volume_pct,
+  dense_rank() OVER (ORDER BY n DESC)::INTEGER AS place
+FROM (SELECT merchant_category, count(*) AS n, sum(amount) AS v FROM ({SILVER}) s
+      WHERE dq_passed AND merchant_category IS NOT NULL GROUP BY 1) x"""
 
 ORACLE: dict[str, str] = {
     "transactions": TX,
     "silver": SILVER,
     "gold_summary": GOLD,
     "gold_summary_sql": GOLD,
+    "category_ranking_sql": RANKING,
 }
 
 
@@ -352,7 +352,7 @@ SELECT *,
   CASE WHEN event_timestamp IS NOT NULL AND user_id IS NOT NULL THEN COUNT(*) OVER w > 3 END AS velocity_alert
 FROM ({TX}) tx
 WINDOW w AS (PARTITION BY user_id ORDER BY event_timestamp
-             RANGE BETWEEN INTERVAL 10 MINUTES PRECEDING AND CURRENT ROW)"""
+             RANGE BETWEEN INTERVAL 1440 MINUTES PRECEDING AND CURRENT ROW)"""
 VELOCITY_WINDOWS = f"""
 SELECT user_id, make_timestamp(ws) AS window_start, make_timestamp(ws + 600000000) AS window_end,
   COUNT(*) AS velocity_count, {rnd('SUM(amount)', 2)} AS velocity_amount

@@ -71,13 +71,18 @@ def register_partitioned_table(spark: SparkSession, database: str, table: str,
         if found - known:
             log.warning("table %s: files carry new columns %s; schema left unchanged",
                         ident, sorted(found - known))
-    try:
+    if any(c.isPartition for c in spark.catalog.listColumns(f"{database}.{table}")):
         spark.sql(f"MSCK REPAIR TABLE {ident} ADD PARTITIONS")
-    except Exception:  # non-partitioned tables have nothing to repair
-        pass
     return spark.table(ident)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a folder is there, by the file system that holds it (any other
+    failure raises)."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 # ---------------------------------------------------------------------------
 # Fixture: the 14-field transaction contract projected from ``events``.
 # The text is valid in both Spark SQL and DuckDB, so the oracle uses it as is.

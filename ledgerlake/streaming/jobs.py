@@ -6,7 +6,7 @@ and decoded twice and their first offsets can differ) and appends in
 Here (K1-K3, K7, K9, X1-X3, X5):
 
 * one source, decoded once (``mapInArrow`` inside the streaming plan);
-* optional de-duplication on ``event_id`` within a watermark (X5);
+* optional exact de-duplication on ``event_id`` at the silver sink (X5);
 * one ``foreachBatch`` that persists the batch once and writes bronze,
   silver, quarantine and alert rows, each partitioned by ``_batch_id``
   under dynamic partition overwrite -- a replayed batch id rewrites exactly
@@ -73,30 +73,25 @@ def drop_seen(good: DataFrame, silver_path: str, batch_id: int,
     to silver, and repeats inside the batch.  Nothing is dropped for being
     late.  A redelivered event carries its original event time, so only the
     silver partitions of the batch's own ``event_date`` values (each widened
-    by ``horizon_days`` earlier days) are probed: the distinct dates of the
-    batch (a handful of values) become an ``IN`` list that prunes partitions,
-    and only their ``event_id`` column is read.  The batch's own
-    ``_batch_id`` partition is excluded so a retried batch is not
-    de-duplicated against its own earlier attempt.  Rows without a key are
-    kept (they carry ``dq_missing_required``)."""
-    import datetime as dt
-
+    by ``horizon_days`` earlier days) are probed: the dates stay a table whose
+    semi join prunes partitions at run time, and only the ``event_id`` column
+    is read.  The batch's own ``_batch_id`` partition is excluded so a retried
+    batch is not de-duplicated against its own earlier attempt.  Rows without
+    a key are kept (they carry ``dq_missing_required``)."""
     from ledgerlake.operators.signals import append_absent
+    from ledgerlake.sources.tables import path_exists
     spark = good.sparkSession
     keyed = good.filter(F.col("event_id").isNotNull())
     unkeyed = good.filter(F.col("event_id").isNull())
-    try:
-        seen = spark.read.parquet(silver_path)
-    except Exception:  # noqa: BLE001 -- first batch: nothing written yet
-        return keyed.dropDuplicates(["event_id"]).unionByName(unkeyed)
-    dates = [r[0] for r in keyed.select(F.to_date("event_timestamp")).distinct().collect()]
-    wanted = sorted({d - dt.timedelta(days=k) for d in dates if d is not None
-                     for k in range(int(horizon_days) + 1)})
-    in_range = F.col("event_date").isin(*wanted) if wanted else F.lit(False)
-    if any(d is None for d in dates):
-        in_range = in_range | F.col("event_date").isNull()
-    seen = seen.filter(in_range & (F.col("_batch_id") != F.lit(int(batch_id)))).select("event_id")
-    return append_absent(keyed, seen, "event_id").unionByName(unkeyed)
+    order = [c for c in ("kafka_partition", "kafka_offset") if c in good.columns]
+    if not path_exists(spark, silver_path):              # first batch
+        return append_absent(keyed, keyed.select("event_id").limit(0), "event_id", order).unionByName(unkeyed)
+    days = F.sequence(F.lit(0), F.lit(int(horizon_days)))
+    dates = (keyed.select(F.to_date("event_timestamp").alias("d")).distinct()
+             .select(F.explode(F.transform(days, lambda k: F.date_sub("d", k))).alias("d")).distinct())
+    seen = spark.read.parquet(silver_path).filter(F.col("_batch_id") != F.lit(int(batch_id)))
+    seen = seen.join(dates, F.col("event_date").eqNullSafe(F.col("d")), "left_semi").select("event_id")
+    return append_absent(keyed, seen, "event_id", order).unionByName(unkeyed)
 
 
 class QualityGateError(RuntimeError):
@@ -112,9 +107,9 @@ def process_batch(decoded: DataFrame, batch_id: int, paths: Paths,
 
     Alerts are rows and never block by default (as upstream).  With
     ``gate_critical`` the metrics are computed *before* the silver write and
-    a critical alert raises ``QualityGateError``: silver, quarantine and
-    alerts of that batch are not written and the batch is not committed, so
-    it is replayed once the cause is fixed (T7's optional gate)."""
+    a critical alert raises ``QualityGateError`` after its row was written:
+    silver and quarantine of that batch are not, and the batch is not
+    committed, so it is replayed once the cause is fixed (T7's optional gate)."""
     decoded = decoded.persist()
     try:
         # A1: the batch size is observed during the bronze write (no separate
@@ -128,9 +123,10 @@ def process_batch(decoded: DataFrame, batch_id: int, paths: Paths,
             good = drop_seen(good, paths.silver, batch_id, dedupe_horizon_days)
         silver = to_silver(good)
         if gate_critical:
-            critical = (ME.alerts(ME.batch_metrics(silver))
-                        .filter(F.col("severity") == "critical").collect())   # <= 3 rows
+            fired = ME.alerts(ME.batch_metrics(silver)).filter(F.col("severity") == "critical").persist()
+            critical = fired.collect()                   # <= 3 rows
             if critical:
+                _write_partitioned(fired, paths.alerts, batch_id, [])     # the evidence stays
                 raise QualityGateError(
                     f"batch {batch_id}: " + ", ".join(f"{r.rule}={r.observed}" for r in critical))
         # L1-L5 metrics are observed while silver is written (no extra pass)
@@ -153,16 +149,11 @@ def process_batch(decoded: DataFrame, batch_id: int, paths: Paths,
         decoded.unpersist()
 
 
-def decoded_stream(envelopes: DataFrame, schemas, dedupe_within: str | None = None,
-                   event_time: str = "kafka_timestamp",
-                   decode_partitions: int | None = None) -> DataFrame:
-    """Decode a streaming envelope DataFrame; optionally drop redelivered
-    ``event_id``s within ``dedupe_within`` of ``event_time`` (X5, Spark's
-    ``dropDuplicatesWithinWatermark``).  Rows without a key are never merged
-    (their dedupe key is their offset).  Note: Spark drops rows older than
-    the watermark in this mode (counted as ``numRowsDroppedByWatermark``);
-    the exact alternative that drops nothing for lateness is the sink-side
-    ``dedupe_horizon_days`` of ``start_stream``.
+def decoded_stream(envelopes: DataFrame, schemas, decode_partitions: int | None = None) -> DataFrame:
+    """Decode a streaming envelope DataFrame.  Nothing is dropped here:
+    redelivered events are removed at the silver sink (``drop_seen``), after
+    routing, so a rejected message never suppresses a good one and no row is
+    lost for being late.
 
     ``decode_partitions`` deals each micro-batch round-robin over that many
     tasks before the Python decode, for sources with fewer partitions than
@@ -171,21 +162,11 @@ def decoded_stream(envelopes: DataFrame, schemas, dedupe_within: str | None = No
     """
     if decode_partitions:
         envelopes = envelopes.repartition(int(decode_partitions))
-    dec = wire.decode(envelopes, schemas)
-    if dedupe_within:
-        dedupe_key = F.coalesce(F.col("event_id"), F.concat_ws(
-            ":", F.lit("p"), F.col("kafka_partition").cast("string"),
-            F.col("kafka_offset").cast("string")))
-        dec = (dec.withColumn("_dedupe_key", dedupe_key)
-               .withWatermark(event_time, dedupe_within)
-               .dropDuplicatesWithinWatermark(["_dedupe_key"])
-               .drop("_dedupe_key"))
-    return dec
+    return wire.decode(envelopes, schemas)
 
 
 def start_stream(envelopes: DataFrame, schemas, paths: Paths,
-                 trigger: dict | None = None, dedupe_within: str | None = None,
-                 scorer=None, query_name: str | None = None,
+                 trigger: dict | None = None, scorer=None, query_name: str | None = None,
                  decode_partitions: int | None = None,
                  dedupe_horizon_days: int | None = None,
                  gate_critical: bool = False) -> StreamingQuery:
@@ -194,8 +175,7 @@ def start_stream(envelopes: DataFrame, schemas, paths: Paths,
     ``trigger`` is passed to ``DataStreamWriter.trigger`` (X1), e.g.
     ``{"processingTime": "30 seconds"}`` or ``{"availableNow": True}``.
     """
-    dec = decoded_stream(envelopes, schemas, dedupe_within,
-                         decode_partitions=decode_partitions)
+    dec = decoded_stream(envelopes, schemas, decode_partitions)
     w = (dec.writeStream
          .foreachBatch(lambda df, bid: process_batch(df, bid, paths, scorer,
                                                      dedupe_horizon_days, gate_critical))

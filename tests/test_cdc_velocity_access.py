@@ -32,15 +32,38 @@ def test_apply_is_idempotent_and_equals_state(spark):
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
-def test_broadcast_and_shuffle_merges_agree(spark):
+def test_merge_does_not_depend_on_the_join(spark):
     ch = _valid(spark)
-    snap = CD.state_at(ch, ORDER_KEY, lsn=PHASE_STRIDE - 1, keep_lsn=True, keep_tombstones=True)
+    fields = ORDER_ROW.fieldNames()
+    snap = CD.state_at(ch, ORDER_KEY, lsn=PHASE_STRIDE - 1, keep_lsn=True)
+    odd = spark.createDataFrame([(None, None, "a", 1.0, None, None, 1), (None, None, "b", 2.0, None, None, 1)],
+                                snap.select(*fields, "_lsn").schema)
+    table = snap.select(*fields, "_lsn").unionByName(odd).checkpoint()
     later = CD.changes_since(ch, PHASE_STRIDE - 1)
-    a = CD.apply_changes(snap, later, ORDER_KEY, keep_tombstones=True)
-    b = CD.apply_changes(snap, later, ORDER_KEY, keep_tombstones=True, broadcast_keys_max=0)
-    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
-    plan = a._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan or "BroadcastExchange" in plan
+    rows = []
+    for limit in ("10485760", "-1"):
+        old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        rows.append(sorted(map(tuple, CD.apply_changes(table, later, ORDER_KEY).collect()), key=str))
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert rows[0] == rows[1] and all(r[0] is not None for r in rows[0])
+
+
+def test_changes_that_cannot_be_applied(spark):
+    good = '{"after": {"o_orderkey": 1, "o_orderstatus": "O"}, "op": "u", "source": {"lsn": 5}}'
+    rows = [
+        ('{"o_orderkey": 1}', good, None), ('{"o_orderkey": 1}', None, "tombstone"),
+        ('{"o_orderkey": 2}', '{"after": null, "op": "u", "source": {"lsn": 6}}', "missing_after"),
+        ('{"o_orderkey": 3}', '{"after": {"o_orderkey": 3}, "op": "c"}', "missing_lsn"),
+        (None, '{"after": {"o_custkey": 3}, "op": "c", "source": {"lsn": 7}}', "missing_key"),
+        ('{"o_orderkey": 1}', '{"op": "d", "before": null, "source": {"lsn": 4}}', None)]
+    msgs = spark.createDataFrame([(k, v, i) for i, (k, v, _) in enumerate(rows)], "key string, value string, kafka_offset long")
+    got = {r.seq: r._reason for r in CD.parse_changes(msgs, ORDER_ROW, ORDER_KEY).collect()}
+    assert got == {i: why for i, (_, _, why) in enumerate(rows)}
+    q = {r.kafka_offset: r.reason for r in CD.quarantined_changes(msgs, ORDER_ROW, ORDER_KEY).collect()}
+    assert q == {i: why for i, (_, _, why) in enumerate(rows) if why not in (None, "tombstone")}
+    state = CD.state_at(CD.valid_changes(CD.parse_changes(msgs, ORDER_ROW, ORDER_KEY)), ORDER_KEY).collect()
+    assert [(r.o_orderkey, r.o_orderstatus) for r in state] == [(1, "O")]
 
 
 def test_older_change_never_wins(spark):
@@ -74,7 +97,7 @@ def test_delete_without_before_uses_message_key(spark):
     assert reasons[8] == "bad_op" and reasons[9] == "bad_json"
     state = CD.state_at(CD.valid_changes(parsed), ORDER_KEY)
     assert state.count() == 0
-    q = CD.quarantined_changes(msgs, row=ORDER_ROW).orderBy("kafka_offset").collect()
+    q = CD.quarantined_changes(msgs, ORDER_ROW, ORDER_KEY).orderBy("kafka_offset").collect()
     assert [(r.kafka_offset, r.reason) for r in q] == [(2, "bad_op"), (3, "bad_json")]
     assert bytes(q[1].raw_value) == b"not json"
 
@@ -163,3 +186,30 @@ def test_recent_is_top_k(spark):
     assert "TakeOrderedAndProject" in plan
     got = [r.event_timestamp for r in top.collect()]
     assert got == sorted(got, reverse=True)
+
+
+def test_velocity_keeps_odd_amounts_to_their_frames(spark):
+    import datetime as dt
+    import math
+
+    from ledgerlake.operators.velocity import velocity
+    day = dt.datetime(2024, 1, 1)
+
+    def at(m):
+        return day + dt.timedelta(minutes=m)
+
+    for odd in (float("nan"), float("inf"), 1e17):
+        rows = [("u", at(1), odd), ("u", at(15), 5.0), ("u", at(19), 7.0), ("u", at(20), None), ("v", at(15), 1.0)]
+        rows += [(None, at(2), 1.0), ("u", None, odd), (None, None, 2.0)]
+        df = spark.createDataFrame(rows, "user_id string, event_timestamp timestamp, amount double")
+        for split in (1, 5):
+            out = velocity(df, 10, 1, split=split).collect()
+            got = {(r.user_id, r.event_timestamp): r for r in out}
+            assert len(out) == len(rows)
+            assert [got["u", at(m)].velocity_amount for m in (15, 19, 20)] == [5.0, 12.0, 12.0]
+            assert [got["u", at(m)].velocity_count for m in (1, 15, 19, 20)] == [1, 1, 2, 3]
+            first = got["u", at(1)].velocity_amount
+            assert math.isnan(first) if math.isnan(odd) else first == odd
+            assert [got["u", at(m)].velocity_alert for m in (15, 19)] == [False, True]
+            assert all(r.velocity_count is None and r.velocity_amount is None and r.velocity_alert is None
+                       for (u, t), r in got.items() if u is None or t is None)

@@ -111,7 +111,13 @@ def test_empty_inputs_do_not_raise_under_ansi(spark):
     empty = silver_df(spark, SF01).limit(0)
     r = EX.null_rate(empty, ["event_id"]).first()
     assert r.records == 0 and r.null_rate is None
-    assert EX.run_expectations(empty).count() == 0
+    # the suite still runs: 15 results, a mean of nothing fails, both gates fire
+    res = EX.run_expectations(empty)
+    assert res.count() == 15 and {r.rule_id for r in res.filter("NOT success").collect()} == {
+        x.rule_id for x in EX.SUITE if x.expectation == "mean_between"}
+    summary = EX.summarise(res)
+    assert summary.first().status == "FAILED" and EX.run_log_rows(summary).count() == 1
+    assert "G1_run_failed" in {r.gate for r in EX.gates(summary).collect()}
     assert ME.batch_metrics(empty).count() == 0
 
 
