@@ -340,6 +340,7 @@ ORACLE.update({
     "cdc_state": CDC_STATE,
     "cdc_state_at_lsn": CDC_STATE_AT,
     "cdc_apply": CDC_APPLY,
+    "cdc_stream_state": CDC_STATE,
     "cdc_audit": CDC_AUDIT,
 })
 

@@ -31,6 +31,7 @@ from ledgerlake.sources.changes import (ORDER_KEY, ORDER_ROW, PHASE_STRIDE,
                                         change_messages_from_orders)
 from ledgerlake.sources.kafka import UNKNOWN_SCHEMA_ID, envelope_from_events
 from ledgerlake.sources.tables import read_table, transactions_from_events
+from ledgerlake.streaming import changes as CS
 from ledgerlake.streaming import jobs as JB
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -126,6 +127,21 @@ def q_cdc_apply(spark, d):
     return CD.apply_changes(table, batch, ORDER_KEY)
 
 
+def q_cdc_stream_state(spark, d):
+    """Change messages landed as files and streamed into a keyed table; equals
+    the batch state."""
+    root = f"{checkpoint_dir(spark)}/changes-{uuid.uuid4().hex[:12]}"
+    msgs = change_messages_from_orders(read_table(spark, d, "orders"))
+    msgs.repartition(STREAM_FILES, "kafka_offset").write.parquet(f"{root}/landing")
+    paths = CS.ChangePaths(f"{root}/log", f"{root}/rejected", f"{root}/table", f"{root}/_checkpoint")
+    source = (spark.readStream.schema(msgs.schema).option("maxFilesPerTrigger", 2).parquet(f"{root}/landing"))
+    q = CS.start_change_stream(source, ORDER_ROW, ORDER_KEY, paths, {"availableNow": True})
+    q.awaitTermination()
+    if q.exception():
+        raise RuntimeError(str(q.exception()))
+    return CS.current_rows(spark, paths)
+
+
 # -- streaming: stream = batch -------------------------------------------------------------
 def stream_paths(spark: SparkSession, tag: str) -> tuple[str, JB.Paths]:
     """A fresh folder under the session's shared checkpoint dir."""
@@ -219,6 +235,7 @@ QUERIES: dict[str, Query] = {
     "cdc_state_at_lsn": lambda spark, d: CD.state_at(_valid(spark, d), ORDER_KEY,
                                                      lsn=2 * PHASE_STRIDE - 1),
     "cdc_apply": q_cdc_apply,
+    "cdc_stream_state": q_cdc_stream_state,
     "cdc_audit": lambda spark, d: CD.audit(_valid(spark, d), ORDER_KEY)
                                     .select("o_orderkey", "lsn", "op", "column_name"),
     # velocity

@@ -195,3 +195,39 @@ def test_write_time_ordered_slices_are_monotone(spark):
                                         F.count(F.lit(1))).first() for f in files]
     assert sum(b[2] for b in bounds) == tx.count()
     assert all(bounds[i][1] <= bounds[i + 1][0] for i in range(2))
+
+
+def test_change_stream_replay_and_tombstones(spark):
+    from ledgerlake.sources.changes import ORDER_KEY, ORDER_ROW
+    from ledgerlake.streaming import changes as CS
+    root, _ = stream_paths(spark, "t-changes")
+    paths = CS.ChangePaths(f"{root}/log", f"{root}/rej", f"{root}/table", f"{root}/ck")
+
+    def put(k, lsn, op="u", status="O"):
+        image = "null" if op == "d" else '{"o_orderkey": %d, "o_orderstatus": "%s"}' % (k, status)
+        return ('{"o_orderkey": %d}' % k, '{"after": %s, "op": "%s", "source": {"lsn": %d}}' % (image, op, lsn), lsn)
+
+    def batch(*rows):
+        return spark.createDataFrame(list(rows), "key string, value string, kafka_offset long")
+
+    first = batch(put(1, 1), put(2, 2), put(3, 3, "x"))
+    CS.apply_batch(first, 0, ORDER_ROW, ORDER_KEY, paths)
+    second = batch(put(1, 10, "d"), put(2, 11, status="F"), (None, None, 12))
+    for _ in range(2):                                   # a replayed batch changes nothing
+        CS.apply_batch(second, 1, ORDER_ROW, ORDER_KEY, paths)
+        rows = [(r.o_orderkey, r.o_orderstatus) for r in CS.current_rows(spark, paths).collect()]
+        assert rows == [(2, "F")]
+    CS.apply_batch(batch(put(1, 5), put(2, 4, status="P")), 2, ORDER_ROW, ORDER_KEY, paths)   # stale changes
+    assert [(r.o_orderkey, r.o_orderstatus) for r in CS.current_rows(spark, paths).collect()] == [(2, "F")]
+    assert [(r.kafka_offset, r.reason) for r in spark.read.parquet(paths.rejected).collect()] == [(3, "bad_op")]
+
+
+def test_quarantine_retry_after_midnight_keeps_the_count(spark, scratch):
+    from ledgerlake.operators import quarantine as QU
+    q = spark.createDataFrame([(b"x", 0, 1), (b"y", 0, 2)], "raw_value binary, kafka_partition int, kafka_offset long")
+    for day in ("2024-01-01", "2024-01-02"):
+        QU.write_quarantine(q.withColumn("detected_date", F.lit(day).cast("date")), scratch, 7)
+    QU.write_quarantine(q.withColumn("detected_date", F.lit("2024-01-02").cast("date")), scratch, 8)
+    rows = spark.read.parquet(scratch)
+    assert rows.count() == 4 and {str(r.detected_date) for r in rows.collect()} == {"2024-01-02"}
+    assert len(QU.drop_expired_partitions(spark, scratch, "2024-06-01")) == 2
