@@ -1,9 +1,12 @@
-"""Minimal Avro binary codec for flat records (per-row helper).
-
-Supports the types a flat transaction record uses: null, boolean, int,
-long, float, double, bytes, string and unions of them.  It is the small
-per-row piece inside ``mapInPandas``; Spark partitions and schedules the
-work.  Errors raise ``AvroError`` so callers can route the row to quarantine.
+"""Minimal Avro binary codec for flat records.
+
+A transaction record uses null, boolean, int, long, float, double, bytes,
+string and unions of them; those are decoded column by column over a batch's
+byte buffer (``read_columns``: a cursor per message, a few numpy steps per
+field).  Fields of other types (enum, array, map, fixed, nested record) are
+read past: schemas that hold one go message by message (``compile_decoder``).
+Bad bodies are marked, or raise ``AvroError``, so callers can route the row to
+quarantine.
 """
 
 from __future__ import annotations
@@ -11,6 +14,8 @@ from __future__ import annotations
 import json
 import struct
 
+import numpy as np
+
 PRIMITIVES = {"null", "boolean", "int", "long", "float", "double", "bytes", "string"}
 
 _D = struct.Struct("<d")
@@ -21,21 +26,34 @@ class AvroError(ValueError):
     pass
 
 
-def parse_schema(schema_json: str | dict) -> list[tuple[str, tuple[str, ...], object]]:
+def _known(t, names: dict):
+    """A type as a primitive's name or, resolved, as a definition."""
+    if isinstance(t, str):
+        if t in PRIMITIVES:
+            return t
+        if t in names:
+            return names[t]
+    elif isinstance(t, dict):
+        kind = t.get("type")
+        if kind in PRIMITIVES or isinstance(kind, dict):
+            return _known(kind, names)              # logical types are read as what they are stored as
+        if kind in ("enum", "fixed", "record"):
+            names[t.get("name")] = t
+            return t
+        if kind in ("array", "map"):
+            return t
+    raise AvroError(f"unsupported type {t!r}")
+
+
+def parse_schema(schema_json: str | dict) -> list[tuple[str, tuple, object]]:
     """Record schema -> [(field, branch types, default)].  A plain type is a
-    one-branch union."""
+    one-branch union; a branch is a primitive's name or a definition."""
     s = json.loads(schema_json) if isinstance(schema_json, str) else schema_json
-    if s.get("type") != "record":
+    if not isinstance(s, dict) or s.get("type") != "record":
         raise AvroError("top-level schema must be a record")
-    out = []
-    for f in s["fields"]:
-        t = f["type"]
-        branches = tuple(t) if isinstance(t, list) else (t,)
-        for b in branches:
-            if not isinstance(b, str) or b not in PRIMITIVES:
-                raise AvroError(f"unsupported type {b!r} in field {f['name']}")
-        out.append((f["name"], branches, f.get("default")))
-    return out
+    names: dict = {}
+    return [(f["name"], tuple(_known(b, names) for b in (f["type"] if isinstance(f["type"], list) else [f["type"]])),
+             f.get("default")) for f in s["fields"]]
 
 
 def _read_long(buf: bytes, pos: int) -> tuple[int, int]:
@@ -56,54 +74,77 @@ def _read_long(buf: bytes, pos: int) -> tuple[int, int]:
     return (acc >> 1) ^ -(acc & 1), pos
 
 
-def _read(kind: str, buf: bytes, pos: int):
-    if kind == "null":
-        return None, pos
-    if kind == "boolean":
-        if pos >= len(buf):
-            raise AvroError("truncated boolean")
-        v = buf[pos]
-        if v > 1:
-            raise AvroError("bad boolean")
-        return v == 1, pos + 1
-    if kind in ("int", "long"):
-        return _read_long(buf, pos)
-    if kind == "double":
-        if pos + 8 > len(buf):
-            raise AvroError("truncated double")
-        return _D.unpack_from(buf, pos)[0], pos + 8
-    if kind == "float":
-        if pos + 4 > len(buf):
-            raise AvroError("truncated float")
-        return _F.unpack_from(buf, pos)[0], pos + 4
-    # bytes / string
-    size, pos = _read_long(buf, pos)
-    if size < 0 or pos + size > len(buf):
-        raise AvroError("truncated bytes")
-    raw = bytes(buf[pos:pos + size])
-    if kind == "string":
-        try:
-            return raw.decode("utf-8"), pos + size
-        except UnicodeDecodeError as e:
-            raise AvroError("bad utf-8") from e
-    return raw, pos + size
-
-
 def decode_record(fields, buf: bytes) -> dict:
     """Decode one record body; trailing bytes are an error."""
-    pos = 0
-    out = {}
-    for name, branches, _ in fields:
-        if len(branches) == 1:
-            out[name], pos = _read(branches[0], buf, pos)
+    try:
+        values = compile_decoder(fields)(buf)
+    except (IndexError, struct.error) as e:
+        raise AvroError("truncated body") from e
+    return {name: v for (name, _, _), v in zip(fields, values)}
+
+
+# -- column reader: all messages of a batch, field by field --------------------------
+def _varints(data, pos, end, live):
+    """(values, positions, which could be read) of the varints at ``pos``."""
+    acc, ok, more = np.zeros(len(pos), np.uint64), live.copy(), live.copy()
+    for shift in range(0, 70, 7):
+        ok &= ~(more & (pos >= end))
+        more &= pos < end
+        if not more.any():
+            break
+        b = data[np.where(more, pos, 0)]
+        acc |= np.where(more, (b & 0x7F).astype(np.uint64) << np.uint64(min(shift, 63)), np.uint64(0))
+        pos = pos + more
+        more &= b >= 0x80
+    ok &= ~more
+    return (acc >> np.uint64(1)).astype(np.int64) ^ -(acc & np.uint64(1)).astype(np.int64), pos, ok
+
+
+def read_columns(fields, data: np.ndarray, start: np.ndarray, end: np.ndarray):
+    """(columns, ok) of the bodies [start, end) in ``data``.
+
+    A column maps each branch kind to (rows, values): an array of numbers, or
+    for text and bytes a pair (starts, lengths) into ``data``.  ``ok`` is False
+    for bodies that end early, hold impossible values or have trailing bytes.
+    Only for schemas whose fields are all primitive.
+    """
+    data = data if len(data) else np.zeros(1, np.uint8)
+    pos, ok = start.astype(np.int64), np.ones(len(start), bool)
+    columns = []
+    for _, branches, _ in fields:
+        if len(branches) > 1:
+            which, pos, good = _varints(data, pos, end, ok)
+            ok = good & (which >= 0) & (which < len(branches))
         else:
-            idx, pos = _read_long(buf, pos)
-            if idx < 0 or idx >= len(branches):
-                raise AvroError(f"bad union index in {name}")
-            out[name], pos = _read(branches[idx], buf, pos)
-    if pos != len(buf):
-        raise AvroError("trailing bytes")
-    return out
+            which = np.zeros(len(pos), np.int64)
+        got = {}
+        for i, kind in enumerate(branches):
+            here = ok & (which == i)
+            if kind == "null" or not here.any():
+                continue
+            if kind in ("int", "long"):
+                value, pos, good = _varints(data, pos, end, here)
+                ok &= good | ~here
+            elif kind in ("string", "bytes"):
+                size, pos, good = _varints(data, pos, end, here)
+                good &= (size >= 0) & (size <= end - pos)
+                ok &= good | ~here
+                value = (pos, np.where(good, size, 0))
+                pos = pos + value[1]
+            else:
+                width = {"boolean": 1, "float": 4, "double": 8}[kind]
+                good = here & (pos + width <= end)
+                raw = data[np.where(good, pos, 0)[:, None] + np.where(good[:, None], np.arange(width), 0)]
+                value = raw[:, 0] if width == 1 else np.ascontiguousarray(raw).view(f"<f{width}")[:, 0].astype(float)
+                if kind == "boolean":
+                    good &= value <= 1
+                    value = value == 1
+                ok &= good | ~here
+                pos = pos + width * good
+            got[kind] = (here, value)
+        columns.append({k: (rows & ok, v) for k, (rows, v) in got.items()})
+    ok &= pos == end
+    return columns, ok
 
 
 def _write_long(n: int, out: bytearray) -> None:
@@ -171,7 +212,57 @@ def _long_at(buf, pos):
     return _read_long(buf, pos)
 
 
-def _prim_reader(kind: str):
+def _skipper(kind: dict):
+    """A reader past a value of a type that no contract column holds."""
+    def one(t):
+        names: dict = {}
+        return _field_reader(tuple(_known(b, names) for b in (t if isinstance(t, list) else [t])))
+
+    if kind["type"] == "enum":
+        symbols = kind["symbols"]
+
+        def rd(buf, pos):
+            i, pos = _long_at(buf, pos)
+            if not 0 <= i < len(symbols):
+                raise AvroError("bad enum index")
+            return symbols[i], pos
+    elif kind["type"] == "fixed":
+        def rd(buf, pos):
+            if pos + kind["size"] > len(buf):
+                raise AvroError("truncated fixed")
+            return None, pos + kind["size"]
+    elif kind["type"] == "record":
+        readers = [one(f["type"]) for f in kind["fields"]]
+
+        def rd(buf, pos):
+            for r in readers:
+                _, pos = r(buf, pos)
+            return None, pos
+    else:
+        key = _prim_reader("string") if kind["type"] == "map" else None
+        item = one(kind["values" if key else "items"])
+
+        def rd(buf, pos):
+            while True:
+                n, pos = _long_at(buf, pos)
+                if n == 0:
+                    return None, pos
+                if n < 0:                            # a block with its size: step over it
+                    size, pos = _long_at(buf, pos)
+                    if size < 0 or pos + size > len(buf):
+                        raise AvroError("truncated block")
+                    pos += size
+                    continue
+                for _ in range(n):
+                    if key:
+                        _, pos = key(buf, pos)
+                    _, pos = item(buf, pos)
+    return rd
+
+
+def _prim_reader(kind):
+    if isinstance(kind, dict):
+        return _skipper(kind)
     if kind == "null":
         return lambda buf, pos: (None, pos)
     if kind == "boolean":

@@ -6,9 +6,11 @@
   tiny by nature (one row per schema version); its row count and text size
   are checked before it is shipped to executors as a broadcast variable.
   Tasks never call a network service.
-* W3 bodies are decoded in ``mapInArrow``: Arrow record batches in and out,
-  pass-through columns are never converted to Python objects, and a bad
-  message becomes a reason string, never an exception in the task.
+* W3 bodies are decoded in ``mapInArrow``, column by column over the batch's
+  byte buffer: pass-through columns and texts are never converted to Python
+  objects, and a bad message becomes a reason string, never an exception in
+  the task.  A writer's type other than the contract's is cast through text;
+  what does not parse is a ``bad_type`` violation.
 * W4 encoding is the same in reverse.
 """
 
@@ -17,8 +19,9 @@ from __future__ import annotations
 import json
 import struct
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -60,7 +63,7 @@ _ARROW = {T.StringType(): pa.string(), T.DoubleType(): pa.float64(),
           T.BooleanType(): pa.bool_(), T.TimestampType(): pa.timestamp("us")}
 _PY_OK = {T.StringType(): (str,), T.DoubleType(): (float, int), T.BooleanType(): (bool,)}
 
-REASONS = ("null_value", "too_short", "bad_magic", "unknown_schema", "decode_error")
+REASONS = ("null_value", "too_short", "bad_magic", "unknown_schema", "unreadable_schema", "decode_error")
 
 
 def header_reason(raw: Column) -> Column:
@@ -75,12 +78,6 @@ def header_schema_id(raw: Column) -> Column:
     return F.conv(F.hex(F.substring(raw, 2, 4)), 16, 10).try_cast("long")
 
 
-def registry_frame(spark: SparkSession, schemas: dict[int, str]) -> DataFrame:
-    return spark.createDataFrame(
-        [(int(k), v if isinstance(v, str) else json.dumps(v)) for k, v in schemas.items()],
-        "schema_id long, schema_json string")
-
-
 def load_registry(schemas: DataFrame | dict) -> dict[int, str]:
     """Schema registry as a dict, after checking its size bound."""
     if isinstance(schemas, dict):
@@ -93,28 +90,115 @@ def load_registry(schemas: DataFrame | dict) -> dict[int, str]:
     return reg
 
 
-_PY_TYPES = {T.StringType(): ("string",), T.DoubleType(): ("double", "float", "int", "long"),
-             T.BooleanType(): ("boolean",)}
-
-
-def _plan_schema(schema_json: str):
-    """Per writer schema, once: compiled reader, and for each contract column
-    the writer position (or None) plus whether values need checking (writer
-    type differs from the contract type) or an int -> float conversion."""
-    fields = avro.parse_schema(schema_json)
-    reader = avro.compile_decoder(fields)
-    pos = {name: i for i, (name, _, _) in enumerate(fields)}
-    mapping = []
-    for n, t in WIRE_TYPES.items():
-        i = pos.get(n)
-        if i is None:
-            mapping.append((n, None, False, False))
-            continue
-        kinds = {k for k in fields[i][1] if k != "null"}
-        exact = kinds <= set(_PY_TYPES[t][:1] if t != T.DoubleType() else ("double", "float"))
-        to_float = t == T.DoubleType() and bool(kinds & {"int", "long"})
-        mapping.append((n, i, not exact, to_float))
-    return reader, mapping
+def _cast(v, t: T.DataType):
+    """A wire value as contract type ``t`` through its text; None if it does not parse."""
+    if isinstance(v, (bytes, bytearray)):
+        try:
+            v = bytes(v).decode()
+        except UnicodeDecodeError:
+            return None
+    text = str(v).lower() if isinstance(v, bool) else str(v)
+    if t == T.StringType():
+        return text
+    if t == T.BooleanType():
+        return {"true": True, "false": False}.get(text.strip().lower())
+    if isinstance(v, bool):
+        return None
+    try:
+        return float(text)
+    except ValueError:
+        return None
+
+
+def _text(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, valid: np.ndarray) -> pa.Array:
+    """Strings [start, start + size) of ``data``; null where not valid."""
+    sizes = np.where(valid, sizes, 0)
+    edge = np.concatenate([[0], np.cumsum(sizes)])
+    at = np.repeat(starts - edge[:-1], sizes) + np.arange(edge[-1])
+    return pa.LargeStringArray.from_buffers(
+        len(sizes), pa.py_buffer(edge.astype(np.int64)), pa.py_buffer(data[at] if len(at) else b""),
+        pa.py_buffer(np.packbits(valid, bitorder="little")))
+
+
+def _valid_utf8(column: pa.Array) -> bool:
+    try:
+        column.validate(full=True)
+    except pa.ArrowInvalid:
+        return False
+    return True
+
+
+def _column(t: T.DataType, got: dict, data: np.ndarray, n: int):
+    """One contract column from a field's branches: (array, rows that failed the
+    cast, rows whose text is not UTF-8)."""
+    wrong, broken = np.zeros(n, bool), np.zeros(n, bool)
+    native = {T.StringType(): ("string",), T.BooleanType(): ("boolean",),
+              T.DoubleType(): ("double", "float", "int", "long")}[t]
+    if set(got) <= set(native):
+        if t == T.StringType():
+            rows, (starts, sizes) = got.get("string", (np.zeros(n, bool), (np.zeros(n, np.int64),) * 2))
+            column = _text(data, starts, sizes, rows)
+            if not _valid_utf8(column):
+                for i in np.flatnonzero(rows):
+                    try:
+                        data[starts[i]:starts[i] + sizes[i]].tobytes().decode()
+                    except UnicodeDecodeError:
+                        broken[i] = True
+                column = _text(data, starts, sizes, rows & ~broken)
+            return column.cast(pa.string()), wrong, broken
+        values, valid = np.zeros(n, bool if t == T.BooleanType() else float), np.zeros(n, bool)
+        for rows, x in got.values():
+            values[rows], valid[rows] = x[rows], True
+        return pa.array(values, _ARROW[t], mask=~valid), wrong, broken
+    out = [None] * n
+    for kind, (rows, x) in got.items():
+        for i in np.flatnonzero(rows):
+            v = data[x[0][i]:x[0][i] + x[1][i]].tobytes() if kind in ("string", "bytes") else x[i].item()
+            if kind == "string":
+                try:
+                    v = v.decode()
+                except UnicodeDecodeError:
+                    broken[i] = True
+                    continue
+            out[i] = v if kind in native and t != T.DoubleType() else _cast(v, t)
+            wrong[i] = out[i] is None
+    return pa.array(out, _ARROW[t]), wrong, broken
+
+
+def _decode_rows(fields, data: np.ndarray, start: np.ndarray, end: np.ndarray):
+    """({contract column: array}, {contract column: failed casts}, ok) of bodies
+    with one writer schema."""
+    n, place = len(start), {name: i for i, (name, _, _) in enumerate(fields)}
+    columns, wrong = {}, {}
+    if all(isinstance(b, str) for _, branches, _ in fields for b in branches):
+        read, ok = avro.read_columns(fields, data, start, end)
+        for i, (name, _, _) in enumerate(fields):
+            if name in WIRE_TYPES:
+                got = {k: (rows & ok, v) for k, (rows, v) in read[i].items()}
+                columns[name], wrong[name], broken = _column(WIRE_TYPES[name], got, data, n)
+            else:                                    # text of fields nobody reads must be text too
+                broken = _column(T.StringType(), {"string": read[i]["string"]}, data, n)[2] \
+                    if "string" in read[i] else np.zeros(n, bool)
+            ok = ok & ~broken
+    else:
+        one, rows = avro.compile_decoder(fields), []
+        for a, z in zip(start, end):
+            try:
+                rows.append(one(memoryview(data[a:z])))
+            except (avro.AvroError, IndexError, struct.error):
+                rows.append(None)
+        ok = np.array([r is not None for r in rows], bool)
+        for name, t in WIRE_TYPES.items():
+            if name in place:
+                values = [None if r is None else r[place[name]] for r in rows]
+                cast = [v if v is None or isinstance(v, _PY_OK[t]) and isinstance(v, bool) == (t == T.BooleanType())
+                        and t != T.DoubleType() else _cast(v, t) for v in values]
+                columns[name] = pa.array(cast, _ARROW[t])
+                wrong[name] = np.array([v is not None and c is None for v, c in zip(values, cast)], bool)
+    for name, t in WIRE_TYPES.items():
+        if name not in columns:
+            columns[name], wrong[name] = pa.nulls(n, _ARROW[t]), np.zeros(n, bool)
+    return columns, wrong, ok
 
 
 def _decoder(registry_bc, raw_name: str, passthrough: list[str]):
@@ -123,54 +207,43 @@ def _decoder(registry_bc, raw_name: str, passthrough: list[str]):
     def run(batches):
         plans: dict[int, object] = {}
         for batch in batches:
-            raws = batch.column(raw_name).to_pylist()
-            reasons = batch.column("_reason").to_pylist()
-            sids = batch.column("_schema_id").to_pylist()
-            cols = {n: [] for n in names}
-            appenders = [cols[n].append for n in names]
-            errors, bad = [], []
-            reg = registry_bc.value
-            for raw, reason, sid in zip(raws, reasons, sids):
-                vals = None
-                if reason is None:
-                    plan = plans.get(sid)
-                    if plan is None:
-                        try:
-                            plan = _plan_schema(reg[sid]) if sid in reg else False
-                        except (avro.AvroError, ValueError, KeyError):
-                            plan = False
-                        plans[sid] = plan
-                    if not plan:
-                        reason = "unknown_schema"
-                    else:
-                        try:
-                            vals = plan[0](memoryview(raw)[HEADER_BYTES:])
-                        except (avro.AvroError, ValueError, IndexError, struct.error):
-                            reason = "decode_error"
-                errors.append(reason)
-                if vals is None:
-                    for app in appenders:
-                        app(None)
-                    bad.append(None)
+            n = batch.num_rows
+            if not n:
+                continue
+            raw = batch.column(raw_name).cast(pa.large_binary())
+            edges = np.frombuffer(raw.buffers()[1], np.int64)[raw.offset:raw.offset + n + 1]
+            data = np.frombuffer(raw.buffers()[2] or b"", np.uint8)
+            reasons = np.array(batch.column("_reason").to_pylist(), object)
+            sids = np.array([-1 if x is None else x for x in batch.column("_schema_id").to_pylist()], np.int64)
+            bad = np.full(n, None, object)
+            parts, order = [], []
+            for sid in np.unique(sids[reasons == None]):                       # noqa: E711
+                if sid not in plans:
+                    try:
+                        text = registry_bc.value.get(int(sid))
+                        plans[sid] = "unknown_schema" if text is None else avro.parse_schema(text)
+                    except (avro.AvroError, ValueError, KeyError, TypeError):
+                        plans[sid] = "unreadable_schema"
+                rows = np.flatnonzero((sids == sid) & (reasons == None))       # noqa: E711
+                if isinstance(plans[sid], str):
+                    reasons[rows] = plans[sid]
                     continue
-                wrong = None
-                for app, (n, i, check, to_float) in zip(appenders, plan[1]):
-                    v = None if i is None else vals[i]
-                    if v is not None and check:
-                        if not isinstance(v, _PY_OK[WIRE_TYPES[n]]) or isinstance(v, bool) and \
-                                WIRE_TYPES[n] != T.BooleanType():
-                            wrong = (wrong or []) + [n]
-                            v = None
-                        elif to_float:
-                            v = float(v)
-                    app(v)
-                bad.append(wrong)
+                columns, wrong, ok = _decode_rows(plans[sid], data, edges[rows] + HEADER_BYTES, edges[rows + 1])
+                reasons[rows[~ok]] = "decode_error"
+                for name in names:
+                    for i in np.flatnonzero(wrong[name] & ok):
+                        bad[rows[i]] = [*(bad[rows[i]] or []), name]
+                parts.append({k: columns[k].filter(pa.array(ok)) for k in names})
+                order.append(rows[ok])
+            take = np.full(n, -1, np.int64)
+            where = np.concatenate(order) if order else np.empty(0, np.int64)
+            take[where] = np.arange(len(where))
+            index = pa.array(take, mask=take < 0)
             arrays = [batch.column(p) for p in passthrough]
-            arrays += [pa.array(cols[n], type=_ARROW[WIRE_TYPES[n]]) for n in names]
-            arrays += [pa.array(errors, type=pa.string()),
-                       pa.array(bad, type=pa.list_(pa.string()))]
-            yield pa.RecordBatch.from_arrays(
-                arrays, names=passthrough + names + ["_reason", "_bad_fields"])
+            arrays += [pa.concat_arrays([p[k] for p in parts]).take(index) if parts else pa.nulls(n, _ARROW[WIRE_TYPES[k]])
+                       for k in names]
+            arrays += [pa.array(reasons.tolist(), pa.string()), pa.array(bad.tolist(), pa.list_(pa.string()))]
+            yield pa.RecordBatch.from_arrays(arrays, names=passthrough + names + ["_reason", "_bad_fields"])
     return run
 
 
