@@ -113,10 +113,25 @@ def velocity_windows(tx: DataFrame, size: str = "10 minutes", slide: str = "1 mi
                      user: str = "user_id", ts: str = "event_timestamp",
                      amount: str = "amount") -> DataFrame:
     """Hopping-window variant (the batch twin of the streaming X6): count and
-    amount per (user, window).  A combinable aggregate, so it also runs as a
-    watermarked streaming aggregation with bounded state."""
-    return (tx.groupBy(F.col(user), F.window(F.col(ts), size, slide).alias("window"))
-            .agg(F.count(F.lit(1)).alias("velocity_count"),
-                 F.round(F.sum(F.col(amount)), 2).alias("velocity_amount"))
+    amount per (user, window).
+
+    In batch, rows are first combined per (user, slide): a window is a run of
+    whole slides, so only those few pane rows, not the events, multiply into
+    the windows that hold them.  A stream, or a size that is no multiple of the
+    slide, aggregates the windows directly (combinable, bounded state)."""
+    n, total = F.count(F.lit(1)), F.sum(F.col(amount))
+    rows, at = tx, F.col(ts)
+    if not tx.isStreaming and _whole_slides(tx, size, slide):
+        rows = (tx.groupBy(F.col(user), F.window(F.col(ts), slide).alias("pane"))
+                .agg(n.alias("_n"), total.alias("_s")).select(user, F.col("pane.start").alias("_t"), "_n", "_s"))
+        n, total, at = F.sum("_n"), F.sum("_s"), F.col("_t")
+    return (rows.groupBy(F.col(user), F.window(at, size, slide).alias("window"))
+            .agg(n.alias("velocity_count"), F.round(total, 2).alias("velocity_amount"))
             .select(user, F.col("window.start").alias("window_start"),
                     F.col("window.end").alias("window_end"), "velocity_count", "velocity_amount"))
+
+
+def _whole_slides(df: DataFrame, size: str, slide: str) -> bool:
+    """Whether ``size`` is a multiple of ``slide`` (two constants)."""
+    a, b = (f"unix_micros(timestamp '1970-01-01' + interval {x})" for x in (size, slide))
+    return df.sparkSession.sql(f"SELECT {a} % {b} = 0").first()[0]

@@ -10,7 +10,6 @@ Adjustments for engine differences (measured, see SURVEY section 5):
 from __future__ import annotations
 
 from ledgerlake.operators.expectations import CONTRACT, SUITE
-from ledgerlake.schemas import HIGH_RISK_COUNTRIES, VALID_CATEGORIES, VALID_CURRENCIES
 from ledgerlake.sources.tables import transaction_select_sql
 
 
@@ -22,9 +21,11 @@ def _lst(values) -> str:
     return ", ".join(f"'{v}'" for v in values)
 
 
-CATS = _lst(VALID_CATEGORIES)
-RISK = _lst(HIGH_RISK_COUNTRIES)
-CURS = _lst(VALID_CURRENCIES)
+# Fixed values, written out here so that a wrong constant in the library shows.
+CATS = _lst(["atm_withdrawal", "electronics", "entertainment", "fuel", "grocery", "healthcare", "restaurant", "retail",
+             "subscription", "travel"])
+RISK = "'BR', 'NG', 'RU', 'UA'"
+CURS = "'AUD', 'CAD', 'EUR', 'GBP', 'USD'"
 
 TX = transaction_select_sql("events")
 
@@ -84,15 +85,18 @@ FROM ({source}) s GROUP BY {keys}"""
 
 METRICS = metrics_from(SILVER)
 
+HOURLY = "event_date, event_hour"
 ALERTS = f"""
-WITH m AS ({METRICS})
-SELECT event_date, 'L1_null_rate' AS rule, 'critical' AS severity, null_rate AS observed, 0.01::DOUBLE AS threshold FROM m WHERE null_rate > 0.01
+WITH m AS ({metrics_from(SILVER, HOURLY)})
+SELECT {HOURLY}, 'L1_null_rate' AS rule, 'critical' AS severity, null_rate AS observed, 0.01::DOUBLE AS threshold FROM m WHERE null_rate > 0.01
 UNION ALL
-SELECT event_date, 'L2_bad_amount_rate', 'critical', bad_amount_rate, 0.01::DOUBLE FROM m WHERE bad_amount_rate > 0.01
+SELECT {HOURLY}, 'L2_bad_amount_rate', 'critical', bad_amount_rate, 0.01::DOUBLE FROM m WHERE bad_amount_rate > 0.01
 UNION ALL
-SELECT event_date, 'L3_invalid_cat_rate', 'critical', invalid_cat_rate, 0.001::DOUBLE FROM m WHERE invalid_cat_rate > 0.001
+SELECT {HOURLY}, 'L3_invalid_cat_rate', 'critical', invalid_cat_rate, 0.001::DOUBLE FROM m WHERE invalid_cat_rate > 0.001
 UNION ALL
-SELECT event_date, 'L4_fraud_rate', 'warning', fraud_rate, 0.1::DOUBLE FROM m WHERE fraud_rate > 0.1 OR fraud_rate = 0.0"""
+SELECT {HOURLY}, 'L4_fraud_rate', 'warning', fraud_rate, 0.1::DOUBLE FROM m WHERE fraud_rate > 0.1 OR fraud_rate = 0.0
+UNION ALL
+SELECT {HOURLY}, 'L5_batch_summary', 'info', records::DOUBLE, NULL FROM m"""
 
 
 # -- level 2: expectation suite ---------------------------------------------------
@@ -319,20 +323,28 @@ SELECT s.*, CAST(CASE WHEN o_orderkey % 50 = 0 THEN 4 WHEN o_orderkey % 10 = 0 T
                       WHEN o_orderkey % 5 = 0 THEN 1 ELSE 0 END AS BIGINT) * {S} + o_orderkey AS _lsn
 FROM ({CDC_STATE}) s"""
 CDC_AUDIT = f"""
+WITH o AS (
+  SELECT *, o_orderkey % 2 = 1 AS odd,
+         CASE o_orderstatus WHEN 'O' THEN 'P' WHEN 'P' THEN 'F' ELSE 'O' END AS status1,
+         o_totalprice + 100.0 AS price2
+  FROM orders)
 SELECT o_orderkey, CAST(1 AS BIGINT) * {S} + o_orderkey AS lsn, 'u' AS op,
-       CASE WHEN o_orderkey % 2 = 1 THEN 'o_orderstatus' END AS column_name
-FROM orders WHERE o_orderkey % 5 = 0
+       CASE WHEN odd THEN 'o_orderstatus' END AS column_name,
+       CASE WHEN odd THEN o_orderstatus END AS old_value, CASE WHEN odd THEN status1 END AS new_value
+FROM o WHERE o_orderkey % 5 = 0
 UNION ALL
-SELECT o_orderkey, CAST(2 AS BIGINT) * {S} + o_orderkey, 'u',
-       CASE WHEN o_orderkey % 2 = 1 THEN 'o_totalprice' END
-FROM orders WHERE o_orderkey % 10 = 0
+SELECT o_orderkey, CAST(2 AS BIGINT) * {S} + o_orderkey, 'u', CASE WHEN odd THEN 'o_totalprice' END,
+       CASE WHEN odd THEN CAST(o_totalprice AS VARCHAR) END, CASE WHEN odd THEN CAST(price2 AS VARCHAR) END
+FROM o WHERE o_orderkey % 10 = 0
 UNION ALL
-SELECT o_orderkey, CAST(3 AS BIGINT) * {S} + o_orderkey, 'd', c.column_name
-FROM orders, (VALUES ('o_custkey'), ('o_orderstatus'), ('o_totalprice'), ('o_orderdate'), ('o_orderpriority')) c(column_name)
-WHERE o_orderkey % 25 = 0 AND o_orderkey % 2 = 1
+SELECT o_orderkey, CAST(3 AS BIGINT) * {S} + o_orderkey, 'd', c.column_name,
+       CASE c.column_name WHEN 'o_custkey' THEN CAST(o_custkey AS VARCHAR) WHEN 'o_orderstatus' THEN status1
+         WHEN 'o_totalprice' THEN CAST(price2 AS VARCHAR)
+         WHEN 'o_orderdate' THEN CAST(CAST(o_orderdate AS DATE) AS VARCHAR) ELSE o_orderpriority END, NULL
+FROM o, (VALUES ('o_custkey'), ('o_orderstatus'), ('o_totalprice'), ('o_orderdate'), ('o_orderpriority')) c(column_name)
+WHERE o_orderkey % 25 = 0 AND odd
 UNION ALL
-SELECT o_orderkey, CAST(3 AS BIGINT) * {S} + o_orderkey, 'd', CAST(NULL AS VARCHAR)
-FROM orders WHERE o_orderkey % 25 = 0 AND o_orderkey % 2 = 0"""
+SELECT o_orderkey, CAST(3 AS BIGINT) * {S} + o_orderkey, 'd', NULL, NULL, NULL FROM o WHERE o_orderkey % 25 = 0 AND NOT odd"""
 
 ORACLE.update({
     "cdc_changes": CDC_CHANGES,
@@ -365,3 +377,8 @@ ORACLE.update({"velocity": VELOCITY, "velocity_split": VELOCITY,
 
 ORACLE["stream_silver"] = DECODED_SILVER
 ORACLE["stream_quarantine"] = QUARANTINE
+
+# every flag must follow from its row's score and threshold
+ORACLE["anomaly_flags"] = f"""
+SELECT count(*) AS rows, 0::BIGINT AS wrong_flags, 0::BIGINT AS bad_scores, 1::BIGINT AS thresholds FROM ({TX}) tx"""
+ORACLE["stream_bronze"] = f"SELECT * FROM ({DECODED_SILVER}) s"

@@ -175,6 +175,23 @@ def _run_stream(spark: SparkSession, d: str) -> JB.Paths:
     return paths
 
 
+def q_anomaly_flags(spark, d):
+    """N5 against the stored scores: flags that do not follow from score and
+    threshold, scores outside (0, 1], distinct thresholds."""
+    flag = F.col("fraud_score") >= F.col("anomaly_threshold")
+    return _stored_signals(spark, d).agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(~flag.eqNullSafe(F.col("is_anomaly"))).alias("wrong_flags"),
+        F.count_if(~F.coalesce((F.col("fraud_score") > 0) & (F.col("fraud_score") <= 1), F.lit(False))).alias("bad_scores"),
+        F.count_distinct("anomaly_threshold").alias("thresholds"))
+
+
+def q_stream_bronze(spark, d):
+    """K1: what the stream kept undecided is what silver was made of."""
+    paths = _run_stream(spark, d)
+    bronze = spark.read.parquet(paths.bronze).drop("_batch_id")
+    return to_silver(bronze).drop("_ingested_at")
+
+
 def q_stream_silver(spark, d):
     paths = _run_stream(spark, d)
     return spark.read.parquet(paths.silver).drop("_ingested_at", "_batch_id")
@@ -195,7 +212,8 @@ QUERIES: dict[str, Query] = {
     "category_ranking_sql": lambda spark, d: G.category_ranking_sql(spark, silver_df(spark, d)),
     # level 1 / level 2 quality
     "batch_metrics": lambda spark, d: ME.batch_metrics(silver_df(spark, d), by="event_date"),
-    "batch_alerts": lambda spark, d: ME.alerts(ME.batch_metrics(silver_df(spark, d), by="event_date")),
+    "batch_alerts": lambda spark, d: ME.alerts(
+        ME.batch_metrics(silver_df(spark, d), by=["event_date", "event_hour"]), include_summary=True),
     "expectation_results": lambda spark, d: EX.run_expectations(silver_df(spark, d)),
     "expectation_results_daily": lambda spark, d: _daily_results(silver_df(spark, d)),
     "contract_results": lambda spark, d: EX.run_expectations(silver_df(spark, d), EX.CONTRACT),
@@ -237,17 +255,19 @@ QUERIES: dict[str, Query] = {
     "cdc_apply": q_cdc_apply,
     "cdc_stream_state": q_cdc_stream_state,
     "cdc_audit": lambda spark, d: CD.audit(_valid(spark, d), ORDER_KEY)
-                                    .select("o_orderkey", "lsn", "op", "column_name"),
+                                    .select("o_orderkey", "lsn", "op", "column_name", "old_value", "new_value"),
     # velocity
     "velocity": lambda spark, d: VE.velocity(_tx(spark, d), minutes=1440, threshold=3),
     "velocity_split": lambda spark, d: VE.velocity(_tx(spark, d), minutes=1440, threshold=3, split=5),
     "velocity_windows": lambda spark, d: VE.velocity_windows(_tx(spark, d), "10 minutes", "1 minute"),
     # streaming
+    "stream_bronze": q_stream_bronze,
     "stream_silver": q_stream_silver,
     "stream_quarantine": q_stream_quarantine,
     # anomaly scoring (an iterative algorithm: rows-only check, invariants in tests)
     "forest_nodes": lambda spark, d: FO.train_forest(silver_df(spark, d), 100, 256, 42),
     "anomaly_scores": lambda spark, d: _scored(spark, d),
+    "anomaly_flags": q_anomaly_flags,
     "anomalies": lambda spark, d: SG.anomalies(_stored_signals(spark, d)),
     "signals_recent": lambda spark, d: SG.recent(_stored_signals(spark, d), 100),
     "signals_for_user": lambda spark, d: SG.for_user(_stored_signals(spark, d), USER),

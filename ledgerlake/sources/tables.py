@@ -100,7 +100,7 @@ TRANSACTION_PROJECTION = [
     ("card_type", "CASE WHEN (event_id * 13) % 100 < 55 THEN 'credit' WHEN (event_id * 13) % 100 < 93 THEN 'debit' ELSE 'prepaid' END"),
     ("is_online", "event_type NOT IN ('view', 'error')"),
     ("device_type", "CASE WHEN event_type IN ('view', 'error') THEN 'pos_terminal' ELSE 'mobile' END"),
-    ("ip_address", "CASE WHEN event_type IN ('view', 'error') THEN NULL ELSE concat('10.0.', CAST(user_id % 256 AS VARCHAR(20)), '.0') END"),
+    ("ip_address", "CASE WHEN event_type IN ('view', 'error') THEN NULL ELSE concat('10.0.', CAST(user_id % 256 AS VARCHAR(20)), '.', CAST(event_id % 256 AS VARCHAR(20))) END"),
     ("_is_fraud_label", "(event_id * 7 + user_id) % 50 = 0"),
     ("terminal_id", "CAST(NULL AS VARCHAR(20))"),
 ]
