@@ -1,4 +1,4 @@
-"""Column expressions.
+"""Column expressions.
 
 All are built-in Catalyst expressions: they stay inside whole-stage codegen
 and never leave the JVM.  Three-valued logic is kept exactly: a NULL category
@@ -18,21 +18,6 @@ def c(name: str | Column) -> Column:
     return F.col(name) if isinstance(name, str) else name
 
 
-# -- typed extraction (P3, P5): ANSI mode is on, so never plain cast ---------
-def to_double(x) -> Column:
-    return F.try_cast(c(x), "double") if hasattr(F, "try_cast") else c(x).try_cast("double")
-
-
-def to_bool(x) -> Column:
-    """Accepts true/false in any case ("True"/"False" from text payloads)."""
-    return c(x).try_cast("boolean")
-
-
-def to_ts(x) -> Column:
-    """ISO-8601 text (offset and microseconds kept) -> timestamp, NULL on junk."""
-    return F.try_to_timestamp(c(x))
-
-
 # -- silver flags (P7-P13) ---------------------------------------------------
 def event_date(ts="event_timestamp") -> Column:
     return F.to_date(c(ts))
@@ -70,29 +55,12 @@ def pipeline_version() -> Column:
     return F.lit(PIPELINE_VERSION)
 
 
-# -- conversions and helpers (P16, P17, P19, P21) -------------------------------
-def as_double(flag) -> Column:
-    return c(flag).cast("double")
-
-
-def as_int(flag) -> Column:
-    return c(flag).cast("int")
-
-
+# -- conversions and helpers (P19) --------------------------------------------
 def one_if(flag) -> Column:
     """1 when the flag is TRUE, else 0 (FALSE and NULL both give 0)."""
     return F.when(c(flag), 1).otherwise(0)
 
 
-def round_half_up(x, places: int) -> Column:
-    return F.round(c(x), places)
-
-
-# -- predicates (P20, G4, G5) ----------------------------------------------------
-def matches(x, pattern: str) -> Column:
-    return c(x).rlike(pattern)
-
-
 # -- masking and derived labels (P23, P25) -------------------------------------
 def mask_ipv4(ip="ip_address") -> Column:
     """Keep the /24 network of an IPv4 address: a.b.c.d -> a.b.c.0.

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.schemas import (AMOUNT_MAX, AMOUNT_MIN, COUNTRY_CODE_PATTERN,
-                                MIN_PASS_RATE, UUID_V4_PATTERN,
+                                MAX_REQUIRED_NULL_RATE, MIN_PASS_RATE, UUID_V4_PATTERN,
                                 VALID_CATEGORIES, VALID_CURRENCIES)
 
 
@@ -176,8 +176,10 @@ def run_expectations(df: DataFrame, rules: list[Rule] | None = None,
     return out
 
 
-def summarise(results: DataFrame, batch_id: str | Column | None = None) -> DataFrame:
-    """A8 + G1: one summary row per run.
+def summarise(results: DataFrame, batch_id: str | Column | None = None,
+              run_timestamp: Column | None = None) -> DataFrame:
+    """A8 + G1: one summary row per run; with ``run_timestamp`` (such as
+    ``F.current_timestamp()``) it carries the time of the run.
 
     pass_rate = round-half-even(success percent / 100, 4); status PASSED iff every
     rule succeeded.
@@ -196,7 +198,8 @@ def summarise(results: DataFrame, batch_id: str | Column | None = None) -> DataF
                 F.max("element_count").alias("total_records"),
                 F.max("passed_records").alias("passed_records"))
             .withColumn("status", F.when(F.col("success"), "PASSED").otherwise("FAILED"))
-            .withColumn("batch_id", bid))
+            .withColumn("batch_id", bid)
+            .withColumns({} if run_timestamp is None else {"run_timestamp": run_timestamp}))
 
 
 def gates(summary: DataFrame, min_pass_rate: float = MIN_PASS_RATE) -> DataFrame:
@@ -216,14 +219,15 @@ def null_rate(df: DataFrame, fields: list[str]) -> DataFrame:
     rate = F.try_divide(nulls.cast("double"), (rows * len(fields)).cast("double"))
     return df.agg(rows.alias("records"), nulls.cast("long").alias("null_cells"),
                   rate.alias("null_rate"),
-                  (rate < 0.01).alias("within_contract"))
+                  (rate < MAX_REQUIRED_NULL_RATE).alias("within_contract"))
 
 
 def run_log_rows(summary: DataFrame, run_timestamp: Column | None = None) -> DataFrame:
     """K6 row shape: ``dq_run_log``.  ``passed_records``/``failed_records``
     are true record counts (rows with dq_passed = true / not true); upstream
     stores expectation counts there, which we do not repeat."""
-    ts = run_timestamp if run_timestamp is not None else F.current_timestamp()
+    ts = (run_timestamp if run_timestamp is not None
+          else F.col("run_timestamp") if "run_timestamp" in summary.columns else F.current_timestamp())
     return summary.select(
         "run_id", ts.alias("run_timestamp"),
         F.col("batch_id").cast("string").alias("batch_id"),
@@ -236,8 +240,9 @@ def run_log_rows(summary: DataFrame, run_timestamp: Column | None = None) -> Dat
 def write_summary_json(summary: DataFrame, path: str) -> None:
     """K5: validation summaries as JSON, one folder per run, with the run's
     time; a rerun of the same run_id, on whichever day, overwrites it."""
-    (summary.withColumn("run_timestamp", F.current_timestamp())
-     .withColumn("run_date", F.current_date())
+    if "run_timestamp" not in summary.columns:
+        summary = summary.withColumn("run_timestamp", F.current_timestamp())
+    (summary.withColumn("run_date", F.to_date("run_timestamp"))
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("run_id").json(path))
 

@@ -27,8 +27,7 @@ MAX_FRAUD_RATE = 0.10
 MIN_PASS_RATE = 0.95
 # contract: overall null rate on required fields
 MAX_REQUIRED_NULL_RATE = 0.01
-# wire format
-MAGIC_BYTE = 0
+# wire format: a zero byte, then a 4-byte schema id
 HEADER_BYTES = 5
 # quarantine retention in days
 QUARANTINE_RETENTION_DAYS = 90
@@ -65,11 +64,6 @@ ENVELOPE_SCHEMA = T.StructType([
     T.StructField("raw_bytes", T.BinaryType(), True),
 ])
 
-SILVER_DERIVED = [
-    "event_date", "event_hour", "is_high_risk_country", "dq_invalid_category",
-    "dq_amount_out_of_range", "dq_missing_required", "dq_passed",
-    "_ingested_at", "_pipeline_version",
-]
 
 GOLD_COLUMNS = [
     "event_date", "merchant_category", "total_transactions", "fraud_count",
@@ -77,22 +71,4 @@ GOLD_COLUMNS = [
     "online_count", "high_risk_country_count",
 ]
 
-RUN_LOG_SCHEMA = T.StructType([
-    T.StructField("run_id", T.StringType(), False),
-    T.StructField("run_timestamp", T.TimestampType(), True),
-    T.StructField("batch_id", T.StringType(), True),
-    T.StructField("total_records", T.LongType(), True),
-    T.StructField("passed_records", T.LongType(), True),
-    T.StructField("failed_records", T.LongType(), True),
-    T.StructField("pass_rate", T.DoubleType(), True),
-    T.StructField("expectations_run", T.IntegerType(), True),
-    T.StructField("expectations_failed", T.IntegerType(), True),
-    T.StructField("status", T.StringType(), True),
-])
 
-FRAUD_SIGNAL_COLUMNS = [
-    "event_id", "event_timestamp", "user_id", "merchant_id", "merchant_category",
-    "amount", "currency", "country_code", "fraud_score", "is_anomaly",
-    "anomaly_threshold", "top_feature_1", "top_feature_2", "top_feature_3",
-    "model_version", "processed_at",
-]

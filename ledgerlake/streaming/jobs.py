@@ -193,11 +193,6 @@ def await_all(spark: SparkSession, timeout: int | None = None) -> None:
     spark.streams.awaitAnyTermination(timeout) if timeout else spark.streams.awaitAnyTermination()
 
 
-def stop_all(spark: SparkSession) -> None:
-    for q in spark.streams.active:
-        q.stop()
-
-
 def velocity_stream(tx: DataFrame, size: str = "10 minutes", slide: str = "1 minute",
                     watermark: str = "10 minutes", ts: str = "event_timestamp") -> DataFrame:
     """Per-user velocity as a watermarked hopping-window aggregation;

@@ -131,3 +131,17 @@ def test_fixture_table(spark, sf_dir):
               F.count_if("is_online").alias("online")).first().asDict()
     r["gold"] = G.gold_summary(s).count()
     assert r == FIXTURE_TABLE[sf_dir]
+
+
+def test_gold_write_registers_its_partitions_and_rule_is_a_row(spark, scratch):
+    gold = G.gold_summary(silver_df(spark, SF001))
+    assert G.output_rule(gold).first().asDict() == {
+        "run_id": "gold", "rule": "G3_column_count", "observed": 10, "success": True}
+    assert not G.output_rule(gold.drop("fraud_count")).first().success
+    days = [r[0] for r in gold.select("event_date").distinct().orderBy("event_date").limit(2).collect()]
+    spark.sql("DROP TABLE IF EXISTS gold_test.fraud_summary")
+    for day in days:                                     # the second write adds a partition
+        G.write_gold(gold.filter(F.col("event_date") == F.lit(day)), scratch, table="gold_test.fraud_summary")
+    found = spark.table("gold_test.fraud_summary")
+    assert {r[0] for r in found.select("event_date").distinct().collect()} == set(days)
+    spark.sql("DROP DATABASE gold_test CASCADE")
