@@ -50,8 +50,8 @@ PIECE = 256
 #: counters of the frequency sketch (4 MB; fixed, whatever the corpus)
 SKETCH = 1 << 20
 SKETCH_PARTS = 64
-#: ids up to which a set lookup sends the ids to the texts (16 MB) instead of
-#: shuffling both; the rows are the same
+#: rows up to which a table of ids (under 32 bytes each) is sent to the texts
+#: instead of shuffling both; the result is the same
 BROADCAST_IDS = 1_000_000
 
 
@@ -119,66 +119,80 @@ def sketch(docs: DataFrame) -> np.ndarray:
     return np.log2(total + 1).astype(np.uint8)
 
 
-def signatures(docs: DataFrame, classes) -> DataFrame:
-    """(id, n, fp, bands, prefix) of each document: its set's size, a 128-bit
-    fingerprint (null if empty), band keys, leading tokens in the common order."""
+def _print(s: np.ndarray) -> bytes:
+    return mix(s, 21).sum(dtype=np.uint64).tobytes() + mix(s, 22).sum(dtype=np.uint64).tobytes()
+
+
+def signatures(docs: DataFrame) -> DataFrame:
+    """(id, n, fp, bands) of each document: its set's size, a 128-bit
+    fingerprint (null if the set is empty) and its band keys."""
 
     def run(batches):
-        order = classes.value
         for b in slices(batches, "text"):
-            rows = {k: [] for k in ("id", "n", "fp", "bands", "prefix")}
-            for i, s in zip(b.column(0).to_pylist(), shingle_sets(b.column(1))):
-                n = len(s)
-                if not n:
-                    for k, v in (("id", i), ("n", 0), ("fp", None), ("bands", []), ("prefix", [])):
-                        rows[k].append(v)
+            n, prints, bands = [], [], []
+            for s in shingle_sets(b.column(1)):
+                n.append(len(s))
+                if not len(s):
+                    prints.append(None), bands.append(None)
                     continue
-                one, two = mix(s, 21).sum(dtype=np.uint64), mix(s, 22).sum(dtype=np.uint64)
                 low = np.array([mix(s, 40 + k).min() for k in range(BANDS * ROWS)], np.uint64).reshape(BANDS, ROWS)
-                bands = mix((low * np.arange(3, 3 + 2 * ROWS, 2, dtype=np.uint64)).sum(1, dtype=np.uint64), 60)
-                key = (order[(s % np.uint64(SKETCH)).astype(np.int64)].astype(np.uint64) << np.uint64(56)) | (s >> np.uint64(8))
-                lead = n - needed(n, NUM, DEN) + 1
-                # the order is (class, token): stable, as equal keys keep the sorted tokens' order
-                head = s[np.argsort(key, kind="stable")[:lead]]
-                for k, v in (("id", i), ("n", n), ("fp", one.tobytes() + two.tobytes()),
-                             ("bands", bands.view(np.int64)), ("prefix", head.view(np.int64))):
-                    rows[k].append(v)
+                low = mix((low * np.arange(3, 3 + 2 * ROWS, 2, dtype=np.uint64)).sum(1, dtype=np.uint64), 60)
+                prints.append(_print(s)), bands.append(low.view(np.int64))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(prints, pa.binary()),
+                                              pa.array(bands, pa.list_(pa.int64()))], names=["id", "n", "fp", "bands"])
+
+    return docs.select("id", "text").mapInArrow(run, "id long, n long, fp binary, bands array<long>")
+
+
+def prefixes(docs: DataFrame, classes) -> DataFrame:
+    """(id, fp, n, grp, piece, prefix) of (id, text, grp, piece): each set's
+    leading tokens in the common order (frequency class, then token)."""
+
+    def run(batches):
+        order = classes.value
+        for b in slices(batches, "text"):
+            sets = shingle_sets(b.column(1))
+            heads = []
+            for s in sets:
+                key = order[(s % np.uint64(SKETCH)).astype(np.int64)]
+                # stable: equal classes keep the sorted tokens' order
+                heads.append(s[np.argsort(key, kind="stable")[:len(s) - needed(len(s), NUM, DEN) + 1]].view(np.int64))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(rows["id"], pa.int64()), pa.array(rows["n"], pa.int64()), pa.array(rows["fp"], pa.binary()),
-                 pa.array(rows["bands"], pa.list_(pa.int64())), pa.array(rows["prefix"], pa.list_(pa.int64()))],
-                names=list(rows))
+                [b.column(0), pa.array([_print(s) for s in sets], pa.binary()), pa.array([len(s) for s in sets], pa.int64()),
+                 b.column(2), b.column(3), pa.array(heads, pa.list_(pa.int64()))],
+                names=["id", "fp", "n", "grp", "piece", "prefix"])
+
+    return docs.select("id", "text", "grp", "piece").mapInArrow(
+        run, "id long, fp binary, n long, grp long, piece long, prefix array<long>")
+
 
-    return docs.mapInArrow(run, "id long, n long, fp binary, bands array<long>, prefix array<long>")
+def _small(df: DataFrame) -> DataFrame:
+    """Marked for broadcast if its checked size allows."""
+    return F.broadcast(df) if df.count() <= BROADCAST_IDS else df
 
 
-def _sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
+def _sets(docs: DataFrame, ids: DataFrame, repeated: bool) -> DataFrame:
     """(id, set) of the documents named in ``ids``."""
 
     def run(batches):
         for b in slices(batches, "text"):
-            sets = [s.view(np.int64) for s in shingle_sets(b.column(1))]
-            prints = [mix(s.view(np.uint64), 21).sum(dtype=np.uint64).tobytes() for s in sets]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(prints, pa.binary()),
-                                              pa.array(sets, pa.list_(pa.int64()))], names=["id", "fp", "set"])
-
-    ids = ids.distinct()
-    if ids.count() <= BROADCAST_IDS:
-        ids = F.broadcast(ids)
-    found = docs.join(ids, "id", "left_semi").mapInArrow(run, "id long, fp binary, set array<long>")
-    return found.groupBy("id", "fp").agg(F.first("set").alias("set")).select("id", "set")
-
-
-def verify(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose sets reach the similarity; pairs are distinct."""
-    sets = stored(_sets(docs, pairs.select(F.col("a").alias("id")).union(pairs.select("b"))), "sets")
-    left, right = sets.select(F.col("id").alias("a"), F.col("set").alias("sa")), \
-        sets.select(F.col("id").alias("b"), F.col("set").alias("sb"))
+            sets = shingle_sets(b.column(1))
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), pa.array([_print(s) for s in sets], pa.binary()),
+                 pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], names=["id", "fp", "set"])
+
+    found = docs.join(_small(ids.distinct()), "id", "left_semi").mapInArrow(run, "id long, fp binary, set array<long>")
+    return found.groupBy("id", "fp").agg(F.first("set").alias("set")) if repeated else found
+
+
+def verify(docs: DataFrame, pairs: DataFrame, repeated: bool) -> DataFrame:
+    """The distinct pairs (a, b) whose sets reach the similarity."""
+    left = _sets(docs, pairs.select(F.col("a").alias("id")), repeated)
+    right = _sets(docs, pairs.select(F.col("b").alias("id")), repeated)
     both = F.size(F.array_intersect("sa", "sb"))
-    links = (pairs.join(right, "b").join(left, "a")
-             .where(DEN * both >= NUM * (F.size("sa") + F.size("sb") - both)).select("a", "b"))
-    links = links.checkpoint()
-    drop_stored(sets)
-    return links
+    return (pairs.join(right.select(F.col("id").alias("b"), F.col("set").alias("sb")), "b")
+            .join(left.select(F.col("id").alias("a"), F.col("set").alias("sa")), "a")
+            .where(DEN * both >= NUM * (F.size("sa") + F.size("sb") - both)).select("a", "b").distinct().checkpoint())
 
 
 def _fits(small: Column, large: Column) -> Column:
@@ -190,11 +204,12 @@ def jaccard_classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     spark = df.sparkSession
     docs = df.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
     named = docs.where("id is not null")
-    classes = spark.sparkContext.broadcast(sketch(named))
-    sigs = stored(signatures(docs, classes), "signatures")
+    sigs = stored(signatures(docs), "signatures")
+    # rows that repeat an id are rare; where there are any, sets are combined by id first
+    repeated = sigs.where("id is not null").groupBy("id").count().where("count > 1").limit(1).count() > 0
     # equal sets: one representative each, the smallest id; combined before the shuffle
-    reps = stored(sigs.where("id is not null and n > 0").groupBy("n", "fp").agg(F.min(F.struct("id", "bands", "prefix")).alias("s"))
-                  .select("s.id", "n", "fp", "s.bands", "s.prefix"), "representatives")
+    reps = stored(sigs.where("id is not null and n > 0").groupBy("n", "fp").agg(F.min(F.struct("id", "bands")).alias("s"))
+                  .select("s.id", "n", "fp", "s.bands"), "representatives")
 
     # leaders of bands
     banded = reps.select("id", "n", F.explode("bands").alias("band"))
@@ -202,33 +217,51 @@ def jaccard_classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     pairs = (banded.join(leaders, "band").where("id <> l.id")
              .where(_fits(F.least("n", "l.n"), F.greatest("n", "l.n")))
              .select(F.col("id").alias("a"), F.col("l.id").alias("b")).distinct().checkpoint())
-    first = verify(named, pairs)
+    first = verify(named, pairs, repeated)
 
     # groups and their pieces
     found = components(first)
     sizes = found.groupBy("component").agg(F.count(F.lit(1)).alias("members")).checkpoint()
-    grouped = found.join(sizes, "component").select("id", "component", F.pmod(
-        F.xxhash64("id"), F.ceil(F.col("members") / PIECE)).alias("piece"))
-    grouped = stored(reps.select("id", "n", "prefix").join(grouped, "id", "left").select(
-        "id", "n", "prefix", F.coalesce("component", "id").alias("grp"), F.coalesce("piece", F.lit(-1)).alias("piece")),
-        "groups")
-
-    # the matrix, and the queries' overlap with it
-    tokens = grouped.select("id", "n", "grp", "piece", F.posexplode("prefix").alias("at", "token"))
+    grouped = found.join(sizes, "component").select("id", F.col("component").alias("grp"), F.pmod(
+        F.xxhash64("id"), F.ceil(F.col("members") / PIECE)).alias("piece")).checkpoint()
+    classes = spark.sparkContext.broadcast(sketch(named))
+    copies = (sigs.where("id is not null and n > 0").select("id").distinct()
+              .join(reps.select("id"), "id", "left_anti")).checkpoint()
+    heads = prefixes(named.join(_small(copies), "id", "left_anti").join(_small(grouped), "id", "left")
+                     .select("id", "text", F.coalesce("grp", "id").alias("grp"),
+                             F.coalesce("piece", F.lit(-1)).cast("long").alias("piece")), classes)
+    if repeated:
+        heads = heads.groupBy("id", "fp").agg(F.first(F.struct("n", "grp", "piece", "prefix")).alias("s")).select("id", "s.*")
+    heads = stored(heads.select("id", "n", "grp", "piece", "prefix").where("n > 0"), "heads")
+
+    # the matrix, and the queries' overlap with it: a piece without a shared leading
+    # token, or without a member of fitting size, stays closed
+    tokens = heads.select("id", "n", "grp", "piece", F.posexplode("prefix").alias("at", "token"))
     lead = F.expr(f"n - (n * {2 * NUM} + {NUM + DEN} - 1) div {NUM + DEN} + 1")
-    index = tokens.where(F.col("at") < lead)
-    single = index.where("piece = -1").select("token", "grp", "piece", F.col("n").alias("low"), F.col("n").alias("high"))
-    union = (index.where("piece >= 0").groupBy("token", "grp", "piece")
-             .agg(F.min("n").alias("low"), F.max("n").alias("high")))
-    matrix = single.unionByName(union).withColumnRenamed("grp", "g").withColumnRenamed("piece", "p")
-    queries = tokens.select("token", "id", "n", "grp")
-    open_ = (queries.join(matrix, "token").where("grp <> g")
-             .where((F.col("low") <= F.col("n")) & (DEN * F.col("high") >= NUM * F.col("n")))
-             .select("id", "n", "g", "p").distinct())
-    members = grouped.select(F.col("id").alias("b"), F.col("n").alias("m"), F.col("grp").alias("g"), F.col("piece").alias("p"))
-    pairs = (open_.join(members, ["g", "p"]).where(_fits(F.col("m"), F.col("n"))).where("id <> b")
-             .select(F.col("id").alias("a"), "b").distinct().checkpoint())
-    second = verify(named, pairs)
+    index = tokens.where(F.col("at") < lead).select(
+        "token", F.col("grp").alias("g"), F.col("piece").alias("p"), F.col("id").alias("b"), F.col("n").alias("m"),
+        (F.col("n") - F.col("at") - 1).alias("after"))
+    none = F.lit(None).cast("long")
+    single = index.where("p = -1").select("token", "g", "p", "b", F.col("m").alias("low"), F.col("m").alias("high"), "after")
+    union = (index.where("p >= 0").groupBy("token", "g", "p").agg(F.min("m").alias("low"), F.max("m").alias("high"))
+             .select("token", "g", "p", none.alias("b"), "low", "high", none.alias("after")))
+    met = (tokens.select("token", "id", "n", "grp", (F.col("n") - F.col("at") - 1).alias("left"))
+           .join(single.unionByName(union), "token").where("grp <> g")
+           .where((F.col("low") <= F.col("n")) & (DEN * F.col("high") >= NUM * F.col("n")))
+           .select("token", "id", "n", "left", "g", "p", "b", F.col("low").alias("m"), "after").checkpoint())
+    # open the pieces: their members that hold the shared tokens
+    inside = (met.where("b is null").select("token", "id", "n", "left", "g", "p")
+              .join(index.where("p >= 0"), ["token", "g", "p"]).where(_fits(F.col("m"), F.col("n"))))
+    cols = ["id", "n", "left", "b", "m", "after"]
+    seen = met.where("b is not null").select(*cols).unionByName(inside.select(*cols))
+    # the tokens shared among the leading ones, and those that follow the last of
+    # them in either set, bound the overlap of two documents
+    bound = F.col("shared") + F.least("left", "after")
+    pairs = (seen.groupBy("id", "n", "b", "m").agg(
+        F.count(F.lit(1)).alias("shared"), F.min("left").alias("left"), F.min("after").alias("after"))
+        .where((NUM + DEN) * bound >= NUM * (F.col("n") + F.col("m"))).where("id <> b")
+        .select(F.col("id").alias("a"), "b").distinct().checkpoint())
+    second = verify(named, pairs, repeated)
 
     tops = components(first.union(second))
     best = reps.select("n", "fp", F.col("id").alias("rep")).join(tops, F.col("rep") == F.col("id"), "left").select(
@@ -237,7 +270,7 @@ def jaccard_classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -
         F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"),
         F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id")).alias("component_id"))
     out = out.checkpoint()
-    drop_stored(sigs, reps, grouped)
+    drop_stored(sigs, reps, heads)
     return out
 
 
