@@ -36,7 +36,7 @@ from ledgerlake.llm.common import Words, drop_stored, mix, slices, stored
 
 BACKOFF = 0.4
 #: bytes of text in a slice, and keys in a partition of a count table
-SLICE_BYTES, PART_KEYS = 16 << 20, 4 << 20
+SLICE_BYTES, PART_KEYS = 6 << 20, 2 << 20
 WORD, PAIR = 1, 2
 
 _SLICE = "slice long, ids binary, known binary, first binary, words binary, tokens binary, n_tokens long"
