@@ -195,6 +195,50 @@ def verify(docs: DataFrame, pairs: DataFrame, repeated: bool) -> DataFrame:
             .where(DEN * both >= NUM * (F.size("sa") + F.size("sb") - both)).select("a", "b").distinct().checkpoint())
 
 
+#: queries that meet a piece in one task
+PIECE_QUERIES = 2000
+
+
+def opened(open_: DataFrame, heads: DataFrame) -> DataFrame:
+    """(id, b): of the opened pieces (id, g, p), the members that the bound on the
+    overlap does not rule out.  Many queries of one piece are dealt over as many
+    copies of it."""
+
+    def run(key, asked: pa.Table, members: pa.Table) -> pa.Table:
+        a, b = [], []
+        if asked.num_rows and members.num_rows:
+            ids, m = members["b"].to_numpy(), members["n"].to_numpy()
+            lead = m - (m * 2 * NUM + NUM + DEN - 1) // (NUM + DEN) + 1
+            sets = [np.array(x[:k], np.int64) for x, k in zip(members["prefix"].to_pylist(), lead)]
+            token = np.concatenate(sets)
+            who = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+            after = m[who] - 1 - np.concatenate([np.arange(len(x)) for x in sets])
+            order = np.argsort(token, kind="stable")
+            token, who, after = token[order], who[order], after[order]
+            for q, n, head in zip(asked["id"].to_pylist(), asked["n"].to_pylist(), asked["prefix"].to_pylist()):
+                head = np.array(head, np.int64)
+                lo, hi = np.searchsorted(token, head, "left"), np.searchsorted(token, head, "right")
+                at = np.concatenate([np.arange(x, y) for x, y in zip(lo, hi)] or [np.empty(0, int)]).astype(int)
+                left = np.repeat(n - 1 - np.arange(len(head)), hi - lo)
+                shared = np.bincount(who[at], minlength=len(ids))
+                rest = np.full(len(ids), np.iinfo(np.int64).max)
+                np.minimum.at(rest, who[at], np.minimum(left, after[at]))
+                good = (shared > 0) & (m <= n) & (DEN * m >= NUM * n) & (ids != q)
+                good &= (NUM + DEN) * (shared + np.where(good, rest, 0)) >= NUM * (n + m)
+                a += [q] * int(good.sum())
+                b += ids[good].tolist()
+        return pa.table({"id": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    ways = open_.groupBy("g", "p").agg(F.ceil(F.count(F.lit(1)) / PIECE_QUERIES).alias("ways")).checkpoint()
+    asked = (open_.join(ways, ["g", "p"]).withColumn("way", F.pmod(F.xxhash64("id"), F.col("ways")))
+             .join(heads.select("id", "n", "prefix"), "id").select("g", "p", "way", "id", "n", "prefix"))
+    members = (heads.where("piece >= 0").select(F.col("grp").alias("g"), F.col("piece").alias("p"), F.col("id").alias("b"),
+                                                "n", "prefix")
+               .join(ways, ["g", "p"]).withColumn("way", F.explode(F.sequence(F.lit(0).cast("long"), F.col("ways") - 1)))
+               .select("g", "p", "way", "b", "n", "prefix"))
+    return asked.groupBy("g", "p", "way").cogroup(members.groupBy("g", "p", "way")).applyInArrow(run, "id long, b long")
+
+
 def _fits(small: Column, large: Column) -> Column:
     return (small <= large) & (DEN * small >= NUM * large)
 
@@ -242,28 +286,42 @@ def jaccard_classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -
         "token", F.col("grp").alias("g"), F.col("piece").alias("p"), F.col("id").alias("b"), F.col("n").alias("m"),
         (F.col("n") - F.col("at") - 1).alias("after"))
     none = F.lit(None).cast("long")
-    single = index.where("p = -1").select("token", "g", "p", "b", F.col("m").alias("low"), F.col("m").alias("high"), "after")
-    union = (index.where("p >= 0").groupBy("token", "g", "p").agg(F.min("m").alias("low"), F.max("m").alias("high"))
-             .select("token", "g", "p", none.alias("b"), "low", "high", none.alias("after")))
-    met = (tokens.select("token", "id", "n", "grp", (F.col("n") - F.col("at") - 1).alias("left"))
-           .join(single.unionByName(union), "token").where("grp <> g")
+    # a single document is its own group: its id stands for it
+    single = index.where("p = -1").select("token", none.alias("g"), "p", "b", F.col("m").alias("low"),
+                                          F.col("m").alias("high"), "after")
+    union = (index.where("p >= 0").groupBy("token", "g", "p")
+             .agg(F.min("b").alias("b"), F.min("m").alias("low"), F.max("m").alias("high"))
+             .select("token", "g", "p", "b", "low", "high", none.alias("after")))
+    queries = tokens.select("token", "id", "n", F.when(F.col("grp") != F.col("id"), F.col("grp")).alias("grp"),
+                            (F.col("n") - F.col("at") - 1).alias("left"))
+    met = (queries.join(single.unionByName(union), "token")
+           .where(F.coalesce("grp", "id") != F.coalesce("g", "b"))
            .where((F.col("low") <= F.col("n")) & (DEN * F.col("high") >= NUM * F.col("n")))
-           .select("token", "id", "n", "left", "g", "p", "b", F.col("low").alias("m"), "after").checkpoint())
-    # open the pieces: their members that hold the shared tokens
-    inside = (met.where("b is null").select("token", "id", "n", "left", "g", "p")
-              .join(index.where("p >= 0"), ["token", "g", "p"]).where(_fits(F.col("m"), F.col("n"))))
-    cols = ["id", "n", "left", "b", "m", "after"]
-    seen = met.where("b is not null").select(*cols).unionByName(inside.select(*cols))
-    # the tokens shared among the leading ones, and those that follow the last of
-    # them in either set, bound the overlap of two documents
+           .select("id", "n", "left", "g", "p", "b", F.col("low").alias("m"), "after").checkpoint())
+
+    # a group that a query may link with is first tried through the one member that
+    # shares most with it: a confirmed link makes them one group, and spares the rest
+    near = met.where("g is not null")
+    tried = (near.groupBy("id", "g", "b").agg(F.count(F.lit(1)).alias("k"))
+             .groupBy("id", "g").agg(F.max(F.struct("k", "b")).alias("s"))
+             .select(F.col("id").alias("a"), "s.b").where("a <> b").distinct().checkpoint())
+    links = first.union(verify(named, tried, repeated)).checkpoint()
+    united = components(links)
+    own, other = united.select("id", F.col("component").alias("c")), \
+        united.select(F.col("id").alias("g"), F.col("component").alias("d"))
+    open_ = (near.select("id", "g", "p").distinct().join(own, "id", "left").join(other, "g", "left")
+             .where(F.coalesce("c", "id") != F.coalesce("d", "g")).select("id", "g", "p").checkpoint())
+
+    # of two documents, the tokens shared among the leading ones, and those that
+    # follow the last of them in either set, bound the overlap
     bound = F.col("shared") + F.least("left", "after")
-    pairs = (seen.groupBy("id", "n", "b", "m").agg(
+    alone = (met.where("g is null").groupBy("id", "n", "b", "m").agg(
         F.count(F.lit(1)).alias("shared"), F.min("left").alias("left"), F.min("after").alias("after"))
-        .where((NUM + DEN) * bound >= NUM * (F.col("n") + F.col("m"))).where("id <> b")
-        .select(F.col("id").alias("a"), "b").distinct().checkpoint())
+        .where((NUM + DEN) * bound >= NUM * (F.col("n") + F.col("m"))).where("id <> b").select("id", "b"))
+    pairs = (alone.union(opened(open_, heads)).select(F.col("id").alias("a"), "b").distinct().checkpoint())
     second = verify(named, pairs, repeated)
 
-    tops = components(first.union(second))
+    tops = components(links.union(second))
     best = reps.select("n", "fp", F.col("id").alias("rep")).join(tops, F.col("rep") == F.col("id"), "left").select(
         "n", "fp", F.coalesce("component", "rep").alias("component_id"))
     out = sigs.select("id", "n", "fp").join(best, ["n", "fp"], "left").select(
