@@ -141,7 +141,7 @@ def string_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[offsets[0]:offsets[-1]], offsets
 
 
-def slices(batches: Iterator[pa.RecordBatch], text: str, most: int = 4 * BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], text: str, most: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches into slices of at most ``most`` bytes of text (a longer
     single text is a slice of its own), so that memory follows the slice."""
     for batch in batches:
