@@ -34,7 +34,7 @@ from ledgerlake.llm.common import slices, span_hashes, string_bytes
 #: distinct pieces a Python worker remembers (about 40 bytes each)
 CACHE_PIECES = 2_000_000
 #: pieces, and bytes of pieces, in one recursive query
-QUERY_PIECES, QUERY_BYTES = 20_000, 1 << 20
+QUERY_PIECES, QUERY_BYTES = 10_000, 1 << 18
 #: bytes from which a piece counts as long
 LONG_BYTES = 64
 
