@@ -28,7 +28,7 @@ words the whole sequence is the one shingle; a null id links with nothing and
 has a null component; repeated rows are returned each, in one component; ids are
 taken to name one text (rows of one id with different texts may link through
 either); an empty table gives an empty table; only the id and text columns are
-read.
+read.  ``one_of_each`` names rows by their content instead, nulls included.
 """
 
 from __future__ import annotations
@@ -333,8 +333,26 @@ def jaccard_classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -
 
 
 def one_of_each(df: DataFrame) -> DataFrame:
-    """The documents with all their columns, one of each component: the one
-    with the component's id.  Documents that link with nothing stay, also
-    those with a null id."""
-    gone = (jaccard_classes(df).where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct())
-    return df.join(gone, df["doc_id"] == F.col("_gone"), "left_anti")
+    """The rows with all their columns, one of each group of copies: the one of
+    the smallest id (null ids last).
+
+    Rows are named by a 64-bit hash of all their columns, not by id: rows of one
+    id with different texts are documents of their own, and rows with a null id
+    link like others.  Rows without words link with nothing and stay; rows that
+    are equal in every column are one document, whatever their text."""
+    columns = df.columns
+    named = df.withColumn("_row", F.xxhash64(*[F.col(f"`{c}`") for c in columns]))
+    found = jaccard_classes(named, "_row")
+    rows = named.groupBy("_row").agg(F.min("doc_id").alias("id"), F.count(F.lit(1)).alias("times"))
+    # aggregated, not ranked: a large group is combined before the shuffle
+    best = (rows.join(found.groupBy("doc_id").agg(F.min("component_id").alias("c")), F.col("_row") == F.col("doc_id"))
+            .groupBy("c").agg(F.min(F.struct(F.col("id").isNull().alias("unnamed"), "id", "_row", "times")).alias("s"))
+            .select("s._row", "s.times").checkpoint())
+    equal = best.where("times > 1").select("_row")
+    gone = rows.join(best.where("times = 1"), "_row", "left_anti").select("_row").checkpoint()
+    kept = named.join(_small(gone), "_row", "left_anti").select(*[F.col(f"`{c}`") for c in columns])
+    if not equal.limit(1).count():
+        return kept
+    again = (named.join(_small(equal), "_row", "left_semi").groupBy("_row")
+             .agg(F.first(F.struct(*[F.col(f"`{c}`") for c in columns])).alias("s")).select("s.*"))
+    return kept.unionByName(again)

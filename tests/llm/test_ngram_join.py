@@ -107,3 +107,21 @@ def test_components_of_paths_stars_and_cycles(spark):
             x, y = sorted((find(a), find(b)))
             root[y] = x
     assert got == {i: find(i) for i in list(root)}
+
+
+def test_one_of_each_keeps_one_row_of_each_group(spark):
+    a, b, c = "a b c d e f g h", "q r s t u v w x y z", "k l m n o p k l m"
+    rows = [(5, a, "s"), (5, a, "s"), (5, a, "t"), (9, a + " i", "s"),        # repeated rows, and a near copy
+            (None, b, "s"), (None, b, "s"), (None, b + " !", "s"),           # copies with a null id only
+            (3, c, "s"), (9, c, "s"),                                        # one id, two texts: only one is a copy
+            (None, a, "s"), (9, "one more text of its own", "s"), (7, None, "s"), (8, "", "s"), (None, None, "s")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, id string")
+    out = J.one_of_each(df)
+    assert out.columns == df.columns
+    got = [tuple(r) for r in out.collect()]
+    assert [r[0] for r in got if r[1] and r[1].startswith(a)] == [5]
+    assert [r[0] for r in got if r[1] and r[1].startswith(b)] == [None]
+    assert [r[0] for r in got if r[1] == c] == [3]
+    assert sorted((r for r in got if r[1] is None or r[1] in ("", "one more text of its own")), key=repr) == sorted(rows[-4:], key=repr)
+    assert len(got) == 7 and {*got} <= {*rows}
+    assert J.one_of_each(df.limit(0)).count() == 0
