@@ -1,8 +1,12 @@
 """License scans by sentence rules, with DataFrame functions only.
 
-A text is cut into sentences; each is normalised (words of letters and digits,
-lower-cased) and looked up among known license sentences, of which each has an
-identifier.  The identifiers of a document, in order, are then matched with the
+A text is cut into sentences at full stops, semicolons and blank lines; a
+sentence may be wrapped over lines, with comment leaders (any signs but letters
+and digits) before them.  Its lines are normalised (words of letters and
+digits, lower-cased), and each line, and each run of lines, of a sentence is
+looked up among known license sentences, of which each has an identifier; of
+those that begin at a line the longest counts, and none that begins inside
+another.  The identifiers of a document, in order, are then matched with the
 license rules in theirs: a rule names identifiers that must follow each other,
 other known sentences may stand between.  A rule that matches uses its
 sentences up, so the rules that come first, the more specific ones, win.
@@ -70,7 +74,10 @@ RULES = [
     ("CC-BY-4.0", ("ccby-line",)),
     ("CC0-1.0", ("cc0-line",)),
 ]
-SPLIT = r"[.;][^\p{L}\p{N}\s]*\s+|\n+"
+#: what stands before the first letter or digit of a line: blanks, comment leaders
+LEADERS = r"(?dm)^[^\p{L}\p{N}\n]+"
+#: ends of sentences, once lines without words are empty
+SPLIT = r"[.;][^\p{L}\p{N}\s]*\s+|\n\n+"
 
 
 def normalised(sentence: Column) -> Column:
@@ -85,17 +92,37 @@ def known_sentences(spark, sentences: dict[str, str]) -> DataFrame:
             .groupBy("sentence").agg(F.min("sentence_id").alias("sentence_id")))
 
 
+def beginnings(known: DataFrame) -> DataFrame:
+    """(start, sentence, sentence_id, most): every sentence by each of its leading
+    runs of words; ``most`` lines may hold it."""
+    w = F.split("sentence", " ")
+    return (known.where("sentence <> ''").withColumn("n", F.explode(F.sequence(F.lit(1), F.size(w))))
+            .select(F.array_join(F.slice(w, F.lit(1), F.col("n")), " ").alias("start"), "sentence", "sentence_id",
+                    (F.size(w) - F.col("n") + 1).alias("most")))
+
+
 def scan(df: DataFrame, doc_id: str = "doc_id", text: str = "text",
          sentences: dict[str, str] = SENTENCES, rules=tuple(RULES)) -> DataFrame:
     """(doc_id, sentences, licenses, rest): documents with known sentences;
     space-joined identifiers, comma-joined licenses, identifiers left over."""
     known = known_sentences(df.sparkSession, sentences)
-    cut = df.select(F.col(doc_id).alias("doc_id"), F.posexplode(F.split(F.col(text), SPLIT)).alias("position", "raw"))
-    # sentences far from any known length are not worth normalising
-    longest = max(len(t) for t in sentences.values())
-    hits = (cut.where(F.char_length("raw") <= 4 * longest).select("doc_id", "position", normalised(F.col("raw")).alias("sentence"))
-            .join(F.broadcast(known), "sentence"))
-    found = hits.groupBy("doc_id").agg(F.array_sort(F.collect_set(F.struct("position", "sentence_id"))).alias("ids"))
+    cut = df.select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("key"), F.posexplode(
+        F.split(F.regexp_replace(F.col(text), LEADERS, ""), SPLIT)).alias("position", "raw"))
+    lines = (cut.select("doc_id", "key", "position", F.split("raw", "\n").alias("lines"))
+             .select("doc_id", "key", "position", "lines", F.posexplode("lines").alias("line", "raw"))
+             .select("doc_id", "key", "position", "lines", "line", normalised(F.col("raw")).alias("start")))
+    # a line that begins a known sentence, then the lines that complete it
+    runs = lines.join(F.broadcast(beginnings(known)), "start")
+    runs = runs.withColumn("next", F.transform(F.slice("lines", F.col("line") + 1, F.col("most")), normalised))
+    runs = runs.withColumn("ends", F.filter(F.sequence(F.lit(1), F.size("next")),
+                                            lambda m: F.array_join(F.slice("next", F.lit(1), m), " ") == F.col("sentence")))
+    runs = runs.where("size(ends) > 0").withColumn("last", F.col("line") + F.element_at("ends", 1) - 1)
+    # of each line, the longest run that begins there, and whether it lies inside another
+    held = runs.select("doc_id", "key", "position", "line", "last", "sentence_id", F.explode(F.sequence("line", "last")).alias("at"))
+    hits = (held.groupBy("doc_id", "key", "position", "at").agg(
+        F.max(F.when(F.col("at") == F.col("line"), F.struct("last", "sentence_id"))).alias("s"),
+        F.max(F.col("at") != F.col("line")).alias("inside")).where("s is not null and not inside"))
+    found = hits.groupBy("doc_id").agg(F.array_sort(F.collect_set(F.struct("position", "at", "s.sentence_id"))).alias("ids"))
     line = F.concat(F.lit(" "), F.array_join(F.transform("ids", lambda x: F.concat(x["sentence_id"], F.lit(" "))), ""))
     out = found.select("doc_id", line.alias("sentences"))
     steps = F.array(*[F.struct(

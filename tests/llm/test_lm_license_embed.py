@@ -3,6 +3,7 @@
 import math
 import random
 import re
+import textwrap
 from collections import Counter
 
 import numpy as np
@@ -85,6 +86,35 @@ def test_license_rules(spark):
     assert all(i in L.SENTENCES for _, ids in L.RULES for i in ids)
 
 
+def wrapped(sentence, leader="", width=60):
+    return "\n".join(leader + x for x in textwrap.wrap(sentence, width, break_long_words=False, break_on_hyphens=False))
+
+
+S = L.SENTENCES
+WRAPPED = {
+    1: (f"MIT License\n\nCopyright (c) 2020 X\n\n{wrapped(S['mit-grant'])}\n\n{wrapped(S['mit-notice'])}.\n\nTHE SOFTWARE",
+        "mit-grant mit-notice", "MIT", ""),
+    2: (f"/*\n * Copyright X\n{wrapped(S['isc-grant'], ' * ')}.\n *\n */", "isc-grant", "ISC", ""),
+    3: (f"{wrapped(S['gpl-free'], '# ')}.\r\n#\r\n{wrapped(S['gpl-hope'], ';; ', 30)};\n;; without", "gpl-free gpl-hope",
+        "GPL-3.0-or-later", ""),
+    4: (f"// Licensed under the Apache License, Version 2.0\n// (the \"License\");\n{wrapped(S['apache-only'], '// ', 20)}.\n//\n"
+        f"{wrapped(S['apache-asis'], '// ')}.\n", "apache-grant apache-only apache-asis", "Apache-2.0", ""),
+    5: ("code\nReleased under\nthe MIT License\nAll rights reserved\nmore", "mit-line reserved", "MIT", "reserved"),
+    6: (f"Released under{' ' * 2000}the{'-=' * 1000} MIT License.", "mit-line", "MIT", ""),
+}
+
+
+def test_wrapped_and_padded_sentences_are_found(spark):
+    rows = [(k, c[0], "s") for k, c in WRAPPED.items()] + [(90, "Released under\n\nthe MIT License", "s"),
+                                                          (91, "Released under the\nMIT License of old", "s")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lines string")
+    got = {r.doc_id: (r.sentences, r.licenses, r.rest) for r in L.scan(df).collect()}
+    assert got == {k: c[1:] for k, c in WRAPPED.items()}
+    two = spark.createDataFrame([(None, S["mit-line"]), (None, S["ccby-line"]), (None, wrapped(S["apache-grant"], "# ", 30))],
+                                "doc_id long, text string")
+    assert [r.licenses for r in L.scan(two).collect()] == ["Apache-2.0,MIT,CC-BY-4.0"]
+
+
 # ---- embeddings ----------------------------------------------------------------
 
 
