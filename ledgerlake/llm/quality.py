@@ -4,11 +4,11 @@ two-layer network with temperature-calibrated probabilities.
 Every word has two keys, a hash of itself and one of its shape (letters, capitals,
 digits and other characters, runs collapsed).  A key's index vector is a fixed
 sparse random vector; its word vector gathers the index vectors of its
-neighbours in the training texts.  A document is the mean of its words' vectors,
+neighbours in all documents.  A document is the mean of its words' vectors,
 the length of its mean index vector and the share of words that repeat the one
-before (both grow with repetition), and its log word count.  The network is trained on a bounded sample of labelled rows
-(``SAMPLE_ROWS`` rows of at most ``SAMPLE_CHARS`` characters, chosen by a hash of
-doc_id); one part of it fits the temperature.  Scoring reads whole texts.
+before (both grow with repetition), and its log word count.  The network is
+trained on a bounded sample of labelled rows of all lengths (``SAMPLE_ROWS`` rows
+and ``SAMPLE_BYTES`` bytes together, in the order of a hash of doc_id); one part of it fits the temperature.  Scoring reads whole texts.
 
 Defined results: null and empty texts have zero vectors and get the network's
 score for them; without labelled rows of both classes every score is 0.5;
@@ -23,16 +23,19 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlake.llm.common import Words, mix, slices, span_hashes
 
-#: bound of the training sample: rows, and characters of a row
-SAMPLE_ROWS, SAMPLE_CHARS = 4000, 20_000
+#: bound of the network's training sample: rows, and bytes of text together
+SAMPLE_ROWS, SAMPLE_BYTES = 4000, 1 << 25
 DIMS, NONZERO, HIDDEN = 32, 4, 16
 WORD_KEYS, SHAPE_KEYS = 1 << 16, 1 << 12
+#: blocks of keys in which the tasks add up word vectors
+KEY_PARTS = 64
 REACH = 2
 THRESHOLD = 0.3
 
@@ -116,43 +119,101 @@ def extras(words: np.ndarray, first: np.ndarray, index: np.ndarray) -> np.ndarra
     return np.stack([np.log(1e-3 + np.sqrt((mean ** 2).sum(1))), np.log1p(count), repeats], axis=1)
 
 
-def word_vectors(words: np.ndarray, shapes: np.ndarray, first: np.ndarray, index: np.ndarray) -> np.ndarray:
-    """Each key's normalised sum of its neighbours' index vectors, plus its own."""
-    total = np.zeros((len(index), DIMS), np.float32)
+def add_neighbours(total: np.ndarray, words: np.ndarray, shapes: np.ndarray, first: np.ndarray, index: np.ndarray) -> None:
+    """Adds each key's neighbours' index vectors in these texts to ``total`` (exact integers)."""
     text = np.repeat(np.arange(len(first) - 1), np.diff(first))
-    block = 1 << 18
+    block = 1 << 16
     for at in range(0, len(words), block):
         lo, hi = max(0, at - REACH), min(len(words), at + block + REACH)
-        own = index[words[lo:hi]].astype(np.float32) + index[shapes[lo:hi]]
-        near = np.zeros_like(own)
+        own = index[words[lo:hi]] + index[shapes[lo:hi]]
+        near = np.zeros_like(own)               # at most 4 * REACH in size
         for k in range(1, REACH + 1):
             same = (text[lo:hi][k:] == text[lo:hi][:-k])[:, None]
             near[k:] += own[:-k] * same
             near[:-k] += own[k:] * same
-        part = slice(at - lo, min(at + block, len(words)) - lo)
+        part = near[at - lo:min(at + block, len(words)) - lo].astype(np.int32)
         for keys in (words[at:at + block], shapes[at:at + block]):
             order = np.argsort(keys, kind="stable")
             found, begin = np.unique(keys[order], return_index=True)
-            total[found] += np.add.reduceat(near[part][order], begin, axis=0)
-    length = np.sqrt((total ** 2).sum(1, keepdims=True))
-    return total / np.maximum(length, 1) + index / np.float32(np.sqrt(NONZERO))
+            total[found] += np.add.reduceat(part[order], begin, axis=0)
+
+
+def _scaled(total: np.ndarray, index: np.ndarray) -> np.ndarray:
+    """Word vectors: each key's normalised sum, plus its own index vector."""
+    length = np.sqrt((total.astype(np.float64) ** 2).sum(1, keepdims=True))
+    return (total / np.maximum(length, 1) + index / np.sqrt(NONZERO)).astype(np.float32)
+
+
+def word_vectors(words: np.ndarray, shapes: np.ndarray, first: np.ndarray, index: np.ndarray) -> np.ndarray:
+    """Each key's normalised sum of its neighbours' index vectors, plus its own."""
+    total = np.zeros(index.shape, np.int64)
+    add_neighbours(total, words, shapes, first, index)
+    return _scaled(total, index)
 
 
-def train(texts: pa.Array, labels: np.ndarray, seed: int = 7) -> Model | None:
-    """Fit the word vectors, the network and its temperature; None if a class is missing."""
+def corpus_vectors(docs: DataFrame) -> np.ndarray:
+    """The word vectors of all documents: a table of fixed size (18 MB of sums),
+    added up by blocks of keys in the tasks."""
+    width = (WORD_KEYS + SHAPE_KEYS) // KEY_PARTS
+    kind = "part int, salt int, used binary, sums binary"
+
+    def row(part, salt, block):
+        used = np.flatnonzero(block.any(1))
+        return pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "salt": pa.array([salt], pa.int32()),
+                                           "used": [used.tobytes()], "sums": [block[used].tobytes()]})
+
+    def count(batches):
+        index = index_vectors()
+        total = np.zeros(index.shape, np.int64)
+        for b in slices(batches, "text"):
+            add_neighbours(total, *keys_of(b.column(0)), index)
+        salt = TaskContext.get().partitionId() % 64
+        for p in range(KEY_PARTS):
+            yield row(p, salt, total[p * width:(p + 1) * width])
+
+    def add(batches):                             # sorted: one block at a time
+        last, block = None, None
+        for b in batches:
+            for p, s, used, sums in zip(*(b.column(k).to_pylist() for k in range(4))):
+                if (p, s) != last:
+                    if last:
+                        yield row(last[0], 0, block)
+                    last, block = (p, s), np.zeros((width, DIMS), np.int64)
+                block[np.frombuffer(used, np.int64)] += np.frombuffer(sums, np.int64).reshape(-1, DIMS)
+        if last:
+            yield row(last[0], 0, block)
+
+    parts = docs.select("text").mapInArrow(count, kind)
+    for _ in range(2):                            # salted first, then by part
+        parts = parts.repartition("part", "salt").sortWithinPartitions("part", "salt").mapInArrow(add, kind)
+    index = index_vectors()
+    total = np.zeros(index.shape, np.int64)
+    for r in parts.collect():                     # KEY_PARTS rows
+        total[r.part * width + np.frombuffer(r.used, np.int64)] += np.frombuffer(r.sums, np.int64).reshape(-1, DIMS)
+    return _scaled(total, index)
+
+
+def train(texts: pa.Array, labels: np.ndarray) -> Model | None:
+    """Fit the word vectors of these texts, the network and its temperature; None
+    if a class is missing."""
     if len(labels) < 2 or labels.min() == labels.max():
         return None
+    return network(texts, labels, word_vectors(*keys_of(texts), index_vectors()))
+
+
+def network(texts: pa.Array, labels: np.ndarray, vectors: np.ndarray, seed: int = 7) -> Model:
+    """Fit the network over these word vectors, and its temperature."""
     index = index_vectors()
     words, shapes, first = keys_of(texts)
-    vectors = word_vectors(words, shapes, first, index)
     n = np.maximum(np.diff(first), 1)[:, None].astype(np.float32)
     pooled = np.zeros((len(labels), DIMS), np.float32)
-    step = 500
+    more, step = [], 100
     for at in range(0, len(labels), step):
         part = first[at:at + step + 1]
         for keys in (words, shapes):
             pooled[at:at + step] += _sums(vectors[keys[part[0]:part[-1]]], part - part[0])
-    x = np.concatenate([pooled / n, extras(words, first, index)], axis=1)
+        more.append(extras(words[part[0]:part[-1]], part - part[0], index))
+    x = np.concatenate([pooled / n, np.concatenate(more)], axis=1)
     rng = np.random.default_rng(seed)
     held = rng.random(len(labels)) < 0.2
     if held.all() or not held.any() or labels[~held].min() == labels[~held].max():
@@ -188,19 +249,27 @@ def held_out(doc_id: Column) -> Column:
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
-    """Train on the bounded sample of labelled rows that are not held out."""
+    """Word vectors from all documents; the network from the bounded sample of
+    labelled rows that are not held out."""
     known = (labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
              .groupBy("doc_id").agg(F.max("quality").alias("quality")))
     # ids first: the sort then moves ids, not texts; the sample is a bounded broadcast
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_ROWS)
-    sample = (docs.select("doc_id", "text").where(F.coalesce(F.char_length("text"), F.lit(0)) <= SAMPLE_CHARS)
-              .join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.max("text").alias("text"),
-                                                                        F.max("quality").alias("quality"))
+    sizes = (docs.select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).alias("size"))
+             .join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.max("size").alias("size"))
+             .where(F.col("size") <= SAMPLE_BYTES).orderBy(F.xxhash64("doc_id"), "doc_id").collect())
+    # rows of all lengths in the order of the hash, up to the bound
+    fit_in = int(np.searchsorted(np.cumsum([r["size"] for r in sizes]), SAMPLE_BYTES, "right")) if sizes else 0
+    taken = docs.sparkSession.createDataFrame([(r.doc_id,) for r in sizes[:fit_in]], known.select("doc_id").schema)
+    sample = (docs.select("doc_id", "text").join(F.broadcast(chosen.join(F.broadcast(taken), "doc_id")), "doc_id")
+              .groupBy("doc_id").agg(F.max("text").alias("text"), F.max("quality").alias("quality"))
               .orderBy(F.xxhash64("doc_id"), "doc_id").toArrow().combine_chunks())
     texts = sample.column("text").combine_chunks() if sample.num_rows else pa.array([], pa.string())
     if isinstance(texts, pa.ChunkedArray):
         texts = pa.concat_arrays(texts.chunks)
-    return train(texts, sample.column("quality").to_numpy().astype(np.int64))
+    quality = sample.column("quality").to_numpy().astype(np.int64)
+    # without both classes there is nothing to train, and no pass over the documents
+    return train(texts, quality) and network(texts, quality, corpus_vectors(docs))
 
 
 def score(docs: DataFrame, model: Model | None) -> DataFrame:

@@ -72,3 +72,20 @@ def test_sample_is_bounded_and_skips_held_out_rows(spark, monkeypatch):
     for t, y in zip(seen["texts"], seen["y"]):
         i = int(t[1:])
         assert zlib.crc32(str(i).encode()) % 5 and y == (1 if i == 7 else i % 2)
+
+
+def test_word_vectors_cover_all_documents_and_all_lengths(spark, monkeypatch):
+    rows = [(i, ("good words here " if i % 2 else "bad!! bad!! ") * 4) for i in range(40)]
+    rows += [(100, "unlabelled rare neighbour"), (None, "no id, rare too"), (7, None), (101, "q " * 300_000 + "end")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(40)] + [(101, 0, 0), (102, 0, 0)],
+                                   "doc_id long, quality int, toxic int")
+    want = Q.word_vectors(*Q.keys_of(pa.array([t for _, t in rows], pa.string())), Q.index_vectors())
+    monkeypatch.setattr(Q, "held_out", lambda c: Q.F.lit(False))
+    seen, network = [], Q.network
+    monkeypatch.setattr(Q, "network", lambda texts, *a: seen.append(texts.to_pylist()) or network(texts, *a))
+    assert np.allclose(Q.fit(docs, labels).vectors, want, atol=1e-6)
+    assert rows[-1][1] in seen[-1] and len(seen[-1]) == 41      # long rows are learnt from
+    monkeypatch.setattr(Q, "SAMPLE_BYTES", 1000)
+    Q.fit(docs, labels)
+    assert 15 <= len(seen[-1]) <= 21 and sum(len(t or "") for t in seen[-1]) <= 1000
