@@ -5,8 +5,10 @@ shard searched for every vector, links verified by cosine, components united.
 2. Vectors are dealt into shards of bounded size by a hash; a task builds each
    shard's graph, which is stored.
 3. Blocks of vectors meet every shard's graph.  The beam starts at ``BEAM`` and
-   doubles until an audit against brute force (``AUDIT`` vectors, compared with
-   all) finds ``RECALL`` of the true links; a single query's beam also doubles
+   doubles until an audit against brute force (``AUDIT`` vectors, more if few of
+   them have links, and ``PROBES`` planted near-copies, compared with all) finds
+   ``RECALL`` of the true links, as the mean over vectors, also over those outside
+   large groups; if no beam does, blocks and shards are compared exactly.  A single query's beam also doubles
    while all it holds qualifies, so large groups are counted whole.
 4. Similarities near the threshold or above are computed anew in double
    precision; a task returns each vector's link count, and of the links a
@@ -39,6 +41,9 @@ SHARD_ROWS, MIN_SHARDS = 65_536, 6
 #: vectors in a block of queries, and ways into which a shard's blocks are dealt
 BLOCK, WAYS = 2048, 4
 BEAM, RECALL, AUDIT = 64, 0.99, 256
+#: vectors audited at most, those with links (but few) that are enough, and planted
+#: near-copies, which have a link however rare links are
+AUDIT_MOST, ENOUGH, PROBES = 4096, 64, 128
 #: single-precision similarities this close below the threshold are verified too
 SLACK = 1e-4
 
@@ -122,9 +127,15 @@ def _roots(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return ids[child], ids[root[child]]
 
 
-def search(blocks: DataFrame, graphs: DataFrame, shards: int, width: int) -> DataFrame:
-    """(id, other, n): rows with ``n`` count a vector's links in one shard,
-    copies included; rows with ``other`` are the forest's links."""
+def _exact(unit: np.ndarray, nodes: np.ndarray) -> list[np.ndarray]:
+    """All nodes near each vector, by comparing with all."""
+    return [np.flatnonzero(x) for at in range(0, len(unit), 64) for x in unit[at:at + 64] @ nodes.T >= COSINE - SLACK]
+
+
+def search(blocks: DataFrame, graphs: DataFrame, shards: int, width: int | None, copies: bool = True) -> DataFrame:
+    """(id, other, n): rows with ``n`` count a vector's links in one shard, with
+    ``copies`` included; rows with ``other`` are the forest's links.  Without a
+    beam, vectors are compared with the whole shard."""
 
     def run(batches):
         last, graph, got = None, None, None
@@ -136,14 +147,14 @@ def search(blocks: DataFrame, graphs: DataFrame, shards: int, width: int) -> Dat
                     last = key
                 rep = np.frombuffer(b.column(2)[i].as_py(), np.int64)
                 unit = _unit(np.frombuffer(b.column(3)[i].as_py(), np.float64).reshape(len(rep), -1))
-                near = graph.within(unit.astype(np.float32), COSINE - SLACK, width)
+                near = graph.within(unit.astype(np.float32), COSINE - SLACK, width) if width else _exact(unit, got["unit"])
                 row = np.repeat(np.arange(len(rep)), [len(x) for x in near])
                 node = np.concatenate(near).astype(np.int64)
                 exact = np.concatenate([np.einsum("kd,kd->k", unit[row[at:at + 65536]], got["unit"][node[at:at + 65536]])
                                         for at in range(0, max(1, len(row)), 65536)])
                 keep = (exact >= COSINE) & (got["rep"][node] != rep[row])
                 row, node = row[keep], node[keep]
-                n = np.bincount(row, got["copies"][node], len(rep)).astype(np.int64)
+                n = np.bincount(row, got["copies"][node] if copies else None, len(rep)).astype(np.int64)
                 u, r = _roots(rep[row], got["rep"][node]) if len(row) else (row, row)
                 yield pa.RecordBatch.from_arrays([
                     pa.array(np.concatenate([rep, u]), pa.int64()),
@@ -157,29 +168,77 @@ def search(blocks: DataFrame, graphs: DataFrame, shards: int, width: int) -> Dat
     return met.mapInArrow(run, "id long, other long, n long")
 
 
-def audit_counts(vectors: DataFrame, sample: DataFrame) -> int:
-    """True links of the sampled vectors, by comparing them with all vectors."""
-    rows = sample.collect()                       # AUDIT rows
-    sent = vectors.sparkSession.sparkContext.broadcast(
-        [(r.rep, np.array(r.v, np.float64)) for r in rows])
+def audit_counts(vectors: DataFrame, asked: list[tuple[int, np.ndarray]]) -> dict[int, int]:
+    """True links of each asked vector (id, v), by comparing it with all vectors."""
+    sent = vectors.sparkSession.sparkContext.broadcast(asked)
 
     def run(batches):
-        total = 0
+        total: dict = {}
         for b in batches:
-            dims = b.column(3).to_numpy()
+            dims = b.column(2).to_numpy()
             for d in np.unique(dims):
-                at = np.flatnonzero(dims == d)
-                asked = [(r, v) for r, v in sent.value if len(v) == d]
-                if not asked:
+                mine = [(r, v) for r, v in sent.value if len(v) == d]
+                if not mine:
                     continue
-                part = b.take(pa.array(at))
-                q = _unit(np.array([v for _, v in asked]))
-                hit = q @ _unit(_matrix(part.column(1))).T >= COSINE
-                hit &= np.array([r for r, _ in asked])[:, None] != part.column(0).to_numpy()[None, :]
-                total += int((hit * part.column(2).to_numpy()[None, :]).sum())
-        yield pa.RecordBatch.from_pydict({"n": pa.array([total], pa.int64())})
+                part = b.take(pa.array(np.flatnonzero(dims == d)))
+                ids, q = np.array([r for r, _ in mine]), _unit(np.array([v for _, v in mine]))
+                n = np.zeros(len(ids), np.int64)
+                for at in range(0, part.num_rows, 1024):
+                    p = part.slice(at, 1024)
+                    hit = q @ _unit(_matrix(p.column(1))).T >= COSINE
+                    n += (hit & (ids[:, None] != p.column(0).to_numpy()[None, :])).sum(1)
+                for r, k in zip(ids.tolist(), n.tolist()):
+                    total[r] = total.get(r, 0) + k
+        yield pa.RecordBatch.from_pydict({"id": pa.array(list(total), pa.int64()), "n": pa.array(list(total.values()), pa.int64())})
+
+    rows = vectors.select("rep", "v", "dims").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    return {r.id: r.n for r in rows.collect() if r.n}
+
+
+def planted(asked: list[tuple[int, np.ndarray]], lowest: int) -> list[tuple[int, np.ndarray]]:
+    """Near-copies (cosine 0.95) of the first vectors, under ids of their own."""
+    rng, out = np.random.default_rng(3), []
+    for k, (_, v) in enumerate(asked[:PROBES]):
+        unit = _unit(v[None, :])[0]
+        side = rng.normal(size=len(unit))
+        side -= (side @ unit) * unit
+        length = np.sqrt(side @ side)
+        if len(unit) > 1 and length > 0:
+            out.append((lowest - 1 - k, 0.95 * unit + np.sqrt(1 - 0.95 ** 2) * side / length))
+    return out
+
 
-    return vectors.select("rep", "v", "copies", "dims").mapInArrow(run, "n long").agg(F.sum("n")).first()[0] or 0
+def reached(true: dict[int, int], found: dict[int, int]) -> bool:
+    """Whether the mean recall over vectors suffices, also over those outside large groups."""
+    share = {i: found.get(i, 0) / n for i, n in true.items()}
+    few = [share[i] for i, n in true.items() if n <= BEAM]
+    return all(np.mean(x) >= RECALL for x in (list(share.values()), few) if x)
+
+
+def audited_beam(vectors: DataFrame, graphs: DataFrame, shards: int) -> int | None:
+    """The beam that passes the audit; None if none does."""
+    spark, drawn = vectors.sparkSession, AUDIT
+    while True:
+        rows = vectors.select("rep", "v").orderBy(F.xxhash64("rep", F.lit(5)), "rep").limit(drawn).collect()
+        asked = [(r.rep, np.array(r.v, np.float64)) for r in rows]
+        true = audit_counts(vectors, asked)
+        if len(rows) < drawn or drawn >= AUDIT_MOST or sum(n <= BEAM for n in true.values()) >= ENOUGH:
+            break
+        drawn = AUDIT_MOST
+    if not asked:
+        return BEAM
+    lowest = vectors.agg(F.min("rep")).first()[0]
+    probes = planted(asked, max(lowest, PROBES - (1 << 63) + 1))
+    true |= audit_counts(vectors, probes)
+    sample = spark.createDataFrame([(r, v.tolist(), len(v)) for r, v in asked + probes if r in true],
+                                   "rep long, v array<double>, dims int")
+    blocks, width = query_blocks(sample).checkpoint(), BEAM
+    while true and width < SHARD_ROWS:
+        got = search(blocks, graphs, shards, width, copies=False).where("n is not null").groupBy("id").agg(F.sum("n").alias("n"))
+        if reached(true, {r.id: r.n for r in got.collect()}):
+            return width
+        width *= 2
+    return None if true else BEAM
 
 
 def near_duplicates(df: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
@@ -190,14 +249,7 @@ def near_duplicates(df: DataFrame, vec_id: str = "vec_id", embedding: str = "emb
     shards = max(MIN_SHARDS, -(-vectors.count() // SHARD_ROWS))
     graphs = stored(build_graphs(vectors, shards), "graphs")
 
-    sample = vectors.select("rep", "v", "dims", "copies").orderBy(F.xxhash64("rep", F.lit(5))).limit(AUDIT).checkpoint()
-    true, width = audit_counts(vectors, sample), BEAM
-    asked = query_blocks(sample).checkpoint()
-    while true and width < SHARD_ROWS:
-        found = search(asked, graphs, shards, width).agg(F.sum("n")).first()[0] or 0
-        if found >= RECALL * true:
-            break
-        width *= 2
+    width = audited_beam(vectors, graphs, shards)
 
     hits = stored(search(query_blocks(vectors), graphs, shards, width), "hits")
     counts = hits.where("n is not null").groupBy("id").agg(F.sum("n").alias("near"))

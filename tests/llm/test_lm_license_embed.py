@@ -168,6 +168,20 @@ def test_near_duplicates_equal_brute_force(spark, monkeypatch):
     assert E.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_audit_weighs_vectors_not_links_and_ends_exactly(spark, monkeypatch):
+    true = {i: 5000 for i in range(90)} | {100 + i: 1 for i in range(10)}
+    assert E.reached(true, true) and not E.reached(true, {i: n for i, n in true.items() if n > 1})
+    r = np.random.default_rng(4)
+    rows = [(i, [float(np.float32(x)) for x in v]) for i, v in enumerate(r.normal(size=(300, 16)))]
+    rows += [(1000 + i, [x * (2 + i) for x in rows[i][1][:-1]] + [0.0]) for i in range(9)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    monkeypatch.setattr(E, "RECALL", 2.0)             # no beam passes
+    monkeypatch.setattr(E, "BEAM", E.SHARD_ROWS // 2)
+    exact, comps = groups([(x.vec_id, x.embedding) for x in df.collect()])
+    got = E.near_duplicates(df).collect()
+    assert {x.vec_id: (x.n_links, x.component_id) for x in got} == exact and sum(n for n, _ in exact.values()) > 4
+
+
 def test_forest_spans_the_links():
     a, b = np.array([5, 7, 9, 1]), np.array([7, 9, 5, 2])
     ids, roots = E._roots(a, b)
