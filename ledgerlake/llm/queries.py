@@ -7,7 +7,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import bpe, chat_format, decontaminate, embed_dedup, license_scan, lm_score, ngram_join, pii, quality, url_filter
+from ledgerlake.llm import (bpe, chat_format, decontaminate, embed_dedup, license_scan, lm_score, merkle, ngram_join, pii,
+                            quality, token_counts, turn_repair, url_filter)
 from ledgerlake.llm.common import read_table
 from ledgerlake.session import ship_package
 
@@ -63,6 +64,24 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.digest(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    return token_counts.digest(read_table(spark, sf_dir, "documents"), token_counts.model_bytes(PIECES))
+
+
+def op12_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    conversations = read_table(spark, sf_dir, "conversations")
+    return turn_repair.digest(turn_repair.damaged(conversations), conversations, "copies")
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    return merkle.manifest(read_table(spark, sf_dir, "documents"))
+
+
+#: model file of the registered token counts
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 #: rank file of the registered BPE query
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -77,8 +96,19 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_license_scan": op9_license_scan,
     "op10_quality": op10_quality,
+    "op11_token_counts": op11_token_counts,
+    "op12_turn_repair": op12_turn_repair,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
+
+def _crc32(text: str) -> str:
+    """DuckDB SQL for the crc32 of an ASCII string: eight shifts for each byte."""
+    step = "list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda a, z: xor(a >> 1, 3988292384 * (a & 1)))"
+    return (f"xor(list_reduce(list_prepend(4294967295, list_transform(string_split({text}, ''), lambda x: ascii(x)::BIGINT)), "
+            f"lambda c, b: {step}), 4294967295)")
+
+
 _RULE_ROWS = ", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in url_filter.RULES)
 _URL_PARTS = """
   SELECT page_id,
@@ -213,5 +243,100 @@ SELECT doc_id, string_agg(sentence_id, ' ' ORDER BY position) AS sentences,
        coalesce((SELECT string_agg(license, ',' ORDER BY rank) FROM found f WHERE f.doc_id = h.doc_id), '') AS licenses,
        coalesce(string_agg(sentence_id, ' ' ORDER BY position) FILTER (license IS NULL), '') AS rest
 FROM hits h GROUP BY doc_id
+""",
+    # costs to the end from each state go backwards over the rows, the audit forwards
+    "op12_turn_repair": r"""
+WITH RECURSIVE c AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         """ + _crc32("coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')") + r""" % 20 AS k FROM conversations),
+harm AS (
+  SELECT conv_id, turn, CASE k WHEN 4 THEN 'user' ELSE role END AS role,
+         CASE k WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+         unnest(CASE k WHEN 3 THEN [1, 2] ELSE [1] END) AS nth_copy
+  FROM c WHERE k <> 0),
+u AS (SELECT *, row_number() OVER () AS u FROM harm),
+r AS (SELECT *, row_number() OVER w AS i, count(*) OVER (PARTITION BY conv_id) AS n, left(role, 1) AS f,
+             lag(left(role, 1)) OVER w AS before, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, u) AS nth
+      FROM u WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, u)),
+x AS (SELECT *, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank' WHEN nth > 1 THEN 'duplicate'
+                     WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 'truncated' ELSE '' END AS fault FROM r),
+s AS (SELECT *, CASE WHEN fault IN ('blank', 'duplicate') THEN 1000000 WHEN fault = 'truncated' THEN 1 ELSE 0 END AS e FROM x),
+b(conv_id, i, v) AS (
+  SELECT DISTINCT conv_id, n + 1, [0, 4, 2, 0] FROM s
+  UNION ALL
+  SELECT conv_id, i, [least(w[1], w[3] + 2, w[4] + 4), least(w[2], w[3] + 2, w[4] + 4), least(w[3], w[4] + 2), least(w[4], w[3] + 2)]
+  FROM (SELECT s.conv_id, s.i,
+               [least(v[1] + 3, v[3] + 2 + e, CASE f WHEN 's' THEN v[2] + e WHEN 'u' THEN v[3] + e END),
+                least(v[2] + 3, v[3] + 2 + e, CASE f WHEN 'u' THEN v[3] + e END),
+                least(v[3] + 3, v[4] + 2 + e, CASE f WHEN 'a' THEN v[4] + e END),
+                least(v[4] + 3, v[3] + 2 + e, CASE f WHEN 'u' THEN v[3] + e END)] AS w
+        FROM b JOIN s ON s.conv_id IS NOT DISTINCT FROM b.conv_id AND s.i = b.i - 1)),
+go(conv_id, i, q, audit, lines) AS (
+  SELECT DISTINCT conv_id, 1::BIGINT, 1, '', []::VARCHAR[] FROM s
+  UNION ALL
+  SELECT conv_id, CASE edit WHEN 'I' THEN i ELSE i + 1 END,
+         CASE WHEN edit = 'D' THEN q WHEN edit = 'K' AND f = 's' THEN 2 WHEN q = 3 THEN 4 ELSE 3 END, audit || edit,
+         CASE edit WHEN 'D' THEN lines WHEN 'K' THEN list_append(lines, role || ':' || text)
+              ELSE list_append(lines, CASE q WHEN 3 THEN 'assistant:' ELSE 'user:' END || CASE edit WHEN 'R' THEN text ELSE '' END) END
+  FROM (SELECT go.*, s.f, s.role, s.text,
+               CASE WHEN s.i IS NULL THEN 'I' WHEN o.v[q] = z.v[q] + 3 THEN 'D'
+                    WHEN o.v[q] = o.v[CASE q WHEN 3 THEN 4 ELSE 3 END] + 2 THEN 'I'
+                    WHEN o.v[q] = CASE WHEN f = 's' AND q = 1 THEN z.v[2] WHEN f = 'a' AND q = 3 THEN z.v[4]
+                                       WHEN f = 'u' AND q <> 3 THEN z.v[3] END + e THEN 'K' ELSE 'R' END AS edit
+        FROM go JOIN b o ON o.conv_id IS NOT DISTINCT FROM go.conv_id AND o.i = go.i
+        LEFT JOIN b z ON z.conv_id IS NOT DISTINCT FROM go.conv_id AND z.i = go.i + 1
+        LEFT JOIN s ON s.conv_id IS NOT DISTINCT FROM go.conv_id AND s.i = go.i
+        WHERE s.i IS NOT NULL OR go.q IN (2, 3))),
+ends AS (SELECT conv_id, max_by(audit, length(audit)) AS audit, max_by(lines, length(audit)) AS lines FROM go GROUP BY conv_id),
+sums AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+         count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (i > 1 AND before || f NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM s GROUP BY conv_id)
+SELECT d.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(v[1], 0)::BIGINT AS cost,
+       coalesce(audit, '') AS audit, sha256(coalesce(array_to_string(lines, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) d
+LEFT JOIN sums ON sums.conv_id IS NOT DISTINCT FROM d.conv_id LEFT JOIN ends ON ends.conv_id IS NOT DISTINCT FROM d.conv_id
+LEFT JOIN b ON b.conv_id IS NOT DISTINCT FROM d.conv_id AND b.i = 1
+""",
+    # every level by row numbers; paths by joining all levels' runs
+    "op13_merkle_manifest": r"""
+WITH RECURSIVE e AS (
+  SELECT doc_id, source, coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+           || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS head, text,
+         CASE WHEN coalesce(""" + _crc32("doc_id::VARCHAR") + r""" % 2 = 0, FALSE) THEN replace(text, chr(10), '') ELSE text END AS other
+  FROM documents),
+h AS (SELECT doc_id, source, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+             sha256(head || coalesce(strlen(other) || ':' || other, '-')) AS tampered FROM e),
+l AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i,
+             count(*) OVER (PARTITION BY source) AS n, row_number() OVER () AS id FROM h),
+up(source, level, i, h, n) AS (
+  SELECT source, 0, i, leaf, n FROM l
+  UNION ALL
+  SELECT source, level + 1, i // 3, sha256(string_agg(h, '' ORDER BY i)), (n + 2) // 3 FROM up WHERE n > 1 GROUP BY source, level, i // 3, n),
+sub AS (SELECT source, h, level, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS i, count(*) OVER () AS n FROM up WHERE n = 1),
+top(level, i, h, n) AS (
+  SELECT 0, i, h, n FROM sub
+  UNION ALL
+  SELECT level + 1, i // 3, sha256(string_agg(h, '' ORDER BY i)), (n + 2) // 3 FROM top WHERE n > 1 GROUP BY level, i // 3, n),
+steps AS (
+  SELECT l.id, up.level, coalesce(string_agg(h, '' ORDER BY up.i) FILTER (up.i < l.i // (3 ** up.level)::BIGINT), '') AS a,
+         coalesce(string_agg(h, '' ORDER BY up.i) FILTER (up.i > l.i // (3 ** up.level)::BIGINT), '') AS z
+  FROM l JOIN up ON up.source IS NOT DISTINCT FROM l.source AND up.n > 1 AND up.i // 3 = l.i // (3 ** (up.level + 1))::BIGINT GROUP BY ALL
+  UNION ALL
+  SELECT l.id, sub.level + top.level, coalesce(string_agg(top.h, '' ORDER BY top.i) FILTER (top.i < sub.i // (3 ** top.level)::BIGINT), ''),
+         coalesce(string_agg(top.h, '' ORDER BY top.i) FILTER (top.i > sub.i // (3 ** top.level)::BIGINT), '')
+  FROM l JOIN sub ON sub.source IS NOT DISTINCT FROM l.source
+  JOIN top ON top.n > 1 AND top.i // 3 = sub.i // (3 ** (top.level + 1))::BIGINT GROUP BY ALL),
+fold(id, level, h) AS (
+  SELECT id, 0, tampered FROM l
+  UNION ALL
+  SELECT fold.id, fold.level + 1, sha256(a || h || z) FROM fold JOIN steps USING (id, level)),
+proofs AS (SELECT id, sha256(string_agg(a || z, '' ORDER BY level)) AS p FROM steps GROUP BY id),
+folded AS (SELECT id, max_by(h, level) AS h FROM fold GROUP BY id)
+SELECT l.doc_id, l.leaf, sub.h AS subroot, r.h AS root, coalesce(proofs.p, sha256('')) AS proof_sha256, folded.h AS folded_root,
+       folded.h = r.h AS verified
+FROM l JOIN sub ON sub.source IS NOT DISTINCT FROM l.source JOIN folded USING (id) LEFT JOIN proofs USING (id), (SELECT h FROM top WHERE n = 1) r
 """,
 }
