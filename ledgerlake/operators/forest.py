@@ -23,6 +23,8 @@ from c(root size) at the root to h(x) at the leaf; each drop is credited
 to the feature of the split that caused it (a path decomposition in the
 spirit of Saabas' tree interpreter).  Per record the credits sum exactly to
 mean over trees of c(root size) - h(x); the three largest are reported.
+This is the cheap attribution of every scored row; Shapley values, which do not
+depend on the order of the splits, are in ``attribution``.
 """
 
 from __future__ import annotations
@@ -32,7 +34,7 @@ import math
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -195,7 +197,7 @@ def load_model(nodes: DataFrame) -> dict:
     roots = pdf[pdf["node_id"] == 0].sort_values("tree_id")["root_size"].to_numpy()
     psi = float(roots.max())
     return {"feature": feature, "threshold": threshold, "left": left, "right": right,
-            "value": depth + c_factor(size), "offsets": offsets,
+            "value": depth + c_factor(size), "size": size, "offsets": offsets,
             "root_value": c_factor(roots),
             # c(1) = 0: a one-row sample isolates nothing; keep the score finite
             "c_psi": max(float(c_factor([psi])[0]), 1.0)}
@@ -241,6 +243,20 @@ def _score_chunk(X: np.ndarray, model: dict):
     return score, credit.reshape(n, f) / t, mean_h
 
 
+def broadcast_model(spark: SparkSession, model: dict):
+    """One broadcast per loaded model, reused by every call (a stream scoring
+    each micro-batch must not ship a new copy per batch)."""
+    if "_broadcast" not in model:
+        model["_broadcast"] = spark.sparkContext.broadcast(dict(model))
+    return model["_broadcast"]
+
+
+def feature_matrix(batch: pa.RecordBatch, columns: list[str]) -> np.ndarray:
+    if not batch.num_rows:
+        return np.zeros((0, len(columns)))
+    return np.stack([batch.column(c).to_numpy(zero_copy_only=False).astype(float) for c in columns], axis=1)
+
+
 def score_columns(df: DataFrame) -> DataFrame:
     return df.select("*", *[e.alias(f"_f_{n}") for n, e in feature_columns()])
 
@@ -252,13 +268,7 @@ def score(tx: DataFrame, nodes: DataFrame | dict, threshold: float | None = None
     ``processed_at`` (and ``path_deficit``/``credits`` with
     ``with_credits``)."""
     model = nodes if isinstance(nodes, dict) else load_model(nodes)
-    # one broadcast per loaded model, reused by every call (a stream scoring
-    # each micro-batch must not ship a new copy per batch)
-    bc = model.get("_broadcast")
-    if bc is None:
-        bc = tx.sparkSession.sparkContext.broadcast(
-            {k: v for k, v in model.items() if k != "_broadcast"})
-        model["_broadcast"] = bc
+    bc = broadcast_model(tx.sparkSession, model)
     staged = score_columns(spread(tx))
     fcols = [f"_f_{n}" for n in FEATURES]
     out_fields = [T.StructField("fraud_score", T.DoubleType(), True),
@@ -274,8 +284,7 @@ def score(tx: DataFrame, nodes: DataFrame | dict, threshold: float | None = None
     def run(batches):
         m = bc.value
         for b in batches:
-            X = np.stack([b.column(c).to_numpy(zero_copy_only=False).astype(float)
-                          for c in fcols], axis=1) if b.num_rows else np.zeros((0, len(fcols)))
+            X = feature_matrix(b, fcols)
             s, cr, mean_h = _score_matrix(X, m)
             order = np.argsort(-cr, axis=1, kind="stable")[:, :3]
             tops = [pa.array(names[order[:, k]].tolist() if b.num_rows else [], type=pa.string())
