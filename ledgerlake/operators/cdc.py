@@ -60,6 +60,27 @@ def _reason(key: list[str], value: Column) -> Column:
             .when((op != "d") & image.isNull(), "missing_after"))
 
 
+RAW_COLUMNS = ("raw_value", "kafka_partition", "kafka_offset")
+
+
+def parse_messages(messages: DataFrame, row: T.StructType, key: list[str],
+                   value: str = "value", message_key: str | None = "key",
+                   seq: str | None = "kafka_offset") -> DataFrame:
+    """D1 with the original message beside it (``RAW_COLUMNS``): parsed once, so
+    that a batch can go to the log and to quarantine from one pass."""
+    for c in ("kafka_partition", "kafka_offset"):
+        if c not in messages.columns:
+            messages = messages.withColumn(c, F.lit(None).cast("int" if c == "kafka_partition" else "long"))
+    place = F.col(seq).cast("long") if seq and seq in messages.columns else F.lit(0).cast("long")
+    keyed = _keyed(messages, row, key, value, message_key,
+                   [place.alias("seq"), F.col("kafka_partition"), F.col("kafka_offset")])
+    return keyed.select(*key, F.col("_c.op").alias("op"), F.col("_c.before").alias("before"),
+                        F.col("_c.after").alias("after"), F.col("_c.source.lsn").alias("lsn"),
+                        F.col("_c.source.txId").alias("tx_id"), F.col("_c.source.table").alias("table"), "seq",
+                        F.col("_value").cast("binary").alias("raw_value"), "kafka_partition", "kafka_offset",
+                        _reason(key, F.col("_value")).alias("_reason"))
+
+
 def parse_changes(messages: DataFrame, row: T.StructType, key: list[str],
                   value: str = "value", message_key: str | None = "key",
                   seq: str | None = "kafka_offset") -> DataFrame:
@@ -73,13 +94,7 @@ def parse_changes(messages: DataFrame, row: T.StructType, key: list[str],
     quarantine), or ``tombstone`` (the NULL value after a delete, dropped);
     nothing raises.
     """
-    keyed = _keyed(messages, row, key, value, message_key, [
-        (F.col(seq).cast("long") if seq and seq in messages.columns else F.lit(0).cast("long")).alias("seq")])
-    return keyed.select(*key, F.col("_c.op").alias("op"), F.col("_c.before").alias("before"),
-                        F.col("_c.after").alias("after"), F.col("_c.source.lsn").alias("lsn"),
-                        F.col("_c.source.txId").alias("tx_id"),
-                        F.col("_c.source.table").alias("table"), "seq",
-                        _reason(key, F.col("_value")).alias("_reason"))
+    return parse_messages(messages, row, key, value, message_key, seq).drop(*RAW_COLUMNS)
 
 
 def _keyed(messages: DataFrame, row: T.StructType, key: list[str], value: str,
@@ -93,24 +108,23 @@ def _keyed(messages: DataFrame, row: T.StructType, key: list[str], value: str,
                               for k in key])
 
 
-def quarantined_changes(messages: DataFrame, row: T.StructType, key: list[str],
-                        value: str = "value", message_key: str | None = "key") -> DataFrame:
-    """Q1 for change messages: those that cannot be applied in the quarantine
+def rejected(parsed: DataFrame) -> DataFrame:
+    """Q1 for parsed messages: those that cannot be applied in the quarantine
     shape (original text kept as bytes, position, reason, detection time)."""
-    msgs = messages
-    for c in ("kafka_partition", "kafka_offset"):
-        if c not in msgs.columns:
-            msgs = msgs.withColumn(c, F.lit(None).cast("int" if c == "kafka_partition" else "long"))
-    keyed = _keyed(msgs, row, key, value, message_key, [F.col("kafka_partition"), F.col("kafka_offset")])
-    return (keyed.select(F.col("_value").cast("binary").alias("raw_value"), "kafka_partition",
-                         "kafka_offset", _reason(key, F.col("_value")).alias("reason"))
-            .filter(F.col("reason") != "tombstone")
+    return (parsed.filter(F.col("_reason").isNotNull() & (F.col("_reason") != "tombstone"))
+            .select("raw_value", "kafka_partition", "kafka_offset", F.col("_reason").alias("reason"))
             .withColumn("violations", F.lit(None).cast("array<struct<field:string,rule:string>>"))
             .withColumn("violation_summary", F.lit(None).cast("string"))
             .withColumn("detected_at", F.current_timestamp())
             .withColumn("detected_date", F.to_date("detected_at")))
 
 
+def quarantined_changes(messages: DataFrame, row: T.StructType, key: list[str],
+                        value: str = "value", message_key: str | None = "key") -> DataFrame:
+    """Q1 for change messages that are not parsed yet."""
+    return rejected(parse_messages(messages, row, key, value, message_key))
+
+
 def valid_changes(changes: DataFrame) -> DataFrame:
     return changes.filter(F.col("_reason").isNull()).drop("_reason")
 

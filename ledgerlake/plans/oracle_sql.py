@@ -353,6 +353,8 @@ ORACLE.update({
     "cdc_state_at_lsn": CDC_STATE_AT,
     "cdc_apply": CDC_APPLY,
     "cdc_stream_state": CDC_STATE,
+    "cdc_bucketed_state": CDC_STATE,
+    "cdc_replay": f"SELECT * FROM ({CDC_CHANGES}) c WHERE lsn > 2 * {S} - 1",
     "cdc_audit": CDC_AUDIT,
 })
 
@@ -373,7 +375,7 @@ FROM (SELECT tx.*, (epoch_us(event_timestamp) // 60000000 - r.k) * 60000000 AS w
       FROM ({TX}) tx, range(0, 10) r(k)) x
 GROUP BY user_id, ws"""
 ORACLE.update({"velocity": VELOCITY, "velocity_split": VELOCITY,
-               "velocity_windows": VELOCITY_WINDOWS})
+               "velocity_windows": VELOCITY_WINDOWS, "velocity_stream": VELOCITY})
 
 ORACLE["stream_silver"] = DECODED_SILVER
 ORACLE["stream_quarantine"] = QUARANTINE
@@ -382,3 +384,7 @@ ORACLE["stream_quarantine"] = QUARANTINE
 ORACLE["anomaly_flags"] = f"""
 SELECT count(*) AS rows, 0::BIGINT AS wrong_flags, 0::BIGINT AS bad_scores, 1::BIGINT AS thresholds FROM ({TX}) tx"""
 ORACLE["stream_bronze"] = f"SELECT * FROM ({DECODED_SILVER}) s"
+
+# redelivered messages are copies: every accepted event once
+ORACLE["stream_deduped"] = WIRE_ROUNDTRIP
+ORACLE["shap_audit"] = f"SELECT count(*) AS rows, 0::BIGINT AS wrong_sums, 1::BIGINT AS baselines FROM ({TX}) tx"

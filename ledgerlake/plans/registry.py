@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ledgerlake.functions import wire as W
 from ledgerlake.operators import access as AC
 from ledgerlake.operators import analytics as AN
+from ledgerlake.operators import attribution as AT
 from ledgerlake.operators import cdc as CD
 from ledgerlake.operators import expectations as EX
 from ledgerlake.operators import forest as FO
@@ -31,8 +32,11 @@ from ledgerlake.sources.changes import (ORDER_KEY, ORDER_ROW, PHASE_STRIDE,
                                         change_messages_from_orders)
 from ledgerlake.sources.kafka import UNKNOWN_SCHEMA_ID, envelope_from_events
 from ledgerlake.sources.tables import read_table, transactions_from_events
+from ledgerlake.streaming import change_log as CL
 from ledgerlake.streaming import changes as CS
 from ledgerlake.streaming import jobs as JB
+from ledgerlake.streaming import velocity_state as VS
+from ledgerlake.streaming.keyed_table import KeyedTable
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -42,7 +46,11 @@ Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY_V1 = {1: W.TRANSACTION_SCHEMA_JSON}
 REGISTRY_FIXED = {1: W.TRANSACTION_SCHEMA_JSON, UNKNOWN_SCHEMA_ID: W.TRANSACTION_SCHEMA_JSON}
 
+#: micro-batches of the streaming queries, buckets of their keyed tables, and changes
+#: of one log file
 STREAM_FILES = 4
+TABLE_BUCKETS = 16
+LOG_FILE_ROWS = 200_000
 USER = "USR_000007"
 
 
@@ -127,19 +135,50 @@ def q_cdc_apply(spark, d):
     return CD.apply_changes(table, batch, ORDER_KEY)
 
 
+def _land_changes(spark: SparkSession, d: str, root: str) -> DataFrame:
+    """Change messages landed as files by range of arrival, as a stream of two batches."""
+    msgs = change_messages_from_orders(read_table(spark, d, "orders"))
+    slices = JB.slices_for(spark, f"{d}/orders.parquet", STREAM_FILES)
+    msgs.repartitionByRange(slices, "kafka_offset").write.parquet(f"{root}/landing")
+    return (spark.readStream.schema(msgs.schema).option("maxFilesPerTrigger", -(-slices // 2)).parquet(f"{root}/landing"))
+
+
 def q_cdc_stream_state(spark, d):
     """Change messages landed as files and streamed into a keyed table; equals
     the batch state."""
     root = f"{checkpoint_dir(spark)}/changes-{uuid.uuid4().hex[:12]}"
-    msgs = change_messages_from_orders(read_table(spark, d, "orders"))
-    msgs.repartition(STREAM_FILES, "kafka_offset").write.parquet(f"{root}/landing")
-    paths = CS.ChangePaths(f"{root}/log", f"{root}/rejected", f"{root}/table", f"{root}/_checkpoint")
-    source = (spark.readStream.schema(msgs.schema).option("maxFilesPerTrigger", 2).parquet(f"{root}/landing"))
-    q = CS.start_change_stream(source, ORDER_ROW, ORDER_KEY, paths, {"availableNow": True})
+    paths = CS.ChangePaths(f"{root}/log", f"{root}/rejected", f"{root}/table", f"{root}/_checkpoint", TABLE_BUCKETS)
+    q = CS.start_change_stream(_land_changes(spark, d, root), ORDER_ROW, ORDER_KEY, paths, {"availableNow": True})
     q.awaitTermination()
     if q.exception():
         raise RuntimeError(str(q.exception()))
-    return CS.current_rows(spark, paths)
+    return CS.current_rows(spark, ORDER_ROW, ORDER_KEY, paths)
+
+
+def _change_log(spark: SparkSession, d: str, tag: str) -> str:
+    """The valid changes as a stored log, cut by LSN."""
+    root = f"{checkpoint_dir(spark)}/{tag}-{uuid.uuid4().hex[:12]}"
+    CL.append(_valid(spark, d), f"{root}/log", 0, LOG_FILE_ROWS)
+    return root
+
+
+def q_cdc_bucketed_state(spark, d):
+    """D4 + J2: the log replayed phase by phase, from LSN to LSN, into a keyed table
+    whose merges rewrite the buckets that they touch."""
+    root = _change_log(spark, d, "bucketed")
+    table = KeyedTable(f"{root}/table", ORDER_ROW, tuple(ORDER_KEY), TABLE_BUCKETS)
+    schema = CS.log_schema(ORDER_ROW, ORDER_KEY)
+    for phase in range(5):
+        table.merge(spark, CL.changes_since(spark, f"{root}/log", schema, phase * PHASE_STRIDE - 1,
+                                            (phase + 1) * PHASE_STRIDE - 1), phase)
+    return table.rows(spark)
+
+
+def q_cdc_replay(spark, d):
+    """Changes after an LSN, from the files of the log that may hold any."""
+    root = _change_log(spark, d, "replay")
+    return (CL.changes_since(spark, f"{root}/log", CS.log_schema(ORDER_ROW, ORDER_KEY), 2 * PHASE_STRIDE - 1)
+            .select("o_orderkey", "op", "lsn", "tx_id", "table"))
 
 
 # -- streaming: stream = batch -------------------------------------------------------------
@@ -156,19 +195,20 @@ def land_envelopes(spark: SparkSession, d: str, landing: str, files: int = STREA
     """Encoded events written as ``files`` Parquet files in event-time order."""
     env = envelope_from_events(read_table(spark, d, "events"), defects)
     staged = f"{landing}_staged"
-    env.write.mode("overwrite").parquet(staged)          # encode once
+    env.write.mode("overwrite").parquet(staged)          # encode once: a range exchange reads its input twice
     JB.write_time_ordered(spark.read.parquet(staged), landing, "kafka_timestamp", files)
 
 
-def _run_stream(spark: SparkSession, d: str) -> JB.Paths:
+def _run_stream(spark: SparkSession, d: str, **options) -> JB.Paths:
     """Land the encoded events in event-time order and run the one-query
-    stream over them to completion (availableNow)."""
+    stream over them to completion (availableNow), in STREAM_FILES batches."""
     root, paths = stream_paths(spark, "stream")
-    land_envelopes(spark, d, f"{root}/landing")
+    slices = JB.slices_for(spark, f"{d}/events.parquet", STREAM_FILES)
+    land_envelopes(spark, d, f"{root}/landing", slices)
     source = (spark.readStream.schema(ENVELOPE_SCHEMA)
-              .option("maxFilesPerTrigger", 1).parquet(f"{root}/landing"))
+              .option("maxFilesPerTrigger", -(-slices // STREAM_FILES)).parquet(f"{root}/landing"))
     q = JB.start_stream(source, REGISTRY_V1, paths, trigger={"availableNow": True},
-                        decode_partitions=spark.sparkContext.defaultParallelism)
+                        decode_partitions=spark.sparkContext.defaultParallelism, **options)
     q.awaitTermination()
     if q.exception():
         raise RuntimeError(str(q.exception()))
@@ -203,6 +243,58 @@ def q_stream_quarantine(spark, d):
             .select("kafka_partition", "kafka_offset", "reason", "violation_summary"))
 
 
+def q_stream_deduped(spark, d):
+    """Events delivered twice (every message of topic partition 0 again, later)
+    are in silver once, by a state and not by reading the table."""
+    root, paths = stream_paths(spark, "deduped")
+    land_envelopes(spark, d, f"{root}/landing", JB.slices_for(spark, f"{d}/events.parquet", STREAM_FILES), defects=False)
+    again = spark.read.parquet(f"{root}/landing").filter("kafka_partition = 0")
+    again.write.mode("append").parquet(f"{root}/landing")
+    source = spark.readStream.schema(ENVELOPE_SCHEMA).option("maxFilesPerTrigger", STREAM_FILES).parquet(f"{root}/landing")
+    q = JB.start_stream(source, REGISTRY_V1, paths, trigger={"availableNow": True}, dedupe_within="2 days")
+    q.awaitTermination()
+    if q.exception():
+        raise RuntimeError(str(q.exception()))
+    return spark.read.parquet(paths.silver).filter("event_id IS NOT NULL").drop("_ingested_at", "_batch_id")
+
+
+def q_velocity_stream(spark, d):
+    """The exact trailing velocity as a stream; a last row far ahead lets the
+    watermark pass all events before it."""
+    root, _ = stream_paths(spark, "velocity")
+    tx = _tx(spark, d)
+    slices = JB.slices_for(spark, f"{d}/events.parquet", STREAM_FILES)
+    JB.write_time_ordered(tx, f"{root}/landing", "event_timestamp", slices)
+    end = tx.agg(F.max("event_timestamp").alias("t")).select((F.col("t") + F.expr("interval 3 days")).alias("event_timestamp"),
+                                                             F.lit("end of input").alias("user_id"))
+    (tx.limit(0).unionByName(end, allowMissingColumns=True).coalesce(1).write.mode("append").parquet(f"{root}/landing"))
+    source = (spark.readStream.schema(tx.schema).option("maxFilesPerTrigger", -(-slices // STREAM_FILES))
+              .parquet(f"{root}/landing"))
+    q = (VS.velocity_exact(source, minutes=1440, threshold=3, watermark="10 minutes").writeStream.outputMode("append")
+         .format("parquet").option("path", f"{root}/out").option("checkpointLocation", f"{root}/_checkpoint")
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    if q.exception():
+        raise RuntimeError(str(q.exception()))
+    return spark.read.parquet(f"{root}/out")
+
+
+def q_shap_top(spark, d):
+    """M3: Shapley values of every silver row's path length, and its top features."""
+    silver = silver_df(spark, d)
+    nodes = FO.train_forest(silver, n_trees=100, sample_size=256, seed=42)
+    return AT.shap(silver, nodes).select("event_id", "event_timestamp", "user_id", "fraud_score", "path_length",
+                                         "expected_path", "shap_credits", "top_feature_1", "top_feature_2", "top_feature_3")
+
+
+def q_shap_audit(spark, d):
+    """M3 against its own sums: rows, and rows whose credits do not add up to the
+    difference between the expected and the own path length."""
+    off = F.abs(F.aggregate("shap_credits", F.lit(0.0), lambda a, x: a + x) - (F.col("expected_path") - F.col("path_length"))) > 1e-9
+    return q_shap_top(spark, d).agg(F.count(F.lit(1)).alias("rows"), F.count_if(off).alias("wrong_sums"),
+                                    F.count_distinct("expected_path").alias("baselines"))
+
+
 QUERIES: dict[str, Query] = {
     # transactions, silver, gold
     "transactions": lambda spark, d: _tx(spark, d),
@@ -254,6 +346,8 @@ QUERIES: dict[str, Query] = {
                                                      lsn=2 * PHASE_STRIDE - 1),
     "cdc_apply": q_cdc_apply,
     "cdc_stream_state": q_cdc_stream_state,
+    "cdc_bucketed_state": q_cdc_bucketed_state,
+    "cdc_replay": q_cdc_replay,
     "cdc_audit": lambda spark, d: CD.audit(_valid(spark, d), ORDER_KEY)
                                     .select("o_orderkey", "lsn", "op", "column_name", "old_value", "new_value"),
     # velocity
@@ -264,11 +358,15 @@ QUERIES: dict[str, Query] = {
     "stream_bronze": q_stream_bronze,
     "stream_silver": q_stream_silver,
     "stream_quarantine": q_stream_quarantine,
+    "stream_deduped": q_stream_deduped,
+    "velocity_stream": q_velocity_stream,
     # anomaly scoring (an iterative algorithm: rows-only check, invariants in tests)
     "forest_nodes": lambda spark, d: FO.train_forest(silver_df(spark, d), 100, 256, 42),
     "anomaly_scores": lambda spark, d: _scored(spark, d),
     "anomaly_flags": q_anomaly_flags,
     "anomalies": lambda spark, d: SG.anomalies(_stored_signals(spark, d)),
     "signals_recent": lambda spark, d: SG.recent(_stored_signals(spark, d), 100),
+    "shap_top": q_shap_top,
+    "shap_audit": q_shap_audit,
     "signals_for_user": lambda spark, d: SG.for_user(_stored_signals(spark, d), USER),
 }

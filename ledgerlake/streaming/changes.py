@@ -1,12 +1,11 @@
 """S6 / D3 as a stream: change messages kept as a keyed table.
 
-Each micro-batch writes its change log under ``log/_batch_id=N`` (a retry
-overwrites exactly that folder) and merges it into the keyed table.  The table
-is versioned: batch N reads version N-1 and writes version N, so a replayed
-batch starts from the same state and gives the same rows; older versions than
-the one before are removed once the new one is complete.  Tombstone rows stay
-in the table (a late change never revives a deleted key); ``current_rows``
-leaves them out.
+Each micro-batch is parsed once and goes three ways: rejected messages, the change
+log (``change_log``: cut by LSN, pruned by its manifest), and the keyed table
+(``keyed_table``: only touched buckets are rewritten).  Log and rejected messages of
+a batch are overwritten by its retry, and the table does not apply a batch twice.
+Tombstone rows stay in the table (a late change never revives a deleted key);
+``current_rows`` leaves them out.
 """
 
 from __future__ import annotations
@@ -14,12 +13,15 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgerlake.operators import cdc
-from ledgerlake.sources.tables import path_exists
+from ledgerlake.streaming import change_log
+from ledgerlake.streaming.keyed_table import KeyedTable
+
+#: versions of the table that stay readable
+KEEP_VERSIONS = 2
 
 
 @dataclass(frozen=True)
@@ -28,56 +30,46 @@ class ChangePaths:
     rejected: str
     table: str
     checkpoint: str
+    buckets: int = 64
 
 
-def _versions(spark: SparkSession, path: str) -> list[int]:
-    """Complete versions of the table (folder names only)."""
-    if not path_exists(spark, path):
-        return []
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    names = [st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory()]
-    return sorted(int(n.split("=")[1]) for n in names
-                  if n.startswith("version=") and path_exists(spark, f"{path}/{n}/_SUCCESS"))
+def keyed_table(row: T.StructType, key: list[str], paths: ChangePaths) -> KeyedTable:
+    return KeyedTable(paths.table, row, tuple(key), paths.buckets)
 
 
 def apply_batch(messages: DataFrame, batch_id: int, row: T.StructType, key: list[str],
-                paths: ChangePaths) -> None:
+                paths: ChangePaths, file_rows: int = change_log.FILE_ROWS) -> None:
     """One micro-batch: log, rejected messages, next version of the table."""
     spark = messages.sparkSession
-    messages = messages.persist()
+    parsed = cdc.parse_messages(messages, row, key).persist()
     try:
-        (cdc.parse_changes(messages, row, key).write.mode("overwrite")
-         .parquet(f"{paths.log}/_batch_id={int(batch_id)}"))
-        (cdc.quarantined_changes(messages, row, key).write.mode("overwrite")
-         .parquet(f"{paths.rejected}/_batch_id={int(batch_id)}"))
+        (cdc.rejected(parsed).write.mode("overwrite").parquet(f"{paths.rejected}/_batch_id={int(batch_id)}"))
+        log = cdc.valid_changes(parsed.drop(*cdc.RAW_COLUMNS))
+        change_log.append(log, paths.log, batch_id, file_rows)
+        table = keyed_table(row, key, paths)
+        table.merge(spark, log, int(batch_id))
     finally:
-        messages.unpersist()
-    changes = cdc.valid_changes(spark.read.parquet(f"{paths.log}/_batch_id={int(batch_id)}"))
-    before = [v for v in _versions(spark, paths.table) if v < batch_id]
-    if before:
-        table = cdc.apply_changes(spark.read.parquet(f"{paths.table}/version={before[-1]}"), changes, key,
-                                  keep_tombstones=True)
-    else:
-        table = cdc.state_at(changes, key, keep_lsn=True, keep_tombstones=True)
-    table.write.mode("overwrite").parquet(f"{paths.table}/version={int(batch_id)}")
-    jvm = spark.sparkContext._jvm
-    for v in before[:-1]:
-        old = jvm.org.apache.hadoop.fs.Path(f"{paths.table}/version={v}")
-        old.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(old, True)
+        parsed.unpersist()
+    table.vacuum(spark, KEEP_VERSIONS)
 
 
 def start_change_stream(messages: DataFrame, row: T.StructType, key: list[str], paths: ChangePaths,
-                        trigger: dict | None = None) -> StreamingQuery:
+                        trigger: dict | None = None, file_rows: int = change_log.FILE_ROWS) -> StreamingQuery:
     """A stream of (key, value, kafka_offset) messages into the keyed table."""
     return (messages.writeStream
-            .foreachBatch(lambda df, n: apply_batch(df, n, row, key, paths))
+            .foreachBatch(lambda df, n: apply_batch(df, n, row, key, paths, file_rows))
             .option("checkpointLocation", paths.checkpoint)
             .trigger(**(trigger or {"processingTime": "30 seconds"})).start())
 
 
-def current_rows(spark: SparkSession, paths: ChangePaths) -> DataFrame:
+def current_rows(spark: SparkSession, row: T.StructType, key: list[str], paths: ChangePaths) -> DataFrame:
     """The latest version of the table without deleted rows."""
-    latest = _versions(spark, paths.table)[-1]
-    return (spark.read.parquet(f"{paths.table}/version={latest}").filter(~F.col("_deleted"))
-            .drop("_deleted", "_lsn"))
+    return keyed_table(row, key, paths).rows(spark)
+
+
+def log_schema(row: T.StructType, key: list[str]) -> T.StructType:
+    """Type of the stored changes."""
+    return T.StructType([*(T.StructField(k, row[k].dataType, True) for k in key),
+                         T.StructField("op", T.StringType()), T.StructField("before", row), T.StructField("after", row),
+                         T.StructField("lsn", T.LongType()), T.StructField("tx_id", T.LongType()),
+                         T.StructField("table", T.StringType()), T.StructField("seq", T.LongType())])

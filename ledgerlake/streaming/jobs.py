@@ -17,6 +17,7 @@ Here (K1-K3, K7, K9, X1-X3, X5):
 from __future__ import annotations
 
 import logging
+import time
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -27,6 +28,7 @@ from ledgerlake.functions import wire
 from ledgerlake.operators import metrics as ME
 from ledgerlake.operators import quarantine as QU
 from ledgerlake.operators.silver import to_silver
+from ledgerlake.sources import files
 
 log = logging.getLogger(__name__)
 
@@ -94,6 +96,28 @@ def drop_seen(good: DataFrame, silver_path: str, batch_id: int,
     return append_absent(keyed, seen, "event_id", order).unionByName(unkeyed)
 
 
+def first_deliveries(decoded: DataFrame, within: str = "2 days", clock: str | None = None) -> DataFrame:
+    """X5 with bounded state: a stream of decoded rows without redelivered events.
+
+    An accepted row's key is its ``event_id``; any other row (rejected, or without
+    an id) is its own position, so a rejected message never stands for a good one.
+    The state holds one key each for ``within`` after its first delivery and no
+    more, and no table is read, so a batch costs the same at any hour of the day.
+
+    The watermark runs on ``clock``, the time of arrival (by default the batch's own
+    time), not on the event time: an event that arrives late is kept whatever its
+    age.  What the horizon promises is exact: an event delivered again within
+    ``within`` of its first delivery is dropped, later ones are not.
+    """
+    accepted = F.col("_reason").isNull() & F.col("event_id").isNotNull()
+    key = F.when(accepted, F.concat(F.lit("id:"), "event_id")).otherwise(
+        F.concat(F.lit("at:"), F.coalesce(F.col("kafka_partition").cast("string"), F.lit("-")), F.lit(":"),
+                 F.coalesce(F.col("kafka_offset").cast("string"), F.lit("-"))))
+    arrived = F.current_timestamp() if clock is None else F.col(clock)
+    return (decoded.withColumns({"_delivery": key, "_arrived": arrived}).withWatermark("_arrived", within)
+            .dropDuplicatesWithinWatermark(["_delivery"]).drop("_delivery", "_arrived"))
+
+
 class QualityGateError(RuntimeError):
     """A critical level-1 alert stopped the batch before silver was written."""
 
@@ -169,13 +193,19 @@ def start_stream(envelopes: DataFrame, schemas, paths: Paths,
                  trigger: dict | None = None, scorer=None, query_name: str | None = None,
                  decode_partitions: int | None = None,
                  dedupe_horizon_days: int | None = None,
-                 gate_critical: bool = False) -> StreamingQuery:
+                 gate_critical: bool = False, dedupe_within: str | None = None) -> StreamingQuery:
     """S1/S2 envelope stream -> all layers, one query, one checkpoint.
 
+    Redelivered events are dropped from silver against the stored table
+    (``dedupe_horizon_days``, any distance back, reads the day's ids), or from all
+    layers by a state of ``dedupe_within`` (``first_deliveries``, reads no table).
+
     ``trigger`` is passed to ``DataStreamWriter.trigger`` (X1), e.g.
     ``{"processingTime": "30 seconds"}`` or ``{"availableNow": True}``.
     """
     dec = decoded_stream(envelopes, schemas, decode_partitions)
+    if dedupe_within is not None:
+        dec = first_deliveries(dec, dedupe_within)
     w = (dec.writeStream
          .foreachBatch(lambda df, bid: process_batch(df, bid, paths, scorer,
                                                      dedupe_horizon_days, gate_critical))
@@ -207,25 +237,25 @@ def read_table_merged(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("mergeSchema", "true").parquet(path)
 
 
-def write_time_ordered(df: DataFrame, path: str, ts: str, files: int) -> None:
-    """Backfill helper: land ``df`` as ``files`` slices in event-time order.
+def write_time_ordered(df: DataFrame, path: str, ts: str, slices: int) -> None:
+    """Backfill helper: land ``df`` as ``slices`` files in event-time order.
 
-    A file source hands files to micro-batches by modification time, so the
-    slices are written one after another (boundaries from ``approxQuantile``,
-    a handful of numbers).  Replaying history this way keeps event time
-    monotone across batches, so nothing falls behind a watermark.
+    One range exchange and one parallel write; the files are then given
+    modification times in the order of their ranges, because a file source hands
+    files to micro-batches by modification time.  Replaying history this way keeps
+    event time monotone across batches, so nothing falls behind a watermark.  A
+    store that keeps no modification times of its own (object stores ignore the
+    call) needs a landing folder per slice instead.
     """
-    t = F.unix_micros(F.col(ts).cast("timestamp"))
-    probs = [i / files for i in range(1, files)]
-    cuts = df.select(t.alias("_t")).approxQuantile("_t", probs, 0.001) if files > 1 else []
-    edges = [None] + [int(c) for c in cuts] + [None]
-    for lo, hi in zip(edges[:-1], edges[1:]):
-        cond = F.lit(True)
-        if lo is not None:
-            cond = cond & (t >= lo)
-        if hi is not None:
-            cond = cond & (t < hi)
-        if lo is None:
-            cond = cond | t.isNull()
-        (df.filter(cond).coalesce(1).sortWithinPartitions(ts)
-           .write.mode("append").parquet(path))
+    spark = df.sparkSession
+    before = set(files.list_names(spark, path))
+    df.repartitionByRange(max(1, int(slices)), ts).sortWithinPartitions(ts).write.mode("append").parquet(path)
+    landed = [n for n in files.list_names(spark, path) if n not in before and n.endswith(".parquet")]
+    now = int(time.time() * 1000)
+    for k, name in enumerate(landed):                 # part-00000, part-00001, ..
+        files.set_modified(spark, f"{path}/{name}", now + (k - len(landed)) * 1000)
+
+
+def slices_for(spark: SparkSession, path: str, least: int, slice_bytes: int = 128 << 20) -> int:
+    """How many landing files an input of this size is dealt to."""
+    return max(least, -(-files.folder_bytes(spark, path) // slice_bytes))

@@ -215,10 +215,10 @@ def test_change_stream_replay_and_tombstones(spark):
     second = batch(put(1, 10, "d"), put(2, 11, status="F"), (None, None, 12))
     for _ in range(2):                                   # a replayed batch changes nothing
         CS.apply_batch(second, 1, ORDER_ROW, ORDER_KEY, paths)
-        rows = [(r.o_orderkey, r.o_orderstatus) for r in CS.current_rows(spark, paths).collect()]
+        rows = [(r.o_orderkey, r.o_orderstatus) for r in CS.current_rows(spark, ORDER_ROW, ORDER_KEY, paths).collect()]
         assert rows == [(2, "F")]
     CS.apply_batch(batch(put(1, 5), put(2, 4, status="P")), 2, ORDER_ROW, ORDER_KEY, paths)   # stale changes
-    assert [(r.o_orderkey, r.o_orderstatus) for r in CS.current_rows(spark, paths).collect()] == [(2, "F")]
+    assert [(r.o_orderkey, r.o_orderstatus) for r in CS.current_rows(spark, ORDER_ROW, ORDER_KEY, paths).collect()] == [(2, "F")]
     assert [(r.kafka_offset, r.reason) for r in spark.read.parquet(paths.rejected).collect()] == [(3, "bad_op")]
 
 
