@@ -40,7 +40,8 @@ FAN, LEVELS = 3, 7
 BLOCK = FAN ** LEVELS
 #: bits of a word's number that one level of the directory covers
 DIRECTORY_BITS = 12
-#: the word of null ids: below the words of all 64-bit ids
+#: bits of a word's number, and the word of null ids, below those of all 64-bit ids
+WORD_BITS = 59
 NULL_WORD = -(1 << 57) - 1
 
 
@@ -73,25 +74,30 @@ def _bit() -> Column:
 
 
 def directory(words: DataFrame) -> DataFrame:
-    """``words`` with ``before``: rows of the group in smaller words."""
+    """``words`` with ``before``, the rows of the group in smaller words, and ``n``,
+    all rows of the group (known at the top, and handed down with the rest, so that
+    no join is dealt by the group alone)."""
     ends = words.agg(F.min("word"), F.max("word")).first()
     levels = 1
-    while ends[0] is not None and (ends[0] >> DIRECTORY_BITS * levels) != (ends[1] >> DIRECTORY_BITS * levels):
+    # up to one block for all words; negative and other words never share a prefix
+    while ends[0] is not None and DIRECTORY_BITS * levels < WORD_BITS and (
+            ends[0] >> DIRECTORY_BITS * levels) != (ends[1] >> DIRECTORY_BITS * levels):
         levels += 1
     # sums of the blocks of each level, from the words up
     sums = [words.select("group", F.col("word").alias("at"), "rows")]
     for _ in range(levels - 1):
         sums.append(sums[-1].groupBy("group", F.shiftright("at", DIRECTORY_BITS).alias("at")).agg(F.sum("rows").alias("rows")))
-    within = Window.partitionBy("group", F.shiftright("at", DIRECTORY_BITS)).orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
     before = None
     for level in reversed(sums):
+        block = Window.partitionBy("group") if before is None else Window.partitionBy("group", F.shiftright("at", DIRECTORY_BITS))
+        within = block.orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
         own = level.withColumn("own", F.coalesce(F.sum("rows").over(within), F.lit(0)))
-        if before is None:
-            before = own.select("group", "at", F.col("own").alias("before"))
+        if before is None:                   # the top: one block for each group
+            before = own.select("group", "at", F.col("own").alias("before"), F.sum("rows").over(block).alias("n"))
         else:
             above = before.withColumnRenamed("at", "up")
             before = (own.withColumn("up", F.shiftright("at", DIRECTORY_BITS)).join(above, ["group", "up"])
-                      .select("group", "at", (F.col("before") + F.col("own")).alias("before")))
+                      .select("group", "at", (F.col("before") + F.col("own")).alias("before"), "n"))
     return words.join(before.withColumnRenamed("at", "word"), ["group", "word"])
 
 
@@ -117,13 +123,14 @@ def ordered_places(df: DataFrame, *keys: str) -> DataFrame:
 
 
 def placed_leaves(leaves: DataFrame) -> DataFrame:
-    """``leaves`` (group, doc_id, leaf, tampered) with ``place`` in the group."""
+    """``leaves`` (group, doc_id, leaf, tampered) with ``place`` in the group and
+    its number of rows ``n``."""
     keyed = leaves.withColumn("word", F.coalesce(F.shiftright("doc_id", 6), F.lit(NULL_WORD)))
     words = stored(directory(word_counts(keyed)), "words")
     with_words = keyed.join(words, ["group", "word"])
     below = F.bitwise_not(F.call_function("shiftleft", F.lit(-1).cast("long"), _bit()))
     single = F.col("rows") == F.bit_count("bits")
-    names = ["group", "doc_id", "leaf", "tampered"]
+    names = ["group", "doc_id", "leaf", "tampered", "n"]
     by_rank = with_words.where(single).select(
         *names, (F.col("before") + F.bit_count(F.col("bits").bitwiseAND(below))).alias("place"))
     if not words.where(~single).head(1):
@@ -195,14 +202,14 @@ def _path_type() -> str:
 
 
 def _down(blocks: DataFrame, above: DataFrame) -> DataFrame:
-    """Paths of a round's nodes: (group, place, path), from its blocks' paths."""
+    """Paths of a round's nodes, (group, place, path, subroot), from its blocks' paths."""
     def run(batches):
         for b in batches:
             for row in (b.slice(i, 1).to_pylist()[0] for i in range(b.num_rows)):
                 levels = _fold([h.encode() for h in row["hashes"]], _levels(row["n"]))
                 for s in range(len(row["hashes"])):
                     own = [{"l": b"".join(x).decode(), "r": b"".join(y).decode()} for x, y in _siblings(levels, s)]
-                    out.append((row["group"], row["block"] * BLOCK + s, own + row["path"]))
+                    out.append((row["group"], row["block"] * BLOCK + s, own + row["path"], row["subroot"]))
                     if len(out) >= BLOCK:
                         yield flush()
         if out:
@@ -212,12 +219,13 @@ def _down(blocks: DataFrame, above: DataFrame) -> DataFrame:
     kind = pa.list_(pa.struct([("l", pa.string()), ("r", pa.string())]))
 
     def flush():
-        g, p, w = zip(*out)
+        g, p, w, r = zip(*out)
         out.clear()
-        return pa.RecordBatch.from_arrays([pa.array(g, pa.string()), pa.array(p, pa.int64()), pa.array(w, kind)], names=["group", "place", "path"])
+        return pa.RecordBatch.from_arrays([pa.array(g, pa.string()), pa.array(p, pa.int64()), pa.array(w, kind), pa.array(r, pa.string())],
+                                          names=["group", "place", "path", "subroot"])
 
     joined = blocks.select("group", "block", "n", "hashes").join(above, ["group", "block"])
-    return joined.mapInArrow(run, f"group string, place bigint, path {_path_type()}")
+    return joined.mapInArrow(run, f"group string, place bigint, path {_path_type()}, subroot string")
 
 
 def tree(nodes: DataFrame) -> tuple[list[DataFrame], DataFrame]:
@@ -237,11 +245,11 @@ def tree(nodes: DataFrame) -> tuple[list[DataFrame], DataFrame]:
 
 
 def block_paths(rounds: list[DataFrame], top_paths: DataFrame) -> DataFrame:
-    """(group, block, path) of the first round's blocks, from the paths of the
-    groups' roots (group, path)."""
+    """(group, block, path, subroot) of the first round's blocks, from those of the
+    groups' roots (group, path, subroot)."""
     paths = None
     for blocks in reversed(rounds):
-        own = blocks.where(F.col("n") <= BLOCK).select("group", "block").join(top_paths, "group").select("group", "block", "path")
+        own = blocks.where(F.col("n") <= BLOCK).select("group", "block").join(top_paths, "group").select("group", "block", "path", "subroot")
         if paths is not None:
             own = own.unionByName(paths)
         if blocks is rounds[0]:
@@ -255,22 +263,19 @@ def manifest(docs: DataFrame) -> DataFrame:
     changed = leaf({"text": tampered_text()})
     leaves = stored(docs.select(F.coalesce(F.concat(F.lit("1"), "source"), F.lit("0")).alias("group"), "doc_id",
                                 leaf().alias("leaf"), changed.alias("tampered")), "leaves")
-    sizes = leaves.groupBy("group").agg(F.count(F.lit(1)).alias("n"))
-    nodes = placed_leaves(leaves).join(sizes, "group").withColumnRenamed("leaf", "hash")
-    rounds, subroots = tree(nodes)
+    rounds, subroots = tree(placed_leaves(leaves).withColumnRenamed("leaf", "hash"))
 
     # the tree over the sources: one group, ordered by source
     no_id, none = F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("string").alias("tampered")
     subroots = stored(ordered_places(subroots, "group"), "subroots")
     upper = subroots.select(F.lit("").alias("group"), "place", F.lit(subroots.count()).cast("long").alias("n"), no_id, "hash", none)
     upper_rounds, roots = tree(upper)
-    start = roots.select("group", F.expr(f"cast(array() as {_path_type()})").alias("path"))
+    start = roots.select("group", F.expr(f"cast(array() as {_path_type()})").alias("path"), none.alias("subroot"))
     above = _down(upper_rounds[0], block_paths(upper_rounds, start)) if upper_rounds else start
     top_paths = subroots.join(above.select("place", "path"), "place").select("group", F.col("hash").alias("subroot"), "path")
 
-    paths = block_paths(rounds, top_paths.select("group", "path"))
     root = roots.select("hash").first()                   # one row at most
-    blocks = (rounds[0].drop("hash").join(paths, ["group", "block"]).join(top_paths.select("group", "subroot"), "group")
+    blocks = (rounds[0].drop("hash").join(block_paths(rounds, top_paths), ["group", "block"])
               .withColumn("root", F.lit(root.hash if root else None).cast("string")))
     out = stored(blocks.mapInArrow(_prove, "doc_id bigint, leaf string, subroot string, root string, "
                                            "proof_sha256 string, folded_root string, verified boolean"), "manifest")

@@ -298,7 +298,7 @@ class _Segment:
                       "rows": [{"role": r, "text": t, "copies": c} for r, t, c in self.rows]}
 
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _cut(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
     """Pieces of a partition's sorted rows."""
     from pyspark import TaskContext
 
@@ -319,7 +319,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     close(not (opened or first_of_part))
                     first_of_part = False
                 now, opened = _Segment(conv_id), False
-            elif len(now.rows) >= SEGMENT_ROWS or now.size >= SEGMENT_BYTES:
+            elif len(now.rows) >= most or now.size >= SEGMENT_BYTES:
                 close(False)
                 now, opened = _Segment(conv_id), True
             now.add(turn, role, text, copies, fault)
@@ -333,13 +333,13 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pylist(out, PIECE)
 
 
-def pieces(marked: DataFrame) -> DataFrame:
+def pieces(marked: DataFrame, most: int = SEGMENT_ROWS) -> DataFrame:
     """Solved conversations, and segments of those that leave their partition."""
     dealt = (marked.withColumn("head", F.substring("text", 1, HEAD_CHARS))
              .repartitionByRange("conv_id", "turn", "role", "head")
              .sortWithinPartitions("conv_id", "turn", "role", "text")
              .select("conv_id", "turn", "role", "text", "copies", "fault"))
-    return dealt.mapInArrow(_cut, PIECE_SQL)
+    return dealt.mapInArrow(functools.partial(_cut, most=most), PIECE_SQL)
 
 
 # ---- conversations of several segments ------------------------------------------
@@ -415,12 +415,12 @@ def _same(left: DataFrame, right: DataFrame, *names: str) -> DataFrame:
     return left.join(other, on).drop(*[f"_{c}" for c in names])
 
 
-def repair(rows: DataFrame, copies: str | None = None) -> DataFrame:
+def repair(rows: DataFrame, copies: str | None = None, segment_rows: int = SEGMENT_ROWS) -> DataFrame:
     """Pieces of the repaired conversations of (conv_id, turn, role, text) rows,
     with a column that says how often a row stands there if ``copies`` names one:
     conv_id, part and nth (their order), counts of faults, ``cost``, ``audit`` and
     the ``repaired`` turns."""
-    found = stored(pieces(with_faults(rows, copies)), "turns")
+    found = stored(pieces(with_faults(rows, copies), segment_rows), "turns")
     solved = found.where("whole").select(*_PIECES, F.lit(0).alias("shared"), F.lit(0).alias("between"))
     segments = found.where("not whole")
     keys = ("conv_id", "part", "nth")
@@ -461,10 +461,10 @@ def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(hashes)], names=["conv_id", "repaired_sha256"])
 
 
-def digest(rows: DataFrame, originals: DataFrame, copies: str | None = None) -> DataFrame:
+def digest(rows: DataFrame, originals: DataFrame, copies: str | None = None, segment_rows: int = SEGMENT_ROWS) -> DataFrame:
     """A row for each conversation of ``originals``: gaps, faults, cost, audit and
     the digest of its repaired turns."""
-    done = stored(repair(rows, copies).withColumn(
+    done = stored(repair(rows, copies, segment_rows).withColumn(
         "lines", F.array_join(F.transform("repaired", lambda t: F.concat(t.role, F.lit(":"), t.text)), "\n")).drop("repaired"), "repaired")
     order = F.struct("part", "nth", "audit")
     turns = F.sum("turns") - F.sum("shared")
