@@ -71,14 +71,16 @@ def velocity_exact(tx: DataFrame, minutes: int = DEFAULT_MINUTES, threshold: int
 
     width = int(minutes) * 60 * 1_000_000
     columns = tx.columns
+    # pandas frames know no difference between NaN and NULL: flags carry it
+    floats = [f.name for f in tx.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
+    flags = [f"_nan_{i}" for i in range(len(floats))]
     work = tx.filter(F.col(ts).isNotNull() & F.col(user).isNotNull()).select(
         *columns, F.unix_micros(F.col(ts)).alias(AT),
-        # a NaN amount is a value, not a missing one: the flag tells them apart
         F.col(amount).cast("double").alias(SUM), F.col(amount).isNotNull().alias("_known"),
+        *[F.coalesce(F.isnan(c), F.lit(False)).alias(g) for c, g in zip(floats, flags)],
         F.col(ts).alias("_event_time"), F.col(user).alias("_user"))
-    carried = to_arrow_schema(T.StructType([f for f in work.schema.fields if f.name not in ("_event_time", "_user")]),
-                              timezone="UTC")
-    out_schema = T.StructType([*tx.schema.fields, T.StructField("_n", T.LongType()), T.StructField("_nn", T.LongType()),
+    carried = to_arrow_schema(T.StructType([f for f in work.schema.fields if f.name not in ("_event_time", "_user")]))
+    out_schema = T.StructType([*tx.schema.fields, *[T.StructField(g, T.BooleanType()) for g in flags], T.StructField("_n", T.LongType()), T.StructField("_nn", T.LongType()),
                                T.StructField("_sum", T.DoubleType())])
     names = [f.name for f in out_schema.fields]
 
@@ -95,7 +97,7 @@ def velocity_exact(tx: DataFrame, minutes: int = DEFAULT_MINUTES, threshold: int
         all_at = np.concatenate([np.asarray(times, np.int64), at[:ready]])
         known = np.concatenate([np.array([a is not None for a in amounts], bool), np.asarray(rows["_known"], dtype=bool)[:ready]])
         value = np.concatenate([np.array([0.0 if a is None else a for a in amounts], float),
-                                np.asarray(rows[SUM].fill_null(0.0), dtype=float)[:ready]])
+                                rows[SUM].to_numpy()[:ready]])
         if ready:
             done = rows.slice(0, ready).to_pandas()
             done["_n"], done["_nn"], done["_sum"] = framed(all_at, known, value, at[:ready], width)
@@ -114,8 +116,10 @@ def velocity_exact(tx: DataFrame, minutes: int = DEFAULT_MINUTES, threshold: int
 
     answered = (work.withWatermark("_event_time", watermark).groupBy("_user")
                 .applyInPandasWithState(answer, out_schema, STATE, "append", GroupStateTimeout.EventTimeTimeout))
-    framed_rows = answered.select(*columns, F.col("_n").alias("velocity_count"),
-                                  F.when(F.col("_nn") > 0, F.round("_sum", 2)).alias("velocity_amount"),
+    nan = F.lit(float("nan"))
+    back = {c: F.when(F.col(g), nan.cast(tx.schema[c].dataType)).otherwise(F.col(c)).alias(c) for c, g in zip(floats, flags)}
+    framed_rows = answered.select(*[back.get(c, F.col(c)) for c in columns], F.col("_n").alias("velocity_count"),
+                                  F.when(F.col("_nn") > 0, F.coalesce(F.round("_sum", 2), nan)).alias("velocity_amount"),
                                   (F.col("_n") > threshold).alias("velocity_alert"))
     rest = tx.filter(F.col(ts).isNull() | F.col(user).isNull()).select(
         *columns, F.lit(None).cast("long").alias("velocity_count"), F.lit(None).cast("double").alias("velocity_amount"),
