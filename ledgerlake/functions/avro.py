@@ -1,12 +1,6 @@
-"""Minimal Avro binary codec for flat records.
-
-A transaction record uses null, boolean, int, long, float, double, bytes,
-string and unions of them; those are decoded column by column over a batch's
-byte buffer (``read_columns``: a cursor per message, a few numpy steps per
-field).  Fields of other types (enum, array, map, fixed, nested record) are
-read past: schemas that hold one go message by message (``compile_decoder``).
-Bad bodies are marked, or raise ``AvroError``, so callers can route the row to
-quarantine.
+"""Minimal Avro binary codec, message by message: the encoder, and a plain decoder
+that the column-wise one (``resolve``) is tested against.  Bad bodies raise
+``AvroError``.
 """
 
 from __future__ import annotations
@@ -14,8 +8,6 @@ from __future__ import annotations
 import json
 import struct
 
-import numpy as np
-
 PRIMITIVES = {"null", "boolean", "int", "long", "float", "double", "bytes", "string"}
 
 _D = struct.Struct("<d")
@@ -83,70 +75,6 @@ def decode_record(fields, buf: bytes) -> dict:
     return {name: v for (name, _, _), v in zip(fields, values)}
 
 
-# -- column reader: all messages of a batch, field by field --------------------------
-def _varints(data, pos, end, live):
-    """(values, positions, which could be read) of the varints at ``pos``."""
-    acc, ok, more = np.zeros(len(pos), np.uint64), live.copy(), live.copy()
-    for shift in range(0, 70, 7):
-        ok &= ~(more & (pos >= end))
-        more &= pos < end
-        if not more.any():
-            break
-        b = data[np.where(more, pos, 0)]
-        acc |= np.where(more, (b & 0x7F).astype(np.uint64) << np.uint64(min(shift, 63)), np.uint64(0))
-        pos = pos + more
-        more &= b >= 0x80
-    ok &= ~more
-    return (acc >> np.uint64(1)).astype(np.int64) ^ -(acc & np.uint64(1)).astype(np.int64), pos, ok
-
-
-def read_columns(fields, data: np.ndarray, start: np.ndarray, end: np.ndarray):
-    """(columns, ok) of the bodies [start, end) in ``data``.
-
-    A column maps each branch kind to (rows, values): an array of numbers, or
-    for text and bytes a pair (starts, lengths) into ``data``.  ``ok`` is False
-    for bodies that end early, hold impossible values or have trailing bytes.
-    Only for schemas whose fields are all primitive.
-    """
-    data = data if len(data) else np.zeros(1, np.uint8)
-    pos, ok = start.astype(np.int64), np.ones(len(start), bool)
-    columns = []
-    for _, branches, _ in fields:
-        if len(branches) > 1:
-            which, pos, good = _varints(data, pos, end, ok)
-            ok = good & (which >= 0) & (which < len(branches))
-        else:
-            which = np.zeros(len(pos), np.int64)
-        got = {}
-        for i, kind in enumerate(branches):
-            here = ok & (which == i)
-            if kind == "null" or not here.any():
-                continue
-            if kind in ("int", "long"):
-                value, pos, good = _varints(data, pos, end, here)
-                ok &= good | ~here
-            elif kind in ("string", "bytes"):
-                size, pos, good = _varints(data, pos, end, here)
-                good &= (size >= 0) & (size <= end - pos)
-                ok &= good | ~here
-                value = (pos, np.where(good, size, 0))
-                pos = pos + value[1]
-            else:
-                width = {"boolean": 1, "float": 4, "double": 8}[kind]
-                good = here & (pos + width <= end)
-                raw = data[np.where(good, pos, 0)[:, None] + np.where(good[:, None], np.arange(width), 0)]
-                value = raw[:, 0] if width == 1 else np.ascontiguousarray(raw).view(f"<f{width}")[:, 0].astype(float)
-                if kind == "boolean":
-                    good &= value <= 1
-                    value = value == 1
-                ok &= good | ~here
-                pos = pos + width * good
-            got[kind] = (here, value)
-        columns.append({k: (rows & ok, v) for k, (rows, v) in got.items()})
-    ok &= pos == end
-    return columns, ok
-
-
 def _write_long(n: int, out: bytearray) -> None:
     z = (n << 1) ^ (n >> 63)
     while z & ~0x7F:
@@ -155,9 +83,14 @@ def _write_long(n: int, out: bytearray) -> None:
     out.append(z)
 
 
-def _fits(kind: str, v) -> bool:
+def _fits(kind, v) -> bool:
     if v is None:
         return kind == "null"
+    if isinstance(kind, dict):
+        return {"enum": lambda: v in kind["symbols"] if isinstance(v, str) else False,
+                "fixed": lambda: isinstance(v, (bytes, bytearray)) and len(v) == kind["size"],
+                "array": lambda: isinstance(v, (list, tuple)),
+                "map": lambda: isinstance(v, (dict, list)), "record": lambda: isinstance(v, dict)}[kind["type"]]()
     if kind == "boolean":
         return isinstance(v, bool)
     if kind in ("int", "long"):
@@ -171,9 +104,44 @@ def _fits(kind: str, v) -> bool:
     return False
 
 
-def _write(kind: str, v, out: bytearray) -> None:
+def _write_nested(kind: dict, v, out: bytearray) -> None:
+    def one(t, value):
+        _write_union(tuple(_known(b, {}) for b in (t if isinstance(t, list) else [t])), value, out)
+
+    if kind["type"] == "enum":
+        _write_long(kind["symbols"].index(v), out)
+    elif kind["type"] == "fixed":
+        out += v
+    elif kind["type"] == "record":
+        for f in kind["fields"]:
+            one(f["type"], v.get(f["name"]))
+    else:                                            # Arrow gives a map as a list of pairs
+        pairs = list(dict(v).items()) if kind["type"] == "map" else [(None, x) for x in v]
+        if pairs:
+            _write_long(len(pairs), out)
+        for key, x in pairs:
+            if key is not None:
+                _write("string", key, out)
+            one(kind["values"] if kind["type"] == "map" else kind["items"], x)
+        out.append(0)
+
+
+def _write_union(branches, v, out: bytearray, name: str = "value") -> None:
+    for i, kind in enumerate(branches):
+        if _fits(kind, v):
+            if len(branches) > 1:
+                _write_long(i, out)
+            _write(kind, v, out)
+            return
+    raise AvroError(f"value of {name} fits no branch of {branches}")
+
+
+def _write(kind, v, out: bytearray) -> None:
     if kind == "null":
         return
+    if isinstance(kind, dict):
+        _write_nested(kind, v, out)
+        return
     if kind == "boolean":
         out.append(1 if v else 0)
     elif kind in ("int", "long"):
@@ -192,15 +160,7 @@ def encode_record(fields, record: dict) -> bytes:
     """Encode one record; a value that fits no branch raises AvroError."""
     out = bytearray()
     for name, branches, _ in fields:
-        v = record.get(name)
-        for i, kind in enumerate(branches):
-            if _fits(kind, v):
-                if len(branches) > 1:
-                    _write_long(i, out)
-                _write(kind, v, out)
-                break
-        else:
-            raise AvroError(f"value of {name} fits no branch of {branches}")
+        _write_union(branches, record.get(name), out, name)
     return bytes(out)
 
 

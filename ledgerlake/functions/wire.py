@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerlake.functions import avro
+from ledgerlake.functions import avro, resolve
 from ledgerlake.session import spread
 from ledgerlake.schemas import HEADER_BYTES, REQUIRED_FIELDS, TRANSACTION_FIELDS
 
@@ -61,7 +61,6 @@ WIRE_TYPES = {n: (T.StringType() if n == "event_timestamp" else t)
               for n, t, _ in TRANSACTION_FIELDS}
 _ARROW = {T.StringType(): pa.string(), T.DoubleType(): pa.float64(),
           T.BooleanType(): pa.bool_(), T.TimestampType(): pa.timestamp("us")}
-_PY_OK = {T.StringType(): (str,), T.DoubleType(): (float, int), T.BooleanType(): (bool,)}
 
 REASONS = ("null_value", "too_short", "bad_magic", "unknown_schema", "unreadable_schema", "decode_error")
 
@@ -90,121 +89,16 @@ def load_registry(schemas: DataFrame | dict) -> dict[int, str]:
     return reg
 
 
-def _cast(v, t: T.DataType):
-    """A wire value as contract type ``t`` through its text; None if it does not parse."""
-    if isinstance(v, (bytes, bytearray)):
-        try:
-            v = bytes(v).decode()
-        except UnicodeDecodeError:
-            return None
-    text = str(v).lower() if isinstance(v, bool) else str(v)
-    if t == T.StringType():
-        return text
-    if t == T.BooleanType():
-        return {"true": True, "false": False}.get(text.strip().lower())
-    if isinstance(v, bool):
-        return None
-    try:
-        return float(text)
-    except ValueError:
-        return None
+#: contract columns as the reader sees them on the wire
+_TARGETS = {n: {T.StringType(): resolve.STRING, T.DoubleType(): resolve.DOUBLE, T.BooleanType(): resolve.BOOLEAN}[t]
+            for n, t in WIRE_TYPES.items()}
 
 
-def _text(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, valid: np.ndarray) -> pa.Array:
-    """Strings [start, start + size) of ``data``; null where not valid."""
-    sizes = np.where(valid, sizes, 0)
-    edge = np.concatenate([[0], np.cumsum(sizes)])
-    at = np.repeat(starts - edge[:-1], sizes) + np.arange(edge[-1])
-    return pa.LargeStringArray.from_buffers(
-        len(sizes), pa.py_buffer(edge.astype(np.int64)), pa.py_buffer(data[at] if len(at) else b""),
-        pa.py_buffer(np.packbits(valid, bitorder="little")))
-
-
-def _valid_utf8(column: pa.Array) -> bool:
-    try:
-        column.validate(full=True)
-    except pa.ArrowInvalid:
-        return False
-    return True
-
-
-def _column(t: T.DataType, got: dict, data: np.ndarray, n: int):
-    """One contract column from a field's branches: (array, rows that failed the
-    cast, rows whose text is not UTF-8)."""
-    wrong, broken = np.zeros(n, bool), np.zeros(n, bool)
-    native = {T.StringType(): ("string",), T.BooleanType(): ("boolean",),
-              T.DoubleType(): ("double", "float", "int", "long")}[t]
-    if set(got) <= set(native):
-        if t == T.StringType():
-            rows, (starts, sizes) = got.get("string", (np.zeros(n, bool), (np.zeros(n, np.int64),) * 2))
-            column = _text(data, starts, sizes, rows)
-            if not _valid_utf8(column):
-                for i in np.flatnonzero(rows):
-                    try:
-                        data[starts[i]:starts[i] + sizes[i]].tobytes().decode()
-                    except UnicodeDecodeError:
-                        broken[i] = True
-                column = _text(data, starts, sizes, rows & ~broken)
-            return column.cast(pa.string()), wrong, broken
-        values, valid = np.zeros(n, bool if t == T.BooleanType() else float), np.zeros(n, bool)
-        for rows, x in got.values():
-            values[rows], valid[rows] = x[rows], True
-        return pa.array(values, _ARROW[t], mask=~valid), wrong, broken
-    out = [None] * n
-    for kind, (rows, x) in got.items():
-        for i in np.flatnonzero(rows):
-            v = data[x[0][i]:x[0][i] + x[1][i]].tobytes() if kind in ("string", "bytes") else x[i].item()
-            if kind == "string":
-                try:
-                    v = v.decode()
-                except UnicodeDecodeError:
-                    broken[i] = True
-                    continue
-            out[i] = v if kind in native and t != T.DoubleType() else _cast(v, t)
-            wrong[i] = out[i] is None
-    return pa.array(out, _ARROW[t]), wrong, broken
-
-
-def _decode_rows(fields, data: np.ndarray, start: np.ndarray, end: np.ndarray):
-    """({contract column: array}, {contract column: failed casts}, ok) of bodies
-    with one writer schema."""
-    n, place = len(start), {name: i for i, (name, _, _) in enumerate(fields)}
-    columns, wrong = {}, {}
-    if all(isinstance(b, str) for _, branches, _ in fields for b in branches):
-        read, ok = avro.read_columns(fields, data, start, end)
-        for i, (name, _, _) in enumerate(fields):
-            if name in WIRE_TYPES:
-                got = {k: (rows & ok, v) for k, (rows, v) in read[i].items()}
-                columns[name], wrong[name], broken = _column(WIRE_TYPES[name], got, data, n)
-            else:                                    # text of fields nobody reads must be text too
-                broken = _column(T.StringType(), {"string": read[i]["string"]}, data, n)[2] \
-                    if "string" in read[i] else np.zeros(n, bool)
-            ok = ok & ~broken
-    else:
-        one, rows = avro.compile_decoder(fields), []
-        for a, z in zip(start, end):
-            try:
-                rows.append(one(memoryview(data[a:z])))
-            except (avro.AvroError, IndexError, struct.error):
-                rows.append(None)
-        ok = np.array([r is not None for r in rows], bool)
-        for name, t in WIRE_TYPES.items():
-            if name in place:
-                values = [None if r is None else r[place[name]] for r in rows]
-                cast = [v if v is None or isinstance(v, _PY_OK[t]) and isinstance(v, bool) == (t == T.BooleanType())
-                        and t != T.DoubleType() else _cast(v, t) for v in values]
-                columns[name] = pa.array(cast, _ARROW[t])
-                wrong[name] = np.array([v is not None and c is None for v, c in zip(values, cast)], bool)
-    for name, t in WIRE_TYPES.items():
-        if name not in columns:
-            columns[name], wrong[name] = pa.nulls(n, _ARROW[t]), np.zeros(n, bool)
-    return columns, wrong, ok
-
-
-def _decoder(registry_bc, raw_name: str, passthrough: list[str]):
+def _decoder(registry_bc, reader_json: str, raw_name: str, passthrough: list[str]):
     names = list(WIRE_TYPES)
 
     def run(batches):
+        reader = resolve.parse(reader_json)
         plans: dict[int, object] = {}
         for batch in batches:
             n = batch.num_rows
@@ -221,14 +115,14 @@ def _decoder(registry_bc, raw_name: str, passthrough: list[str]):
                 if sid not in plans:
                     try:
                         text = registry_bc.value.get(int(sid))
-                        plans[sid] = "unknown_schema" if text is None else avro.parse_schema(text)
-                    except (avro.AvroError, ValueError, KeyError, TypeError):
+                        plans[sid] = "unknown_schema" if text is None else resolve.Plan(text, reader, _TARGETS)
+                    except (avro.AvroError, ValueError, KeyError, TypeError, AttributeError):
                         plans[sid] = "unreadable_schema"
                 rows = np.flatnonzero((sids == sid) & (reasons == None))       # noqa: E711
                 if isinstance(plans[sid], str):
                     reasons[rows] = plans[sid]
                     continue
-                columns, wrong, ok = _decode_rows(plans[sid], data, edges[rows] + HEADER_BYTES, edges[rows + 1])
+                columns, wrong, ok = plans[sid].columns(data, edges[rows] + HEADER_BYTES, edges[rows + 1])
                 reasons[rows[~ok]] = "decode_error"
                 for name in names:
                     for i in np.flatnonzero(wrong[name] & ok):
@@ -247,7 +141,8 @@ def _decoder(registry_bc, raw_name: str, passthrough: list[str]):
     return run
 
 
-def decode(envelope: DataFrame, schemas: DataFrame | dict, raw: str = "raw_bytes") -> DataFrame:
+def decode(envelope: DataFrame, schemas: DataFrame | dict, raw: str = "raw_bytes",
+           reader: str | dict = TRANSACTION_SCHEMA_JSON) -> DataFrame:
     """W1-W3 + P3/P5: envelope rows -> typed transaction columns plus
     ``_reason`` (NULL for a good row; a decode reason or
     ``contract_violation``) and ``_violations`` (array of (field, rule)).
@@ -255,6 +150,10 @@ def decode(envelope: DataFrame, schemas: DataFrame | dict, raw: str = "raw_bytes
     Every input row comes out exactly once, so the caller routes the result
     with two filters (``accepted``/``quarantined``) over one persisted or
     written frame.
+
+    ``reader`` is the schema that bodies are resolved to, whatever version they
+    were written under: its aliases find renamed fields, its defaults fill fields
+    that a writer lacks (``functions.resolve``).
     """
     spark = envelope.sparkSession
     reg = load_registry(schemas)
@@ -268,7 +167,8 @@ def decode(envelope: DataFrame, schemas: DataFrame | dict, raw: str = "raw_bytes
         + [T.StructField(n, t, True) for n, t in WIRE_TYPES.items()]
         + [T.StructField("_reason", T.StringType(), True),
            T.StructField("_bad_fields", T.ArrayType(T.StringType()), True)])
-    decoded = staged.mapInArrow(_decoder(bc, raw, passthrough), out_schema)
+    reader = reader if isinstance(reader, str) else json.dumps(reader)
+    decoded = staged.mapInArrow(_decoder(bc, reader, raw, passthrough), out_schema)
     ts_text = F.col("event_timestamp")
     ts = F.try_to_timestamp(ts_text)
     decoded = decoded.withColumn("_ts_text", ts_text).withColumn("event_timestamp", ts)
@@ -299,7 +199,7 @@ def accepted(decoded: DataFrame, raw: str = "raw_bytes") -> DataFrame:
     return decoded.filter(F.col("_reason").isNull()).drop("_reason", "_violations", raw)
 
 
-def encode(df: DataFrame, schema_id: int = 1, schema_json: str = TRANSACTION_SCHEMA_JSON,
+def encode(df: DataFrame, schema_id: int = 1, schema_json: str | dict = TRANSACTION_SCHEMA_JSON,
            value: str = "value", keep: list[str] | None = None) -> DataFrame:
     """Rows with transaction columns -> ``keep`` columns + ``value``
     (header + Avro body).  A record that does not fit the writer schema (e.g.

@@ -14,51 +14,44 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.schemas import GOLD_COLUMNS
+from ledgerlake.sources.tables import register_partitioned_table, sql_with_inputs
 
-GOLD_KEYS = ["event_date", "merchant_category"]
+GOLD_KEYS = GOLD_COLUMNS[:2]
 
+#: every measure of the contract, in its order, as SQL over the passed rows.  The fraud
+#: rate is over labelled rows: an unlabelled row is in neither count.
+GOLD_MEASURES = {
+    "total_transactions": "count(*)",
+    "fraud_count": "count_if(_is_fraud_label)",
+    "fraud_rate_pct": "round(100.0D * try_divide(cast(count_if(_is_fraud_label) AS double), count(_is_fraud_label)), 3)",
+    "avg_amount": "round(avg(amount), 2)",
+    "max_amount": "round(max(amount), 2)",
+    "total_amount": "round(sum(amount), 2)",
+    "online_count": "count_if(is_online)",
+    "high_risk_country_count": "count_if(is_high_risk_country)",
+}
+assert [*GOLD_KEYS, *GOLD_MEASURES] == GOLD_COLUMNS
 
 
 def gold_summary(silver: DataFrame) -> DataFrame:
     """One row per (event_date, merchant_category) over the rows that passed
     (``dq_passed`` TRUE; FALSE and NULL are both left out, P18)."""
-    amount, label = F.col("amount"), F.col("_is_fraud_label")
-    # the rate is over labelled rows: an unlabelled row is in neither count
-    share = F.try_divide(F.count_if(label).cast("double"), F.count(label).cast("double"))
-    measures = {
-        "max_amount": F.round(F.max(amount), 2),
-        "avg_amount": F.round(F.avg(amount), 2),
-        "total_amount": F.round(F.sum(amount), 2),
-        "total_transactions": F.count(F.lit(1)),
-        "online_count": F.count_if("is_online"),
-        "high_risk_country_count": F.count_if("is_high_risk_country"),
-        "fraud_count": F.count_if(label),
-        "fraud_rate_pct": F.round(F.lit(100.0) * share, 3),
-    }
-    passed = silver.where("dq_passed").groupBy(*GOLD_KEYS)
-    return check_output(passed.agg(*[c.alias(n) for n, c in measures.items()]).select(*GOLD_COLUMNS))
+    measures = [F.expr(e).alias(name) for name, e in GOLD_MEASURES.items()]
+    return check_output(silver.where("dq_passed").groupBy(*GOLD_KEYS).agg(*measures))
 
 
 def gold_summary_sql(spark, silver: DataFrame) -> DataFrame:
-    """The summary again as a SQL text over a named input."""
-    return check_output(spark.sql("""
-        FROM {silver}
-        |> WHERE dq_passed
-        |> AGGREGATE count_if(is_high_risk_country) AS high_risk_country_count, count_if(is_online) AS online_count,
-                     count_if(_is_fraud_label) AS fraud_count, count(_is_fraud_label) AS labelled,
-                     sum(amount) AS total, count(amount) AS priced, max(amount) AS largest,
-                     count(*) AS total_transactions
-           GROUP BY event_date, merchant_category
-        |> EXTEND try_divide(100.0D * fraud_count, labelled) AS pct, try_divide(total, priced) AS mean
-        |> SELECT event_date, merchant_category, total_transactions, fraud_count, round(pct, 3) AS fraud_rate_pct,
-                  round(mean, 2) AS avg_amount, round(largest, 2) AS max_amount, round(total, 2) AS total_amount,
-                  online_count, high_risk_country_count""", silver=silver))
+    """The summary as a SQL text over a named input."""
+    keys = ", ".join(GOLD_KEYS)
+    measures = ", ".join(f"{e} AS {name}" for name, e in GOLD_MEASURES.items())
+    return check_output(sql_with_inputs(
+        spark, f"SELECT {keys}, {measures} FROM {{silver}} WHERE dq_passed GROUP BY {keys}", {"silver": silver}))
 
 
 def category_ranking_sql(spark, silver: DataFrame) -> DataFrame:
     """A SQL text over a named input.  Categories by their passed volume,
     with each one's share of it."""
-    return spark.sql("""
+    return sql_with_inputs(spark, """
         WITH volume AS (
           SELECT merchant_category, count(*) AS transactions, sum(amount) AS volume
           FROM {silver} WHERE dq_passed AND merchant_category IS NOT NULL
@@ -66,7 +59,7 @@ def category_ranking_sql(spark, silver: DataFrame) -> DataFrame:
         SELECT merchant_category, transactions, round(volume, 2) AS volume,
                round(100 * volume / sum(volume) OVER (), 3) AS volume_pct,
                dense_rank() OVER (ORDER BY transactions DESC) AS place
-        FROM volume""", silver=silver)
+        FROM volume""", {"silver": silver})
 
 
 def check_output(df: DataFrame) -> DataFrame:
@@ -107,5 +100,4 @@ def write_gold(df: DataFrame, path: str, fmt: str = "parquet", table: str | None
        .format(fmt)
        .save(path))
     if table:
-        from ledgerlake.sources.tables import register_partitioned_table
         register_partitioned_table(df.sparkSession, *table.split("."), path, fmt)

@@ -10,6 +10,7 @@ Adjustments for engine differences (measured, see SURVEY section 5):
 from __future__ import annotations
 
 from ledgerlake.operators.expectations import CONTRACT, SUITE
+from ledgerlake.schemas import HIGH_RISK_COUNTRIES, VALID_CATEGORIES, VALID_CURRENCIES
 from ledgerlake.sources.tables import transaction_select_sql
 
 
@@ -21,11 +22,9 @@ def _lst(values) -> str:
     return ", ".join(f"'{v}'" for v in values)
 
 
-# Fixed values, written out here so that a wrong constant in the library shows.
-CATS = _lst(["atm_withdrawal", "electronics", "entertainment", "fuel", "grocery", "healthcare", "restaurant", "retail",
-             "subscription", "travel"])
-RISK = "'BR', 'NG', 'RU', 'UA'"
-CURS = "'AUD', 'CAD', 'EUR', 'GBP', 'USD'"
+CATS = _lst(VALID_CATEGORIES)
+RISK = _lst(HIGH_RISK_COUNTRIES)
+CURS = _lst(VALID_CURRENCIES)
 
 TX = transaction_select_sql("events")
 
@@ -45,11 +44,15 @@ SILVER = f"""SELECT *, {SILVER_FLAGS}, '1.1.0' AS _pipeline_version FROM ({TX})
 
 def gold_from(source: str) -> str:
     return f"""
-SELECT event_date, merchant_category, count(*) AS total_transactions,
-  {rnd('max(amount)', 2)} AS max_amount, {rnd('avg(amount)', 2)} AS avg_amount, {rnd('sum(amount)', 2)} AS total_amount,
-  count(*) FILTER (is_online) AS online_count, count(*) FILTER (is_high_risk_country) AS high_risk_country_count,
+SELECT event_date, merchant_category,
+  count(*) AS total_transactions,
   count(*) FILTER (_is_fraud_label) AS fraud_count,
-  {rnd('100.0 * count(*) FILTER (_is_fraud_label)::DOUBLE / nullif(count(_is_fraud_label), 0)', 3)} AS fraud_rate_pct
+  {rnd('100.0 * count(*) FILTER (_is_fraud_label)::DOUBLE / nullif(count(_is_fraud_label), 0)', 3)} AS fraud_rate_pct,
+  {rnd('avg(amount)', 2)} AS avg_amount,
+  {rnd('max(amount)', 2)} AS max_amount,
+  {rnd('sum(amount)', 2)} AS total_amount,
+  count(*) FILTER (is_online) AS online_count,
+  count(*) FILTER (is_high_risk_country) AS high_risk_country_count
 FROM ({source}) s WHERE dq_passed GROUP BY ALL"""
 
 
@@ -270,6 +273,14 @@ FROM ({WIRE_TX}) tx"""
 WIRE_ROUNDTRIP = f"SELECT * FROM ({WIRE_SILVER}) w WHERE event_id IS NOT NULL"
 DECODED_SILVER = f"""SELECT * FROM ({WIRE_SILVER}) w
 WHERE event_id IS NOT NULL AND NOT (CAST(substr(CAST(kafka_offset * 4 + kafka_partition AS VARCHAR), 1, 20) AS BIGINT) % 997 BETWEEN 1 AND 7)"""
+# version 2 has no currency (the reader's default), version 3 no null category
+AVRO_VERSIONS = f"""
+SELECT *, {SILVER_FLAGS}, '1.1.0' AS _pipeline_version
+FROM (SELECT * EXCLUDE (_defect, _null_key) REPLACE (
+        CASE WHEN _v = 1 THEN 'USD' ELSE currency END AS currency,
+        CASE WHEN _v = 2 THEN coalesce(merchant_category, 'unknown') ELSE merchant_category END AS merchant_category)
+      FROM (SELECT *, (kafka_offset * 4 + kafka_partition) % 3 AS _v FROM ({WIRE_TX}) w) t) tx
+WHERE event_id IS NOT NULL"""
 QUARANTINE = f"""
 SELECT kafka_partition, kafka_offset,
   CASE WHEN _null_key OR _defect = 1 THEN 'null_value'
@@ -288,6 +299,7 @@ WHERE _defect = 4 AND NOT _null_key"""
 ORACLE.update({
     "wire_roundtrip": WIRE_ROUNDTRIP,
     "decoded_silver": DECODED_SILVER,
+    "avro_versions": f"SELECT * EXCLUDE (_v) FROM ({AVRO_VERSIONS}) a",
     "quarantine": QUARANTINE,
     "quarantine_replay": QUARANTINE_REPLAY,
 })

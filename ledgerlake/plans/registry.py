@@ -30,7 +30,8 @@ from ledgerlake.schemas import ENVELOPE_SCHEMA, REQUIRED_FIELDS
 from ledgerlake.session import checkpoint_dir
 from ledgerlake.sources.changes import (ORDER_KEY, ORDER_ROW, PHASE_STRIDE,
                                         change_messages_from_orders)
-from ledgerlake.sources.kafka import UNKNOWN_SCHEMA_ID, envelope_from_events
+from ledgerlake.sources.kafka import (READER, UNKNOWN_SCHEMA_ID, VERSIONS, envelope_from_events,
+                                      versioned_envelope_from_events)
 from ledgerlake.sources.tables import read_table, transactions_from_events
 from ledgerlake.streaming import change_log as CL
 from ledgerlake.streaming import changes as CS
@@ -111,6 +112,12 @@ def q_decoded_silver(spark, d):
     return to_silver(W.accepted(_decoded(spark, d))).drop("_ingested_at")
 
 
+def q_avro_versions(spark, d):
+    """A topic of three schema versions, resolved to one reader schema."""
+    env = versioned_envelope_from_events(read_table(spark, d, "events"))
+    return to_silver(W.accepted(W.decode(env, VERSIONS, reader=READER))).drop("_ingested_at")
+
+
 def q_quarantine(spark, d):
     return (QU.quarantined(_decoded(spark, d))
             .select("kafka_partition", "kafka_offset", "reason", "violation_summary"))
@@ -335,6 +342,7 @@ QUERIES: dict[str, Query] = {
     # wire codec and quarantine
     "wire_roundtrip": q_wire_roundtrip,
     "decoded_silver": q_decoded_silver,
+    "avro_versions": q_avro_versions,
     "quarantine": q_quarantine,
     "quarantine_replay": q_quarantine_replay,
     # change data capture

@@ -15,6 +15,7 @@ from ledgerlake.functions import wire
 from ledgerlake.schemas import TRANSACTION_SCHEMA
 from ledgerlake.sources.tables import transactions_from_events
 
+# Source options of the topic.
 KAFKA_OPTIONS = {
     "startingOffsets": "latest",
     "failOnDataLoss": "false",
@@ -112,3 +113,60 @@ def envelope_from_events(events: DataFrame, defects: bool = True) -> DataFrame:
         (F.col("_src_id") % PARTITIONS).cast("int").alias("kafka_partition"),
         F.floor(F.col("_src_id") / PARTITIONS).cast("long").alias("kafka_offset"),
         v.alias("raw_bytes"))
+
+
+# -- a topic of three schema versions ------------------------------------------------
+# Versions of the transaction schema as the fixture evolves it.  2: a field is renamed and
+# one dropped, the order changes, and nested fields arrive.  3: amounts are decimals, times
+# are numbers, the card type is an enum, an address is bytes.
+def _fields(*changes) -> list[dict]:
+    held = {f["name"]: f for f in wire.TRANSACTION_AVRO_SCHEMA["fields"]}
+    return [c if isinstance(c, dict) else held[c] for c in changes]
+
+
+VERSION_2 = {"type": "record", "name": "TransactionEvent", "fields": _fields(
+    "user_id", "event_id", {"name": "category", "type": ["null", "string"], "default": None}, "event_timestamp",
+    {"name": "device", "type": {"type": "record", "name": "Device", "fields": [
+        {"name": "os", "type": "string"}, {"name": "screen", "type": {"type": "array", "items": "int"}}]}},
+    "merchant_id", {"name": "amount", "type": ["double", "null"]}, "country_code", "card_type", "is_online",
+    {"name": "labels", "type": {"type": "map", "values": ["null", "string"]}}, "device_type", "ip_address", "_is_fraud_label")}
+VERSION_3 = {"type": "record", "name": "TransactionEvent", "fields": _fields(
+    "event_id", {"name": "event_timestamp", "type": {"type": "long", "logicalType": "timestamp-micros"}}, "user_id", "merchant_id",
+    {"name": "category", "type": "string"},
+    {"name": "amount", "type": ["null", {"type": "bytes", "logicalType": "decimal", "precision": 18, "scale": 2}]}, "currency", "country_code",
+    {"name": "card_type", "type": {"type": "enum", "name": "Card", "symbols": ["credit", "debit", "prepaid"]}}, "is_online", "device_type",
+    {"name": "ip_address", "type": ["null", "bytes"]}, "_is_fraud_label",
+    {"name": "channel", "type": ["null", "string"], "default": None})}
+#: the reader: the contract, with the renamed field's new name, and a default currency
+READER = {**wire.TRANSACTION_AVRO_SCHEMA, "fields": [
+    f | ({"aliases": ["category"]} if f["name"] == "merchant_category" else {"type": ["string", "null"], "default": "USD"}
+         if f["name"] == "currency" else {}) for f in wire.TRANSACTION_AVRO_SCHEMA["fields"]]}
+VERSIONS = {1: wire.TRANSACTION_AVRO_SCHEMA, 2: VERSION_2, 3: VERSION_3}
+
+
+def versioned_envelope_from_events(events: DataFrame) -> DataFrame:
+    """Events as messages of a topic whose producers moved from version 1 to 3:
+    ``event_id % 3`` says under which one an event was written."""
+    tx = transactions_from_events(events, keep=["event_id AS _src_id", "ts AS _src_ts"])
+    version = (F.col("_src_id") % 3 + 1).cast("int")
+    cents = F.round(F.col("amount") * 100).cast("long")
+    low = F.hex(cents)
+    digits = F.when(cents < 0, F.lpad(low, 16, "F")).otherwise(F.lpad(low, 16, "0"))
+    parts = []
+    for v, schema in VERSIONS.items():
+        rows = tx.where(version == v)
+        if v > 1:
+            rows = rows.withColumn("category", F.coalesce("merchant_category", F.lit("unknown")) if v == 3 else F.col("merchant_category"))
+        if v == 2:
+            rows = rows.withColumns({
+                "device": F.struct(F.lit("os-") .alias("os"), F.transform(F.sequence(F.lit(1), (F.col("_src_id") % 4 + 1).cast("int")),
+                                                                         lambda x: x).alias("screen")),
+                "labels": F.create_map(F.lit("source"), F.col("device_type"), F.lit("none"), F.lit(None).cast("string"))})
+        if v == 3:
+            rows = rows.withColumns({"event_timestamp": F.unix_micros("event_timestamp"), "amount": F.unhex(digits),
+                                     "ip_address": F.col("ip_address").cast("binary"), "channel": F.lit("web")})
+        parts.append(wire.encode(rows, schema_id=v, schema_json=schema, keep=["_src_id", "_src_ts"]))
+    out = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return out.select(F.col("_src_ts").cast("timestamp").alias("kafka_timestamp"),
+                      (F.col("_src_id") % PARTITIONS).cast("int").alias("kafka_partition"),
+                      F.floor(F.col("_src_id") / PARTITIONS).cast("long").alias("kafka_offset"), F.col("value").alias("raw_bytes"))

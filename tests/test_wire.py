@@ -9,7 +9,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from conftest import SF001
-from ledgerlake.functions import avro, wire
+from ledgerlake.functions import avro, resolve, wire
 from ledgerlake.operators import quarantine as QU
 from ledgerlake.plans.registry import REGISTRY_FIXED, REGISTRY_V1
 from ledgerlake.sources.kafka import envelope_from_events
@@ -178,10 +178,11 @@ def test_columns_equal_the_message_reader_on_damaged_bodies():
 
     import numpy as np
     r = random.Random(9)
-    fields = avro.parse_schema({"type": "record", "name": "x", "fields": [
+    schema = {"type": "record", "name": "x", "fields": [
         {"name": "event_id", "type": "string"}, {"name": "amount", "type": ["null", "double", "long"]},
         {"name": "is_online", "type": "boolean"}, {"name": "user_id", "type": ["null", "string"]},
-        {"name": "other", "type": ["bytes", "float", "int"]}]})
+        {"name": "other", "type": ["bytes", "float", "int"]}]}
+    fields = avro.parse_schema(schema)
     bodies = []
     for _ in range(600):
         b = bytearray(avro.encode_record(fields, {
@@ -199,7 +200,8 @@ def test_columns_equal_the_message_reader_on_damaged_bodies():
         bodies.append(bytes(b))
     edge = np.cumsum([0, *map(len, bodies)])
     data = np.frombuffer(b"".join(bodies), np.uint8)
-    columns, wrong, ok = wire._decode_rows(fields, data, edge[:-1], edge[1:])
+    plan = resolve.Plan(schema, resolve.parse(wire.TRANSACTION_SCHEMA_JSON), wire._TARGETS)
+    columns, wrong, ok = plan.columns(data, edge[:-1], edge[1:])
     one = avro.compile_decoder(fields)
     good = 0
     for i, b in enumerate(bodies):
