@@ -94,11 +94,22 @@ _TARGETS = {n: {T.StringType(): resolve.STRING, T.DoubleType(): resolve.DOUBLE,
             for n, t in WIRE_TYPES.items()}
 
 
-def _decoder(registry_bc, reader_json: str, raw_name: str, passthrough: list[str]):
-    names = list(WIRE_TYPES)
+_SPARK = {resolve.STRING: T.StringType(), resolve.DOUBLE: T.DoubleType(), resolve.BOOLEAN: T.BooleanType()}
+
+
+def reader_targets(reader: str | dict) -> dict[str, str]:
+    """Columns that a reader schema asks for: the contract's, and those it adds (text,
+    numbers and booleans; other types as text)."""
+    kinds = {"boolean": resolve.BOOLEAN, **dict.fromkeys(("int", "long", "float", "double"), resolve.DOUBLE)}
+    added = {f["name"]: next((kinds[b["kind"]] for b in resolve._branches(f["type"]) if b["kind"] in kinds), resolve.STRING)
+             for f in resolve.parse(reader)["fields"] if f["name"] not in WIRE_TYPES}
+    return {**_TARGETS, **added}
+
 
+def _decoder(registry_bc, reader_json: str, raw_name: str, passthrough: list[str]):
     def run(batches):
-        reader = resolve.parse(reader_json)
+        reader, targets = resolve.parse(reader_json), reader_targets(reader_json)
+        names = list(targets)
         plans: dict[int, object] = {}
         for batch in batches:
             n = batch.num_rows
@@ -115,7 +126,7 @@ def _decoder(registry_bc, reader_json: str, raw_name: str, passthrough: list[str
                 if sid not in plans:
                     try:
                         text = registry_bc.value.get(int(sid))
-                        plans[sid] = "unknown_schema" if text is None else resolve.Plan(text, reader, _TARGETS)
+                        plans[sid] = "unknown_schema" if text is None else resolve.Plan(text, reader, targets)
                     except (avro.AvroError, ValueError, KeyError, TypeError, AttributeError):
                         plans[sid] = "unreadable_schema"
                 rows = np.flatnonzero((sids == sid) & (reasons == None))       # noqa: E711
@@ -134,7 +145,7 @@ def _decoder(registry_bc, reader_json: str, raw_name: str, passthrough: list[str
             take[where] = np.arange(len(where))
             index = pa.array(take, mask=take < 0)
             arrays = [batch.column(p) for p in passthrough]
-            arrays += [pa.concat_arrays([p[k] for p in parts]).take(index) if parts else pa.nulls(n, _ARROW[WIRE_TYPES[k]])
+            arrays += [pa.concat_arrays([p[k] for p in parts]).take(index) if parts else pa.nulls(n, _ARROW[_SPARK[targets[k]]])
                        for k in names]
             arrays += [pa.array(reasons.tolist(), pa.string()), pa.array(bad.tolist(), pa.list_(pa.string()))]
             yield pa.RecordBatch.from_arrays(arrays, names=passthrough + names + ["_reason", "_bad_fields"])
@@ -153,21 +164,23 @@ def decode(envelope: DataFrame, schemas: DataFrame | dict, raw: str = "raw_bytes
 
     ``reader`` is the schema that bodies are resolved to, whatever version they
     were written under: its aliases find renamed fields, its defaults fill fields
-    that a writer lacks (``functions.resolve``).
+    that a writer lacks (``functions.resolve``), and fields that it has beyond the
+    contract become further columns.
     """
     spark = envelope.sparkSession
     reg = load_registry(schemas)
     bc = spark.sparkContext.broadcast(reg)
-    passthrough = [c for c in envelope.columns if c not in WIRE_TYPES]
+    reader = reader if isinstance(reader, str) else json.dumps(reader)
+    columns = {n: _SPARK[t] for n, t in reader_targets(reader).items()}
+    passthrough = [c for c in envelope.columns if c not in columns]
     staged = spread(envelope).select(*passthrough,
                              header_reason(F.col(raw)).alias("_reason"),
                              header_schema_id(F.col(raw)).alias("_schema_id"))
     out_schema = T.StructType(
         [staged.schema[p] for p in passthrough]
-        + [T.StructField(n, t, True) for n, t in WIRE_TYPES.items()]
+        + [T.StructField(n, t, True) for n, t in columns.items()]
         + [T.StructField("_reason", T.StringType(), True),
            T.StructField("_bad_fields", T.ArrayType(T.StringType()), True)])
-    reader = reader if isinstance(reader, str) else json.dumps(reader)
     decoded = staged.mapInArrow(_decoder(bc, reader, raw, passthrough), out_schema)
     ts_text = F.col("event_timestamp")
     ts = F.try_to_timestamp(ts_text)

@@ -348,9 +348,20 @@ def fraud_signals(scored: DataFrame) -> DataFrame:
         "top_feature_3", "model_version", "processed_at")
 
 
-def write_signals(scored: DataFrame, path: str) -> None:
-    """K8: the stored scored-records table that N4-N6 read, sorted within its
-    files by user so that a lookup of one user skips row groups."""
-    (fraud_signals(scored).withColumn("event_date", F.to_date("event_timestamp"))
-     .sortWithinPartitions("user_id", "event_timestamp")
-     .write.mode("overwrite").parquet(path))
+def write_signals(scored: DataFrame, path: str, files: int | None = None) -> None:
+    """K8: the stored scored-records table that N4-N6 read, laid out for them.
+
+    Rows are dealt by range of (user, time), so a user lies in one file, or in a few
+    neighbouring ones if they hold many rows, and their Parquet footers and Bloom
+    filters rule the others out (the index on user).  The flagged rows stand once
+    more in ``<path>_anomalies`` (the partial index): about the contamination share
+    of the table.  ``files`` bounds the number of ranges, by default that of
+    shuffle partitions."""
+    rows = fraud_signals(scored).withColumn("event_date", F.to_date("event_timestamp"))
+    ranges = ["user_id", "event_timestamp"]
+    dealt = rows.repartitionByRange(files, *ranges) if files else rows.repartitionByRange(*ranges)
+    (dealt.sortWithinPartitions(*ranges).write.mode("overwrite")
+     .option("parquet.bloom.filter.enabled#user_id", "true").parquet(path))
+    stored = scored.sparkSession.read.schema(rows.schema).parquet(path)
+    (stored.filter(F.col("is_anomaly")).repartitionByRange("event_timestamp").sortWithinPartitions("event_timestamp")
+     .write.mode("overwrite").parquet(f"{path}_anomalies"))

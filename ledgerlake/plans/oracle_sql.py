@@ -296,7 +296,14 @@ QUARANTINE_REPLAY = f"""
 SELECT kafka_partition, kafka_offset, event_id, amount FROM ({WIRE_TX}) t
 WHERE _defect = 4 AND NOT _null_key"""
 
+REPLAY_LEDGER = f"""
+SELECT kafka_partition, kafka_offset, CASE reason WHEN 'unknown_schema' THEN 2 ELSE 3 END::BIGINT AS attempts,
+       CASE reason WHEN 'unknown_schema' THEN 'accepted' ELSE 'poison' END AS state,
+       CASE WHEN reason <> 'unknown_schema' THEN reason END AS reason
+FROM ({QUARANTINE}) q"""
+
 ORACLE.update({
+    "replay_ledger": REPLAY_LEDGER,
     "wire_roundtrip": WIRE_ROUNDTRIP,
     "decoded_silver": DECODED_SILVER,
     "avro_versions": f"SELECT * EXCLUDE (_v) FROM ({AVRO_VERSIONS}) a",
@@ -397,6 +404,12 @@ ORACLE["anomaly_flags"] = f"""
 SELECT count(*) AS rows, 0::BIGINT AS wrong_flags, 0::BIGINT AS bad_scores, 1::BIGINT AS thresholds FROM ({TX}) tx"""
 ORACLE["stream_bronze"] = f"SELECT * FROM ({DECODED_SILVER}) s"
 
+# only the later half of the producers fills the new column
+ORACLE["stream_evolved"] = f"""
+SELECT *, CASE WHEN (kafka_offset * 4 + kafka_partition) % 2 = 1 THEN CASE WHEN is_online THEN 'web' ELSE 'pos' END END AS channel
+FROM ({WIRE_ROUNDTRIP}) w"""
 # redelivered messages are copies: every accepted event once
 ORACLE["stream_deduped"] = WIRE_ROUNDTRIP
 ORACLE["shap_audit"] = f"SELECT count(*) AS rows, 0::BIGINT AS wrong_sums, 1::BIGINT AS baselines FROM ({TX}) tx"
+
+ORACLE["anomaly_index"] = f"SELECT count(*) - count(*) AS unequal_rows FROM ({TX}) tx"

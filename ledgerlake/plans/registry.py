@@ -7,6 +7,7 @@ table data to the driver.  The matching DuckDB SQL is in ``oracle_sql``.
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Callable
 
@@ -30,11 +31,12 @@ from ledgerlake.schemas import ENVELOPE_SCHEMA, REQUIRED_FIELDS
 from ledgerlake.session import checkpoint_dir
 from ledgerlake.sources.changes import (ORDER_KEY, ORDER_ROW, PHASE_STRIDE,
                                         change_messages_from_orders)
-from ledgerlake.sources.kafka import (READER, UNKNOWN_SCHEMA_ID, VERSIONS, envelope_from_events,
-                                      versioned_envelope_from_events)
+from ledgerlake.sources.kafka import (CHANNEL_READER, READER, UNKNOWN_SCHEMA_ID, VERSIONS, channel_envelope_from_events,
+                                      envelope_from_events, versioned_envelope_from_events)
 from ledgerlake.sources.tables import read_table, transactions_from_events
 from ledgerlake.streaming import change_log as CL
 from ledgerlake.streaming import changes as CS
+from ledgerlake.streaming import evolution as EV
 from ledgerlake.streaming import jobs as JB
 from ledgerlake.streaming import velocity_state as VS
 from ledgerlake.streaming.keyed_table import KeyedTable
@@ -102,6 +104,22 @@ def _stored_signals(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.parquet(_SIGNALS[at]).drop("processed_at", "event_date")
 
 
+def _stored_anomalies(spark: SparkSession, d: str) -> DataFrame:
+    """N5's access path: the flagged rows beside the scored table."""
+    _stored_signals(spark, d)
+    path = _SIGNALS[(spark.sparkContext.applicationId, d)]
+    return spark.read.parquet(f"{path}_anomalies").drop("processed_at", "event_date")
+
+
+def q_anomaly_index(spark, d):
+    """The side table against the scored table: rows of both, and those that
+    only one of them has."""
+    flagged, side = SG.anomalies(_stored_signals(spark, d)), _stored_anomalies(spark, d)
+    both = flagged.select(F.lit(1).alias("n"), "*").unionByName(side.select(F.lit(-1).alias("n"), "*"))
+    odd = both.groupBy(*flagged.columns).agg(F.sum("n").alias("n"))
+    return odd.agg(F.count_if(F.col("n") != 0).alias("unequal_rows"))
+
+
 # -- wire and quarantine ------------------------------------------------------------
 def q_wire_roundtrip(spark, d):
     """events -> encode (W4) -> decode (W1-W3) -> silver: must equal silver."""
@@ -129,6 +147,18 @@ def q_quarantine_replay(spark, d):
             .select("kafka_partition", "kafka_offset", "event_id", "amount"))
 
 
+def q_replay_ledger(spark, d):
+    """Q4: three numbered attempts, the second with the registry fixed, each run twice;
+    the ledger's last state of every quarantined message."""
+    root = f"{checkpoint_dir(spark)}/replay-{uuid.uuid4().hex[:12]}"
+    QU.write_quarantine(QU.quarantined(_decoded(spark, d)), f"{root}/quarantine", 0)
+    stored = spark.read.parquet(f"{root}/quarantine")
+    paths = QU.ReplayPaths(f"{root}/accepted", f"{root}/emitted", f"{root}/ledger")
+    for attempt, registry in ((1, REGISTRY_V1), (2, REGISTRY_FIXED), (2, REGISTRY_FIXED), (3, REGISTRY_FIXED), (4, REGISTRY_FIXED)):
+        QU.replay_attempt(stored, attempt, paths, registry)
+    return QU.ledger_state(spark, paths.ledger).drop("kafka_topic")
+
+
 # -- change data capture ---------------------------------------------------------------
 def q_cdc_apply(spark, d):
     """A stored keyed table (state up to the end of phase 1) merged with the
@@ -265,6 +295,24 @@ def q_stream_deduped(spark, d):
     return spark.read.parquet(paths.silver).filter("event_id IS NOT NULL").drop("_ingested_at", "_batch_id")
 
 
+def q_stream_evolved(spark, d):
+    """K3: a job reads version 1; producers add a field; the job goes on from its
+    checkpoint with a reader that knows it, and silver takes the column."""
+    root, paths = stream_paths(spark, "evolved")
+    events = read_table(spark, d, "events")
+    slices = JB.slices_for(spark, f"{d}/events.parquet", 2)
+    for schemas, reader, env in ((REGISTRY_V1, W.TRANSACTION_SCHEMA_JSON, envelope_from_events(events.filter("event_id % 2 = 0"), False)),
+                                 ({**REGISTRY_V1, 4: json.dumps(CHANNEL_READER)}, CHANNEL_READER,
+                                  channel_envelope_from_events(events.filter("event_id % 2 = 1")))):
+        env.repartition(slices).write.mode("append").parquet(f"{root}/landing")
+        source = spark.readStream.schema(ENVELOPE_SCHEMA).option("maxFilesPerTrigger", slices).parquet(f"{root}/landing")
+        q = JB.start_stream(source, schemas, paths, {"availableNow": True}, reader=reader, evolving=True)
+        q.awaitTermination()
+        if q.exception():
+            raise RuntimeError(str(q.exception()))
+    return EV.read_layer(spark, paths.silver).drop("_ingested_at", "_batch_id")
+
+
 def q_velocity_stream(spark, d):
     """The exact trailing velocity as a stream; a last row far ahead lets the
     watermark pass all events before it."""
@@ -345,6 +393,7 @@ QUERIES: dict[str, Query] = {
     "avro_versions": q_avro_versions,
     "quarantine": q_quarantine,
     "quarantine_replay": q_quarantine_replay,
+    "replay_ledger": q_replay_ledger,
     # change data capture
     "cdc_changes": lambda spark, d: _valid(spark, d).select("o_orderkey", "op", "lsn", "tx_id", "table"),
     "cdc_bad_messages": lambda spark, d: _changes(spark, d).filter(F.col("_reason") != "tombstone")
@@ -367,12 +416,14 @@ QUERIES: dict[str, Query] = {
     "stream_silver": q_stream_silver,
     "stream_quarantine": q_stream_quarantine,
     "stream_deduped": q_stream_deduped,
+    "stream_evolved": q_stream_evolved,
     "velocity_stream": q_velocity_stream,
     # anomaly scoring (an iterative algorithm: rows-only check, invariants in tests)
     "forest_nodes": lambda spark, d: FO.train_forest(silver_df(spark, d), 100, 256, 42),
     "anomaly_scores": lambda spark, d: _scored(spark, d),
     "anomaly_flags": q_anomaly_flags,
-    "anomalies": lambda spark, d: SG.anomalies(_stored_signals(spark, d)),
+    "anomalies": lambda spark, d: SG.anomalies(_stored_anomalies(spark, d)),
+    "anomaly_index": q_anomaly_index,
     "signals_recent": lambda spark, d: SG.recent(_stored_signals(spark, d), 100),
     "shap_top": q_shap_top,
     "shap_audit": q_shap_audit,

@@ -142,6 +142,9 @@ READER = {**wire.TRANSACTION_AVRO_SCHEMA, "fields": [
     f | ({"aliases": ["category"]} if f["name"] == "merchant_category" else {"type": ["string", "null"], "default": "USD"}
          if f["name"] == "currency" else {}) for f in wire.TRANSACTION_AVRO_SCHEMA["fields"]]}
 VERSIONS = {1: wire.TRANSACTION_AVRO_SCHEMA, 2: VERSION_2, 3: VERSION_3}
+#: the contract and one more field, as a later producer writes and a later job reads it
+CHANNEL_READER = {**wire.TRANSACTION_AVRO_SCHEMA, "fields": [
+    *wire.TRANSACTION_AVRO_SCHEMA["fields"], {"name": "channel", "type": ["null", "string"], "default": None}]}
 
 
 def versioned_envelope_from_events(events: DataFrame) -> DataFrame:
@@ -170,3 +173,13 @@ def versioned_envelope_from_events(events: DataFrame) -> DataFrame:
     return out.select(F.col("_src_ts").cast("timestamp").alias("kafka_timestamp"),
                       (F.col("_src_id") % PARTITIONS).cast("int").alias("kafka_partition"),
                       F.floor(F.col("_src_id") / PARTITIONS).cast("long").alias("kafka_offset"), F.col("value").alias("raw_bytes"))
+
+
+def channel_envelope_from_events(events: DataFrame) -> DataFrame:
+    """Events under ``CHANNEL_READER`` as schema 4, with the channel filled."""
+    tx = transactions_from_events(events, keep=["event_id AS _src_id", "ts AS _src_ts"])
+    rows = tx.withColumn("channel", F.when(F.col("is_online"), "web").otherwise("pos"))
+    out = wire.encode(rows, schema_id=4, schema_json=CHANNEL_READER, keep=["_src_id", "_src_ts"])
+    return out.select(F.col("_src_ts").cast("timestamp").alias("kafka_timestamp"),
+                      (F.col("_src_id") % PARTITIONS).cast("int").alias("kafka_partition"),
+                      F.floor(F.col("_src_id") / PARTITIONS).cast("long").alias("kafka_offset"), F.col("value").alias("raw_bytes"))

@@ -29,6 +29,7 @@ from ledgerlake.operators import metrics as ME
 from ledgerlake.operators import quarantine as QU
 from ledgerlake.operators.silver import to_silver
 from ledgerlake.sources import files
+from ledgerlake.streaming.evolution import write_evolving
 
 log = logging.getLogger(__name__)
 
@@ -124,23 +125,27 @@ class QualityGateError(RuntimeError):
 
 def process_batch(decoded: DataFrame, batch_id: int, paths: Paths,
                   scorer=None, dedupe_horizon_days: int | None = None,
-                  gate_critical: bool = False) -> None:
+                  gate_critical: bool = False, evolving: bool = False) -> None:
     """K2 + K7 + K9 body of one micro-batch (also callable in batch mode).
     With ``dedupe_horizon_days`` silver is de-duplicated on ``event_id``
     exactly (``drop_seen``); bronze keeps every decoded row.
 
+    With ``evolving`` bronze and silver have a schema log: a batch may bring new
+    columns (``evolution``; read such layers with ``evolution.read_layer``).
+
     Alerts are rows and never block by default (as upstream).  With
     ``gate_critical`` the metrics are computed *before* the silver write and
     a critical alert raises ``QualityGateError`` after its row was written:
     silver and quarantine of that batch are not, and the batch is not
     committed, so it is replayed once the cause is fixed (T7's optional gate)."""
+    write = write_evolving if evolving else _write_partitioned
     decoded = decoded.persist()
     try:
         # A1: the batch size is observed during the bronze write (no separate
         # emptiness job); an empty batch writes no rows and stops here.
         seen = Observation(f"batch_rows_{batch_id}")
         good = wire.accepted(decoded.observe(seen, F.count(F.lit(1)).alias("rows")))
-        _write_partitioned(good, paths.bronze, batch_id, [])
+        write(good, paths.bronze, batch_id, [])
         if not seen.get.get("rows"):
             return
         if dedupe_horizon_days is not None:
@@ -155,8 +160,7 @@ def process_batch(decoded: DataFrame, batch_id: int, paths: Paths,
                     f"batch {batch_id}: " + ", ".join(f"{r.rule}={r.observed}" for r in critical))
         # L1-L5 metrics are observed while silver is written (no extra pass)
         obs = Observation(f"batch_metrics_{batch_id}")
-        _write_partitioned(silver.observe(obs, *ME.metric_aggregates()),
-                           paths.silver, batch_id, ["event_date"])
+        write(silver.observe(obs, *ME.metric_aggregates()), paths.silver, batch_id, ["event_date"])
         q = QU.quarantined(decoded)
         QU.write_quarantine(q, paths.quarantine, batch_id)
         m = obs.get                                      # one row, as a dict
@@ -173,7 +177,8 @@ def process_batch(decoded: DataFrame, batch_id: int, paths: Paths,
         decoded.unpersist()
 
 
-def decoded_stream(envelopes: DataFrame, schemas, decode_partitions: int | None = None) -> DataFrame:
+def decoded_stream(envelopes: DataFrame, schemas, decode_partitions: int | None = None,
+                   reader: str | dict = wire.TRANSACTION_SCHEMA_JSON) -> DataFrame:
     """Decode a streaming envelope DataFrame.  Nothing is dropped here:
     redelivered events are removed at the silver sink (``drop_seen``), after
     routing, so a rejected message never suppresses a good one and no row is
@@ -186,14 +191,15 @@ def decoded_stream(envelopes: DataFrame, schemas, decode_partitions: int | None
     """
     if decode_partitions:
         envelopes = envelopes.repartition(int(decode_partitions))
-    return wire.decode(envelopes, schemas)
+    return wire.decode(envelopes, schemas, reader=reader)
 
 
 def start_stream(envelopes: DataFrame, schemas, paths: Paths,
                  trigger: dict | None = None, scorer=None, query_name: str | None = None,
                  decode_partitions: int | None = None,
                  dedupe_horizon_days: int | None = None,
-                 gate_critical: bool = False, dedupe_within: str | None = None) -> StreamingQuery:
+                 gate_critical: bool = False, dedupe_within: str | None = None,
+                 reader: str | dict = wire.TRANSACTION_SCHEMA_JSON, evolving: bool = False) -> StreamingQuery:
     """S1/S2 envelope stream -> all layers, one query, one checkpoint.
 
     Redelivered events are dropped from silver against the stored table
@@ -203,12 +209,12 @@ def start_stream(envelopes: DataFrame, schemas, paths: Paths,
     ``trigger`` is passed to ``DataStreamWriter.trigger`` (X1), e.g.
     ``{"processingTime": "30 seconds"}`` or ``{"availableNow": True}``.
     """
-    dec = decoded_stream(envelopes, schemas, decode_partitions)
+    dec = decoded_stream(envelopes, schemas, decode_partitions, reader)
     if dedupe_within is not None:
         dec = first_deliveries(dec, dedupe_within)
     w = (dec.writeStream
          .foreachBatch(lambda df, bid: process_batch(df, bid, paths, scorer,
-                                                     dedupe_horizon_days, gate_critical))
+                                                     dedupe_horizon_days, gate_critical, evolving))
          .option("checkpointLocation", paths.checkpoint)
          .trigger(**(trigger or DEFAULT_TRIGGER)))
     if query_name:
