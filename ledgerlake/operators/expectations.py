@@ -21,6 +21,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlake.operators.uniqueness import uniqueness_by_fingerprint
 from ledgerlake.schemas import (AMOUNT_MAX, AMOUNT_MIN, COUNTRY_CODE_PATTERN,
                                 MAX_REQUIRED_NULL_RATE, MIN_PASS_RATE, UUID_V4_PATTERN,
                                 VALID_CATEGORIES, VALID_CURRENCIES)
@@ -139,7 +140,8 @@ def uniqueness(df: DataFrame, column: str, by: list[str]) -> DataFrame:
 
 
 def run_expectations(df: DataFrame, rules: list[Rule] | None = None,
-                     run_id: str | Column = "run", by: str | list[str] | None = None) -> DataFrame:
+                     run_id: str | Column = "run", by: str | list[str] | None = None,
+                     by_fingerprint: bool = False) -> DataFrame:
     """Evaluate ``rules`` over ``df`` -> one result row per rule (per group).
 
     ``by`` evaluates the suite per group (e.g. per ``event_date``) in the same
@@ -147,7 +149,9 @@ def run_expectations(df: DataFrame, rules: list[Rule] | None = None,
     Each row also carries ``passed_records`` (rows with dq_passed = true in the
     run) when the input has a ``dq_passed`` column, for the run log.  Without
     ``by`` there is one run over everything, also over an empty table: its
-    rules are evaluated on no rows (a mean of nothing fails).
+    rules are evaluated on no rows (a mean of nothing fails).  ``by_fingerprint``
+    finds repeated keys without shuffling the others (``uniqueness``; two more
+    passes over the key, worth it for a stored table of many rows).
     """
     rules = list(SUITE if rules is None else rules)
     keys = [by] if isinstance(by, str) else list(by or [])
@@ -163,7 +167,7 @@ def run_expectations(df: DataFrame, rules: list[Rule] | None = None,
     if uniq_cols:
         # Both sides hold one row per group: stack them and fold with max
         # (a tiny aggregate, no join).
-        u = uniqueness(df, uniq_cols[0], keys)
+        u = (uniqueness_by_fingerprint if by_fingerprint else uniqueness)(df, uniq_cols[0], keys)
         vals = [c for c in main.columns if c not in keys] + \
                [c for c in u.columns if c not in keys]
         main = (main.unionByName(u, allowMissingColumns=True)

@@ -413,3 +413,9 @@ ORACLE["stream_deduped"] = WIRE_ROUNDTRIP
 ORACLE["shap_audit"] = f"SELECT count(*) AS rows, 0::BIGINT AS wrong_sums, 1::BIGINT AS baselines FROM ({TX}) tx"
 
 ORACLE["anomaly_index"] = f"SELECT count(*) - count(*) AS unequal_rows FROM ({TX}) tx"
+
+SILVER_AGAIN = f"""
+SELECT * FROM ({SILVER}) s UNION ALL SELECT * FROM ({SILVER}) t WHERE event_hour = 3
+UNION ALL SELECT * FROM ({SILVER}) u WHERE event_hour = 3 AND is_online"""
+ORACLE["duplicate_expectations"] = suite_sql(_SUITE, SILVER_AGAIN)
+ORACLE["duplicate_expectations_daily"] = suite_sql(_SUITE, SILVER_AGAIN, "event_date", "concat('run_', CAST(event_date AS VARCHAR))")

@@ -72,6 +72,12 @@ def _daily_results(silver: DataFrame) -> DataFrame:
     return EX.run_expectations(silver, by="event_date", run_id=run_id)
 
 
+def _delivered_again(silver: DataFrame) -> DataFrame:
+    """Silver with real duplicates: an hour of every day twice, parts of it three times."""
+    hour = silver.filter("event_hour = 3")
+    return silver.unionByName(hour).unionByName(hour.filter("is_online"))
+
+
 def _decoded(spark: SparkSession, d: str, defects: bool = True) -> DataFrame:
     return W.decode(envelope_from_events(read_table(spark, d, "events"), defects), REGISTRY_V1)
 
@@ -363,6 +369,10 @@ QUERIES: dict[str, Query] = {
         ME.batch_metrics(silver_df(spark, d), by=["event_date", "event_hour"]), include_summary=True),
     "expectation_results": lambda spark, d: EX.run_expectations(silver_df(spark, d)),
     "expectation_results_daily": lambda spark, d: _daily_results(silver_df(spark, d)),
+    "duplicate_expectations": lambda spark, d: EX.run_expectations(_delivered_again(silver_df(spark, d)), by_fingerprint=True),
+    "duplicate_expectations_daily": lambda spark, d: EX.run_expectations(
+        _delivered_again(silver_df(spark, d)), by="event_date",
+        run_id=F.concat(F.lit("run_"), F.col("event_date").cast("string")), by_fingerprint=True),
     "contract_results": lambda spark, d: EX.run_expectations(silver_df(spark, d), EX.CONTRACT),
     "expectation_summary": lambda spark, d: EX.summarise(
         EX.run_expectations(silver_df(spark, d)), batch_id="full_table"),
