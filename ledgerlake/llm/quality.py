@@ -193,27 +193,35 @@ def corpus_vectors(docs: DataFrame) -> np.ndarray:
     return _scaled(total, index)
 
 
+def both_classes(labels: np.ndarray) -> bool:
+    return len(labels) > 1 and labels.min() != labels.max()
+
+
 def train(texts: pa.Array, labels: np.ndarray) -> Model | None:
     """Fit the word vectors of these texts, the network and its temperature; None
     if a class is missing."""
-    if len(labels) < 2 or labels.min() == labels.max():
+    if not both_classes(labels):
         return None
-    return network(texts, labels, word_vectors(*keys_of(texts), index_vectors()))
+    vectors = word_vectors(*keys_of(texts), index_vectors())
+    return network(pooled(texts, vectors), labels, vectors)
 
 
-def network(texts: pa.Array, labels: np.ndarray, vectors: np.ndarray, seed: int = 7) -> Model:
-    """Fit the network over these word vectors, and its temperature."""
+def pooled(texts: pa.Array, vectors: np.ndarray) -> np.ndarray:
+    """(texts, DIMS + 3) features: mean word vectors and ``extras``."""
     index = index_vectors()
     words, shapes, first = keys_of(texts)
     n = np.maximum(np.diff(first), 1)[:, None].astype(np.float32)
-    pooled = np.zeros((len(labels), DIMS), np.float32)
-    more, step = [], 100
-    for at in range(0, len(labels), step):
+    sums, more, step = np.zeros((len(n), DIMS), np.float32), [np.zeros((0, 3), np.float32)], 100
+    for at in range(0, len(n), step):
         part = first[at:at + step + 1]
         for keys in (words, shapes):
-            pooled[at:at + step] += _sums(vectors[keys[part[0]:part[-1]]], part - part[0])
+            sums[at:at + step] += _sums(vectors[keys[part[0]:part[-1]]], part - part[0])
         more.append(extras(words[part[0]:part[-1]], part - part[0], index))
-    x = np.concatenate([pooled / n, np.concatenate(more)], axis=1)
+    return np.concatenate([sums / n, np.concatenate(more)], axis=1)
+
+
+def network(x: np.ndarray, labels: np.ndarray, vectors: np.ndarray, seed: int = 7) -> Model:
+    """Fit the network over these features, and its temperature."""
     rng = np.random.default_rng(seed)
     held = rng.random(len(labels)) < 0.2
     if held.all() or not held.any() or labels[~held].min() == labels[~held].max():
@@ -248,28 +256,47 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 5 == 0, F.lit(False))
 
 
-def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
-    """Word vectors from all documents; the network from the bounded sample of
-    labelled rows that are not held out."""
+def sample_ids(docs: DataFrame, labels: DataFrame) -> tuple[list[int], np.ndarray]:
+    """(ids, labels) of the bounded sample: labelled rows that are not held out, of all
+    lengths, in the order of a hash of their id, up to the bounds."""
     known = (labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
              .groupBy("doc_id").agg(F.max("quality").alias("quality")))
     # ids first: the sort then moves ids, not texts; the sample is a bounded broadcast
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_ROWS)
-    sizes = (docs.select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).alias("size"))
-             .join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.max("size").alias("size"))
-             .where(F.col("size") <= SAMPLE_BYTES).orderBy(F.xxhash64("doc_id"), "doc_id").collect())
-    # rows of all lengths in the order of the hash, up to the bound
-    fit_in = int(np.searchsorted(np.cumsum([r["size"] for r in sizes]), SAMPLE_BYTES, "right")) if sizes else 0
-    taken = docs.sparkSession.createDataFrame([(r.doc_id,) for r in sizes[:fit_in]], known.select("doc_id").schema)
-    sample = (docs.select("doc_id", "text").join(F.broadcast(chosen.join(F.broadcast(taken), "doc_id")), "doc_id")
-              .groupBy("doc_id").agg(F.max("text").alias("text"), F.max("quality").alias("quality"))
-              .orderBy(F.xxhash64("doc_id"), "doc_id").toArrow().combine_chunks())
-    texts = sample.column("text").combine_chunks() if sample.num_rows else pa.array([], pa.string())
-    if isinstance(texts, pa.ChunkedArray):
-        texts = pa.concat_arrays(texts.chunks)
-    quality = sample.column("quality").to_numpy().astype(np.int64)
-    # without both classes there is nothing to train, and no pass over the documents
-    return train(texts, quality) and network(texts, quality, corpus_vectors(docs))
+    rows = (docs.select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).alias("size"))
+            .join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.max("size").alias("size"), F.max("quality").alias("quality"))
+            .where(F.col("size") <= SAMPLE_BYTES).orderBy(F.xxhash64("doc_id"), "doc_id").collect())
+    fit_in = int(np.searchsorted(np.cumsum([r["size"] for r in rows]), SAMPLE_BYTES, "right")) if rows else 0
+    return [r.doc_id for r in rows[:fit_in]], np.array([r.quality for r in rows[:fit_in]], np.int64)
+
+
+def sample_features(docs: DataFrame, ids: list[int], vectors: np.ndarray) -> np.ndarray:
+    """Features of the sample's rows (an id with several texts: its largest), in the
+    order of ``ids``.  Texts stay in the tasks; the driver gets DIMS + 3 numbers a row."""
+    spark = docs.sparkSession
+    taken = spark.createDataFrame([(i,) for i in ids], T.StructType([docs.schema["doc_id"]]))
+    sent = spark.sparkContext.broadcast(vectors)  # fixed size, 9 MB
+
+    def pool(batches):
+        for b in slices(batches, "text"):
+            x = pooled(b.column(1), sent.value)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(list(x), pa.list_(pa.float32()))], names=["doc_id", "x"])
+
+    sample = (docs.select("doc_id", "text").join(F.broadcast(taken), "doc_id").groupBy("doc_id").agg(F.max("text").alias("text"))
+              .mapInArrow(pool, T.StructType([docs.schema["doc_id"], T.StructField("x", T.ArrayType(T.FloatType()))])))
+    found = {r.doc_id: r.x for r in sample.collect()}
+    sent.unpersist()
+    return np.array([found[i] for i in ids], np.float32)
+
+
+def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
+    """Word vectors from all documents; the network from the bounded sample of
+    labelled rows that are not held out."""
+    ids, quality = sample_ids(docs, labels)
+    if not both_classes(quality):                 # nothing to train, and no pass over the documents
+        return None
+    vectors = corpus_vectors(docs)
+    return network(sample_features(docs, ids, vectors), quality, vectors)
 
 
 def score(docs: DataFrame, model: Model | None) -> DataFrame:

@@ -62,16 +62,18 @@ def test_defined_results(spark):
 
 def test_sample_is_bounded_and_skips_held_out_rows(spark, monkeypatch):
     monkeypatch.setattr(Q, "SAMPLE_ROWS", 20)
-    seen = {}
-    monkeypatch.setattr(Q, "train", lambda texts, y: seen.update(texts=texts.to_pylist(), y=list(y)))
     ids = list(range(100))
     docs = spark.createDataFrame([(i, f"t{i}" + "z" * (30_000 if i == 3 else 0)) for i in ids], "doc_id long, text string")
     labels = spark.createDataFrame([(i, i % 2, 0) for i in ids] + [(7, 0, 0)], "doc_id long, quality int, toxic int")
-    assert Q.fit(docs, labels) is None
-    assert 15 <= len(seen["texts"]) <= 20
-    for t, y in zip(seen["texts"], seen["y"]):
-        i = int(t[1:])
+    taken, quality = Q.sample_ids(docs, labels)
+    assert 15 <= len(taken) <= 20 and len(taken) == len(quality)
+    for i, y in zip(taken, quality):
         assert zlib.crc32(str(i).encode()) % 5 and y == (1 if i == 7 else i % 2)
+    # pooled in the tasks as on the driver
+    vectors = np.random.default_rng(1).random((Q.WORD_KEYS + Q.SHAPE_KEYS, Q.DIMS)).astype(np.float32)
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    want = Q.pooled(pa.array([texts[i] for i in taken]), vectors)
+    assert np.allclose(Q.sample_features(docs, taken, vectors), want, atol=1e-5)
 
 
 def test_word_vectors_cover_all_documents_and_all_lengths(spark, monkeypatch):
@@ -82,10 +84,11 @@ def test_word_vectors_cover_all_documents_and_all_lengths(spark, monkeypatch):
                                    "doc_id long, quality int, toxic int")
     want = Q.word_vectors(*Q.keys_of(pa.array([t for _, t in rows], pa.string())), Q.index_vectors())
     monkeypatch.setattr(Q, "held_out", lambda c: Q.F.lit(False))
-    seen, network = [], Q.network
-    monkeypatch.setattr(Q, "network", lambda texts, *a: seen.append(texts.to_pylist()) or network(texts, *a))
+    seen, features = [], Q.sample_features
+    monkeypatch.setattr(Q, "sample_features", lambda docs, ids, v: seen.append(ids) or features(docs, ids, v))
     assert np.allclose(Q.fit(docs, labels).vectors, want, atol=1e-6)
-    assert rows[-1][1] in seen[-1] and len(seen[-1]) == 41      # long rows are learnt from
+    assert 101 in seen[-1] and len(seen[-1]) == 41              # long rows are learnt from
     monkeypatch.setattr(Q, "SAMPLE_BYTES", 1000)
     Q.fit(docs, labels)
-    assert 15 <= len(seen[-1]) <= 21 and sum(len(t or "") for t in seen[-1]) <= 1000
+    size = {i: len(t or "") for i, t in rows}
+    assert 15 <= len(seen[-1]) <= 21 and sum(size[i] for i in seen[-1]) <= 1000
