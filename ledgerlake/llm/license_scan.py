@@ -1,4 +1,4 @@
-"""License scans by sentence rules, with DataFrame functions only.
+"""License scans by sentence rules.
 
 A text is cut into sentences at full stops, semicolons and blank lines; a
 sentence may be wrapped over lines, with comment leaders (any signs but letters
@@ -9,7 +9,9 @@ those that begin at a line the longest counts, and none that begins inside
 another.  The identifiers of a document, in order, are then matched with the
 license rules in theirs: a rule names identifiers that must follow each other,
 other known sentences may stand between.  A rule that matches uses its
-sentences up, so the rules that come first, the more specific ones, win.
+sentences up, so the rules that come first, the more specific ones, win.  Sentences
+are found with DataFrame functions; a document's identifiers meet the rules in one
+pass for each rule, inside Arrow batches.
 
 Defined results: nulls, empty texts and texts without a known sentence give no
 row; known sentences that no rule uses are listed under ``rest``; repeated rows
@@ -20,8 +22,12 @@ read.
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Sequence
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Sentences of public licenses and notices.
 SENTENCES = {
@@ -51,20 +57,38 @@ SENTENCES = {
     "ccbysa-line": "Licensed under CC BY-SA 4.0",
     "cc0-line": "To the extent possible under law, the author has waived all copyright and related or neighboring rights to "
                 "this work",
-    "spdx-mit": "SPDX-License-Identifier: MIT",
-    "spdx-apache": "SPDX-License-Identifier: Apache-2.0",
+    "bsd-redistribution": "Redistribution and use in source and binary forms, with or without modification, are permitted "
+                          "provided that the following conditions are met:",
+    "bsd-source": "Redistributions of source code must retain the above copyright notice, this list of conditions and the "
+                  "following disclaimer",
+    "bsd-binary": "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the "
+                  "following disclaimer in the documentation and/or other materials provided with the distribution",
+    "bsd-names": "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+                 "products derived from this software without specific prior written permission",
+    "mpl2-form": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0",
+    "lgpl-free": "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser "
+                 "General Public License as published by the Free Software Foundation; either version 2.1 of the License, or "
+                 "(at your option) any later version",
+    "agpl-free": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero "
+                 "General Public License as published by the Free Software Foundation, either version 3 of the License, or (at "
+                 "your option) any later version",
+    "unlicense-free": "This is free and unencumbered software released into the public domain",
     "reserved": "All rights reserved",
 }
+# Identifiers of the public license list.
+SPDX = ("0BSD", "AGPL-3.0-only", "AGPL-3.0-or-later", "Apache-2.0", "Artistic-2.0", "BSD-2-Clause", "BSD-3-Clause", "BSL-1.0",
+        "CC-BY-4.0", "CC-BY-NC-4.0", "CC-BY-SA-4.0", "CC0-1.0", "EPL-2.0", "EUPL-1.2", "GPL-2.0-only", "GPL-2.0-or-later",
+        "GPL-3.0-only", "GPL-3.0-or-later", "ISC", "LGPL-2.1-only", "LGPL-2.1-or-later", "LGPL-3.0-only", "LGPL-3.0-or-later",
+        "MIT", "MIT-0", "MPL-2.0", "Unlicense", "WTFPL", "Zlib")
+SENTENCES |= {f"spdx-{x.lower()}": f"SPDX-License-Identifier: {x}" for x in SPDX}
 #: (license, identifiers in order), the more specific rules first
 RULES = [
     ("Apache-2.0", ("apache-grant", "apache-only", "apache-asis")),
     ("Apache-2.0", ("apache-grant",)),
     ("Apache-2.0", ("apache-line",)),
-    ("Apache-2.0", ("spdx-apache",)),
     ("MIT", ("mit-grant", "mit-notice")),
     ("MIT", ("mit-line",)),
     ("MIT", ("mit-under",)),
-    ("MIT", ("spdx-mit",)),
     ("ISC", ("isc-grant",)),
     ("GPL-3.0-or-later", ("gpl-free", "gpl-hope")),
     ("GPL-3.0-or-later", ("gpl-free",)),
@@ -73,6 +97,13 @@ RULES = [
     ("CC-BY-SA-4.0", ("ccbysa-line",)),
     ("CC-BY-4.0", ("ccby-line",)),
     ("CC0-1.0", ("cc0-line",)),
+    ("BSD-3-Clause", ("bsd-redistribution", "bsd-source", "bsd-binary", "bsd-names")),
+    ("BSD-2-Clause", ("bsd-redistribution", "bsd-source", "bsd-binary")),
+    ("MPL-2.0", ("mpl2-form",)),
+    ("LGPL-2.1-or-later", ("lgpl-free",)),
+    ("AGPL-3.0-or-later", ("agpl-free",)),
+    ("Unlicense", ("unlicense-free",)),
+    *((x, (f"spdx-{x.lower()}",)) for x in SPDX),
 ]
 #: what stands before the first letter or digit of a line: blanks, comment leaders
 LEADERS = r"(?dm)^[^\p{L}\p{N}\n]+"
@@ -123,20 +154,35 @@ def scan(df: DataFrame, doc_id: str = "doc_id", text: str = "text",
         F.max(F.when(F.col("at") == F.col("line"), F.struct("last", "sentence_id"))).alias("s"),
         F.max(F.col("at") != F.col("line")).alias("inside")).where("s is not null and not inside"))
     found = hits.groupBy("doc_id").agg(F.array_sort(F.collect_set(F.struct("position", "at", "s.sentence_id"))).alias("ids"))
-    line = F.concat(F.lit(" "), F.array_join(F.transform("ids", lambda x: F.concat(x["sentence_id"], F.lit(" "))), ""))
-    out = found.select("doc_id", line.alias("sentences"))
-    steps = F.array(*[F.struct(
-        F.lit(name).alias("license"), F.lit(" " + r" ((?:\S+ )*?)".join(ids) + " ").alias("pattern"),
-        F.lit(" " + "".join(f"${k}" for k in range(1, len(ids)))).alias("left")) for name, ids in rules])
-
-    def apply(state, rule):
-        hit = F.regexp(state["rest"], rule["pattern"])
-        return F.struct(
-            F.when(hit, F.regexp_replace(state["rest"], rule["pattern"], rule["left"])).otherwise(state["rest"]).alias("rest"),
-            F.when(hit & ~F.array_contains(state["found"], rule["license"]),
-                   F.array_append(state["found"], rule["license"])).otherwise(state["found"]).alias("found"))
-
-    start = F.struct(F.col("sentences").alias("rest"), F.expr("cast(array() as array<string>)").alias("found"))
-    out = out.withColumn("s", F.aggregate(steps, start, apply))
-    return out.select("doc_id", F.trim("sentences").alias("sentences"), F.array_join("s.found", ",").alias("licenses"),
-                      F.trim("s.rest").alias("rest"))
+    ids = found.select("doc_id", F.transform("ids", lambda x: x["sentence_id"]).alias("ids"))
+    schema = T.StructType([ids.schema["doc_id"], *[T.StructField(c, T.StringType()) for c in ("sentences", "licenses", "rest")]])
+    rules = [(name, tuple(steps)) for name, steps in rules]
+
+    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = [(" ".join(i), ",".join(found), " ".join(rest))
+                   for i in b.column(1).to_pylist() for found, rest in (matched(i, rules),)]
+            columns = list(zip(*out)) or [(), (), ()]
+            yield pa.RecordBatch.from_arrays([b.column(0), *[pa.array(c, pa.string()) for c in columns]], names=schema.names)
+
+    return ids.mapInArrow(apply, schema)
+
+
+def matched(ids: Sequence[str], rules) -> tuple[list[str], list[str]]:
+    """(licenses, identifiers left over): each rule takes its identifiers in
+    order, from the left and as often as they are there."""
+    found, rest = [], list(ids)
+    for name, steps in rules:
+        used, taken = [], []
+        for at, sentence in enumerate(rest):
+            if sentence == steps[len(taken)]:
+                taken.append(at)
+                if len(taken) == len(steps):
+                    used += taken
+                    taken = []
+        if used:
+            gone = set(used)
+            rest = [x for at, x in enumerate(rest) if at not in gone]
+            if name not in found:
+                found.append(name)
+    return found, rest

@@ -56,6 +56,7 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
     return license_scan.scan(read_table(spark, sf_dir, "documents"))
 
 
