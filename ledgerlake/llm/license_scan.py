@@ -170,7 +170,8 @@ def scan(df: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
 def matched(ids: Sequence[str], rules) -> tuple[list[str], list[str]]:
     """(licenses, identifiers left over): each rule takes its identifiers in
-    order, from the left and as often as they are there."""
+    order, from the left and as often as they are there (its matches do not
+    interleave: the next one begins behind the last)."""
     found, rest = [], list(ids)
     for name, steps in rules:
         used, taken = [], []

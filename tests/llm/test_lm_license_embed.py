@@ -186,3 +186,41 @@ def test_forest_spans_the_links():
     a, b = np.array([5, 7, 9, 1]), np.array([7, 9, 5, 2])
     ids, roots = E._roots(a, b)
     assert {*zip(ids.tolist(), roots.tolist())} == {(7, 5), (9, 5), (2, 1)}
+
+
+def test_rules_take_their_sentences_in_order_from_the_left():
+    def brute(ids, rules):
+        """Matches of a rule do not interleave: the next one begins behind the last."""
+        found, rest = [], list(ids)
+        for name, steps in rules:
+            gone, begin = set(), 0
+            while True:
+                at, taken = begin, []
+                for step in steps:
+                    at = next((k for k in range(at, len(rest)) if rest[k] == step), None)
+                    if at is None:
+                        break
+                    taken.append(at)
+                    at += 1
+                if len(taken) < len(steps):
+                    break
+                gone |= set(taken)
+                begin = taken[-1] + 1
+                found += [] if name in found else [name]
+            rest = [x for k, x in enumerate(rest) if k not in gone]
+        return found, rest
+
+    r = random.Random(7)
+    rules = [("X", ("a", "b", "c")), ("Y", ("a", "a")), ("X", ("a",)), ("Z", ("b", "d")), ("W", ("d",))]
+    for _ in range(2000):
+        ids = [r.choice("abcde") for _ in range(r.randrange(9))]
+        assert L.matched(ids, rules) == brute(ids, rules), ids
+
+
+def test_a_text_of_very_many_sentences_returns(spark):
+    n = 10_000
+    text = "Released under the MIT License. Something else. " * n + "All rights reserved."
+    row = L.scan(spark.createDataFrame([(1, text), (2, "SPDX-License-Identifier: MPL-2.0\n"), (3, None)], "doc_id long, text string")).collect()
+    got = {r.doc_id: r for r in row}
+    assert set(got) == {1, 2} and got[2].licenses == "MPL-2.0"
+    assert got[1].licenses == "MIT" and got[1].rest == "reserved" and got[1].sentences.count("mit-line") == n
