@@ -1,4 +1,4 @@
-"""Audit every registered query's physical plan (printed as a markdown table).
+"""Audit the core queries' physical plans (printed as a markdown table).
 
 Flags cartesian / nested-loop joins and row-at-a-time Python UDFs, lists the
 Arrow-batched Python stages and counts exchanges.
@@ -24,11 +24,11 @@ def main():
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.001"
     spark = build_session("local[8]", shuffle_partitions=8)
     spark.sparkContext.setLogLevel("ERROR")
-    import __spark_entry__ as E
-    print(f"\n## Plan audit of every registered query ({sf_dir})\n")
+    from ledgerlake.plans.registry import QUERIES
+    print(f"\n## Plan audit of the core queries ({sf_dir})\n")
     print("| query | exchanges | cartesian / nested-loop / row UDF | Arrow-batched Python |")
     print("|---|---|---|---|")
-    for name, fn in E.queries().items():
+    for name, fn in QUERIES.items():
         plan = fn(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
         bad = [b for b in BAD if b in plan] or ["none"]
         py = [p for p in PY if p in plan] or ["-"]

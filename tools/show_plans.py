@@ -45,7 +45,7 @@ def main():
     shown = [
         ("Gold summary over stored silver, one week (pruning + push-down)",
          G.gold_summary(silver.filter(F.col("event_date") >= F.lit("2024-01-24").cast("date")))),
-        ("Expectation suite over stored silver (one aggregate + uniqueness)",
+        ("Expectation suite over stored silver (one aggregate + uniqueness by grouped count)",
          EX.run_expectations(silver)),
         ("Silver from the given events table (one narrow projection)",
          R.silver_df(spark, sf_dir)),
@@ -53,7 +53,7 @@ def main():
          VE.velocity(R._tx(spark, sf_dir))),
         ("CDC latest state (combinable max(struct) aggregate)",
          CD.state_at(valid, ORDER_KEY)),
-        ("CDC merge of a change batch into a stored table (broadcast touched keys)",
+        ("CDC merge of a change batch into a stored table (split by the touched keys)",
          CD.apply_changes(table, CD.changes_since(valid, 2 * PHASE_STRIDE - 1), ORDER_KEY)),
     ]
     out = ["# Physical plans of headline operators",
