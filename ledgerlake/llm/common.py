@@ -5,6 +5,7 @@ components over a table of links.
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Iterator
 
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 from ledgerlake.session import checkpoint_dir
 
 #: bytes of text that one vectorised step works on; bounds a task's memory
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 19
 
 
 # ---- work tables ------------------------------------------------------------
@@ -45,6 +46,18 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: rows of one Arrow batch where whole texts go to Python; a batch is held on both sides
+BATCH_ROWS = 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Smaller Arrow batches for this session, unless its own are smaller still:
+    10,000 texts at once take tens of MB in the JVM and again in each worker."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name, "10000")) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 # ---- words and their hashes -------------------------------------------------
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -154,6 +167,17 @@ def slices(batches: Iterator[pa.RecordBatch], text: str, most: int = BLOCK_BYTES
             to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + most, "right")) - 1)
             yield batch.slice(at, to - at)
             at = to
+    give_back()
+
+
+def give_back() -> None:
+    """Hands freed memory back to the system at the end of a task: Python workers
+    live on through the stages of a job, and with them what they once took."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):               # a C library without it
+        pass
 
 
 # ---- connected components ---------------------------------------------------

@@ -38,6 +38,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerlake.llm.common import Words, components, drop_stored, mix, slices, stored
 
@@ -171,28 +172,68 @@ def _small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_IDS else df
 
 
-def _sets(docs: DataFrame, ids: DataFrame, repeated: bool) -> DataFrame:
-    """(id, set) of the documents named in ``ids``."""
+#: pairs that one task verifies at once, partners of one row, and tasks of one row
+GROUP_PAIRS, ROW_PARTNERS, ROW_GROUPS = 512, 256, 1024
 
-    def run(batches):
-        for b in slices(batches, "text"):
-            sets = shingle_sets(b.column(1))
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array([_print(s) for s in sets], pa.binary()),
-                 pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], names=["id", "fp", "set"])
 
-    found = docs.join(_small(ids.distinct()), "id", "left_semi").mapInArrow(run, "id long, fp binary, set array<long>")
-    return found.groupBy("id", "fp").agg(F.first("set").alias("set")) if repeated else found
+def verify(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The distinct pairs (a, b) whose sets reach the similarity.
+
+    Pairs are dealt to groups by a.  A set travels once to each group that needs it,
+    however many of the group's pairs it is in, so the leader of thousands of copies
+    is sent some dozen times; a document with many partners is dealt to many groups.
+    An id with several texts has several sets, any of which may link it."""
+    total = pairs.count()
+    groups = max(1, -(-total // GROUP_PAIRS))
+    shares = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / ROW_PARTNERS).alias("shares"))
+    asked = (pairs.join(shares, "a").groupBy("a", F.pmod(F.xxhash64("b"), F.col("shares")).alias("share"))
+             .agg(F.collect_list("b").alias("partners"))
+             .withColumn("grp", F.pmod(F.xxhash64("a", "share"), F.lit(groups)))).checkpoint()
+    wanted = (asked.select("grp", F.explode("partners").alias("b")).distinct()
+              .groupBy("b", F.floor(F.col("grp") / ROW_GROUPS).alias("share")).agg(F.collect_list("grp").alias("grps")))
+    small = total <= BROADCAST_IDS                     # at most 16 bytes a pair in either table
+    asked, wanted = (F.broadcast(asked), F.broadcast(wanted)) if small else (asked, wanted)
 
+    def left(batches):
+        for b in slices(batches, "text"):
+            yield pa.RecordBatch.from_arrays(
+                [b.column(2), b.column(0), pa.array([s.view(np.int64) for s in shingle_sets(b.column(1))], pa.list_(pa.int64())),
+                 b.column(3)], names=["grp", "id", "set", "partners"])
 
-def verify(docs: DataFrame, pairs: DataFrame, repeated: bool) -> DataFrame:
-    """The distinct pairs (a, b) whose sets reach the similarity."""
-    left = _sets(docs, pairs.select(F.col("a").alias("id")), repeated)
-    right = _sets(docs, pairs.select(F.col("b").alias("id")), repeated)
-    both = F.size(F.array_intersect("sa", "sb"))
-    return (pairs.join(right.select(F.col("id").alias("b"), F.col("set").alias("sb")), "b")
-            .join(left.select(F.col("id").alias("a"), F.col("set").alias("sa")), "a")
-            .where(DEN * both >= NUM * (F.size("sa") + F.size("sb") - both)).select("a", "b").distinct().checkpoint())
+    def right(batches):
+        for b in slices(batches, "text"):
+            sets = [s.view(np.int64) for s in shingle_sets(b.column(1))]
+            for i, s, grps in zip(b.column(0).to_pylist(), sets, b.column(2).to_pylist()):
+                for at in range(0, len(grps), 64):
+                    some = grps[at:at + 64]
+                    yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array([i] * len(some), pa.int64()),
+                                                      pa.array([s] * len(some), pa.list_(pa.int64()))], names=["grp", "id", "set"])
+
+    def links(key, ours: pa.Table, theirs: pa.Table) -> pa.Table:
+        sets: dict = {}
+        for i, s in zip(theirs["id"].to_pylist(), theirs["set"]):
+            sets.setdefault(i, []).append(s.values.to_numpy().view(np.uint64))
+        found = []
+        for i, s, partners in zip(ours["id"].to_pylist(), ours["set"], ours["partners"].to_pylist()):
+            mine = s.values.to_numpy().view(np.uint64)
+            for other in partners:
+                for their in sets.get(other, ()):
+                    few, many = (mine, their) if len(mine) <= len(their) else (their, mine)
+                    if not len(few) or DEN * len(few) < NUM * len(many):
+                        continue
+                    at = np.minimum(np.searchsorted(many, few), len(many) - 1)
+                    both = int((many[at] == few).sum())
+                    if DEN * both >= NUM * (len(few) + len(many) - both):
+                        found.append((i, other))
+                        break
+        a, b = zip(*found) if found else ((), ())
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    ours = (docs.join(asked, docs["id"] == asked["a"]).select(docs["id"], docs["text"], "grp", "partners")
+            .mapInArrow(left, "grp long, id long, set array<long>, partners array<long>"))
+    theirs = (docs.join(wanted, docs["id"] == wanted["b"]).select(docs["id"], docs["text"], "grps")
+              .mapInArrow(right, "grp long, id long, set array<long>"))
+    return (ours.groupBy("grp").cogroup(theirs.groupBy("grp")).applyInArrow(links, "a long, b long").distinct().checkpoint())
 
 
 #: queries that meet a piece in one task
@@ -261,7 +302,7 @@ def jaccard_classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     pairs = (banded.join(leaders, "band").where("id <> l.id")
              .where(_fits(F.least("n", "l.n"), F.greatest("n", "l.n")))
              .select(F.col("id").alias("a"), F.col("l.id").alias("b")).distinct().checkpoint())
-    first = verify(named, pairs, repeated)
+    first = verify(named, pairs)
 
     # groups and their pieces
     found = components(first)
@@ -305,7 +346,7 @@ def jaccard_classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     tried = (near.groupBy("id", "g", "b").agg(F.count(F.lit(1)).alias("k"))
              .groupBy("id", "g").agg(F.max(F.struct("k", "b")).alias("s"))
              .select(F.col("id").alias("a"), "s.b").where("a <> b").distinct().checkpoint())
-    links = first.union(verify(named, tried, repeated)).checkpoint()
+    links = first.union(verify(named, tried)).checkpoint()
     united = components(links)
     own, other = united.select("id", F.col("component").alias("c")), \
         united.select(F.col("id").alias("g"), F.col("component").alias("d"))
@@ -319,7 +360,7 @@ def jaccard_classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -
         F.count(F.lit(1)).alias("shared"), F.min("left").alias("left"), F.min("after").alias("after"))
         .where((NUM + DEN) * bound >= NUM * (F.col("n") + F.col("m"))).where("id <> b").select("id", "b"))
     pairs = (alone.union(opened(open_, heads)).select(F.col("id").alias("a"), "b").distinct().checkpoint())
-    second = verify(named, pairs, repeated)
+    second = verify(named, pairs)
 
     tops = components(links.union(second))
     best = reps.select("n", "fp", F.col("id").alias("rep")).join(tops, F.col("rep") == F.col("id"), "left").select(
@@ -332,16 +373,39 @@ def jaccard_classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     return out
 
 
+def row_names(df: DataFrame, name: str = "_row") -> DataFrame:
+    """``df`` with a 64-bit name that only rows which are equal in every column
+    share.  Names are hashes of all columns and of which of them are null; where
+    rows of different digests meet in a name (by chance, from some 10^9 rows on), those
+    rows are named anew, until no two meet."""
+    columns = [F.col(f"`{c}`") for c in df.columns]
+    parts = [p for c in columns for p in (c, c.isNull())]
+    plain = [F.coalesce(F.concat(F.octet_length(t).cast("string"), F.lit(":"), t), F.lit("-"))
+             for t in (F.to_json(F.struct(c)) if isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType)) else c.cast("string")
+                       for c, f in zip(columns, df.schema.fields))]
+    digest = F.sha2(F.concat(*plain), 256)
+    named = df.withColumn(name, F.xxhash64(*parts))
+    for salt in range(1, 20):
+        seen = named.select(name, digest.alias("d")).groupBy(name).agg(F.min("d").alias("a"), F.max("d").alias("b"))
+        clash = seen.where("a <> b").select(F.col(name).alias("_clash")).checkpoint()
+        if not clash.head(1):
+            return named
+        named = (named.join(clash, F.col(name) == F.col("_clash"), "left")
+                 .withColumn(name, F.when(F.col("_clash").isNull(), F.col(name)).otherwise(F.xxhash64(F.lit(salt), digest)))
+                 .drop("_clash"))
+    raise RuntimeError("rows could not be told apart by 64-bit names")
+
+
 def one_of_each(df: DataFrame) -> DataFrame:
     """The rows with all their columns, one of each group of copies: the one of
     the smallest id (null ids last).
 
-    Rows are named by a 64-bit hash of all their columns, not by id: rows of one
+    Rows are named by their columns (``row_names``), not by id: rows of one
     id with different texts are documents of their own, and rows with a null id
     link like others.  Rows without words link with nothing and stay; rows that
     are equal in every column are one document, whatever their text."""
     columns = df.columns
-    named = df.withColumn("_row", F.xxhash64(*[F.col(f"`{c}`") for c in columns]))
+    named = row_names(df)
     found = jaccard_classes(named, "_row")
     rows = named.groupBy("_row").agg(F.min("doc_id").alias("id"), F.count(F.lit(1)).alias("times"))
     # aggregated, not ranked: a large group is combined before the shuffle

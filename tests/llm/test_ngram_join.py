@@ -125,3 +125,23 @@ def test_one_of_each_keeps_one_row_of_each_group(spark):
     assert sorted((r for r in got if r[1] is None or r[1] in ("", "one more text of its own")), key=repr) == sorted(rows[-4:], key=repr)
     assert len(got) == 7 and {*got} <= {*rows}
     assert J.one_of_each(df.limit(0)).count() == 0
+
+
+def test_rows_are_named_null_safely_and_names_never_collide(spark, monkeypatch):
+    text = "alpha beta gamma delta epsilon zeta eta theta iota kappa"
+    rows = [(5, None, text), (5, text, None), (5, text, text), (5, None, text), (None, None, None), (6, "", ""), (6, None, ""), (6, "", None)]
+    df = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    names = J.row_names(df).collect()
+    assert len({r._row for r in names}) == len({(r.doc_id, r.lang, r.text) for r in names}) == 7
+    # the two rows with the text are one group; rows without one stay, each by itself
+    kept = sorted(map(tuple, J.one_of_each(df).collect()), key=str)
+    assert sum(r[2] == text for r in kept) == 1 and len(kept) == 6 and (5, text, None) in kept
+    # names that clash by chance are made anew
+    real, calls = J.F.xxhash64, []
+
+    def poor(*cols):
+        calls.append(1)
+        return J.F.lit(7).cast("long") if len(calls) == 1 else real(*cols)
+    monkeypatch.setattr(J.F, "xxhash64", poor)
+    again = J.row_names(df).collect()
+    assert len({r._row for r in again}) == 7 and {r._row for r in again if r.lang is None and r.text == text}.__len__() == 1
