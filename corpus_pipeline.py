@@ -18,18 +18,24 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerlake.llm import bpe, decontaminate, ngram_join, pii, quality
-from ledgerlake.llm.common import read_table
+from ledgerlake.llm.common import read_table, small_batches
 from ledgerlake.llm.queries import RANKS
 from ledgerlake.session import checkpoint_dir, ship_package
 
 
-def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def prepare(spark: SparkSession) -> None:
+    """What stages with Python workers need: the package, and small batches."""
     ship_package(spark)
+    small_batches(spark)
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    prepare(spark)
     return quality.accepted(docs, read_table(spark, sf_dir, "labels"))
 
 
 def near_copy_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    ship_package(spark)
+    prepare(spark)
     return ngram_join.one_of_each(docs)
 
 
@@ -38,14 +44,14 @@ def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def personal_data_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    ship_package(spark)
+    prepare(spark)
     return pii.masked_documents(docs)
 
 
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with ``ids``, ``n_tokens`` and ``round_trip`` (the decoded ids
     are the text again)."""
-    ship_package(spark)
+    prepare(spark)
     return bpe.checked(docs, bpe.ranks_bytes(RANKS))
 
 
