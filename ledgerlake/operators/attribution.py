@@ -16,9 +16,10 @@ with e_k the sum over the subsets of k other features, the coefficient of t^k in
 product of (zero_j + one_j t): the path's weights, extended feature by feature.
 
 one_f(x) is 0 or 1, so a leaf has 2^M patterns; their values are worked out once
-for each leaf (``leaf_tables``).  A batch of rows then needs, for each tree, the
-pattern of every (row, leaf) pair, from the place of each feature value among the
-tree's thresholds, and a lookup.  No step is a row at a time.
+for each leaf (``leaf_tables``).  The rows of a chunk are then sorted into cells by
+the places of their feature values among a tree's thresholds (``cells``); the sums
+over the leaves are made once for each cell, and a row looks its cell up.  No step is
+a row at a time, nor a (row, leaf) pair.
 
 Credits are minus the Shapley values: positive where a feature makes a row easier to
 isolate.  They add up to ``expected_path - path_length``.
@@ -34,73 +35,44 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerlake.operators import cells as CE
 from ledgerlake.operators import forest as FO
 from ledgerlake.session import spread
 
-#: (row, leaf) pairs looked up at once; bounds a task's memory
+#: pairs of a wide and a narrow cell in one tree's table; bounds a task's memory
 MAX_PAIRS = 400_000
 #: leaves whose tables a task keeps; beyond it a tree's table is made when needed
 KEPT_LEAVES = 50_000
 
 
-class TreeTable:
-    """One tree, ready for lookups."""
-
-    def __init__(self, tree: dict, features: int):
-        leaves, low, high, zero = _leaves(tree, features)
-        self.features, self.leaves = features, len(leaves)
-        self.value = tree["value"][leaves]
-        self.expected = float((self.value * zero.prod(axis=1)).sum())
-        # for each feature: its thresholds, and of every place among them the leaves it agrees with
-        self.cuts, self.agrees = [], []
-        for f in range(features):
-            cuts = np.unique(tree["threshold"][tree["feature"] == f])
-            place = np.arange(len(cuts) + 1)[:, None]
-            ok = (place >= np.searchsorted(cuts, low[:, f], "right")) & (place <= np.searchsorted(cuts, high[:, f], "left"))
-            self.cuts.append(cuts)
-            self.agrees.append((ok << f).astype(np.uint8))
-        self.table = leaf_tables(self.value, zero).reshape(-1, features)
-
-    def patterns(self, X: np.ndarray) -> np.ndarray:
-        """(rows, leaves): bit f is set where the row agrees with the leaf on f."""
-        out = np.zeros((len(X), self.leaves), np.uint8)
-        for f in range(self.features):
-            out |= self.agrees[f][np.searchsorted(self.cuts[f], X[:, f], "right")]
-        return out
-
-    def shapley(self, X: np.ndarray) -> np.ndarray:
-        """(rows, features) Shapley values of the path length."""
-        at = self.patterns(X) + (np.arange(self.leaves) << self.features)
-        return self.table[at].sum(axis=1)
-
-    def path_length(self, X: np.ndarray) -> np.ndarray:
-        everything = (1 << self.features) - 1
-        return (self.patterns(X) == everything) @ self.value
-
-
-def _leaves(tree: dict, features: int):
-    """Of each leaf: its node, the interval [low, high) of every feature, and the
-    features' products of shares."""
-    size, nodes, lows, highs, zeros = tree["size"], [], [], [], []
-    stack = [(0, np.full(features, -np.inf), np.full(features, np.inf), np.ones(features))]
-    while stack:
-        node, low, high, zero = stack.pop()
-        f = tree["feature"][node]
-        if f < 0:
-            nodes.append(node)
-            lows.append(low)
-            highs.append(high)
-            zeros.append(zero)
-            continue
-        for child, left in ((tree["left"][node], True), (tree["right"][node], False)):
-            a, b, z = low.copy(), high.copy(), zero.copy()
-            if left:
-                b[f] = min(b[f], tree["threshold"][node])
-            else:
-                a[f] = max(a[f], tree["threshold"][node])
-            z[f] *= size[child] / size[node]
-            stack.append((child, a, b, z))
-    return np.array(nodes), np.array(lows), np.array(highs), np.array(zeros)
+class TreeTable(CE.TreeCells):
+    """One tree and what it says of every pair of cells."""
+
+    def __init__(self, tree: dict, cuts: list[np.ndarray]):
+        super().__init__(tree, cuts)
+        self.expected = float((self.value * self.zero.prod(axis=1)).sum())
+        # of every leaf and pattern the Shapley values, and the leaf's value where all features agree
+        path = np.zeros((self.leaves, 1 << self.features, 1))
+        path[:, -1, 0] = self.value
+        self.table = np.concatenate([leaf_tables(self.value, self.zero), path], axis=2)
+
+    def add(self, chunk: CE.Chunk, out: np.ndarray) -> None:
+        """Add every row's Shapley values and path length to ``out``.
+
+        The value of a pair of cells is the sum over the leaves of the entry at the
+        leaf's pattern: the wide cell picks one of a few patterns for each leaf, the
+        narrow cell the entries for each of them, so all pairs are one matrix product."""
+        wide, narrow, a, b = self.cells(chunk)
+        if len(wide) * len(narrow) > MAX_PAIRS and chunk.rows > 1:
+            for part, half in chunk.halves():
+                self.add(half, out[part])
+            return
+        n = 1 << len(CE.WIDE)
+        by_wide = self.table.reshape(self.leaves, -1, n, self.features + 1)
+        entries = by_wide[np.arange(self.leaves), narrow].transpose(2, 1, 0, 3).reshape(n * self.leaves, -1)
+        picked = (wide[:, None, :] == np.arange(n)[:, None]).reshape(len(wide), -1).astype(float)
+        pairs = (picked @ entries).reshape(-1, self.features + 1)
+        out += pairs[a * len(narrow) + b]
 
 
 def leaf_tables(value: np.ndarray, zero: np.ndarray) -> np.ndarray:
@@ -125,32 +97,23 @@ class Forest:
     """All trees of a loaded model (``forest.load_model``)."""
 
     def __init__(self, model: dict, features: int = len(FO.FEATURES)):
-        ends = [*model["offsets"][1:], len(model["feature"])]
-        self.trees = [self._tree(model, a, b) for a, b in zip(model["offsets"], ends)]
+        self.trees, self.cuts = CE.split_trees(model), CE.thresholds(model, features)
         self.features = features
         leaves = int((model["feature"] < 0).sum())
-        self.kept = [TreeTable(t, features) for t in self.trees] if leaves <= KEPT_LEAVES else None
-
-    @staticmethod
-    def _tree(model: dict, a: int, b: int) -> dict:
-        tree = {k: model[k][a:b] for k in ("feature", "threshold", "left", "right", "value", "size")}
-        return tree | {k: tree[k] - a for k in ("left", "right")}
+        self.kept = [TreeTable(t, self.cuts) for t in self.trees] if leaves <= KEPT_LEAVES else None
 
     def tables(self):
-        return self.kept if self.kept is not None else (TreeTable(t, self.features) for t in self.trees)
+        return self.kept if self.kept is not None else (TreeTable(t, self.cuts) for t in self.trees)
 
     def credits(self, X: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
         """(credits, path lengths, expected path length), means over the trees."""
-        shap, path, expected, trees = np.zeros((len(X), self.features)), np.zeros(len(X)), 0.0, 0
+        out, expected, chunk = np.zeros((len(X), self.features + 1)), 0.0, CE.Chunk(self.cuts, X)
         for tree in self.tables():
-            step = max(1, MAX_PAIRS // tree.leaves)
-            for at in range(0, len(X), step):
-                rows = X[at:at + step]
-                shap[at:at + step] += tree.shapley(rows)
-                path[at:at + step] += tree.path_length(rows)
+            if len(X):
+                tree.add(chunk, out)
             expected += tree.expected
-            trees += 1
-        return -shap / trees, path / trees, expected / trees
+        out /= len(self.trees)
+        return -out[:, :-1], out[:, -1], expected / len(self.trees)
 
 
 def shap(tx: DataFrame, nodes: DataFrame | dict) -> DataFrame:
@@ -165,19 +128,18 @@ def shap(tx: DataFrame, nodes: DataFrame | dict) -> DataFrame:
     new += [T.StructField("shap_credits", T.ArrayType(T.DoubleType()))]
     new += [T.StructField(f"top_feature_{k}", T.StringType()) for k in (1, 2, 3)]
     keep = [c for c in staged.columns if c not in columns and c not in {f.name for f in new}]
-    names = np.array(FO.FEATURES, dtype=object)
+    names = pa.array(FO.FEATURES)
 
     def run(batches):
         forest = Forest(sent.value)
-        for b in batches:
-            X = FO.feature_matrix(b, columns)
-            credits, path, expected = forest.credits(X)
-            top = np.argsort(-credits, axis=1, kind="stable")[:, :3]
-            made = [np.power(2.0, -path / sent.value["c_psi"]), path, np.full(len(X), expected), credits.tolist(),
-                    *(names[top[:, k]].tolist() for k in range(3))]
-            arrays = [pa.array(v, type=pa.list_(pa.float64()) if f.name == "shap_credits" else pa.string() if "top" in f.name else pa.float64())
-                      for v, f in zip(made, new)]
-            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), *arrays], names=[*keep, *(f.name for f in new)])
+        for held in CE.in_chunks(batches):
+            every, path, expected = forest.credits(np.concatenate([FO.feature_matrix(b, columns) for b in held]))
+            ends = np.cumsum([b.num_rows for b in held])
+            for b, credits, p in zip(held, np.split(every, ends), np.split(path, ends)):
+                top = np.argsort(-credits, axis=1, kind="stable")[:, :3]
+                made = [pa.array(np.power(2.0, -p / sent.value["c_psi"])), pa.array(p), pa.array(np.full(len(p), expected)),
+                        FO.list_array(credits), *(names.take(pa.array(top[:, k])) for k in range(3))]
+                yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), *made], names=[*keep, *(f.name for f in new)])
 
     return staged.mapInArrow(run, T.StructType([*(staged.schema[c] for c in keep), *new]))
 

@@ -15,7 +15,8 @@ Spark plan:
 * Trees are rows (one per node).  The model is bounded by
   trees x (2 x sample_size) nodes; that bound is checked before it is
   broadcast for scoring.
-* Scoring is ``mapInArrow``: numpy traversal of all trees per Arrow batch.
+* Scoring is ``mapInArrow``: a chunk of rows is sorted into each tree's cells
+  (``cells``), and a row looks up its cell's leaf.
 
 Attribution (M3): along x's path in a tree, the value V(node) = depth +
 c(size) (expected total path length of a point routed to that node) falls
@@ -38,6 +39,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerlake.operators import cells as CE
 from ledgerlake.schemas import VALID_CATEGORIES
 from ledgerlake.session import checkpoint_dir, spread
 
@@ -203,44 +205,32 @@ def load_model(nodes: DataFrame) -> dict:
             "c_psi": max(float(c_factor([psi])[0]), 1.0)}
 
 
-MAX_PAIRS = 2_000_000   # (row, tree) pairs walked at once: bounds task memory
+class Scorer:
+    """All trees of a loaded model: a row's leaf in each (``cells``), and what the way
+    there credits to each feature."""
+
+    def __init__(self, model: dict):
+        self.cuts, self.c_psi = CE.thresholds(model, len(FEATURES)), model["c_psi"]
+        self.trees = [CE.TreeCells(t, self.cuts) for t in CE.split_trees(model)]
+        self.said = [np.column_stack([t.drops, t.value]) for t in self.trees]
+
+    def score(self, X: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Scores, per-feature credits and mean path lengths."""
+        out, chunk = np.zeros((len(X), len(FEATURES) + 1)), CE.Chunk(self.cuts, X)
+        for tree, said in zip(self.trees, self.said):
+            out += said[tree.leaf(chunk)]
+        out /= len(self.trees)
+        return np.power(2.0, -out[:, -1] / self.c_psi), out[:, :-1], out[:, -1]
 
 
 def _score_matrix(X: np.ndarray, model: dict):
-    """Scores, per-feature credits and mean path length for a batch, in
-    chunks of at most MAX_PAIRS (row, tree) pairs."""
-    step = max(1, MAX_PAIRS // len(model["offsets"]))
-    if len(X) <= step:
-        return _score_chunk(X, model)
-    parts = [_score_chunk(X[i:i + step], model) for i in range(0, len(X), step)]
-    return tuple(np.concatenate([p[k] for p in parts]) for k in range(3))
-
-
-def _score_chunk(X: np.ndarray, model: dict):
-    """All (row, tree) pairs are walked down together, one level per step."""
-    n, f = X.shape
-    t = len(model["offsets"])
-    row = np.repeat(np.arange(n), t)
-    node = np.tile(model["offsets"], n)
-    value = np.tile(model["root_value"], n)
-    credit = np.zeros(n * f)
-    feat_all, thr_all = model["feature"], model["threshold"]
-    left_all, right_all, val_all = model["left"], model["right"], model["value"]
-    active = np.flatnonzero(feat_all[node] >= 0)
-    while active.size:
-        nd = node[active]
-        fa = feat_all[nd]
-        go_left = X[row[active], fa] < thr_all[nd]
-        nxt = np.where(go_left, left_all[nd], right_all[nd])
-        new_value = val_all[nxt]
-        credit += np.bincount(row[active] * f + fa, weights=value[active] - new_value,
-                              minlength=n * f)
-        value[active] = new_value
-        node[active] = nxt
-        active = active[feat_all[nxt] >= 0]
-    mean_h = value.reshape(n, t).mean(axis=1) if n else np.zeros(0)
-    score = np.power(2.0, -mean_h / model["c_psi"])
-    return score, credit.reshape(n, f) / t, mean_h
+    return Scorer(model).score(X)
+
+
+def list_array(values: np.ndarray) -> pa.ListArray:
+    """(rows, k) numbers as one list a row."""
+    ends = np.arange(0, values.size + 1, values.shape[1], dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.ascontiguousarray(values).ravel()))
 
 
 def broadcast_model(spark: SparkSession, model: dict):
@@ -279,21 +269,18 @@ def score(tx: DataFrame, nodes: DataFrame | dict, threshold: float | None = None
                   T.StructField("credits", T.ArrayType(T.DoubleType()), True)]
     keep = [c for c in staged.columns if c not in fcols]
     schema = T.StructType([staged.schema[c] for c in keep] + out_fields)
-    names = np.array(FEATURES, dtype=object)
+    names = pa.array(FEATURES)
 
     def run(batches):
-        m = bc.value
-        for b in batches:
-            X = feature_matrix(b, fcols)
-            s, cr, mean_h = _score_matrix(X, m)
-            order = np.argsort(-cr, axis=1, kind="stable")[:, :3]
-            tops = [pa.array(names[order[:, k]].tolist() if b.num_rows else [], type=pa.string())
-                    for k in range(3)]
-            deficit = m["c_psi"] - mean_h
-            arrays = [b.column(c) for c in keep] + [pa.array(s, type=pa.float64())] + tops + [
-                pa.array(deficit, type=pa.float64()),
-                pa.array(cr.tolist(), type=pa.list_(pa.float64()))]
-            yield pa.RecordBatch.from_arrays(arrays, names=keep + [f.name for f in out_fields])
+        scorer = Scorer(bc.value)
+        for held in CE.in_chunks(batches):
+            whole = scorer.score(np.concatenate([feature_matrix(b, fcols) for b in held]))
+            ends = np.cumsum([b.num_rows for b in held])
+            for b, s, cr, mean_h in zip(held, *(np.split(x, ends) for x in whole)):
+                order = np.argsort(-cr, axis=1, kind="stable")[:, :3]
+                arrays = [*(b.column(c) for c in keep), pa.array(s), *(names.take(pa.array(order[:, k])) for k in range(3)),
+                          pa.array(scorer.c_psi - mean_h), list_array(cr)]
+                yield pa.RecordBatch.from_arrays(arrays, names=keep + [f.name for f in out_fields])
 
     scored = staged.mapInArrow(run, schema)
     thr = F.lit(threshold) if threshold is not None else F.lit(None).cast("double")
