@@ -38,7 +38,7 @@ DEFAULT_THRESHOLD = 3
 def velocity(tx: DataFrame, minutes: int = DEFAULT_MINUTES,
              threshold: int = DEFAULT_THRESHOLD, user: str = "user_id",
              ts: str = "event_timestamp", amount: str = "amount",
-             split: int = 1) -> DataFrame:
+             split: int = 1, partitions: int | None = None) -> DataFrame:
     """Every input row plus ``velocity_count``, ``velocity_amount`` (2 dp)
     and ``velocity_alert``.  Rows with a NULL time or user get NULLs.
 
@@ -49,6 +49,10 @@ def velocity(tx: DataFrame, minutes: int = DEFAULT_MINUTES,
     summary rows (count, sum, non-null count) from a combinable aggregate.
     A partition then holds 2g of one user's events instead of 2w; m = 1 is
     the plain bucket plan (no summaries).
+
+    ``partitions`` deals the windows to that many tasks, each of which holds and sorts
+    its rows; a caller gives it in proportion to the input, so that a task's memory
+    does not grow with the table.  By default the session's shuffle partitions.
     """
     m = max(1, int(split))
     g_us = int(minutes) * 60 * 1_000_000 // m
@@ -83,6 +87,8 @@ def velocity(tx: DataFrame, minutes: int = DEFAULT_MINUTES,
             F.lit("sum").alias("_kind"), "_cnt", "_amt", "_nn")
         rows = rows.unionByName(summ, allowMissingColumns=True)
 
+    if partitions:
+        rows = rows.repartition(int(partitions), "_u", "_b")
     part = Window.partitionBy("_u", "_b")
     upto = part.orderBy("_axis").rangeBetween(Window.unboundedPreceding, 0)
     since = part.orderBy(F.col("_axis").desc()).rangeBetween(Window.unboundedPreceding, 0)

@@ -3,7 +3,9 @@
 Every event gets the count and the amount of its user's events in [t - w, t], as the
 batch operator gives them (``operators.velocity``), whatever the order of arrival
 inside the watermark.  An event waits until the watermark has passed its time: from
-then on no event of its frame can come.  A user's state holds
+then on no event of its frame can come.  Users are dealt to ``USER_BUCKETS`` by hash,
+and a bucket has one state, so that a batch makes a bounded number of Python calls
+however many users it holds.  A bucket's state holds, of its users,
 
 * the waiting events (bounded by the watermark's delay), and
 * a ring of (time, amount) of those already answered that a later frame can still
@@ -11,7 +13,7 @@ then on no event of its frame can come.  A user's state holds
 
 so it is bounded by the rate times (w + delay).  A timer at the first waiting event
 answers users that send nothing more, and another at the end of the last frame drops
-a user's state.  Events behind the watermark are dropped by Spark and counted in
+a bucket's state.  Events behind the watermark are dropped by Spark and counted in
 ``numRowsDroppedByWatermark``.
 
 Rows without user or time belong to no frame; they pass by with NULLs.
@@ -32,7 +34,9 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ledgerlake.operators.velocity import DEFAULT_MINUTES, DEFAULT_THRESHOLD
 
-STATE = "times array<bigint>, amounts array<double>, waiting binary"
+STATE = "ring binary, waiting binary"
+#: states; their number is part of a checkpoint
+USER_BUCKETS = 4096
 #: columns of the work frame: time in microseconds and amount
 AT, SUM = "_at", "_amount"
 
@@ -49,6 +53,21 @@ def framed(times: np.ndarray, known: np.ndarray, amounts: np.ndarray, at: np.nda
     return hi - lo, before[hi] - before[lo], sums
 
 
+def by_user(users: pa.Array, at: np.ndarray, known: np.ndarray, amounts: np.ndarray, asked: int,
+            width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``framed`` for the events from number ``asked`` on, each among its own user's."""
+    who = np.asarray(users.dictionary_encode().indices)
+    order = np.lexsort((at, who))
+    ends = np.flatnonzero(np.diff(who[order])) + 1
+    out = np.zeros(len(at), np.int64), np.zeros(len(at), np.int64), np.zeros(len(at))
+    for mine in np.split(order, ends):
+        ask = mine[mine >= asked]
+        if len(ask):
+            for column, found in zip(out, framed(at[mine], known[mine], amounts[mine], at[ask], width)):
+                column[ask] = found
+    return tuple(column[asked:] for column in out)
+
+
 def _pack(rows: pa.Table) -> bytes | None:
     if not len(rows):
         return None
@@ -78,43 +97,39 @@ def velocity_exact(tx: DataFrame, minutes: int = DEFAULT_MINUTES, threshold: int
         *columns, F.unix_micros(F.col(ts)).alias(AT),
         F.col(amount).cast("double").alias(SUM), F.col(amount).isNotNull().alias("_known"),
         *[F.coalesce(F.isnan(c), F.lit(False)).alias(g) for c, g in zip(floats, flags)],
-        F.col(ts).alias("_event_time"), F.col(user).alias("_user"))
-    carried = to_arrow_schema(T.StructType([f for f in work.schema.fields if f.name not in ("_event_time", "_user")]))
+        F.col(ts).alias("_event_time"), F.pmod(F.xxhash64(user), F.lit(USER_BUCKETS)).alias("_bucket"))
+    carried = to_arrow_schema(T.StructType([f for f in work.schema.fields if f.name not in ("_event_time", "_bucket")]))
+    in_ring = [user, AT, SUM, "_known"]
     out_schema = T.StructType([*tx.schema.fields, *[T.StructField(g, T.BooleanType()) for g in flags], T.StructField("_n", T.LongType()), T.StructField("_nn", T.LongType()),
                                T.StructField("_sum", T.DoubleType())])
     names = [f.name for f in out_schema.fields]
 
     def answer(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        times, amounts, waiting = state.get if state.exists else ([], [], None)
+        ring, waiting = state.get if state.exists else (None, None)
         tables = _unpack(waiting)
         tables += [pa.Table.from_pandas(f[carried.names], schema=carried, preserve_index=False) for f in frames]
         passed = state.getCurrentWatermarkMs() * 1000
         rows = pa.concat_tables(tables) if tables else carried.empty_table()
-        order = np.argsort(np.asarray(rows[AT]), kind="stable")
-        rows = rows.take(pa.array(order))
-        at = np.asarray(rows[AT], dtype=np.int64)
-        ready = int(np.searchsorted(at, passed, "right"))
-        all_at = np.concatenate([np.asarray(times, np.int64), at[:ready]])
-        known = np.concatenate([np.array([a is not None for a in amounts], bool), np.asarray(rows["_known"], dtype=bool)[:ready]])
-        value = np.concatenate([np.array([0.0 if a is None else a for a in amounts], float),
-                                rows[SUM].to_numpy()[:ready]])
+        rows = rows.take(pa.array(np.argsort(np.asarray(rows[AT]), kind="stable")))
+        ready = int(np.searchsorted(np.asarray(rows[AT], dtype=np.int64), passed, "right"))
+        left = rows.slice(ready)
+        held = pa.concat_tables([*_unpack(ring), rows.slice(0, ready).select(in_ring)])
+        at = np.asarray(held[AT], dtype=np.int64)
         if ready:
             done = rows.slice(0, ready).to_pandas()
-            done["_n"], done["_nn"], done["_sum"] = framed(all_at, known, value, at[:ready], width)
+            done["_n"], done["_nn"], done["_sum"] = by_user(pa.concat_arrays(held[user].chunks), at, np.asarray(held["_known"], dtype=bool),
+                                                            held[SUM].to_numpy(), len(held) - ready, width)
             yield done[names]
-        keep = all_at > passed - width
-        left = rows.slice(ready)
-        ring_at = all_at[keep]
-        if not len(left) and not len(ring_at):
+        keep = at > passed - width
+        if not len(left) and not keep.any():
             if state.exists:
                 state.remove()
             return
-        ring = [float(a) if k else None for a, k in zip(value[keep], known[keep])]
-        state.update((ring_at.tolist(), ring, _pack(left)))
-        due = at[ready] if len(left) else ring_at[-1] + width
+        state.update((_pack(held.filter(pa.array(keep))), _pack(left)))
+        due = left[AT][0].as_py() if len(left) else int(at.max()) + width
         state.setTimeoutTimestamp(max(int(-(-due // 1000)), state.getCurrentWatermarkMs() + 1))
 
-    answered = (work.withWatermark("_event_time", watermark).groupBy("_user")
+    answered = (work.withWatermark("_event_time", watermark).groupBy("_bucket")
                 .applyInPandasWithState(answer, out_schema, STATE, "append", GroupStateTimeout.EventTimeTimeout))
     nan = F.lit(float("nan"))
     back = {c: F.when(F.col(g), nan.cast(tx.schema[c].dataType)).otherwise(F.col(c)).alias(c) for c, g in zip(floats, flags)}
