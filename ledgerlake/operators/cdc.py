@@ -227,6 +227,20 @@ def apply_changes(table: DataFrame, changes: DataFrame, key: list[str],
     return rest.select(*cols).unionByName(merged)
 
 
+def merge_latest(table: DataFrame, latest: DataFrame, key: list[str]) -> DataFrame:
+    """A keyed table with ``_lsn`` and tombstones (``_deleted``), one row a key, merged
+    with changes that are one row a key too (``latest_per_key``): the rows that
+    ``apply_changes`` gives, from one join.  The later of the two wins by the order
+    of ``latest_per_key``."""
+    row = latest.schema["after"].dataType
+    place = ["lsn", "seq", "op", "after"]
+    held = _table_as_changes(table, key, row.fieldNames(), row, "_lsn").select(*key, F.struct(*place).alias("_held"))
+    come = latest.select(*key, F.struct(*place).alias("_come"))
+    best = F.when(F.col("_held").isNull() | (F.col("_come") > F.col("_held")), F.col("_come")).otherwise(F.col("_held"))
+    one = held.join(come, key, "full_outer").select(*key, best.alias("_m")).select(*key, *[F.col(f"_m.{c}").alias(c) for c in place])
+    return _rows(one, key, keep_lsn=True, keep_tombstones=True)
+
+
 def audit(changes: DataFrame, key: list[str]) -> DataFrame:
     """One row per changed column of each update, from the before/after
     images (no window over the key).  Updates and deletes whose before image

@@ -115,10 +115,7 @@ class KeyedTable:
         latest = spark.read.parquet(staged)
         touched = sorted(r.bucket for r in latest.select("bucket").distinct().collect())      # at most ``count`` numbers
         if touched:
-            null = F.lit(None)
-            batch = latest.select(*self.key, "op", null.cast(latest.schema["after"].dataType).alias("before"), "after", "lsn",
-                                  null.cast("long").alias("tx_id"), null.cast("string").alias("table"), "seq")
-            merged = cdc.apply_changes(self._read(spark, before["buckets"], touched), batch, list(self.key), keep_tombstones=True)
+            merged = cdc.merge_latest(self._read(spark, before["buckets"], touched), latest, list(self.key))
             (merged.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema.fields])
              .withColumn("bucket", self._bucket(count)).repartition("bucket")
              .write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/data/version={version}"))
