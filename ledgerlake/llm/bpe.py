@@ -7,8 +7,9 @@ the merge table and contracts each piece's leftmost minimum-rank pair until no
 pair merges.  Texts are then written from their pieces' ids.  Decoding joins
 (position, id) rows with the vocabulary and concatenates them in order.
 
-Python workers keep the pieces they have encoded (at most ``CACHE_PIECES``,
-then it starts anew), so a piece is usually contracted once per worker.
+Python workers keep the pieces they have encoded, so a frequent piece is usually
+contracted once per worker.  Beyond ``CACHE_PIECES`` those go that came in one
+slice of texts only: a corpus' numbers, names and junk never end, its words do.
 
 Defined results: a null text counts as empty and has no ids; repeated rows are
 encoded each by themselves; texts are encoded whole, whatever their length;
@@ -29,12 +30,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerlake.llm.common import slices, span_hashes, string_bytes
+from ledgerlake.llm.common import give_back, slices, span_hashes, string_bytes
 
-#: distinct pieces a Python worker remembers (about 40 bytes each)
-CACHE_PIECES = 2_000_000
+#: distinct pieces a Python worker remembers (about 40 bytes each, and as much again
+#: while pieces are added: 20 MB a worker, however large its share of the corpus)
+CACHE_PIECES = 250_000
 #: pieces, and bytes of pieces, in one recursive query
 QUERY_PIECES, QUERY_BYTES = 10_000, 1 << 18
+#: bytes of text that are encoded and decoded again at once
+SLICE_BYTES = 1 << 18
 #: bytes from which a piece counts as long
 LONG_BYTES = 64
 
@@ -168,6 +172,8 @@ class Coder:
                     left.append(a), right.append(b), merged.append(r)
         self.byte_id = np.array([rank[bytes([i])] for i in range(256)], np.int32)
         self.con = duckdb.connect(config={"threads": 1, "memory_limit": "400MB"})
+        for limit in ("allocator_flush_threshold", "allocator_bulk_deallocation_flush_threshold"):
+            self.con.execute(f"SET {limit} = '1MB'")      # freed memory goes back to the system
         first = np.full(max(rank.values()) + 1, np.iinfo(np.int32).max)   # rank of the first pair with a token
         for side in (left, right):
             np.minimum.at(first, side, merged)
@@ -190,6 +196,18 @@ class Coder:
         self.known = np.empty(0, np.uint64)           # piece hashes, sorted
         self.at, self.size = np.empty(0, np.int64), np.empty(0, np.int32)
         self.flat = np.empty(0, np.int32)             # their ids, one after another
+        self.again = np.empty(0, bool)                # met in a later slice, too
+
+    def make_room(self) -> None:
+        """Forget pieces that were met in one slice only, or all if most were met again."""
+        if 2 * self.again.sum() > CACHE_PIECES:
+            return self.clear()
+        at, self.size = self.at[self.again], self.size[self.again]
+        self.known = self.known[self.again]
+        edge = np.cumsum(self.size, dtype=np.int64)
+        self.at = edge - self.size
+        self.flat = self.flat[np.repeat(at - self.at, self.size) + np.arange(edge[-1] if len(edge) else 0)]
+        self.again = np.zeros(len(self.known), bool)
 
     def contract(self, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids, ids per piece) of the byte spans, by the recursive query."""
@@ -216,8 +234,6 @@ class Coder:
 
     def learn(self, raw: np.ndarray, hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
         """Encode pieces that are not known yet (hashes sorted and unique)."""
-        if len(self.known) + len(hashes) > CACHE_PIECES and len(self.known):
-            raise MemoryError
         ids, counts, i = [], [], 0
         edge = np.cumsum(ends - starts)
         while i < len(starts):
@@ -232,6 +248,16 @@ class Coder:
         where = np.searchsorted(self.known, hashes)
         self.known = np.insert(self.known, where, hashes)
         self.at, self.size = np.insert(self.at, where, at), np.insert(self.size, where, counts)
+        self.again = np.insert(self.again, where, False)
+
+    def unknown(self, hashes: np.ndarray) -> np.ndarray:
+        """Which of the hashes (unique) are not known; the others are marked as met again."""
+        if not len(self.known):
+            return np.ones(len(hashes), bool)
+        found = np.minimum(np.searchsorted(self.known, hashes), len(self.known) - 1)
+        new = self.known[found] != hashes
+        self.again[found[~new]] = True
+        return new
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(all ids one after another, offsets of the texts in them)."""
@@ -245,13 +271,11 @@ class Coder:
         ends = np.append(starts[1:], len(raw))
         hashes = span_hashes(raw, starts, ends)
         unique, one, which = np.unique(hashes, return_index=True, return_inverse=True)
-        new = np.ones(len(unique), bool)
-        if len(self.known):
-            found = np.minimum(np.searchsorted(self.known, unique), len(self.known) - 1)
-            new = self.known[found] != unique
-        if len(self.known) + new.sum() > CACHE_PIECES:
-            self.clear()
-            new[:] = True
+        new = self.unknown(unique)
+        for room in (self.make_room, self.clear):
+            if len(self.known) and len(self.known) + new.sum() > CACHE_PIECES:
+                room()
+                new = self.unknown(unique)
         if new.any():
             self.learn(raw, unique[new], starts[one[new]], ends[one[new]])
         found = np.searchsorted(self.known, unique)[which]
@@ -341,7 +365,7 @@ def checked(df: DataFrame, ranks: bytes) -> DataFrame:
 
     def run(batches):
         coder = Coder.of(ranks)
-        for b in slices(batches, "text"):
+        for b in slices(batches, "text", SLICE_BYTES):
             col = b.column(b.schema.get_field_index("text"))
             ids, edge = coder.encode(col)
             raw, offsets = string_bytes(col)
@@ -350,6 +374,7 @@ def checked(df: DataFrame, ranks: bytes) -> DataFrame:
             lists = pa.ListArray.from_arrays(pa.array(edge, pa.int32()), pa.array(ids, pa.int32()))
             yield pa.RecordBatch.from_arrays([*b.columns, lists, pa.array(np.diff(edge), pa.int64()),
                                               pa.array(same, pa.bool_())], names=[*kept, *added])
+            give_back()
 
     kinds = (T.ArrayType(T.IntegerType()), T.LongType(), T.BooleanType())
     return df.mapInArrow(run, T.StructType([*df.schema.fields, *map(T.StructField, added, kinds)]))

@@ -53,6 +53,21 @@ def test_a_full_cache_starts_anew(library, monkeypatch):
     assert len(coder.known) <= 50
 
 
+def test_a_full_cache_keeps_the_pieces_met_again(library, monkeypatch):
+    coder = bpe.Coder.of(RANKS)
+    coder.clear()
+    monkeypatch.setattr(bpe, "CACHE_PIECES", 60)
+    asked, contract = [], coder.contract
+    monkeypatch.setattr(coder, "contract", lambda raw, starts, ends: asked.append(len(starts)) or contract(raw, starts, ends))
+    for k in range(20):
+        text = "the same words in each text" + "".join(f" n{chr(97 + k)}{chr(97 + j)}zq" for j in range(10))
+        ids, _ = coder.encode(pa.array([text]))
+        assert ids.tolist() == library.encode_ordinary(text)
+        assert len(coder.known) <= 60
+    assert asked == [16] + [10] * 19
+    coder.clear()
+
+
 def test_encode_decode_frames(spark, library):
     rows = [(i, t, "clash") for i, t in enumerate(ODD)] + [(2, "a", None)]
     df = spark.createDataFrame(rows, "doc_id long, text string, ids string")

@@ -3,6 +3,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 
 from ledgerlake.llm import common, ngram_join as J
@@ -145,3 +146,33 @@ def test_rows_are_named_null_safely_and_names_never_collide(spark, monkeypatch):
     monkeypatch.setattr(J.F, "xxhash64", poor)
     again = J.row_names(df).collect()
     assert len({r._row for r in again}) == 7 and {r._row for r in again if r.lang is None and r.text == text}.__len__() == 1
+
+
+def test_bitmaps_rule_out_no_link_and_most_other_pairs(spark):
+    r = np.random.default_rng(5)
+    rows, want = [], []
+    for k in range(400):
+        n = int(r.integers(1, 400))
+        a = np.unique(r.integers(0, 1 << 63, n, dtype=np.uint64))
+        b = np.unique(np.concatenate([a[int(len(a) * r.uniform(0, 0.3)) * (k % 2):],
+                                      r.integers(0, 1 << 63, int(len(a) * r.uniform(0, 0.3)), dtype=np.uint64)]))
+        if k % 4 == 3:
+            b = np.unique(r.integers(0, 1 << 63, n, dtype=np.uint64))
+        both = len(np.intersect1d(a, b))
+        want.append((4 * both >= 3 * (len(a) + len(b) - both), k % 4 == 3 and n > 30))
+        rows.append((k, len(a), J.parities(a).tolist(), len(b), J.parities(b).tolist()))
+    df = spark.createDataFrame(rows, "k int, n long, x array<long>, m long, y array<long>")
+    kept = {q.k for q in df.where(J.may_reach(*map(J.F.col, ("n", "x", "m", "y")))).collect()}
+    assert sum(w for w, _ in want) > 60 and {len(q[2]) != len(q[4]) for q in rows} == {True, False}
+    assert all(k in kept for k, (linked, _) in enumerate(want) if linked)
+    assert not any(k in kept for k, (_, strange) in enumerate(want) if strange)
+
+
+def test_crowded_counters_still_tell_frequent_tokens(spark, monkeypatch):
+    # every counter holds some 2,500 rare tokens; one more token is in every document
+    monkeypatch.setattr(J, "SKETCH", 1 << 6)
+    r = random.Random(8)
+    texts = ["a b c d e"] + ["a b c d e " + " ".join(str(r.random()) for _ in range(400)) for _ in range(400)]
+    classes = J.sketch(spark.createDataFrame([(t,) for t in texts], "text string").repartition(2))
+    token = J.shingle_sets(J.pa.array(texts[:1]))[0][0]
+    assert classes[int(token) % J.SKETCH] == classes.max() > np.median(classes)
