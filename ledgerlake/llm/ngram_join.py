@@ -22,6 +22,11 @@ ceil(2 t / (1 + t) n) + 1`` of the smaller share one, for any such order.  So th
 order may come from approximate counts: a sketch of fixed size, summed over all
 documents.
 
+Before a pair's sets are sent to be compared, two bitmaps of about a bit a token
+are: bit k tells whether an odd number of the set's tokens falls on k.  Bits that
+differ are no more than the tokens that only one set has, and of these two sets
+that link have at most ``(DEN - NUM) / (DEN + NUM)`` of their sizes' sum.
+
 Tokens are 64-bit hashes.  Defined results: nulls, empty texts and texts
 without words have an empty set and link with nothing; with fewer than ``N``
 words the whole sequence is the one shingle; a null id links with nothing and
@@ -51,6 +56,11 @@ PIECE = 256
 #: counters of the frequency sketch (4 MB; fixed, whatever the corpus)
 SKETCH = 1 << 20
 SKETCH_PARTS = 64
+#: steps of the order for each doubling of a counter: a crowded counter stands for
+#: many rare tokens, and only a step finer than their spread lifts a frequent one out
+SKETCH_STEPS = 1024
+#: sums of a part of the sketch, before they are added to one
+SKETCH_SALTS = 16
 #: rows up to which a table of ids (under 32 bytes each) is sent to the texts
 #: instead of shuffling both; the result is the same
 BROADCAST_IDS = 1_000_000
@@ -87,7 +97,8 @@ def needed(n: int, top: int, bottom: int) -> int:
 
 
 def sketch(docs: DataFrame) -> np.ndarray:
-    """Log2 classes of approximate token counts over all documents (1 MB)."""
+    """Classes (``SKETCH_STEPS`` a doubling) of approximate token counts over all
+    documents (2 MB)."""
     width = SKETCH // SKETCH_PARTS
     kind = "part int, salt int, counts binary"
 
@@ -96,7 +107,7 @@ def sketch(docs: DataFrame) -> np.ndarray:
         for b in slices(batches, "text"):
             tokens = np.concatenate(shingle_sets(b.column(0)))
             total += np.bincount((tokens % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH)
-        salt = TaskContext.get().partitionId() % 64
+        salt = TaskContext.get().partitionId() % SKETCH_SALTS
         for p in range(SKETCH_PARTS):
             yield pa.RecordBatch.from_pydict({"part": pa.array([p], pa.int32()), "salt": pa.array([salt], pa.int32()),
                                               "counts": [total[p * width:(p + 1) * width].tobytes()]})
@@ -117,13 +128,37 @@ def sketch(docs: DataFrame) -> np.ndarray:
     total = np.zeros(SKETCH, np.int64)
     for r in parts.collect():                     # SKETCH_PARTS rows
         total[r.part * width:(r.part + 1) * width] += np.frombuffer(r.counts, np.int64)
-    return np.log2(total + 1).astype(np.uint8)
+    return (np.log2(total + 1) * SKETCH_STEPS).astype(np.uint16)
 
 
 def _print(s: np.ndarray) -> bytes:
     return mix(s, 21).sum(dtype=np.uint64).tobytes() + mix(s, 22).sum(dtype=np.uint64).tobytes()
 
 
+def parities(s: np.ndarray) -> np.ndarray:
+    """For each k, whether an odd number of tokens falls on k: a power of two of
+    bits, at least one a token and 64."""
+    size = max(64, 1 << max(0, len(s) - 1).bit_length())
+    odd = np.bincount((s & np.uint64(size - 1)).astype(np.int64), minlength=size).astype(np.uint8) & 1
+    return np.packbits(odd, bitorder="little").view(np.int64)
+
+
+def _xor(x: Column, y: Column) -> Column:
+    return F.zip_with(x, y, lambda a, b: a.bitwiseXOR(b))
+
+
+def may_reach(n: Column, x: Column, m: Column, y: Column) -> Column:
+    """False only where sets of n and m tokens with the bitmaps x and y cannot reach
+    the similarity."""
+    def folded(x, y):                             # sizes that fit differ less than twofold
+        half = F.size(x) / 2
+        return F.when(F.size(x) > F.size(y), _xor(F.slice(x, F.lit(1), half.cast("int")),
+                                                  F.slice(x, (half + 1).cast("int"), half.cast("int")))).otherwise(x)
+
+    apart = F.aggregate(F.transform(_xor(folded(x, y), folded(y, x)), F.bit_count), F.lit(0), lambda a, b: a + b)
+    return _fits(F.least(n, m), F.greatest(n, m)) & ((NUM + DEN) * apart <= (DEN - NUM) * (n + m))
+
+
 def signatures(docs: DataFrame) -> DataFrame:
     """(id, n, fp, bands) of each document: its set's size, a 128-bit
     fingerprint (null if the set is empty) and its band keys."""
@@ -146,8 +181,8 @@ def signatures(docs: DataFrame) -> DataFrame:
 
 
 def prefixes(docs: DataFrame, classes) -> DataFrame:
-    """(id, fp, n, grp, piece, prefix) of (id, text, grp, piece): each set's
-    leading tokens in the common order (frequency class, then token)."""
+    """(id, fp, n, grp, piece, prefix, bits) of (id, text, grp, piece): each set's
+    leading tokens in the common order (frequency class, then token) and its bitmap."""
 
     def run(batches):
         order = classes.value
@@ -160,11 +195,12 @@ def prefixes(docs: DataFrame, classes) -> DataFrame:
                 heads.append(s[np.argsort(key, kind="stable")[:len(s) - needed(len(s), NUM, DEN) + 1]].view(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array([_print(s) for s in sets], pa.binary()), pa.array([len(s) for s in sets], pa.int64()),
-                 b.column(2), b.column(3), pa.array(heads, pa.list_(pa.int64()))],
-                names=["id", "fp", "n", "grp", "piece", "prefix"])
+                 b.column(2), b.column(3), pa.array(heads, pa.list_(pa.int64())),
+                 pa.array([parities(s) for s in sets], pa.list_(pa.int64()))],
+                names=["id", "fp", "n", "grp", "piece", "prefix", "bits"])
 
     return docs.select("id", "text", "grp", "piece").mapInArrow(
-        run, "id long, fp binary, n long, grp long, piece long, prefix array<long>")
+        run, "id long, fp binary, n long, grp long, piece long, prefix array<long>, bits array<long>")
 
 
 def _small(df: DataFrame) -> DataFrame:
@@ -172,6 +208,15 @@ def _small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_IDS else df
 
 
+def likely(pairs: DataFrame, heads: DataFrame) -> DataFrame:
+    """The distinct pairs (a, b) that the bitmaps do not rule out."""
+    sets = heads.select("id", "n", "bits")
+    ours = sets.select(F.col("id").alias("a"), F.col("n").alias("x"), F.col("bits").alias("x_bits"))
+    theirs = sets.select(F.col("id").alias("b"), F.col("n").alias("y"), F.col("bits").alias("y_bits"))
+    return (theirs.join(_small(pairs), "b").join(ours, "a").where(may_reach(F.col("x"), F.col("x_bits"), F.col("y"), F.col("y_bits")))
+            .select("a", "b").distinct().checkpoint())
+
+
 #: pairs that one task verifies at once, partners of one row, and tasks of one row
 GROUP_PAIRS, ROW_PARTNERS, ROW_GROUPS = 512, 256, 1024
 
@@ -271,7 +316,8 @@ def opened(open_: DataFrame, heads: DataFrame) -> DataFrame:
         return pa.table({"id": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     ways = open_.groupBy("g", "p").agg(F.ceil(F.count(F.lit(1)) / PIECE_QUERIES).alias("ways")).checkpoint()
-    asked = (open_.join(ways, ["g", "p"]).withColumn("way", F.pmod(F.xxhash64("id"), F.col("ways")))
+    # few documents ask, as a rule: then their rows go to all, and not all to them
+    asked = (_small(open_.join(ways, ["g", "p"]).withColumn("way", F.pmod(F.xxhash64("id"), F.col("ways"))))
              .join(heads.select("id", "n", "prefix"), "id").select("g", "p", "way", "id", "n", "prefix"))
     members = (heads.where("piece >= 0").select(F.col("grp").alias("g"), F.col("piece").alias("p"), F.col("id").alias("b"),
                                                 "n", "prefix")
@@ -316,8 +362,8 @@ def jaccard_classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -
                      .select("id", "text", F.coalesce("grp", "id").alias("grp"),
                              F.coalesce("piece", F.lit(-1)).cast("long").alias("piece")), classes)
     if repeated:
-        heads = heads.groupBy("id", "fp").agg(F.first(F.struct("n", "grp", "piece", "prefix")).alias("s")).select("id", "s.*")
-    heads = stored(heads.select("id", "n", "grp", "piece", "prefix").where("n > 0"), "heads")
+        heads = heads.groupBy("id", "fp").agg(F.first(F.struct("n", "grp", "piece", "prefix", "bits")).alias("s")).select("id", "s.*")
+    heads = stored(heads.select("id", "n", "grp", "piece", "prefix", "bits").where("n > 0"), "heads")
 
     # the matrix, and the queries' overlap with it: a piece without a shared leading
     # token, or without a member of fitting size, stays closed
@@ -346,7 +392,7 @@ def jaccard_classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     tried = (near.groupBy("id", "g", "b").agg(F.count(F.lit(1)).alias("k"))
              .groupBy("id", "g").agg(F.max(F.struct("k", "b")).alias("s"))
              .select(F.col("id").alias("a"), "s.b").where("a <> b").distinct().checkpoint())
-    links = first.union(verify(named, tried)).checkpoint()
+    links = first.union(verify(named, likely(tried, heads))).checkpoint()
     united = components(links)
     own, other = united.select("id", F.col("component").alias("c")), \
         united.select(F.col("id").alias("g"), F.col("component").alias("d"))
@@ -360,7 +406,7 @@ def jaccard_classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -
         F.count(F.lit(1)).alias("shared"), F.min("left").alias("left"), F.min("after").alias("after"))
         .where((NUM + DEN) * bound >= NUM * (F.col("n") + F.col("m"))).where("id <> b").select("id", "b"))
     pairs = (alone.union(opened(open_, heads)).select(F.col("id").alias("a"), "b").distinct().checkpoint())
-    second = verify(named, pairs)
+    second = verify(named, likely(pairs, heads))
 
     tops = components(links.union(second))
     best = reps.select("n", "fp", F.col("id").alias("rep")).join(tops, F.col("rep") == F.col("id"), "left").select(
