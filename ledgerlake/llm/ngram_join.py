@@ -122,13 +122,19 @@ def sketch(docs: DataFrame) -> np.ndarray:
             yield pa.RecordBatch.from_pydict({"part": pa.array([p], pa.int32()), "salt": pa.array([0], pa.int32()),
                                               "counts": [got.tobytes()]})
 
+    def class_(batches):
+        for b in add(batches):
+            total = np.frombuffer(b.column(2)[0].as_py(), np.int64)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(
+                [(np.log2(total + 1) * SKETCH_STEPS).astype(np.uint16).tobytes()])], names=["part", "salt", "counts"])
+
     parts = docs.select("text").mapInArrow(count, kind)
-    for _ in range(2):                            # salted first, then by part
-        parts = parts.repartition("part", "salt").mapInArrow(add, kind)
-    total = np.zeros(SKETCH, np.int64)
+    parts = parts.repartition("part", "salt").mapInArrow(add, kind)      # salted first, then by part
+    parts = parts.repartition("part", "salt").mapInArrow(class_, kind)
+    classes = np.zeros(SKETCH, np.uint16)
     for r in parts.collect():                     # SKETCH_PARTS rows
-        total[r.part * width:(r.part + 1) * width] += np.frombuffer(r.counts, np.int64)
-    return (np.log2(total + 1) * SKETCH_STEPS).astype(np.uint16)
+        classes[r.part * width:(r.part + 1) * width] = np.frombuffer(r.counts, np.uint16)
+    return classes
 
 
 def _print(s: np.ndarray) -> bytes:
@@ -392,7 +398,7 @@ def jaccard_classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     tried = (near.groupBy("id", "g", "b").agg(F.count(F.lit(1)).alias("k"))
              .groupBy("id", "g").agg(F.max(F.struct("k", "b")).alias("s"))
              .select(F.col("id").alias("a"), "s.b").where("a <> b").distinct().checkpoint())
-    links = first.union(verify(named, likely(tried, heads))).checkpoint()
+    links = first.union(verify(named, likely(tried, heads)))
     united = components(links)
     own, other = united.select("id", F.col("component").alias("c")), \
         united.select(F.col("id").alias("g"), F.col("component").alias("d"))
