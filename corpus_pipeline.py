@@ -18,7 +18,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerlake.llm import bpe, decontaminate, ngram_join, pii, quality
-from ledgerlake.llm.common import read_table, small_batches
+from ledgerlake.llm.common import packed, read_table, small_batches, table_bytes
 from ledgerlake.llm.queries import RANKS
 from ledgerlake.session import checkpoint_dir, ship_package
 
@@ -31,28 +31,28 @@ def prepare(spark: SparkSession) -> None:
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     prepare(spark)
-    return quality.accepted(docs, read_table(spark, sf_dir, "labels"))
+    return quality.accepted(packed(docs), read_table(spark, sf_dir, "labels"))
 
 
 def near_copy_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     prepare(spark)
-    return ngram_join.one_of_each(docs)
+    return ngram_join.one_of_each(packed(docs))
 
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return decontaminate.clean_documents(docs, read_table(spark, sf_dir, "benchmark"))
+    return packed(decontaminate.clean_documents(docs, read_table(spark, sf_dir, "benchmark")), table_bytes(docs))
 
 
 def personal_data_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     prepare(spark)
-    return pii.masked_documents(docs)
+    return pii.masked_documents(packed(docs))
 
 
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with ``ids``, ``n_tokens`` and ``round_trip`` (the decoded ids
     are the text again)."""
     prepare(spark)
-    return bpe.checked(docs, bpe.ranks_bytes(RANKS))
+    return bpe.checked(packed(docs), bpe.ranks_bytes(RANKS))
 
 
 STAGES = [

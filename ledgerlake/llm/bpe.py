@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerlake.llm.common import give_back, slices, span_hashes, string_bytes
+from ledgerlake.llm.common import give_back, slices, span_hashes, string_bytes, worker_cache
 
 #: distinct pieces a Python worker remembers (about 40 bytes each, and as much again
 #: while pieces are added: 20 MB a worker, however large its share of the corpus)
@@ -38,7 +38,7 @@ CACHE_PIECES = 250_000
 #: pieces, and bytes of pieces, in one recursive query
 QUERY_PIECES, QUERY_BYTES = 10_000, 1 << 18
 #: bytes of text that are encoded and decoded again at once
-SLICE_BYTES = 1 << 18
+SLICE_BYTES = 1 << 17
 #: bytes from which a piece counts as long
 LONG_BYTES = 64
 
@@ -151,7 +151,7 @@ def piece_starts(points: np.ndarray, first: np.ndarray, classes: np.ndarray) ->
 class Coder:
     """Encodes pieces and decodes ids of one rank file, within a Python worker."""
 
-    _kept: dict[str, Coder] = {}
+    _kept: dict[str, Coder] = worker_cache()
 
     @classmethod
     def of(cls, ranks: bytes) -> Coder:

@@ -45,7 +45,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerlake.llm.common import Words, components, drop_stored, mix, slices, stored
+from ledgerlake.llm.common import SMALL_BLOCK, Words, components, drop_caches, drop_stored, held, mix, packed, slices, stored
 
 N = 5
 NUM, DEN = 3, 4
@@ -104,7 +104,7 @@ def sketch(docs: DataFrame) -> np.ndarray:
 
     def count(batches):
         total = np.zeros(SKETCH, np.int64)
-        for b in slices(batches, "text"):
+        for b in slices(batches, "text", SMALL_BLOCK):
             tokens = np.concatenate(shingle_sets(b.column(0)))
             total += np.bincount((tokens % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH)
         salt = TaskContext.get().partitionId() % SKETCH_SALTS
@@ -170,7 +170,8 @@ def signatures(docs: DataFrame) -> DataFrame:
     fingerprint (null if the set is empty) and its band keys."""
 
     def run(batches):
-        for b in slices(batches, "text"):
+        drop_caches()
+        for b in slices(batches, "text", SMALL_BLOCK):
             n, prints, bands = [], [], []
             for s in shingle_sets(b.column(1)):
                 n.append(len(s))
@@ -192,7 +193,7 @@ def prefixes(docs: DataFrame, classes) -> DataFrame:
 
     def run(batches):
         order = classes.value
-        for b in slices(batches, "text"):
+        for b in slices(batches, "text", SMALL_BLOCK):
             sets = shingle_sets(b.column(1))
             heads = []
             for s in sets:
@@ -220,7 +221,7 @@ def likely(pairs: DataFrame, heads: DataFrame) -> DataFrame:
     ours = sets.select(F.col("id").alias("a"), F.col("n").alias("x"), F.col("bits").alias("x_bits"))
     theirs = sets.select(F.col("id").alias("b"), F.col("n").alias("y"), F.col("bits").alias("y_bits"))
     return (theirs.join(_small(pairs), "b").join(ours, "a").where(may_reach(F.col("x"), F.col("x_bits"), F.col("y"), F.col("y_bits")))
-            .select("a", "b").distinct().checkpoint())
+            .select("a", "b").distinct().transform(held))
 
 
 #: pairs that one task verifies at once, partners of one row, and tasks of one row
@@ -239,20 +240,20 @@ def verify(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     shares = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / ROW_PARTNERS).alias("shares"))
     asked = (pairs.join(shares, "a").groupBy("a", F.pmod(F.xxhash64("b"), F.col("shares")).alias("share"))
              .agg(F.collect_list("b").alias("partners"))
-             .withColumn("grp", F.pmod(F.xxhash64("a", "share"), F.lit(groups)))).checkpoint()
+             .withColumn("grp", F.pmod(F.xxhash64("a", "share"), F.lit(groups)))).transform(held)
     wanted = (asked.select("grp", F.explode("partners").alias("b")).distinct()
               .groupBy("b", F.floor(F.col("grp") / ROW_GROUPS).alias("share")).agg(F.collect_list("grp").alias("grps")))
     small = total <= BROADCAST_IDS                     # at most 16 bytes a pair in either table
     asked, wanted = (F.broadcast(asked), F.broadcast(wanted)) if small else (asked, wanted)
 
     def left(batches):
-        for b in slices(batches, "text"):
+        for b in slices(batches, "text", SMALL_BLOCK):
             yield pa.RecordBatch.from_arrays(
                 [b.column(2), b.column(0), pa.array([s.view(np.int64) for s in shingle_sets(b.column(1))], pa.list_(pa.int64())),
                  b.column(3)], names=["grp", "id", "set", "partners"])
 
     def right(batches):
-        for b in slices(batches, "text"):
+        for b in slices(batches, "text", SMALL_BLOCK):
             sets = [s.view(np.int64) for s in shingle_sets(b.column(1))]
             for i, s, grps in zip(b.column(0).to_pylist(), sets, b.column(2).to_pylist()):
                 for at in range(0, len(grps), 64):
@@ -284,7 +285,7 @@ def verify(docs: DataFrame, pairs: DataFrame) -> DataFrame:
             .mapInArrow(left, "grp long, id long, set array<long>, partners array<long>"))
     theirs = (docs.join(wanted, docs["id"] == wanted["b"]).select(docs["id"], docs["text"], "grps")
               .mapInArrow(right, "grp long, id long, set array<long>"))
-    return (ours.groupBy("grp").cogroup(theirs.groupBy("grp")).applyInArrow(links, "a long, b long").distinct().checkpoint())
+    return (ours.groupBy("grp").cogroup(theirs.groupBy("grp")).applyInArrow(links, "a long, b long").distinct().transform(held))
 
 
 #: queries that meet a piece in one task
@@ -321,7 +322,7 @@ def opened(open_: DataFrame, heads: DataFrame) -> DataFrame:
                 b += ids[good].tolist()
         return pa.table({"id": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    ways = open_.groupBy("g", "p").agg(F.ceil(F.count(F.lit(1)) / PIECE_QUERIES).alias("ways")).checkpoint()
+    ways = open_.groupBy("g", "p").agg(F.ceil(F.count(F.lit(1)) / PIECE_QUERIES).alias("ways")).transform(held)
     # few documents ask, as a rule: then their rows go to all, and not all to them
     asked = (_small(open_.join(ways, ["g", "p"]).withColumn("way", F.pmod(F.xxhash64("id"), F.col("ways"))))
              .join(heads.select("id", "n", "prefix"), "id").select("g", "p", "way", "id", "n", "prefix"))
@@ -345,25 +346,26 @@ def jaccard_classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     # rows that repeat an id are rare; where there are any, sets are combined by id first
     repeated = sigs.where("id is not null").groupBy("id").count().where("count > 1").limit(1).count() > 0
     # equal sets: one representative each, the smallest id; combined before the shuffle
-    reps = stored(sigs.where("id is not null and n > 0").groupBy("n", "fp").agg(F.min(F.struct("id", "bands")).alias("s"))
-                  .select("s.id", "n", "fp", "s.bands"), "representatives")
+    rows = sigs.count()
+    reps = stored(packed(sigs.where("id is not null and n > 0").groupBy("n", "fp").agg(F.min(F.struct("id", "bands")).alias("s"))
+                         .select("s.id", "n", "fp", "s.bands"), rows * 96), "representatives")
 
     # leaders of bands
     banded = reps.select("id", "n", F.explode("bands").alias("band"))
-    leaders = banded.groupBy("band").agg(F.min(F.struct("id", "n")).alias("l"), F.count(F.lit(1)).alias("k")).where("k > 1").checkpoint()
+    leaders = banded.groupBy("band").agg(F.min(F.struct("id", "n")).alias("l"), F.count(F.lit(1)).alias("k")).where("k > 1").transform(held)
     pairs = (banded.join(leaders, "band").where("id <> l.id")
              .where(_fits(F.least("n", "l.n"), F.greatest("n", "l.n")))
-             .select(F.col("id").alias("a"), F.col("l.id").alias("b")).distinct().checkpoint())
+             .select(F.col("id").alias("a"), F.col("l.id").alias("b")).distinct().transform(held))
     first = verify(named, pairs)
 
     # groups and their pieces
     found = components(first)
-    sizes = found.groupBy("component").agg(F.count(F.lit(1)).alias("members")).checkpoint()
+    sizes = found.groupBy("component").agg(F.count(F.lit(1)).alias("members")).transform(held)
     grouped = found.join(sizes, "component").select("id", F.col("component").alias("grp"), F.pmod(
-        F.xxhash64("id"), F.ceil(F.col("members") / PIECE)).alias("piece")).checkpoint()
+        F.xxhash64("id"), F.ceil(F.col("members") / PIECE)).alias("piece")).transform(held)
     classes = spark.sparkContext.broadcast(sketch(named))
     copies = (sigs.where("id is not null and n > 0").select("id").distinct()
-              .join(reps.select("id"), "id", "left_anti")).checkpoint()
+              .join(reps.select("id"), "id", "left_anti")).transform(held)
     heads = prefixes(named.join(_small(copies), "id", "left_anti").join(_small(grouped), "id", "left")
                      .select("id", "text", F.coalesce("grp", "id").alias("grp"),
                              F.coalesce("piece", F.lit(-1)).cast("long").alias("piece")), classes)
@@ -390,20 +392,20 @@ def jaccard_classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     met = (queries.join(single.unionByName(union), "token")
            .where(F.coalesce("grp", "id") != F.coalesce("g", "b"))
            .where((F.col("low") <= F.col("n")) & (DEN * F.col("high") >= NUM * F.col("n")))
-           .select("id", "n", "left", "g", "p", "b", F.col("low").alias("m"), "after").checkpoint())
+           .select("id", "n", "left", "g", "p", "b", F.col("low").alias("m"), "after").transform(held))
 
     # a group that a query may link with is first tried through the one member that
     # shares most with it: a confirmed link makes them one group, and spares the rest
     near = met.where("g is not null")
     tried = (near.groupBy("id", "g", "b").agg(F.count(F.lit(1)).alias("k"))
              .groupBy("id", "g").agg(F.max(F.struct("k", "b")).alias("s"))
-             .select(F.col("id").alias("a"), "s.b").where("a <> b").distinct().checkpoint())
+             .select(F.col("id").alias("a"), "s.b").where("a <> b").distinct().transform(held))
     links = first.union(verify(named, likely(tried, heads)))
     united = components(links)
     own, other = united.select("id", F.col("component").alias("c")), \
         united.select(F.col("id").alias("g"), F.col("component").alias("d"))
     open_ = (near.select("id", "g", "p").distinct().join(own, "id", "left").join(other, "g", "left")
-             .where(F.coalesce("c", "id") != F.coalesce("d", "g")).select("id", "g", "p").checkpoint())
+             .where(F.coalesce("c", "id") != F.coalesce("d", "g")).select("id", "g", "p").transform(held))
 
     # of two documents, the tokens shared among the leading ones, and those that
     # follow the last of them in either set, bound the overlap
@@ -411,7 +413,7 @@ def jaccard_classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     alone = (met.where("g is null").groupBy("id", "n", "b", "m").agg(
         F.count(F.lit(1)).alias("shared"), F.min("left").alias("left"), F.min("after").alias("after"))
         .where((NUM + DEN) * bound >= NUM * (F.col("n") + F.col("m"))).where("id <> b").select("id", "b"))
-    pairs = (alone.union(opened(open_, heads)).select(F.col("id").alias("a"), "b").distinct().checkpoint())
+    pairs = (alone.union(opened(open_, heads)).select(F.col("id").alias("a"), "b").distinct().transform(held))
     second = verify(named, likely(pairs, heads))
 
     tops = components(links.union(second))
@@ -420,7 +422,7 @@ def jaccard_classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     out = sigs.select("id", "n", "fp").join(best, ["n", "fp"], "left").select(
         F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"),
         F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id")).alias("component_id"))
-    out = out.checkpoint()
+    out = packed(out, rows * 32).checkpoint()      # the result: in the shared folder
     drop_stored(sigs, reps, heads)
     return out
 
@@ -439,7 +441,7 @@ def row_names(df: DataFrame, name: str = "_row") -> DataFrame:
     named = df.withColumn(name, F.xxhash64(*parts))
     for salt in range(1, 20):
         seen = named.select(name, digest.alias("d")).groupBy(name).agg(F.min("d").alias("a"), F.max("d").alias("b"))
-        clash = seen.where("a <> b").select(F.col(name).alias("_clash")).checkpoint()
+        clash = seen.where("a <> b").select(F.col(name).alias("_clash")).transform(held)
         if not clash.head(1):
             return named
         named = (named.join(clash, F.col(name) == F.col("_clash"), "left")
@@ -463,9 +465,9 @@ def one_of_each(df: DataFrame) -> DataFrame:
     # aggregated, not ranked: a large group is combined before the shuffle
     best = (rows.join(found.groupBy("doc_id").agg(F.min("component_id").alias("c")), F.col("_row") == F.col("doc_id"))
             .groupBy("c").agg(F.min(F.struct(F.col("id").isNull().alias("unnamed"), "id", "_row", "times")).alias("s"))
-            .select("s._row", "s.times").checkpoint())
+            .select("s._row", "s.times").transform(held))
     equal = best.where("times > 1").select("_row")
-    gone = rows.join(best.where("times = 1"), "_row", "left_anti").select("_row").checkpoint()
+    gone = rows.join(best.where("times = 1"), "_row", "left_anti").select("_row").transform(held)
     kept = named.join(_small(gone), "_row", "left_anti").select(*[F.col(f"`{c}`") for c in columns])
     if not equal.limit(1).count():
         return kept

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerlake.llm.common import Words, mix, slices, span_hashes
+from ledgerlake.llm.common import SMALL_BLOCK, Words, drop_caches, give_back, mix, slices, span_hashes
 
 #: bound of the network's training sample: rows, and bytes of text together
 SAMPLE_ROWS, SAMPLE_BYTES = 4000, 1 << 25
@@ -122,7 +122,7 @@ def extras(words: np.ndarray, first: np.ndarray, index: np.ndarray) -> np.ndarra
 def add_neighbours(total: np.ndarray, words: np.ndarray, shapes: np.ndarray, first: np.ndarray, index: np.ndarray) -> None:
     """Adds each key's neighbours' index vectors in these texts to ``total`` (exact integers)."""
     text = np.repeat(np.arange(len(first) - 1), np.diff(first))
-    block = 1 << 16
+    block = 1 << 14
     for at in range(0, len(words), block):
         lo, hi = max(0, at - REACH), min(len(words), at + block + REACH)
         own = index[words[lo:hi]] + index[shapes[lo:hi]]
@@ -151,6 +151,12 @@ def word_vectors(words: np.ndarray, shapes: np.ndarray, first: np.ndarray, index
     return _scaled(total, index)
 
 
+def narrow(sums: np.ndarray) -> np.ndarray:
+    """The same integers in as few bytes as the largest needs."""
+    most = int(np.abs(sums).max(initial=0))
+    return sums.astype(next(k for k in (np.int8, np.int16, np.int32, np.int64) if most <= np.iinfo(k).max))
+
+
 def corpus_vectors(docs: DataFrame) -> np.ndarray:
     """The word vectors of all documents: a table of fixed size (18 MB of sums),
     added up by blocks of keys in the tasks."""
@@ -160,16 +166,23 @@ def corpus_vectors(docs: DataFrame) -> np.ndarray:
     def row(part, salt, block):
         used = np.flatnonzero(block.any(1))
         return pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "salt": pa.array([salt], pa.int32()),
-                                           "used": [used.tobytes()], "sums": [block[used].tobytes()]})
+                                           "used": [used.astype(np.int32).tobytes()], "sums": [narrow(block[used]).tobytes()]})
+
+    def unpack(used, sums):
+        at = np.frombuffer(used, np.int32)
+        return at, np.frombuffer(sums, f"i{len(sums) // max(1, len(at) * DIMS) or 8}").reshape(-1, DIMS)
 
     def count(batches):
+        drop_caches()
         index = index_vectors()
         total = np.zeros(index.shape, np.int64)
-        for b in slices(batches, "text"):
+        for b in slices(batches, "text", SMALL_BLOCK):
             add_neighbours(total, *keys_of(b.column(0)), index)
         salt = TaskContext.get().partitionId() % 64
         for p in range(KEY_PARTS):
             yield row(p, salt, total[p * width:(p + 1) * width])
+        del total
+        give_back()
 
     def add(batches):                             # sorted: one block at a time
         last, block = None, None
@@ -179,9 +192,11 @@ def corpus_vectors(docs: DataFrame) -> np.ndarray:
                     if last:
                         yield row(last[0], 0, block)
                     last, block = (p, s), np.zeros((width, DIMS), np.int64)
-                block[np.frombuffer(used, np.int64)] += np.frombuffer(sums, np.int64).reshape(-1, DIMS)
+                at, got = unpack(used, sums)
+                block[at] += got
         if last:
             yield row(last[0], 0, block)
+        give_back()
 
     parts = docs.select("text").mapInArrow(count, kind)
     for _ in range(2):                            # salted first, then by part
@@ -189,7 +204,8 @@ def corpus_vectors(docs: DataFrame) -> np.ndarray:
     index = index_vectors()
     total = np.zeros(index.shape, np.int64)
     for r in parts.collect():                     # KEY_PARTS rows
-        total[r.part * width + np.frombuffer(r.used, np.int64)] += np.frombuffer(r.sums, np.int64).reshape(-1, DIMS)
+        at, got = unpack(r.used, r.sums)
+        total[r.part * width + at] += got
     return _scaled(total, index)
 
 
@@ -278,7 +294,8 @@ def sample_features(docs: DataFrame, ids: list[int], vectors: np.ndarray) -> np.
     sent = spark.sparkContext.broadcast(vectors)  # fixed size, 9 MB
 
     def pool(batches):
-        for b in slices(batches, "text"):
+        drop_caches()
+        for b in slices(batches, "text", SMALL_BLOCK):
             x = pooled(b.column(1), sent.value)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(list(x), pa.list_(pa.float32()))], names=["doc_id", "x"])
 
@@ -308,9 +325,10 @@ def score(docs: DataFrame, model: Model | None) -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast(model)      # fixed size, about 9 MB
 
     def run(batches):
+        drop_caches()
         model = sent.value
         folded, index = model.folded(), index_vectors()
-        for b in slices(batches, "text"):
+        for b in slices(batches, "text", SMALL_BLOCK):
             s = model.scores(b.column(b.schema.get_field_index("text")), folded, index)
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(s, pa.float64())], names=[*kept, "quality_score"])
 

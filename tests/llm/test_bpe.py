@@ -83,3 +83,13 @@ def test_encode_decode_frames(spark, library):
     assert bpe.digest(df.limit(0), RANKS).count() == 0
     nulls = spark.createDataFrame([(1, None)], "doc_id long, ids array<int>")
     assert bytes(bpe.decode(nulls, RANKS).first().decoded) == b""
+
+
+def test_tasks_of_other_operators_drop_the_tokenizer():
+    from ledgerlake.llm import common
+
+    ranks = RANKS
+    coder = bpe.Coder.of(ranks)
+    assert bpe.Coder.of(ranks) is coder
+    common.drop_caches()
+    assert not bpe.Coder._kept and bpe.Coder.of(ranks) is not coder

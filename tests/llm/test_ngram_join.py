@@ -176,3 +176,39 @@ def test_crowded_counters_still_tell_frequent_tokens(spark, monkeypatch):
     classes = J.sketch(spark.createDataFrame([(t,) for t in texts], "text string").repartition(2))
     token = J.shingle_sets(J.pa.array(texts[:1]))[0][0]
     assert classes[int(token) % J.SKETCH] == classes.max() > np.median(classes)
+
+
+def test_steps_between_write_no_checkpoint_files(spark):
+    """Each file of a checkpoint starts a process from the executor: with many shuffle
+    partitions there were two for each partition of each step, of hundreds of steps."""
+    import os
+    from urllib.parse import urlparse
+
+    from ledgerlake.llm import common
+
+    root = urlparse(common.checkpoint_dir(spark)).path
+
+    def files():
+        return sum(len(names) for at, _, names in os.walk(root) if "/rdd-" in at)
+
+    before = files()
+    links = [(i, i + 1) for i in range(40)]
+    assert {x.component for x in common.components(spark.createDataFrame(links, "a long, b long")).collect()} == {0}
+    assert files() == before
+
+
+def test_tiny_splits_are_packed(spark, scratch):
+    from ledgerlake.llm import common
+
+    most = 2 * spark.sparkContext.defaultParallelism
+    spark.range(5000).repartition(3 * most).write.parquet(scratch)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+    try:
+        df = spark.read.parquet(scratch)
+        got = common.packed(df)
+        assert got.rdd.getNumPartitions() <= most < df.rdd.getNumPartitions()
+        assert sorted(r.id for r in got.collect()) == list(range(5000))
+        # a table that is worth its partitions keeps them
+        assert common.packed(df, 1 << 40).rdd.getNumPartitions() == df.rdd.getNumPartitions()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")

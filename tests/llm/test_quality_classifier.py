@@ -92,3 +92,12 @@ def test_word_vectors_cover_all_documents_and_all_lengths(spark, monkeypatch):
     Q.fit(docs, labels)
     size = {i: len(t or "") for i, t in rows}
     assert 15 <= len(seen[-1]) <= 21 and sum(size[i] for i in seen[-1]) <= 1000
+
+
+def test_sums_travel_in_as_few_bytes_as_they_need():
+    for most, size in ((0, 1), (127, 1), (128, 2), (40_000, 4), (1 << 40, 8)):
+        for sign in (1, -1):
+            sums = np.array([[0, sign * most], [1, -1]], np.int64) if most else np.zeros((2, 2), np.int64)
+            got = Q.narrow(sums)
+            assert got.dtype.itemsize == size and (got == sums).all()
+    assert Q.narrow(np.zeros((0, 2), np.int64)).shape == (0, 2)
