@@ -389,15 +389,17 @@ def jaccard_classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -
              .select("token", "g", "p", "b", "low", "high", none.alias("after")))
     queries = tokens.select("token", "id", "n", F.when(F.col("grp") != F.col("id"), F.col("grp")).alias("grp"),
                             (F.col("n") - F.col("at") - 1).alias("left"))
+    # a row for each query and member or piece, not for each token that they share
     met = (queries.join(single.unionByName(union), "token")
            .where(F.coalesce("grp", "id") != F.coalesce("g", "b"))
            .where((F.col("low") <= F.col("n")) & (DEN * F.col("high") >= NUM * F.col("n")))
-           .select("id", "n", "left", "g", "p", "b", F.col("low").alias("m"), "after").transform(held))
+           .groupBy("id", "n", "g", "p", "b", F.col("low").alias("m"))
+           .agg(F.count(F.lit(1)).alias("shared"), F.min("left").alias("left"), F.min("after").alias("after")).transform(held))
 
     # a group that a query may link with is first tried through the one member that
     # shares most with it: a confirmed link makes them one group, and spares the rest
     near = met.where("g is not null")
-    tried = (near.groupBy("id", "g", "b").agg(F.count(F.lit(1)).alias("k"))
+    tried = (near.groupBy("id", "g", "b").agg(F.sum("shared").alias("k"))
              .groupBy("id", "g").agg(F.max(F.struct("k", "b")).alias("s"))
              .select(F.col("id").alias("a"), "s.b").where("a <> b").distinct().transform(held))
     links = first.union(verify(named, likely(tried, heads)))
@@ -410,9 +412,8 @@ def jaccard_classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     # of two documents, the tokens shared among the leading ones, and those that
     # follow the last of them in either set, bound the overlap
     bound = F.col("shared") + F.least("left", "after")
-    alone = (met.where("g is null").groupBy("id", "n", "b", "m").agg(
-        F.count(F.lit(1)).alias("shared"), F.min("left").alias("left"), F.min("after").alias("after"))
-        .where((NUM + DEN) * bound >= NUM * (F.col("n") + F.col("m"))).where("id <> b").select("id", "b"))
+    alone = (met.where("g is null").where((NUM + DEN) * bound >= NUM * (F.col("n") + F.col("m")))
+             .where("id <> b").select("id", "b"))
     pairs = (alone.union(opened(open_, heads)).select(F.col("id").alias("a"), "b").distinct().transform(held))
     second = verify(named, likely(pairs, heads))
 
