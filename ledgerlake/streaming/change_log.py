@@ -21,21 +21,28 @@ FILE_ROWS = 1_000_000
 
 
 def append(changes: DataFrame, path: str, batch_id: int, file_rows: int = FILE_ROWS) -> None:
-    """Write one batch (a retry overwrites exactly it).  ``changes`` are counted
-    while they are stored, then dealt out by range of LSN."""
+    """Write one batch (a retry overwrites exactly it): ``changes`` are stored, so that
+    they are made once, then dealt out by range of LSN."""
     spark, batch_id = changes.sparkSession, int(batch_id)
-    loose, data = f"{path}/loose/_batch_id={batch_id}", f"{path}/data/_batch_id={batch_id}"
-    changes.write.mode("overwrite").parquet(loose)
-    stored = spark.read.schema(changes.schema).parquet(loose)
+    loose = f"{path}/loose/_batch_id={batch_id}"
+    changes.write.options(**files.ROW_GROUPS).mode("overwrite").parquet(loose)
+    append_stored(spark.read.schema(changes.schema).parquet(loose), path, batch_id, file_rows)
+    files.delete(spark, loose)
+
+
+def append_stored(stored: DataFrame, path: str, batch_id: int, file_rows: int = FILE_ROWS) -> None:
+    """The same for changes that are cheap to read again (a range exchange reads its
+    input twice, and they are counted)."""
+    spark, batch_id = stored.sparkSession, int(batch_id)
+    data = f"{path}/data/_batch_id={batch_id}"
     parts = max(1, -(-stored.count() // file_rows))
-    stored.repartitionByRange(parts, "lsn").sortWithinPartitions("lsn", "seq").write.mode("overwrite").parquet(data)
-    spans = (spark.read.schema(changes.schema).parquet(data)
+    stored.repartitionByRange(parts, "lsn").sortWithinPartitions("lsn", "seq").write.options(**files.ROW_GROUPS).mode("overwrite").parquet(data)
+    spans = (spark.read.schema(stored.schema).parquet(data)
              .groupBy(F.regexp_extract("_metadata.file_path", "[^/]+$", 0).alias("name"))
              .agg(F.count(F.lit(1)).alias("rows"), F.min("lsn").alias("first_lsn"), F.max("lsn").alias("last_lsn")))
     (spans.select(F.concat(F.lit(f"data/_batch_id={batch_id}/"), "name").alias("file"), "rows", "first_lsn", "last_lsn",
                   F.lit(batch_id).cast("long").alias("batch_id"))
      .coalesce(1).write.mode("overwrite").parquet(f"{path}/manifest/_batch_id={batch_id}"))
-    files.delete(spark, loose)
 
 
 def manifest(spark: SparkSession, path: str) -> DataFrame:

@@ -13,10 +13,12 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgerlake.operators import cdc
+from ledgerlake.sources import files
 from ledgerlake.streaming import change_log
 from ledgerlake.streaming.keyed_table import KeyedTable
 
@@ -37,19 +39,30 @@ def keyed_table(row: T.StructType, key: list[str], paths: ChangePaths) -> KeyedT
     return KeyedTable(paths.table, row, tuple(key), paths.buckets)
 
 
+def _parsed(messages: DataFrame, row: T.StructType, key: list[str], path: str) -> DataFrame:
+    """The batch parsed once and stored: splits of its files are what later tasks read, where
+    a cached batch would take the executors' memory with blocks as large as its input files.
+    Only rejected messages keep their text."""
+    parsed = cdc.parse_messages(messages, row, key)
+    parsed = parsed.withColumn("raw_value", F.when(F.col("_reason").isNotNull(), F.col("raw_value")))
+    parsed.write.options(**files.ROW_GROUPS).mode("overwrite").parquet(path)
+    return messages.sparkSession.read.schema(parsed.schema).parquet(path)
+
+
 def apply_batch(messages: DataFrame, batch_id: int, row: T.StructType, key: list[str],
                 paths: ChangePaths, file_rows: int = change_log.FILE_ROWS) -> None:
     """One micro-batch: log, rejected messages, next version of the table."""
     spark = messages.sparkSession
-    parsed = cdc.parse_messages(messages, row, key).persist()
+    staged = f"{paths.log}/parsed/_batch_id={int(batch_id)}"
     try:
+        parsed = _parsed(messages, row, key, staged)
         (cdc.rejected(parsed).write.mode("overwrite").parquet(f"{paths.rejected}/_batch_id={int(batch_id)}"))
         log = cdc.valid_changes(parsed.drop(*cdc.RAW_COLUMNS))
-        change_log.append(log, paths.log, batch_id, file_rows)
+        change_log.append_stored(log, paths.log, batch_id, file_rows)
         table = keyed_table(row, key, paths)
         table.merge(spark, log, int(batch_id))
     finally:
-        parsed.unpersist()
+        files.delete(spark, staged)
     table.vacuum(spark, KEEP_VERSIONS)
 
 

@@ -111,14 +111,14 @@ class KeyedTable:
         # the batch as one row a key, written once: everything below reads it
         staged = f"{self.path}/staged/version={version}"
         (cdc.latest_per_key(changes.filter(present), list(self.key)).withColumn("bucket", self._bucket(count))
-         .write.mode("overwrite").parquet(staged))
+         .write.options(**files.ROW_GROUPS).mode("overwrite").parquet(staged))
         latest = spark.read.parquet(staged)
         touched = sorted(r.bucket for r in latest.select("bucket").distinct().collect())      # at most ``count`` numbers
         if touched:
             merged = cdc.merge_latest(self._read(spark, before["buckets"], touched), latest, list(self.key))
             (merged.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema.fields])
              .withColumn("bucket", self._bucket(count)).repartition("bucket")
-             .write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/data/version={version}"))
+             .write.options(**files.ROW_GROUPS).mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/data/version={version}"))
         now = {"version": version, "count": count, "buckets": before["buckets"] | {str(b): version for b in touched},
                "touched": len(touched), "bytes": files.folder_bytes(spark, f"{self.path}/data/version={version}")}
         files.write_json(spark, self._manifest_path(version), now)

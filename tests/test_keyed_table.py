@@ -2,10 +2,12 @@
 
 import random
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from ledgerlake.operators import cdc as CD
+from ledgerlake.plans import registry as RE
 from ledgerlake.sources import files
 from ledgerlake.sources.changes import ORDER_KEY, ORDER_ROW
 from ledgerlake.streaming import change_log as CL
@@ -140,3 +142,43 @@ def test_message_batch_is_parsed_once_and_goes_three_ways(spark, scratch):
     assert [(r.o_orderkey, r.lsn) for r in log.collect()] == [(1, 5)]
     assert [r.o_orderstatus for r in CS.current_rows(spark, ORDER_ROW, ORDER_KEY, paths).collect()] == ["A"]
     assert CD.state_at(log, ORDER_KEY).select(F.count(F.lit(1))).first()[0] == 1
+
+
+def _row_groups(spark, path):
+    return [pq.ParquetFile(f"{path}/{n}".removeprefix("file:")).num_row_groups for n in files.list_names(spark, path) if n.endswith(".parquet")]
+
+
+def test_a_batch_takes_no_memory_between_its_steps(spark, scratch, monkeypatch):
+    paths = CS.ChangePaths(f"{scratch}/log", f"{scratch}/rejected", f"{scratch}/table", f"{scratch}/ck", 4)
+    monkeypatch.setattr(files, "ROW_GROUPS", {"parquet.block.size": "10000"}, raising=False)
+    seen, merge = [], KeyedTable.merge
+
+    def watched(self, session, log, version):
+        # a cached batch would be here, in blocks as large as the files of its input
+        assert session._jsparkSession.sharedState().cacheManager().isEmpty()
+        seen.append(_row_groups(session, f"{paths.log}/parsed/_batch_id={version}"))
+        kept = session.read.parquet(f"{paths.log}/parsed/_batch_id={version}")
+        assert kept.filter("raw_value IS NOT NULL").count() == kept.filter("_reason IS NOT NULL").count() == 3
+        return merge(self, session, log, version)
+
+    monkeypatch.setattr(KeyedTable, "merge", watched)
+    text = F.format_string('{"after": {"o_orderkey": %d, "o_orderstatus": "%s"}, "op": "c", "source": {"lsn": 5}}', "id", F.sha2(F.col("id").cast("string"), 512))
+    messages = spark.range(0, 4000, 1, 2).select(F.lit(None).cast("string").alias("key"), F.when(F.col("id") % 1500 == 7, "broken").otherwise(text).alias("value"),
+                                                 F.col("id").alias("kafka_offset"))
+    for batch in (0, 0, 1):                              # the first one retried
+        CS.apply_batch(messages, batch, ORDER_ROW, ORDER_KEY, paths)
+    assert len(seen) == 3 and all(min(groups) > 1 for groups in seen)
+    assert not files.list_names(spark, f"{paths.log}/parsed") and min(_row_groups(spark, f"{paths.log}/data/_batch_id=0")) > 1
+    assert CS.current_rows(spark, ORDER_ROW, ORDER_KEY, paths).count() == 3997
+    assert CL.changes_since(spark, paths.log, CS.log_schema(ORDER_ROW, ORDER_KEY), -1).count() == 2 * 3997
+    assert sorted(bytes(r.raw_value) for r in spark.read.parquet(paths.rejected).collect()) == [b"broken"] * 6
+
+
+def test_landed_changes_have_small_row_groups(spark, scratch, monkeypatch):
+    monkeypatch.setattr(RE, "ROW_GROUPS", {"parquet.block.size": "10000"}, raising=False)
+    rows = spark.range(1, 6001, 1, 2).selectExpr("id o_orderkey", "id o_custkey", "'O' o_orderstatus", "id / 7.0D o_totalprice",
+                                                 "TIMESTAMP'2024-01-01' o_orderdate", "sha2(string(id), 256) o_orderpriority")
+    rows.write.parquet(f"{scratch}/in/orders.parquet")
+    landed = RE._land_changes(spark, f"{scratch}/in", f"{scratch}/out")
+    assert landed.isStreaming
+    assert min(_row_groups(spark, f"{scratch}/out/staged")) > 1 < min(_row_groups(spark, f"{scratch}/out/landing"))
